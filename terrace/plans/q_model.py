@@ -1 +1,690 @@
-"""Registered queries."""
+"""Registered model / CV / blend / metric queries (MOD-*, BLD-*, MET-*, EVL-*,
+PROF-22/23, SRT-4/5, SRC-5/7, ENC-4/7/9).
+
+Keys with a DuckDB oracle use the deterministic group-median regressor
+(median price per neighbourhood / per zoning), whose per-fold fits an SQL
+engine can replay exactly.  Keys over fitted Spark ML models (linear,
+forest, boosting) are rows-only checks.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from terrace.config import DROP_AFTER
+from terrace.functions.exprs import col, round_doubles
+from terrace.operators import blend as B
+from terrace.operators import clean as C
+from terrace.operators import cv as CV
+from terrace.operators import metrics as MET
+from terrace.operators import models as M
+from terrace.operators import split as S
+from terrace.operators.features import NEW_FEATURES
+from terrace.plans.fixtures import houses
+from terrace.plans.q_split import _EXACT, h32
+from terrace.plans.registry import register
+from terrace.session import scratch_path
+
+R = round_doubles
+SEED, K = 42, 5
+AREA_MAX, PRICE_MIN = 3000.0, 300000.0
+BASE = {"nbhd_median": "Neighborhood", "zoning_median": "MSZoning"}
+SAVED_WEIGHTS = [0.3, 0.7]
+
+
+# ============================================================== Spark side
+def _frames(spark, sf):
+    """(train with fold, val, test) from the exact stratified split."""
+    sp = S.stratified_split_exact(houses(spark, sf), "Id", "SalePrice", SEED)
+    sp = sp.drop("stratum", "stratum2").cache()
+    tr = C.remove_outliers(sp.filter(F.col("split") == "train"), area_max=AREA_MAX,
+                           price_min=PRICE_MIN).drop("split")
+    tr = S.kfold(tr, "Id", K, SEED)
+    va = sp.filter(F.col("split") == "val").drop("split")
+    te = sp.filter(F.col("split") == "test").drop("split")
+    return tr, va, te
+
+
+def _oof(tr: DataFrame) -> DataFrame:
+    out = tr
+    for name, g in BASE.items():
+        out = CV.fold_group_median_predictions(out, "fold", K, g, "SalePrice", name)
+    return out.select("Id", "SalePrice", "fold", *BASE)
+
+
+def _train_scores(tr: DataFrame, name: str, group: str) -> DataFrame:
+    """RMSE(log) of each fold's model on its own training rows (one job)."""
+    others = F.filter(F.sequence(F.lit(0), F.lit(K - 1)), lambda f: f != F.col("fold"))
+    ex = tr.select(col(group).alias("_g"), F.col("SalePrice").cast("double").alias("_y"),
+                   F.explode(others).alias("_f")).cache()
+    gm = ex.filter(F.col("_g").isNotNull()).groupBy("_f", "_g").agg(F.median("_y").alias("_gm"))
+    gl = ex.groupBy("_f").agg(F.median("_y").alias("_gl"))
+    p = ex.join(gm, ["_f", "_g"], "left").join(gl, "_f", "left") \
+        .withColumn("_p", F.coalesce("_gm", "_gl"))
+    return p.groupBy(F.col("_f").alias("fold")).agg(
+        MET.rmse_log(F.col("_y"), F.col("_p")).alias("train_rmse_log")).withColumn(
+        "model", F.lit(name))
+
+
+def _cv_scores(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    oof = _oof(tr).cache()
+    parts = []
+    for name, g in BASE.items():
+        test = CV.fold_scores_from_predictions(oof, "fold", "SalePrice", name) \
+            .withColumn("model", F.lit(name))
+        parts.append(test.join(_train_scores(tr, name, g), ["model", "fold"]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("model", F.col("fold").cast("int").alias("fold"), "test_rmse_log",
+                      "train_rmse_log")
+
+
+def _fit_predict(train: DataFrame, apply: DataFrame) -> DataFrame:
+    out = apply
+    for name, g in BASE.items():
+        out = M.GroupMedianRegressor(groupCol=g, labelCol="SalePrice", predictionCol=name) \
+            .fit(train).transform(out)
+    return out
+
+
+def _blend_state(spark, sf):
+    tr, va, _ = _frames(spark, sf)
+    oof = _oof(tr).cache()
+    names = list(BASE)
+    G = B.gram_matrix(B.gram(oof, "SalePrice", names), len(names))
+    w = B.simplex_weights(G)
+    val = _fit_predict(tr, va).cache()
+    return tr, oof, val, G, w, names
+
+
+def _single_scores(oof, val, names):
+    o = oof.agg(*[MET.rmse_log(F.col("SalePrice"), F.col(n)).alias(n) for n in names]).first()
+    v = val.agg(*[MET.rmse_log(F.col("SalePrice"), F.col(n)).alias(n) for n in names]).first()
+    return {n: o[n] for n in names}, {n: v[n] for n in names}
+
+
+def _ensemble_rows(spark, sf):
+    tr, oof, val, G, w, names = _blend_state(spark, sf)
+    so, sv = _single_scores(oof, val, names)
+    blend_oof = B.rmse_from_gram(G, w)
+    blend_val = val.select(F.col("SalePrice"), B.blend_expr(names, list(w)).alias("b")) \
+        .agg(MET.rmse_log(F.col("SalePrice"), F.col("b"))).first()[0]
+    rows = [(n, so[n], sv[n], float(w[i])) for i, n in enumerate(names)]
+    rows.append(("blend", blend_oof, blend_val, 1.0))
+    return spark.createDataFrame(rows, "model string, oof_rmse_log double, val_rmse_log double, "
+                                       "weight double")
+
+
+def _final_frame(spark, sf):
+    """Fit on train (outliers removed) + val, predict the test rows once."""
+    tr, va, te = _frames(spark, sf)
+    tv = tr.drop("fold").unionByName(va)
+    return _fit_predict(tv, te).cache(), tv
+
+
+# ============================================================== DuckDB side
+_TR = _EXACT + f""",
+tr as (select h.*, ({h32(f'{SEED}:fold', 'h.Id')} % {K})::int as fold from houses h join sp on h.Id = sp.Id
+       where sp.split = 'train' and not coalesce(h.GrLivArea > 3000 and h.SalePrice < 300000, false)),
+va as (select h.* from houses h join sp on h.Id = sp.Id where sp.split = 'val'),
+te as (select h.* from houses h join sp on h.Id = sp.Id where sp.split = 'test'),
+folds as (select unnest(range({K})) as f),
+gl as (select f, median(SalePrice) as m from tr join folds on tr.fold <> folds.f group by f),
+gm_n as (select f, Neighborhood as g, median(SalePrice) as m from tr join folds on tr.fold <> folds.f
+         where Neighborhood is not null group by f, Neighborhood),
+gm_z as (select f, MSZoning as g, median(SalePrice) as m from tr join folds on tr.fold <> folds.f
+         where MSZoning is not null group by f, MSZoning),
+oof as (select tr.Id, tr.SalePrice, tr.fold, coalesce(a.m, gl.m) as nbhd_median,
+          coalesce(b.m, gl.m) as zoning_median
+        from tr left join gm_n a on a.f = tr.fold and a.g = tr.Neighborhood
+        left join gm_z b on b.f = tr.fold and b.g = tr.MSZoning left join gl on gl.f = tr.fold),
+trn as (select folds.f as fold, tr.SalePrice, coalesce(a.m, gl.m) as nbhd_median,
+          coalesce(b.m, gl.m) as zoning_median
+        from tr join folds on tr.fold <> folds.f
+        left join gm_n a on a.f = folds.f and a.g = tr.Neighborhood
+        left join gm_z b on b.f = folds.f and b.g = tr.MSZoning left join gl on gl.f = folds.f),
+all_n as (select Neighborhood as g, median(SalePrice) as m from tr where Neighborhood is not null group by 1),
+all_z as (select MSZoning as g, median(SalePrice) as m from tr where MSZoning is not null group by 1),
+all_g as (select median(SalePrice) as m from tr),
+val as (select va.Id, va.SalePrice, coalesce(a.m, all_g.m) as nbhd_median,
+          coalesce(b.m, all_g.m) as zoning_median
+        from va left join all_n a on a.g = va.Neighborhood left join all_z b on b.g = va.MSZoning, all_g)"""
+
+
+def _rl(y: str, p: str) -> str:
+    return (f"sqrt(avg(pow(ln(1 + greatest({y}, 0)) - ln(1 + greatest({p}, 0)), 2)))")
+
+
+_GRAM = f""",
+g as (select avg(pow(ln(1 + SalePrice) - ln(1 + greatest(nbhd_median, 0)), 2)) as g11,
+        avg(pow(ln(1 + SalePrice) - ln(1 + greatest(zoning_median, 0)), 2)) as g22,
+        avg((ln(1 + SalePrice) - ln(1 + greatest(nbhd_median, 0)))
+          * (ln(1 + SalePrice) - ln(1 + greatest(zoning_median, 0)))) as g12 from oof),
+w as (select greatest(least(case when g11 + g22 - 2 * g12 = 0 then 0.5
+        else (g22 - g12) / (g11 + g22 - 2 * g12) end, 1.0), 0.0) as w1 from g),
+sc as (select (select {_rl('SalePrice', 'nbhd_median')} from oof) as o1,
+         (select {_rl('SalePrice', 'zoning_median')} from oof) as o2,
+         (select {_rl('SalePrice', 'nbhd_median')} from val) as v1,
+         (select {_rl('SalePrice', 'zoning_median')} from val) as v2,
+         (select sqrt(greatest(w1 * w1 * g11 + (1 - w1) * (1 - w1) * g22 + 2 * w1 * (1 - w1) * g12, 0))
+            from g, w) as bo,
+         (select {_rl('SalePrice', 'exp(w1 * ln(1 + greatest(nbhd_median, 0)) + (1 - w1) * ln(1 + greatest(zoning_median, 0))) - 1')}
+            from val, w) as bv),
+ens as (select 'nbhd_median' as model, o1 as oof_rmse_log, v1 as val_rmse_log, w1 as weight from sc, w
+        union all select 'zoning_median', o2, v2, 1 - w1 from sc, w
+        union all select 'blend', bo, bv, 1.0 from sc),
+best as (select model, oof_rmse_log, val_rmse_log from ens where model <> 'blend'
+         order by oof_rmse_log, model limit 1),
+dec as (select best.model as best_single, best.oof_rmse_log as best_single_oof,
+          best.val_rmse_log as best_single_val, sc.bo as blend_oof, sc.bv as blend_val,
+          case when sc.bo < best.oof_rmse_log - 0.002 and sc.bv <= best.val_rmse_log
+               then 'USE_BLEND' else 'USE_SINGLE' end as decision from best, sc)"""
+
+
+# ============================================================== MOD-6/7 (baseline, S)
+@register("cv_scores", _TR + f"""
+select 'nbhd_median' as model, fold, round({_rl('SalePrice', 'nbhd_median')}, 4) as test_rmse_log,
+  round((select {_rl('t.SalePrice', 't.nbhd_median')} from trn t where t.fold = oof.fold), 4) as train_rmse_log
+from oof group by fold
+union all
+select 'zoning_median', fold, round({_rl('SalePrice', 'zoning_median')}, 4),
+  round((select {_rl('t.SalePrice', 't.zoning_median')} from trn t where t.fold = oof.fold), 4)
+from oof group by fold""")
+def cv_scores(spark, sf):
+    return R(_cv_scores(spark, sf))
+
+
+@register("cv_summary", _TR + f""",
+s as (select 'nbhd_median' as model, fold, {_rl('SalePrice', 'nbhd_median')} as te,
+        (select {_rl('t.SalePrice', 't.nbhd_median')} from trn t where t.fold = oof.fold) as tn
+      from oof group by fold
+      union all
+      select 'zoning_median', fold, {_rl('SalePrice', 'zoning_median')},
+        (select {_rl('t.SalePrice', 't.zoning_median')} from trn t where t.fold = oof.fold)
+      from oof group by fold)
+select model, round(avg(te), 4) as cv_rmse_log, round(stddev_pop(te), 4) as cv_std,
+  round(avg(tn), 4) as train_rmse_log, round(avg(te) - avg(tn), 4) as overfit_gap,
+  count(*)::bigint as n_folds from s group by model""")
+def cv_summary(spark, sf):
+    return R(CV.cv_summary(_cv_scores(spark, sf)))
+
+
+# ============================================================== BLD-1..6, SRT-5, EVL-2 (S)
+@register("oof_predictions", _TR + """
+select Id, SalePrice, round(nbhd_median, 4) as nbhd_median, round(zoning_median, 4) as zoning_median
+from oof""")
+def oof_predictions(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    return R(_oof(tr).drop("fold"))
+
+
+@register("blend_gram", _TR + _GRAM + """
+select 0 as i, 0 as j, 'nbhd_median' as model_i, 'nbhd_median' as model_j, round(g11, 4) as g from g
+union all select 0, 1, 'nbhd_median', 'zoning_median', round(g12, 4) from g
+union all select 1, 1, 'zoning_median', 'zoning_median', round(g22, 4) from g""")
+def blend_gram(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    return R(B.gram(_oof(tr), "SalePrice", list(BASE)))
+
+
+@register("blend_weights", _TR + _GRAM + """
+select 'nbhd_median' as model, round(w1, 4) as weight from w
+union all select 'zoning_median', round(1 - w1, 4) from w""")
+def blend_weights(spark, sf):
+    _, _, _, _, w, names = _blend_state(spark, sf)
+    return R(spark.createDataFrame([(n, float(w[i])) for i, n in enumerate(names)],
+                                   "model string, weight double"))
+
+
+@register("blend_predict", _TR + _GRAM + """
+select Id, round(exp(w1 * ln(1 + greatest(nbhd_median, 0))
+  + (1 - w1) * ln(1 + greatest(zoning_median, 0))) - 1, 4) as blend from oof, w""")
+def blend_predict(spark, sf):
+    _, oof, _, _, w, names = _blend_state(spark, sf)
+    return R(oof.select("Id", B.blend_expr(names, list(w)).alias("blend")))
+
+
+@register("blend_eval_saved", _TR + _GRAM + f"""
+select round(sqrt(greatest({SAVED_WEIGHTS[0]} * {SAVED_WEIGHTS[0]} * g11
+  + {SAVED_WEIGHTS[1]} * {SAVED_WEIGHTS[1]} * g22
+  + 2 * {SAVED_WEIGHTS[0]} * {SAVED_WEIGHTS[1]} * g12, 0)), 4) as saved_oof_rmse_log from g""")
+def blend_eval_saved(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    G = B.gram_matrix(B.gram(_oof(tr), "SalePrice", list(BASE)), len(BASE))
+    w = B.normalise(SAVED_WEIGHTS, len(BASE))
+    return R(spark.createDataFrame([(B.rmse_from_gram(G, w),)], "saved_oof_rmse_log double"))
+
+
+@register("ensemble_results", _TR + _GRAM + """
+select model, round(oof_rmse_log, 4) as oof_rmse_log, round(val_rmse_log, 4) as val_rmse_log,
+  round(weight, 4) as weight from ens""")
+def ensemble_results(spark, sf):
+    return R(_ensemble_rows(spark, sf))
+
+
+@register("blend_decision", _TR + _GRAM + """
+select best_single, round(best_single_oof, 4) as best_single_oof,
+  round(best_single_val, 4) as best_single_val, round(blend_oof, 4) as blend_oof,
+  round(blend_val, 4) as blend_val, decision from dec""")
+def blend_decision(spark, sf):
+    ens = _ensemble_rows(spark, sf)
+    single = F.col("model") != "blend"
+    # one aggregation over the (K+1)-row ensemble table: argmin + blend row
+    d = ens.agg(
+        F.min_by(F.when(single, F.struct("model", "oof_rmse_log", "val_rmse_log")),
+                 F.when(single, F.struct("oof_rmse_log", "model"))).alias("b"),
+        F.max(F.when(~single, F.col("oof_rmse_log"))).alias("blend_oof"),
+        F.max(F.when(~single, F.col("val_rmse_log"))).alias("blend_val"))
+    out = d.select(F.col("b.model").alias("best_single"),
+                   F.col("b.oof_rmse_log").alias("best_single_oof"),
+                   F.col("b.val_rmse_log").alias("best_single_val"), "blend_oof", "blend_val",
+                   B.decision(F.col("blend_oof"), F.col("b.oof_rmse_log"), F.col("blend_val"),
+                              F.col("b.val_rmse_log")).alias("decision"))
+    return R(out)
+
+
+@register("best_model_argmin", _TR + _GRAM + """
+select model as best_model, round(oof_rmse_log, 4) as best_oof_rmse_log from best""")
+def best_model_argmin(spark, sf):
+    ens = _ensemble_rows(spark, sf).filter(F.col("model") != "blend")
+    return R(ens.agg(F.min_by("model", F.struct("oof_rmse_log", "model")).alias("best_model"),
+                     F.min("oof_rmse_log").alias("best_oof_rmse_log")))
+
+
+@register("final_choice", _TR + _GRAM + """
+select case when decision = 'USE_BLEND' then 'blend' else 'single' end as final_model_type,
+  case when decision = 'USE_BLEND' then 'blend' else best_single end as final_model_name from dec""")
+def final_choice(spark, sf):
+    d = blend_decision(spark, sf)
+    return d.select(
+        F.when(F.col("decision") == "USE_BLEND", F.lit("blend")).otherwise(F.lit("single"))
+        .alias("final_model_type"),
+        F.when(F.col("decision") == "USE_BLEND", F.lit("blend")).otherwise(F.col("best_single"))
+        .alias("final_model_name"))
+
+
+# ============================================================== MET-*, PROF-22, EXP-22 (S)
+_TE = _EXACT + f""",
+tv as (select h.* from houses h join sp on h.Id = sp.Id where (sp.split = 'train'
+         and not coalesce(h.GrLivArea > 3000 and h.SalePrice < 300000, false)) or sp.split = 'val'),
+tn as (select Neighborhood as g, median(SalePrice) as m from tv where Neighborhood is not null group by 1),
+tz as (select MSZoning as g, median(SalePrice) as m from tv where MSZoning is not null group by 1),
+tg as (select median(SalePrice) as m from tv),
+pt as (select te.Id, te.SalePrice, coalesce(a.m, tg.m) as nbhd_median, coalesce(b.m, tg.m) as zoning_median
+       from (select h.* from houses h join sp on h.Id = sp.Id where sp.split = 'test') te
+       left join tn a on a.g = te.Neighborhood left join tz b on b.g = te.MSZoning, tg)"""
+
+_MAPE = "avg(abs(SalePrice - {p}) / greatest(abs(SalePrice), 2.220446049250313e-16))"
+
+
+def _metrics_sql(p: str) -> str:
+    m = _MAPE.format(p=p)
+    return f"""count(*)::bigint as n, round({_rl('SalePrice', p)}, 4) as rmse_log,
+  round(avg(abs(SalePrice - {p})), 4) as mae, round(sqrt(avg(pow(SalePrice - {p}, 2))), 4) as rmse,
+  round({m}, 4) as mape, round({m} * 100.0, 4) as mape_pct,
+  round(1 - sum(pow(SalePrice - {p}, 2)) / (var_pop(SalePrice) * count(SalePrice)), 4) as r2_dollar,
+  round(1 - sum(pow(ln(1 + SalePrice) - ln(1 + {p}), 2)) / (var_pop(ln(1 + SalePrice)) * count(SalePrice)), 4) as r2_log,
+  round(100.0 - {m} * 100.0, 4) as accuracy_pct"""
+
+
+@register("regression_metrics", _TE + f"\nselect {_metrics_sql('nbhd_median')} from pt")
+def regression_metrics(spark, sf):
+    pt, _ = _final_frame(spark, sf)
+    return R(MET.regression_metrics(pt, "SalePrice", "nbhd_median"))
+
+
+_BAND_SQL = """, bands as (select * from (values (0, '<$150k'), (1, '$150-300k'), (2, '$300-450k'),
+  (3, '>$450k')) t(band_order, band)),
+bg as (select case when SalePrice < 150000 then 0 when SalePrice < 300000 then 1
+  when SalePrice < 450000 then 2 else 3 end as band_order, count(*) as c,
+  avg(abs(SalePrice - nbhd_median)) as mae,
+  avg(abs(SalePrice - nbhd_median) / greatest(abs(SalePrice), 2.220446049250313e-16)) * 100.0 as mape
+  from pt group by 1)
+select b.band_order::int as band_order, band, coalesce(c, 0)::bigint as count,
+  round(coalesce(mae, 0.0), 4) as mae, round(coalesce(mape, 0.0), 4) as mape
+from bands b left join bg on b.band_order = bg.band_order"""
+
+
+@register("metrics_by_band", _TE + _BAND_SQL)
+def metrics_by_band(spark, sf):
+    pt, _ = _final_frame(spark, sf)
+    return R(MET.metrics_by_band(pt, "SalePrice", "nbhd_median"))
+
+
+@register("metrics_multi_model", _TE + f"""
+select 'nbhd_median' as model, count(*)::bigint as n, round({_rl('SalePrice', 'nbhd_median')}, 4) as rmse_log,
+  round(avg(abs(SalePrice - nbhd_median)), 4) as mae, round({_MAPE.format(p='nbhd_median')} * 100.0, 4) as mape_pct from pt
+union all
+select 'zoning_median', count(*)::bigint, round({_rl('SalePrice', 'zoning_median')}, 4),
+  round(avg(abs(SalePrice - zoning_median)), 4), round({_MAPE.format(p='zoning_median')} * 100.0, 4) from pt""")
+def metrics_multi_model(spark, sf):
+    pt, _ = _final_frame(spark, sf)
+    return R(MET.metrics_multi(pt, "SalePrice", {n: n for n in BASE}))
+
+
+@register("residual_table", _TE + """
+select Id, round(ln(1 + SalePrice), 4) as log_actual, round(ln(1 + nbhd_median), 4) as log_pred,
+  round(ln(1 + SalePrice) - ln(1 + nbhd_median), 4) as residual from pt""")
+def residual_table(spark, sf):
+    pt, _ = _final_frame(spark, sf)
+    la, lp = F.log1p("SalePrice"), F.log1p("nbhd_median")
+    return R(pt.select("Id", la.alias("log_actual"), lp.alias("log_pred"),
+                       (la - lp).alias("residual")))
+
+
+@register("prediction_interval", _TE + f""",
+mp as (select {_MAPE.format(p='nbhd_median')} as mape from pt)
+select Id, round(nbhd_median, 2) as predicted_price,
+  round(round(nbhd_median, 2) * (1.0 - mape), 2) as price_range_low,
+  round(round(nbhd_median, 2) * (1.0 + mape), 2) as price_range_high from pt, mp""")
+def prediction_interval(spark, sf):
+    pt, _ = _final_frame(spark, sf)
+    mape = pt.agg(MET.mape(F.col("SalePrice"), F.col("nbhd_median"))).first()[0]  # a scalar
+    p = F.round("nbhd_median", 2)
+    return pt.select("Id", p.alias("predicted_price"),
+                     F.round(p * (1.0 - F.lit(mape)), 2).alias("price_range_low"),
+                     F.round(p * (1.0 + F.lit(mape)), 2).alias("price_range_high"))
+
+
+# ---------------------------------------------------------------- MET-7 / SRC-5 / SRV-7
+_DOC_SCHEMA = ("rmse_log double, mae double, rmse double, mape double, r2_log double, "
+               "r2_dollar double, bands array<struct<band:string,count:bigint,mae:double,"
+               "mape:double>>, final_model_type string, n_train bigint, n_test bigint")
+
+
+def _write_doc(spark, sf) -> str:
+    pt, tv = _final_frame(spark, sf)
+    m = MET.regression_metrics(pt, "SalePrice", "nbhd_median").first()
+    bands = [(r["band"], r["count"], r["mae"], r["mape"]) for r in
+             MET.metrics_by_band(pt, "SalePrice", "nbhd_median").orderBy("band_order").collect()]
+    n_train = tv.count()
+    # the document is a handful of scalars: built on the driver, written once
+    doc = spark.createDataFrame([(m["rmse_log"], m["mae"], m["rmse"], m["mape_pct"], m["r2_log"],
+                                  m["r2_dollar"], bands, "single", n_train, m["n"])], _DOC_SCHEMA)
+    path = scratch_path(spark, "metrics-doc")
+    doc.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+_DOC_SQL = _TE + f""",
+m as (select {_metrics_sql('nbhd_median')} from pt),
+nt as (select count(*)::bigint as n_train from tv)"""
+
+
+@register("metrics_json_doc", _DOC_SQL + """
+select rmse_log, mae, rmse, mape_pct as mape, r2_log, r2_dollar, 'single' as final_model_type,
+  n_train, n as n_test, 4::bigint as n_bands from m, nt""")
+def metrics_json_doc(spark, sf):
+    doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
+    return R(doc.select("rmse_log", "mae", "rmse", "mape", "r2_log", "r2_dollar",
+                        "final_model_type", "n_train", "n_test",
+                        F.size("bands").cast("bigint").alias("n_bands")))
+
+
+@register("model_info", _DOC_SQL + """
+select 'single' as model_type, n_train, round(mape_pct / 100.0, 6) as interval_mape,
+  rmse_log from m, nt""")
+def model_info(spark, sf):
+    doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
+    return doc.select(F.col("final_model_type").alias("model_type"), "n_train",
+                      F.round(F.col("mape") / 100.0, 6).alias("interval_mape"),
+                      F.round("rmse_log", 4).alias("rmse_log"))
+
+
+# ============================================================== fitted ML models (rows-only)
+def _val_predictions(spark, sf, regressor, kind):
+    tr, va, _ = _frames(spark, sf)
+    model = M.full_model(regressor, tr.drop("fold").schema, kind).fit(tr.drop("fold"))
+    return model.transform(va).select("Id", "SalePrice", "prediction")
+
+
+@register("fit_ridge")
+def fit_ridge(spark, sf):
+    return _val_predictions(spark, sf, M.ridge(10.0), "linear")
+
+
+@register("fit_lasso")
+def fit_lasso(spark, sf):
+    return _val_predictions(spark, sf, M.lasso(0.0005), "linear")
+
+
+@register("fit_elasticnet")
+def fit_elasticnet(spark, sf):
+    return _val_predictions(spark, sf, M.elasticnet(0.0005, 0.5), "linear")
+
+
+@register("fit_random_forest")
+def fit_random_forest(spark, sf):
+    return _val_predictions(spark, sf, M.random_forest(30, 8), "tree")
+
+
+@register("fit_gbt")
+def fit_gbt(spark, sf):
+    tr, va, _ = _frames(spark, sf)
+    out = None
+    for preset in M.GBT_PRESETS:
+        model = M.full_model(M.gbt(preset, 10), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
+        p = model.transform(va).select("Id", F.lit(preset).alias("preset"), "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _model_cv(spark, sf, models: dict, folds: int = 3):
+    tr, _, _ = _frames(spark, sf)
+    tr = S.kfold(tr.drop("fold"), "Id", folds, SEED)
+    schema = tr.drop("fold").schema
+    pipes = {name: M.full_model(reg, schema, kind) for name, (reg, kind) in models.items()}
+    return CV.cross_validate(tr, pipes, "fold", "SalePrice", parallelism=4)
+
+
+_CV_MODELS = {"ridge": (M.ridge(10.0), "tree"), "lasso": (M.lasso(0.0005), "linear")}
+
+
+@register("cv_scores_models")
+def cv_scores_models(spark, sf):
+    return _model_cv(spark, sf, _CV_MODELS)
+
+
+@register("model_comparison")
+def model_comparison(spark, sf):
+    scores = _model_cv(spark, sf, _CV_MODELS).cache()
+    summ = CV.cv_summary(scores).join(
+        scores.groupBy("model").agg(F.avg("fit_seconds").alias("fit_seconds")), "model")
+    return summ.orderBy("cv_rmse_log")
+
+
+@register("lasso_selected_features")
+def lasso_selected_features(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    model = M.full_model(M.lasso(0.0005), tr.schema, "linear").fit(tr.drop("fold"))
+    lr, assembled = model.stages[-2], model.stages[-3]
+    names = assembled.getInputCols()
+    rows = [(n, float(c)) for n, c in zip(names, lr.coefficients.toArray())]
+    df = spark.createDataFrame(rows, "feature string, coefficient double")
+    return df.withColumn("selected", F.col("coefficient") != 0).orderBy(
+        F.abs("coefficient").desc())
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    model = M.full_model(M.gbt("lightgbm", 10), tr.schema, "tree").fit(tr.drop("fold"))
+    gbm, assembled = model.stages[-2], model.stages[-3]
+    rows = [(n, float(v)) for n, v in zip(assembled.getInputCols(),
+                                          gbm.featureImportances.toArray())]
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+        F.col("importance").desc())
+
+
+_VARIANTS = {"full": [], "no_engineered": NEW_FEATURES, "no_lot_ratio": ["LotRatio"],
+             "no_is_remodeled": ["IsRemodeled"], "no_ages": ["HouseAge", "RemodAge"]}
+
+
+def _ablation_scores(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
+    schema = tr.drop("fold").schema
+    parts = []
+    for variant, dropped in _VARIANTS.items():
+        after = sorted(set(DROP_AFTER) - set(dropped)) if variant != "full" else list(DROP_AFTER)
+        after = sorted(set(after) | set(dropped))
+        pipes = {m: M.full_model(reg, schema, kind, drop_after=after)
+                 for m, (reg, kind) in _CV_MODELS.items()}
+        parts.append(CV.cross_validate(tr, pipes, "fold", "SalePrice", parallelism=4,
+                                       with_train=False).withColumn("variant", F.lit(variant)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("ablation_table")
+def ablation_table(spark, sf):
+    return CV.ablation_table(_ablation_scores(spark, sf))
+
+
+@register("ablation_decision")
+def ablation_decision(spark, sf):
+    return CV.ablation_decision(CV.ablation_table(_ablation_scores(spark, sf)))
+
+
+@register("ablation_gain")
+def ablation_gain(spark, sf):
+    return CV.ablation_gain(CV.ablation_table(_ablation_scores(spark, sf)))
+
+
+_SPACE = {"alpha": ("log", 1e-5, 1e-2)}
+
+
+def _trials(spark, sf, trials: int = 4):
+    tr, _, _ = _frames(spark, sf)
+    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
+    schema = tr.drop("fold").schema
+    return CV.random_search(spark, tr, lambda p: M.full_model(M.lasso(p["alpha"]), schema, "tree"),
+                            _SPACE, trials, SEED, parallelism=3).cache()
+
+
+@register("tune_search")
+def tune_search(spark, sf):
+    return _trials(spark, sf)
+
+
+@register("tune_best_trial")
+def tune_best_trial(spark, sf):
+    return CV.best_trial(_trials(spark, sf))
+
+
+@register("tune_history")
+def tune_history(spark, sf):
+    return CV.trial_history(_trials(spark, sf))
+
+
+@register("tuning_before_after")
+def tuning_before_after(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
+    schema = tr.drop("fold").schema
+    base = CV.cross_validate(tr, {"lasso": M.full_model(M.lasso(0.0005), schema, "tree")},
+                             "fold", "SalePrice", with_train=False)
+    base = base.groupBy("model").agg(F.avg("test_rmse_log").alias("baseline_cv_rmse_log"))
+    best = CV.best_trial(_trials(spark, sf)).select(
+        F.lit("lasso").alias("model"), F.col("best_cv_rmse_log").alias("tuned_cv_rmse_log"),
+        "best_params")
+    return CV.tuning_before_after(best, base)
+
+
+def _final_models(spark, sf):
+    tr, va, te = _frames(spark, sf)
+    tv = tr.drop("fold").unionByName(va)
+    final = M.full_model(M.ridge(10.0), tv.schema, "tree").fit(tv)
+    ref = M.full_model(M.lasso(0.0005), tv.schema, "linear").fit(tv)
+    p = final.transform(te).select("Id", "SalePrice", F.col("prediction").alias("final_pred"))
+    q = ref.transform(te).select("Id", F.col("prediction").alias("reference_pred"))
+    return p.join(q, "Id"), final
+
+
+@register("final_evaluation")
+def final_evaluation(spark, sf):
+    both, _ = _final_models(spark, sf)
+    return MET.metrics_multi(both, "SalePrice", {"final": "final_pred",
+                                                 "reference_lasso": "reference_pred"})
+
+
+@register("final_metrics_by_band")
+def final_metrics_by_band(spark, sf):
+    both, _ = _final_models(spark, sf)
+    return MET.metrics_by_band(both, "SalePrice", "final_pred")
+
+
+@register("model_roundtrip_predict")
+def model_roundtrip_predict(spark, sf):
+    from pyspark.ml import PipelineModel
+    tr, va, _ = _frames(spark, sf)
+    model = M.full_model(M.ridge(10.0), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = model.transform(va).select("Id", F.col("prediction").alias("before"))
+    b = again.transform(va).select("Id", F.col("prediction").alias("after"))
+    return a.join(b, "Id").withColumn("equal", F.abs(F.col("before") - F.col("after")) < 1e-9)
+
+
+@register("preprocess_summary")
+def preprocess_summary(spark, sf):
+    tr, _, _ = _frames(spark, sf)
+    rows = []
+    for kind in ("tree", "linear"):
+        model = M.full_model(M.ridge(10.0), tr.schema, kind).fit(tr.drop("fold"))
+        onehot = [s for s in model.stages if type(s).__name__ == "RareOneHotModel"][0]
+        skew = [s for s in model.stages if type(s).__name__ == "SkewCorrectorModel"]
+        width = len(model.stages[-3].getInputCols())
+        rows.append((kind, width, len(onehot.output_columns()),
+                     len(skew[0].lambdas()) if skew else 0))
+    return spark.createDataFrame(rows, "kind string, n_features int, n_onehot int, n_skew_corrected int")
+
+
+@register("skew_correct")
+def skew_correct(spark, sf):
+    from terrace.operators.encode import SkewCorrector
+    from terrace.operators.features import engineer
+    tr, _, _ = _frames(spark, sf)
+    eng = engineer(C.DomainImputer().fit(tr).transform(tr), list(DROP_AFTER))
+    num = [f.name for f in eng.schema.fields if f.name not in ("Id", "SalePrice", "fold")
+           and f.dataType.typeName() in ("integer", "long", "double")]
+    m = SkewCorrector(cols=num, threshold=0.75).fit(eng)
+    return spark.createDataFrame([(c, float(v)) for c, v in m.lambdas().items()],
+                                 "column string, lambda double")
+
+
+def _prep(spark, sf, kind):
+    tr, _, _ = _frames(spark, sf)
+    model = M.full_model(M.ridge(10.0), tr.schema, kind).fit(tr.drop("fold"))
+    out = model.transform(tr.drop("fold"))
+    from pyspark.ml.functions import vector_to_array
+    return out.select("Id", F.size(vector_to_array("features")).alias("n_features"),
+                      vector_to_array("features").alias("features"))
+
+
+@register("preprocess_tree")
+def preprocess_tree(spark, sf):
+    return _prep(spark, sf, "tree")
+
+
+@register("preprocess_linear")
+def preprocess_linear(spark, sf):
+    return _prep(spark, sf, "linear")
+
+
+@register("full_model_predict")
+def full_model_predict(spark, sf):
+    tr, va, te = _frames(spark, sf)
+    model = M.full_model(M.ridge(10.0), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
+    return model.transform(te.drop("SalePrice")).select("Id", "prediction")
+
+
+_ = json

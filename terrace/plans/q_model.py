@@ -501,7 +501,7 @@ def model_comparison(spark, sf):
 @register("lasso_selected_features")
 def lasso_selected_features(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    model = M.full_model(M.lasso(0.0005), tr.schema, "linear").fit(tr.drop("fold"))
+    model = M.full_model(M.lasso(0.0005), tr.drop("fold").schema, "linear").fit(tr.drop("fold"))
     lr, assembled = model.stages[-2], model.stages[-3]
     names = assembled.getInputCols()
     rows = [(n, float(c)) for n, c in zip(names, lr.coefficients.toArray())]
@@ -513,7 +513,7 @@ def lasso_selected_features(spark, sf):
 @register("feature_importance")
 def feature_importance(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    model = M.full_model(M.gbt("lightgbm", 10), tr.schema, "tree").fit(tr.drop("fold"))
+    model = M.full_model(M.gbt("lightgbm", 10), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
     gbm, assembled = model.stages[-2], model.stages[-3]
     rows = [(n, float(v)) for n, v in zip(assembled.getInputCols(),
                                           gbm.featureImportances.toArray())]
@@ -639,7 +639,7 @@ def preprocess_summary(spark, sf):
     tr, _, _ = _frames(spark, sf)
     rows = []
     for kind in ("tree", "linear"):
-        model = M.full_model(M.ridge(10.0), tr.schema, kind).fit(tr.drop("fold"))
+        model = M.full_model(M.ridge(10.0), tr.drop("fold").schema, kind).fit(tr.drop("fold"))
         onehot = [s for s in model.stages if type(s).__name__ == "RareOneHotModel"][0]
         skew = [s for s in model.stages if type(s).__name__ == "SkewCorrectorModel"]
         width = len(model.stages[-3].getInputCols())
@@ -663,7 +663,7 @@ def skew_correct(spark, sf):
 
 def _prep(spark, sf, kind):
     tr, _, _ = _frames(spark, sf)
-    model = M.full_model(M.ridge(10.0), tr.schema, kind).fit(tr.drop("fold"))
+    model = M.full_model(M.ridge(10.0), tr.drop("fold").schema, kind).fit(tr.drop("fold"))
     out = model.transform(tr.drop("fold"))
     from pyspark.ml.functions import vector_to_array
     return out.select("Id", F.size(vector_to_array("features")).alias("n_features"),

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.config import NEIGHBORHOODS
+
 QUALITY = ["Ex", "Gd", "TA", "Fa", "Po"]
 
 
@@ -35,6 +37,12 @@ def _choice(dialect: str, name: str, levels: list[str]) -> str:
     return f"case {arms} end"
 
 
+def _case(expr: str, arms, default: str | None = None) -> str:
+    body = " ".join(f"when {k} then '{v}'" for k, v in arms)
+    tail = f" else '{default}'" if default is not None else ""
+    return f"case {expr} {body}{tail} end"
+
+
 def _nullify(dialect: str, name: str, pct: int, expr: str) -> str:
     return f"case when {_h(dialect, 'na_' + name)} % 100 < {pct} then null else {expr} end"
 
@@ -45,9 +53,11 @@ def houses_sql(dialect: str) -> str:
     i = lambda n, lo, hi: _int(d, n, lo, hi)
     base = [
         "o_orderkey as Id",
-        "n_name as Neighborhood",
-        "c_mktsegment as MSZoning",
-        "o_orderstatus as SaleCondition",
+        _case("n_nationkey", list(enumerate(NEIGHBORHOODS))) + " as Neighborhood",
+        _case("c_mktsegment", [("'AUTOMOBILE'", "RL"), ("'BUILDING'", "RM"), ("'FURNITURE'", "FV"),
+                               ("'HOUSEHOLD'", "RH")], "C (all)") + " as MSZoning",
+        _case("o_orderstatus", [("'F'", "Normal"), ("'O'", "Partial")], "Abnorml")
+        + " as SaleCondition",
         "cast(year(o_orderdate) as int) as YrSold",
         f"{i('MoSold', 1, 12)} as MoSold",
         f"cast(20 + 10 * ({_h(d, 'MSSubClass')} % 17) as int) as MSSubClass",

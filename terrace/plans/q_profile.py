@@ -232,11 +232,11 @@ def group_stats_share(spark, sf):
 @register("premium_vs_base", f"""{H},
 g as (select SaleCondition, count(SalePrice)::bigint as count, median(SalePrice) as median
       from houses group by SaleCondition),
-b as (select median as base_median from g where SaleCondition = 'O')
+b as (select median as base_median from g where SaleCondition = 'Normal')
 select SaleCondition, count, round(median, 4) as median, round(base_median, 4) as base_median,
   round((median / base_median - 1.0) * 100.0, 4) as premium_pct from g, b""")
 def premium_vs_base(spark, sf):
-    return R(P.premium_vs_base(houses(spark, sf), "SaleCondition", TARGET, "O"))
+    return R(P.premium_vs_base(houses(spark, sf), "SaleCondition", TARGET, "Normal"))
 
 
 _GSTATS = ("g as (select Neighborhood, count(SalePrice)::bigint as count, median(SalePrice) as median, "

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()

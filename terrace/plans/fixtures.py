@@ -194,3 +194,44 @@ def _split_top(select_list: str) -> list[str]:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
+
+
+def requests_sql(dialect: str, src: str = "houses") -> str:
+    """SELECT text producing scoring requests from the ``houses`` rows: the
+    request fields of a prediction service, with aliases used on part of the
+    rows, a missing required field, out-of-range and unknown values, and an
+    extra key that must be ignored."""
+    d = dialect
+    h = lambda n: _h(d, n, key="Id")
+    qq = lambda n: _q(d, n)
+    s = "string" if d == "spark" else "varchar"
+    cols = [
+        "Id as request_id",
+        f"case when {h('rq_q')} % 50 = 0 then null else OverallQual end as OverallQual",
+        "cast(GrLivArea as double) as GrLivArea",
+        f"case when {h('rq_n')} % 40 = 0 then 'Unknownville' else Neighborhood end as Neighborhood",
+        "OverallCond",
+        "cast(YearBuilt + 25 as int) as YearBuilt",
+        "cast(YearRemodAdd + 25 as int) as YearRemodAdd",
+        "cast(TotalBsmtSF as double) as TotalBsmtSF",
+        f"case when {h('rq_a')} % 2 = 0 then cast({qq('1stFlrSF')} as double) end as first_flr_sf",
+        f"case when {h('rq_a')} % 2 = 1 then cast({qq('1stFlrSF')} as double) end as {qq('1stFlrSF')}",
+        f"case when {h('rq_b')} % 2 = 0 then cast({qq('2ndFlrSF')} as double) end as second_flr_sf",
+        f"case when {h('rq_b')} % 2 = 1 then cast({qq('2ndFlrSF')} as double) end as {qq('2ndFlrSF')}",
+        "GarageCars", "FullBath", "HalfBath", "BsmtFullBath", "BsmtHalfBath", "Fireplaces",
+        f"case when {h('rq_l')} % 3 = 0 then null else LotArea end as LotArea",
+        "LotFrontage",
+        "cast(YrSold + 14 as int) as YrSold", "MoSold", "MSZoning", "SaleCondition",
+        "KitchenQual", "ExterQual", "BsmtQual",
+        f"case when {h('rq_c')} % 100 = 0 then 'X' when {h('rq_c')} % 5 = 0 then 'N' else 'Y' end"
+        " as CentralAir",
+        f"case when {h('rq_e')} % 4 = 0 then '/predict' else '/predict/batch' end as endpoint",
+        f"'note ' || cast({h('rq_x')} % 7 as {s}) as extra_note",
+    ]
+    return f"select {', '.join(cols)} from {src}"
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = requests_sql("spark")
+    sel = sql[len("select "):sql.rindex(" from houses")]
+    return houses(spark, sf_dir).selectExpr(*_split_top(sel))

@@ -290,3 +290,23 @@ select h.Neighborhood, count(*)::bigint as count, round(any_value(q1), 4) as q1,
 from houses h join f on h.Neighborhood = f.Neighborhood group by h.Neighborhood""")
 def boxplot_stats(spark, sf):
     return R(P.boxplot_stats(houses(spark, sf), "Neighborhood", TARGET))
+
+
+# ---------------------------------------------------------------- PROF-19
+def _ftc_sql() -> str:
+    from terrace.config import DROP_AFTER
+    from terrace.operators.features import NEW_FEATURES
+    from terrace.plans.q_clean import _CLEAN_SQL
+    feats = [f for f in NEW_FEATURES if f not in DROP_AFTER]
+    u = " union all ".join(f"select '{f}' as feature, corr({dq(f)}, ln(1 + SalePrice)) as r "
+                           "from cleaned" for f in feats)
+    return _CLEAN_SQL + f"\nselect feature, round(r, 4) as r from ({u}) x"
+
+
+@register("feature_target_corr", _ftc_sql())
+def feature_target_corr(spark, sf):
+    from terrace.operators.features import NEW_FEATURES
+    from terrace.plans.q_clean import _clean_stages
+    h = houses(spark, sf)
+    cleaned = _clean_stages().fit(h).transform(h)
+    return R(P.feature_target_corr(cleaned, NEW_FEATURES, TARGET))

@@ -25,5 +25,5 @@ def register(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so their ``@register`` calls run."""
-    from terrace.plans import (q_clean, q_features, q_model, q_profile,  # noqa: F401
+    from terrace.plans import (q_clean, q_features, q_io, q_model, q_profile,  # noqa: F401
                                q_score, q_split)

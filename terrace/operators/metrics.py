@@ -64,7 +64,8 @@ def metrics_by_band(df: DataFrame, label: str, pred: str, bands=PRICE_BANDS) ->
     # the band dimension has len(bands) rows: a fixed-size broadcast
     return F.broadcast(dim).join(g, "band_order", "left").select(
         "band_order", "band", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-        F.coalesce("mae", F.lit(0.0)).alias("mae"), F.coalesce("mape", F.lit(0.0)).alias("mape"))
+        F.coalesce("mae", F.lit(0.0)).alias("mae"), F.coalesce("mape", F.lit(0.0)).alias("mape")
+    ).orderBy("band_order")
 
 
 def metrics_multi(df: DataFrame, label: str, preds: dict[str, str]) -> DataFrame:

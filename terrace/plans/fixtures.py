@@ -168,7 +168,10 @@ def houses(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_sel = sql[len("select "):sql.index(" from (")]
     inner = sql[sql.index(" from (") + len(" from ("):-len(") b")]
     inner_sel = inner[len("select "):inner.index(" from orders")]
-    return joined.selectExpr(*_split_top(inner_sel)).selectExpr(*_split_top(base_sel))
+    out = joined.selectExpr(*_split_top(inner_sel)).selectExpr(*_split_top(base_sel))
+    # the derived table is read by several passes (quantiles, ranks, folds):
+    # keep it once per session; identical plans share one cache entry
+    return out.cache()
 
 
 def _split_top(select_list: str) -> list[str]:

@@ -82,39 +82,36 @@ DropColumns = ColumnDropper
 
 
 def column_stats(df: DataFrame, exact: bool = True) -> tuple[dict, dict]:
-    """Median of every numeric column and mode of every other column, one job.
+    """Median of every numeric column and mode of every other column.
 
-    Mode ties resolve to the smallest value; NULLs are skipped; an all-NULL
+    Medians come from :func:`column_quantiles` (all columns in one unpivoted
+    pass, bounded per-task state); modes from one ``mode`` aggregate per
+    string column (ties -> smallest value, NULLs skipped).  An all-NULL
     column has no entry.
     """
-    aggs = []
-    kinds = []
-    for f in df.schema.fields:
-        c = col(f.name)
-        if is_numeric(f.dataType):
-            aggs.append((F.median(c.cast("double")) if exact else
-                         F.percentile_approx(c.cast("double"), 0.5, 10000)).alias(f"s{len(kinds)}"))
-            kinds.append(("median", f.name))
-        else:
-            aggs.append(F.mode(c, True).alias(f"s{len(kinds)}"))
-            kinds.append(("mode", f.name))
-    if not aggs:
-        return {}, {}
-    row = df.agg(*aggs).first()
+    from terrace.operators.quantile import column_quantiles
+    num = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
+    other = [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
     medians, modes = {}, {}
-    for i, (kind, name) in enumerate(kinds):
-        v = row[f"s{i}"]
-        if v is None:
-            continue
-        (medians if kind == "median" else modes)[name] = float(v) if kind == "median" else v
+    if num:
+        if exact:
+            q = column_quantiles(df, num, [0.5])
+            medians = {c: float(v[0]) for c, v in q.items() if v and v[0] is not None}
+        else:
+            row = df.agg(*[F.percentile_approx(col(c).cast("double"), 0.5, 10000).alias(f"m{i}")
+                           for i, c in enumerate(num)]).first()
+            medians = {c: float(row[f"m{i}"]) for i, c in enumerate(num) if row[f"m{i}"] is not None}
+    if other:
+        row = df.agg(*[F.mode(col(c), True).alias(f"s{i}") for i, c in enumerate(other)]).first()
+        modes = {c: row[f"s{i}"] for i, c in enumerate(other) if row[f"s{i}"] is not None}
     return medians, modes
 
 
 def group_medians(df: DataFrame, group: str, value: str) -> DataFrame:
     """Median of ``value`` per non-NULL group (pandas drops NULL group keys)."""
-    return (df.filter(col(group).isNotNull())
-            .groupBy(col(group).alias("group"))
-            .agg(F.median(col(value).cast("double")).alias("median")))
+    from terrace.operators.quantile import grouped_quantiles
+    q = grouped_quantiles(df.filter(col(group).isNotNull()), [group], value, [0.5])
+    return q.select(col(group).alias("group"), F.col("q")[0].alias("median"))
 
 
 def lookup(key: Column, mapping: dict, value_type: str = "double") -> Column:
@@ -227,11 +224,11 @@ class MedianImputer(Estimator, _HasCols, DefaultParamsReadable, DefaultParamsWri
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
+        from terrace.operators.quantile import column_quantiles
         cols = self.getOrDefault(self.cols) or [f.name for f in df.schema.fields
                                                 if is_numeric(f.dataType)]
-        row = df.agg(*[F.median(col(c).cast("double")).alias(f"m{i}")
-                       for i, c in enumerate(cols)]).first() if cols else None
-        med = {c: (row[f"m{i}"] if row else None) for i, c in enumerate(cols)}
+        q = column_quantiles(df, cols, [0.5])
+        med = {c: (q[c][0] if q.get(c) else None) for c in cols}
         m = MedianImputerModel()
         m._set(cols=cols, stateJson=json.dumps(med))
         return m

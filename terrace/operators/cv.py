@@ -35,9 +35,10 @@ def fold_group_median_predictions(df: DataFrame, fold_col: str, k: int, group: s
     others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != col(fold_col))
     train = df.select(col(group).alias("_g"), col(label).cast("double").alias("_y"),
                       F.explode(others).alias("_f"))
-    gm = train.filter(F.col("_g").isNotNull()).groupBy("_f", "_g").agg(
-        F.median("_y").alias("_gm"))
-    glob = train.groupBy("_f").agg(F.median("_y").alias("_glob"))
+    from terrace.operators.quantile import grouped_quantiles
+    gm = grouped_quantiles(train.filter(F.col("_g").isNotNull()), ["_f", "_g"], "_y", [0.5]) \
+        .select("_f", "_g", F.col("q")[0].alias("_gm"))
+    glob = grouped_quantiles(train, ["_f"], "_y", [0.5]).select("_f", F.col("q")[0].alias("_glob"))
     # (#folds x #groups) and #folds rows of fitted state; AQE broadcasts by measured size
     out = (df.join(gm, (col(fold_col) == F.col("_f")) & (col(group) == F.col("_g")), "left")
            .drop("_f", "_g")

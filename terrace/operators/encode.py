@@ -159,10 +159,10 @@ class RobustScaler(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritabl
         cols = [c for c in self.getOrDefault(self.cols) if c in df.columns]
         st = {}
         if cols:
-            row = df.agg(*[F.percentile(col(c).cast("double"), [0.25, 0.5, 0.75]).alias(f"q{i}")
-                           for i, c in enumerate(cols)]).first()
-            for i, c in enumerate(cols):
-                q = row[f"q{i}"]
+            from terrace.operators.quantile import column_quantiles
+            qs = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+            for c in cols:
+                q = qs.get(c)
                 if q is None or q[0] is None:
                     st[c] = [0.0, 1.0]
                     continue

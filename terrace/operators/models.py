@@ -165,13 +165,14 @@ class GroupMedianRegressor(Estimator, DefaultParamsReadable, DefaultParamsWritab
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "GroupMedianModel":
-        g, y = col(self.getOrDefault(self.groupCol)), col(self.getOrDefault(self.labelCol))
-        rows = df.filter(g.isNotNull()).groupBy(g.alias("g")).agg(
-            F.median(y.cast("double")).alias("m")).collect()  # one row per group: fitted state
-        glob = df.agg(F.median(y.cast("double"))).first()[0]
+        from terrace.operators.quantile import column_quantiles, grouped_quantiles
+        gname, yname = self.getOrDefault(self.groupCol), self.getOrDefault(self.labelCol)
+        q = grouped_quantiles(df.filter(col(gname).isNotNull()), [gname], yname, [0.5])
+        rows = [(r[gname], r["q"][0]) for r in q.collect()]  # one row per group: fitted state
+        glob = (column_quantiles(df, [yname], [0.5])[yname] or [None])[0]
         m = GroupMedianModel(groupCol=self.getOrDefault(self.groupCol),
                              predictionCol=self.getOrDefault(self.predictionCol))
-        m._set(stateJson=json.dumps({"groups": {r["g"]: r["m"] for r in rows}, "global": glob}))
+        m._set(stateJson=json.dumps({"groups": dict(rows), "global": glob}))
         return m
 
 

@@ -70,13 +70,19 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 # ---------------------------------------------------------------- PROF-3
 def target_profile(df: DataFrame, target: str, exact: bool = True) -> DataFrame:
+    from terrace.operators.quantile import column_quantiles
     y = col(target).cast("double")
     ly = F.log1p(y)
+    if exact:
+        meds = column_quantiles(df.select(y.alias("y"), ly.alias("ly")), ["y", "ly"], [0.5])
+        med, lmed = F.lit((meds["y"] or [None])[0]), F.lit((meds["ly"] or [None])[0])
+    else:
+        med, lmed = median_of(y, False), median_of(ly, False)
     return df.agg(
         F.count(y).cast("bigint").alias("n"),
-        F.avg(y).alias("mean"), median_of(y, exact).alias("median"),
+        F.avg(y).alias("mean"), med.cast("double").alias("median"),
         adjusted_skew(y).alias("skew"),
-        F.avg(ly).alias("log_mean"), median_of(ly, exact).alias("log_median"),
+        F.avg(ly).alias("log_mean"), lmed.cast("double").alias("log_median"),
         adjusted_skew(ly).alias("log_skew"),
     )
 
@@ -280,10 +286,21 @@ def band_counts(df: DataFrame, value: str, bands=PRICE_BANDS) -> DataFrame:
 
 # ---------------------------------------------------------------- PROF-14..18
 def group_stats(df: DataFrame, group: str, value: str, exact: bool = True) -> DataFrame:
+    """count / median / mean / min / max per group.  The median comes from
+    :func:`grouped_quantiles` (bounded per-task state for hot groups) and is
+    attached with a NULL-safe join of two one-row-per-group tables."""
+    from terrace.operators.quantile import grouped_quantiles
     v = col(value).cast("double")
-    return df.groupBy(col(group).alias(group)).agg(
-        F.count(v).cast("bigint").alias("count"), median_of(v, exact).alias("median"),
-        F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    g = df.groupBy(col(group).alias(group)).agg(
+        F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    if exact:
+        m = grouped_quantiles(df, [group], value, [0.5]).select(
+            col(group).alias("_k"), F.col("q")[0].alias("median"))
+    else:
+        m = df.groupBy(col(group).alias("_k")).agg(median_of(v, False).alias("median"))
+    j = g.join(m, col(group).eqNullSafe(F.col("_k")), "left").drop("_k")
+    return j.select(group, "count", "median", "mean", "min", "max")
 
 
 def group_stats_share(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -343,9 +360,9 @@ def histogram(df: DataFrame, value: Column, bins: int = 40, label: str = "raw")
 # ---------------------------------------------------------------- PROF-21
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (clamped to data) and outlier count per group."""
+    from terrace.operators.quantile import grouped_quantiles
     v = col(value).cast("double")
-    q = df.groupBy(col(group).alias(group)).agg(
-        F.percentile(v, [0.25, 0.5, 0.75]).alias("qs"))
+    q = grouped_quantiles(df, [group], value, [0.25, 0.5, 0.75]).withColumnRenamed("q", "qs")
     q = q.select(group, F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"),
                  F.col("qs")[2].alias("q3"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \

@@ -26,11 +26,13 @@ from terrace.functions.exprs import col, hash_u32, hash_uniform, quantile_bin
 
 def quantile_edges(df: DataFrame, value: str, q: int, exact: bool = True) -> list[float]:
     """Inner edges of ``q`` quantile bins (linear interpolation), fitted state."""
+    from terrace.operators.quantile import column_quantiles
     probs = [i / q for i in range(1, q)]
-    v = col(value).cast("double")
-    agg = F.percentile(v, probs) if exact else F.percentile_approx(v, probs, 10000)
-    row = df.agg(agg.alias("e")).first()
-    return [float(x) for x in (row["e"] or [])]
+    if exact:
+        e = column_quantiles(df, [value], probs)[value]
+    else:
+        e = df.agg(F.percentile_approx(col(value).cast("double"), probs, 10000)).first()[0]
+    return [float(x) for x in (e or [])]
 
 
 def with_quantile_bin(df: DataFrame, value: str, q: int, name: str = "stratum",
@@ -136,6 +138,7 @@ def ordered_cut(df: DataFrame, order_col: str, head_frac: float) -> DataFrame:
     """Label the first ``head_frac`` of rows by ``order_col`` as head, the rest
     tail (a positional cut without a global sort: the cut point is the
     interpolated quantile of the ordering column)."""
-    cut = df.agg(F.percentile(col(order_col).cast("double"), head_frac).alias("c")).first()["c"]
+    from terrace.operators.quantile import column_quantiles
+    cut = column_quantiles(df, [order_col], [head_frac])[order_col][0]
     return df.withColumn("part", F.when(col(order_col) <= F.lit(cut), F.lit("head"))
                          .otherwise(F.lit("tail")))

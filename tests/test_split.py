@@ -41,3 +41,21 @@ def test_kfold_exact_balanced(spark):
     assert sizes == [200, 200, 201, 201, 201]
     rep = S.repeated_kfold(df, "id", 5, 3)
     assert rep.count() == 3009 and rep.select("repeat").distinct().count() == 3
+
+
+def test_exact_quantiles_refinement_matches_percentile(spark):
+    from terrace.operators.quantile import column_quantiles, grouped_quantiles
+    df = spark.range(0, 5000).selectExpr(
+        "cast(id % 3 as int) as g",
+        "case when id % 7 = 0 then 5.0 else exp(cast(id as double) / 700.0) * 1.37 end as v",
+        "cast(id as double) * 1.0 as w")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    ref = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    got = {r["g"]: r["q"] for r in
+           grouped_quantiles(df, ["g"], "v", probs, max_distinct=0, buckets=16,
+                             collect_limit=20).collect()}
+    for g in ref:
+        assert got[g] == ref[g]
+    cq = column_quantiles(df, ["v", "w"], [0.5], max_distinct=0, buckets=8, collect_limit=5)
+    assert cq["w"] == [2499.5]
+    assert cq["v"] == df.agg(F.percentile("v", [0.5])).first()[0]

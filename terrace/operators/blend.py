@@ -102,3 +102,67 @@ def decision(blend_oof: Column, best_oof: Column, blend_val: Column, best_val: C
              margin: float = 0.002) -> Column:
     return F.when((blend_oof < best_oof - margin) & (blend_val <= best_val),
                   F.lit("USE_BLEND")).otherwise(F.lit("USE_SINGLE"))
+
+
+# ---------------------------------------------------------------- ensemble estimator (EXT-2)
+class LogBlendRegressor:
+    """Fit K pipelines on the same rows and blend them on the log scale.
+
+    ``fit`` returns a :class:`LogBlendModel`.  Scoring runs the K fitted
+    pipelines one after another on ONE frame: the input columns travel in a
+    struct so every child sees the original record, and each child leaves a
+    single prediction column -- no join, no shuffle between the children.
+    """
+
+    def __init__(self, estimators: list[tuple[str, object]], weights: Sequence[float] | None = None):
+        self.estimators = estimators
+        self.weights = weights
+
+    def fit(self, df: DataFrame) -> "LogBlendModel":
+        names = [n for n, _ in self.estimators]
+        w = normalise(self.weights, len(names))
+        return LogBlendModel([(n, est.fit(df)) for n, est in self.estimators], w)
+
+
+class LogBlendModel:
+    def __init__(self, models: list[tuple[str, object]], weights: list[float]):
+        self.models, self.weights = models, weights
+
+    def transform(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
+        cols = df.columns
+        cur = df.select(F.struct(*[col(c) for c in cols]).alias("_raw"))
+        preds = []
+        for name, model in self.models:
+            pc = f"_p_{name}"
+            out = model.transform(cur.select("_raw", *preds, "_raw.*"))
+            cur = out.select("_raw", *preds, F.col("prediction").alias(pc))
+            preds.append(pc)
+        blended = blend_expr(preds, self.weights)
+        return cur.select("_raw.*", *[F.col(p).alias(p[3:]) for p in preds],
+                          blended.alias(prediction_col))
+
+    def save(self, path: str) -> None:
+        import json
+        import os
+        for name, model in self.models:
+            model.write().overwrite().save(os.path.join(path, name))
+        spark = _active_session()
+        spark.createDataFrame([(json.dumps({"names": [n for n, _ in self.models],
+                                            "weights": self.weights}),)], "meta string") \
+            .coalesce(1).write.mode("overwrite").text(os.path.join(path, "_meta"))
+
+    @classmethod
+    def load(cls, path: str) -> "LogBlendModel":
+        import json
+        import os
+
+        from pyspark.ml import PipelineModel
+        spark = _active_session()
+        meta = json.loads(spark.read.text(os.path.join(path, "_meta")).first()[0])
+        return cls([(n, PipelineModel.load(os.path.join(path, n))) for n in meta["names"]],
+                   meta["weights"])
+
+
+def _active_session():
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession()

@@ -72,12 +72,10 @@ class OrdinalEncoder(Transformer, _Cols, DefaultParamsReadable, DefaultParamsWri
 def onehot_vocabulary(df: DataFrame, cols: Sequence[str], min_frequency: float) -> DataFrame:
     """(column, level, n, infrequent) for all nominal columns in ONE job."""
     from terrace.operators.profile import level_counts
-    from pyspark.sql.window import Window
-
-    # one window partition per column over its (already aggregated) levels
-    total = F.sum("n").over(Window.partitionBy("column"))
     counts = level_counts(df, cols)
-    return counts.withColumn("total", total).select(
+    # every column's counts sum to the row count: a #columns-row totals table
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "column").select(
         "column", F.col("value").alias("level"), "n",
         (F.col("n") < F.lit(float(min_frequency)) * F.col("total")).alias("infrequent"))
 

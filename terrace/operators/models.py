@@ -208,10 +208,8 @@ def engineered_schema(schema: T.StructType, id_col: str, drop_cols=DROP_COLS,
     return out.schema
 
 
-def full_model(regressor, schema: T.StructType, kind: str = "tree", id_col: str = "Id",
-               target: str = "SalePrice", min_frequency: float = 0.01,
-               drop_cols=DROP_COLS, drop_after=DROP_AFTER) -> Pipeline:
-    """impute -> drop -> features -> log label -> preprocess -> regressor -> expm1."""
+def _prep_stages(schema: T.StructType, kind: str, id_col: str, target: str,
+                 min_frequency: float, drop_cols, drop_after) -> list:
     from terrace.operators.clean import ColumnDropper, DomainImputer
     from terrace.operators.encode import preprocessing_stages
     from terrace.operators.features import FeatureEngineer
@@ -219,7 +217,22 @@ def full_model(regressor, schema: T.StructType, kind: str = "tree", id_col: str
     keep_id = [c for c in drop_cols if c != id_col]  # the key is carried, never a feature
     eng = engineered_schema(schema, id_col, drop_cols, drop_after)
     prep = preprocessing_stages(eng, kind, min_frequency, exclude=[id_col, target, "label"])
-    return Pipeline(stages=[DomainImputer(), ColumnDropper(cols=keep_id),
-                            FeatureEngineer(dropAfter=list(drop_after)),
-                            LogLabel(inputCol=target, outputCol="label"), *prep, regressor,
+    return [DomainImputer(), ColumnDropper(cols=keep_id), FeatureEngineer(dropAfter=list(drop_after)),
+            LogLabel(inputCol=target, outputCol="label"), *prep]
+
+
+def prep_pipeline(schema: T.StructType, kind: str = "tree", id_col: str = "Id",
+                  target: str = "SalePrice", min_frequency: float = 0.01,
+                  drop_cols=DROP_COLS, drop_after=DROP_AFTER) -> Pipeline:
+    """impute -> drop -> features -> log label -> preprocess (no regressor)."""
+    return Pipeline(stages=_prep_stages(schema, kind, id_col, target, min_frequency, drop_cols,
+                                        drop_after))
+
+
+def full_model(regressor, schema: T.StructType, kind: str = "tree", id_col: str = "Id",
+               target: str = "SalePrice", min_frequency: float = 0.01,
+               drop_cols=DROP_COLS, drop_after=DROP_AFTER) -> Pipeline:
+    """impute -> drop -> features -> log label -> preprocess -> regressor -> expm1."""
+    stages = _prep_stages(schema, kind, id_col, target, min_frequency, drop_cols, drop_after)
+    return Pipeline(stages=[*stages, regressor,
                             ExpPrediction(inputCol="log_prediction", outputCol="prediction")])

@@ -36,6 +36,18 @@ SAVED_WEIGHTS = [0.3, 0.7]
 
 
 # ============================================================== Spark side
+_MEMO: dict = {}
+
+
+def _memo(spark, sf, name, fn):
+    """Share a small derived result table (scores, trials) between the keys of
+    one session that read it, as later stages read an earlier stage's output."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
 def _frames(spark, sf):
     """(train with fold, val, test) from the exact stratified split."""
     sp = S.stratified_split_exact(houses(spark, sf), "Id", "SalePrice", SEED)
@@ -487,14 +499,18 @@ def _model_cv(spark, sf, models: dict, folds: int = 3):
 _CV_MODELS = {"ridge": (M.ridge(10.0), "tree"), "lasso": (M.lasso(0.0005), "linear")}
 
 
+def _cv_models(spark, sf):
+    return _memo(spark, sf, "cv_models", lambda: _model_cv(spark, sf, _CV_MODELS).cache())
+
+
 @register("cv_scores_models")
 def cv_scores_models(spark, sf):
-    return _model_cv(spark, sf, _CV_MODELS)
+    return _cv_models(spark, sf)
 
 
 @register("model_comparison")
 def model_comparison(spark, sf):
-    scores = _model_cv(spark, sf, _CV_MODELS).cache()
+    scores = _cv_models(spark, sf)
     summ = CV.cv_summary(scores).join(
         scores.groupBy("model").agg(F.avg("fit_seconds").alias("fit_seconds")), "model")
     return summ.orderBy("cv_rmse_log")
@@ -545,30 +561,40 @@ def _ablation_scores(spark, sf):
     return out
 
 
+def _ablation(spark, sf):
+    return _memo(spark, sf, "ablation", lambda: _ablation_scores(spark, sf).cache())
+
+
 @register("ablation_table")
 def ablation_table(spark, sf):
-    return CV.ablation_table(_ablation_scores(spark, sf))
+    return CV.ablation_table(_ablation(spark, sf))
 
 
 @register("ablation_decision")
 def ablation_decision(spark, sf):
-    return CV.ablation_decision(CV.ablation_table(_ablation_scores(spark, sf)))
+    return CV.ablation_decision(CV.ablation_table(_ablation(spark, sf)))
 
 
 @register("ablation_gain")
 def ablation_gain(spark, sf):
-    return CV.ablation_gain(CV.ablation_table(_ablation_scores(spark, sf)))
+    return CV.ablation_gain(CV.ablation_table(_ablation(spark, sf)))
 
 
 _SPACE = {"alpha": ("log", 1e-5, 1e-2)}
 
 
-def _trials(spark, sf, trials: int = 4):
+def _trials(spark, sf, trials: int = 20):
+    return _memo(spark, sf, f"trials{trials}", lambda: _search(spark, sf, trials))
+
+
+def _search(spark, sf, trials):
+    """Lasso penalty search: per fold one preprocessing fit and one Gram pass,
+    every trial an exact p x p solve, one scoring pass for all trials."""
+    from terrace.operators.linear_search import gram_search
     tr, _, _ = _frames(spark, sf)
-    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
-    schema = tr.drop("fold").schema
-    return CV.random_search(spark, tr, lambda p: M.full_model(M.lasso(p["alpha"]), schema, "tree"),
-                            _SPACE, trials, SEED, parallelism=3).cache()
+    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED)
+    prep = M.prep_pipeline(tr.drop("fold").schema, "tree")
+    return gram_search(spark, tr, prep, _SPACE, trials, "fold", "SalePrice", SEED).cache()
 
 
 @register("tune_search")
@@ -690,3 +716,20 @@ def full_model_predict(spark, sf):
 
 
 _ = json
+
+
+@register("blend_models_predict")
+def blend_models_predict(spark, sf):
+    """Two fitted pipelines blended on the log scale with weights from their
+    out-of-fold Gram matrix (3 folds), applied to the test rows."""
+    tr, va, te = _frames(spark, sf)
+    train = tr.drop("fold")
+    schema = train.schema
+    pipes = {"ridge_tree": M.full_model(M.ridge(10.0), schema, "tree"),
+             "lasso_linear": M.full_model(M.lasso(0.0005), schema, "linear")}
+    folds = S.kfold(train, "Id", 3, SEED)
+    oof = CV.oof_predictions(folds, pipes, "Id", "fold", "SalePrice", parallelism=3).cache()
+    G = B.gram_matrix(B.gram(oof, "SalePrice", list(pipes)), len(pipes))
+    w = B.simplex_weights(G)
+    model = B.LogBlendRegressor(list(pipes.items()), list(w)).fit(train)
+    return model.transform(te.drop("SalePrice")).select("Id", *pipes, "prediction")

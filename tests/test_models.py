@@ -89,3 +89,38 @@ def test_cross_validate_and_summary(spark):
     assert scores.count() == 3
     s = CV.cv_summary(scores).first()
     assert s["n_folds"] == 3 and s["cv_rmse_log"] < 0.3 and s["cv_std"] >= 0
+
+
+def test_log_blend_model(spark, tmp_path):
+    from terrace.operators.blend import LogBlendModel, LogBlendRegressor
+    df = synthetic_sales(spark, 600).cache()
+    train, test = df.filter(F.col("Id") <= 500), df.filter(F.col("Id") > 500)
+    a = M.full_model(M.ridge(10.0), df.schema, "tree")
+    b = M.full_model(M.lasso(0.001), df.schema, "linear")
+    blend = LogBlendRegressor([("a", a), ("b", b)], [1.0, 0.0]).fit(train)
+    out = blend.transform(test).collect()
+    assert all(abs(r["prediction"] - r["a"]) < 1e-6 * r["a"] for r in out)
+    blend.save(str(tmp_path / "blend"))
+    again = LogBlendModel.load(str(tmp_path / "blend"))
+    assert again.weights == [1.0, 0.0]
+
+
+def test_gram_solver_matches_spark(spark):
+    from terrace.operators.linear_search import gram_stats, solve_enet
+    df, X, y = _data(spark)
+    st = gram_stats(df)
+    for est, alpha, rho in ((M.lasso(0.05), 0.05, 1.0), (M.elasticnet(0.05, 0.5), 0.05, 0.5),
+                            (M.elasticnet(0.2, 0.0), 0.2, 0.0)):
+        w, b = solve_enet(st, alpha, rho)
+        assert np.allclose(w, _cd_enet(X, y, alpha, rho), atol=1e-6)
+    m = M.lasso(0.05).fit(df)
+    w, b = solve_enet(st, 0.05, 1.0)
+    assert np.allclose(m.coefficients.toArray(), w, atol=2e-4) and abs(m.intercept - b) < 2e-4
+
+
+def test_gram_search_trial_table(spark):
+    from terrace.operators.linear_search import gram_search
+    df = S.kfold(synthetic_sales(spark, 600), "Id", 3).cache()
+    prep = M.prep_pipeline(df.drop("fold").schema, "tree")
+    t = gram_search(spark, df, prep, {"alpha": ("log", 1e-4, 1e-2)}, 5).collect()
+    assert len(t) == 5 and all(0 < r["cv_rmse_log"] < 0.3 for r in t)

@@ -94,8 +94,8 @@ _ORD = ["ExterQual", "KitchenQual", "BsmtQual", "GarageQual", "BsmtExposure", "B
 
 def _ord_sql(c: str) -> str:
     arms = " ".join(f"when '{lv}' then {float(i)}" for i, lv in enumerate(ORDINAL_LEVELS[c]))
-    return (f"case when {dq(c)} is null then null else coalesce(case {dq(c)} {arms} end, -1.0) end"
-            f" as {dq(c)}")
+    return (f"cast(case when {dq(c)} is null then null else coalesce(case {dq(c)} {arms} end, -1.0)"
+            f" end as double) as {dq(c)}")
 
 
 @register("encode_ordinal", f"{H}\nselect Id, {', '.join(_ord_sql(c) for c in _ORD)} from houses")

@@ -165,4 +165,4 @@ class LogBlendModel:
 
 def _active_session():
     from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
+    return SparkSession.active()

@@ -202,7 +202,7 @@ def engineered_schema(schema: T.StructType, id_col: str, drop_cols=DROP_COLS,
     from pyspark.sql import SparkSession
 
     from terrace.operators.features import engineer
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()  # thread-safe: falls back to the default session
     empty = spark.createDataFrame([], schema)
     out = engineer(empty.drop(*[c for c in drop_cols if c != id_col]), list(drop_after))
     return out.schema

@@ -183,26 +183,71 @@ class RobustScalerModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritab
 
 
 # ---------------------------------------------------------------- ENC-4/5
+def _yj_numpy(x, lam: float):
+    """NumPy twin of :func:`terrace.functions.exprs.yeo_johnson` (same formula)."""
+    import numpy as np
+    out = np.empty_like(x)
+    pos = x >= 0
+    lp, ln = np.log1p(x[pos]), np.log1p(-x[~pos])
+    out[pos] = lp if abs(lam) < 1e-12 else (np.exp(lam * lp) - 1.0) / lam
+    out[~pos] = -ln if abs(lam - 2.0) < 1e-12 else -(np.exp((2.0 - lam) * ln) - 1.0) / (2.0 - lam)
+    return out
+
+
 def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], lambdas: dict[str, list[float]]
                        ) -> DataFrame:
     """(column, lambda, loglik) for candidate lambdas of each column.
 
     loglik = -n/2 * ln(var_pop(T_lambda(x))) + (lambda - 1) * sum(sign(x) ln(1+|x|)).
-    Rows are exploded against the candidate grid of their column and reduced
-    with one ``groupBy(column, lambda)``; the shuffle holds one partial
-    aggregate per (column, lambda) per task.
+    Each task reduces its rows to one (n, mean, M2) per (column, lambda) with
+    NumPy (Arrow batches, batch partials merged by Chan's formula), so rows
+    are never exploded against the grid; the #tasks x #cols x #grid partials
+    are merged exactly by one small ``groupBy(column, lambda)``.  Columns
+    without a non-NULL value yield no rows.
     """
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("x"),
-                             F.array(*[F.lit(float(l)) for l in lambdas[c]]).alias("lams"))
-                    for c in cols])
-    long = df.select(F.explode(arr).alias("s")).select("s.*").filter(F.col("x").isNotNull())
-    long = long.select("column", "x", F.explode("lams").alias("lam"))
-    t = yeo_johnson(F.col("x"), F.col("lam"))
-    g = long.groupBy("column", "lam").agg(
-        F.count(F.lit(1)).alias("n"), F.var_pop(t).alias("v"),
-        F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("sl"))
-    return g.select("column", F.col("lam").alias("lambda"),
-                    (-F.col("n") / 2.0 * F.log(F.col("v")) + (F.col("lam") - 1.0) * F.col("sl"))
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.window import Window
+
+    cols = list(cols)
+    grid = {c: [float(l) for l in lambdas[c]] for c in cols}
+
+    def moments(batches):
+        acc = {}  # (column, j) -> [n, mean, m2]; column -> sum sign(x) ln(1+|x|)
+        sl = {}
+        for pdf in batches:
+            for c in cols:
+                x = pd.to_numeric(pdf[c], errors="coerce").to_numpy(dtype="float64", na_value=np.nan)
+                x = x[~np.isnan(x)]
+                if x.size == 0:
+                    continue
+                sl[c] = sl.get(c, 0.0) + float(np.sum(np.sign(x) * np.log1p(np.abs(x))))
+                for j, lam in enumerate(grid[c]):
+                    t = _yj_numpy(x, lam)
+                    nb, mb = float(t.size), float(t.mean())
+                    m2b = float(np.sum((t - mb) ** 2))
+                    if (c, j) in acc:
+                        na, ma, m2a = acc[(c, j)]
+                        n = na + nb
+                        d = mb - ma
+                        acc[(c, j)] = [n, ma + d * nb / n, m2a + m2b + d * d * na * nb / n]
+                    else:
+                        acc[(c, j)] = [nb, mb, m2b]
+        rows = [(c, grid[c][j], n, m, m2, sl[c]) for (c, j), (n, m, m2) in acc.items()]
+        if rows:
+            yield pd.DataFrame(rows, columns=["column", "lambda", "n", "mean", "m2", "sl"])
+
+    part = df.select(*[col(c).cast("double").alias(c) for c in cols]).mapInPandas(
+        moments, "column string, lambda double, n double, mean double, m2 double, sl double")
+    w = Window.partitionBy("column", "lambda")
+    part = part.withColumn("gmean", F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w))
+    g = part.groupBy("column", "lambda").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("gmean")) ** 2).alias("m2"),
+        F.sum("sl").alias("sl"))
+    v = F.col("m2") / F.col("n")
+    return g.select("column", "lambda",
+                    (-F.col("n") / 2.0 * F.when(v > 0, F.log(v)) + (F.col("lambda") - 1.0) * F.col("sl"))
                     .alias("loglik"))
 
 
@@ -241,14 +286,24 @@ class SkewCorrector(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritab
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "SkewCorrectorModel":
+        from pyspark import StorageLevel
         cols = [c for c in self.getOrDefault(self.cols) if c in df.columns]
         skewed: list[str] = []
+        lambdas: dict[str, float] = {}
         if cols:
-            row = df.agg(*[adjusted_skew(col(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-            thr = self.getOrDefault(self.threshold)
-            skewed = [c for i, c in enumerate(cols)
-                      if row[f"s{i}"] is not None and abs(row[f"s{i}"]) > thr]
-        lambdas = fit_yeo_johnson(df, skewed) if skewed else {}
+            # four passes (skew + three grid rounds) over the numeric columns only:
+            # persist that projection for the fit, as iterative Spark ML estimators do
+            x = df.select(*[col(c).cast("double").alias(c) for c in cols])
+            x = x.persist(StorageLevel.MEMORY_AND_DISK) if not df.is_cached else x
+            try:
+                row = x.agg(*[adjusted_skew(col(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+                thr = self.getOrDefault(self.threshold)
+                skewed = [c for i, c in enumerate(cols)
+                          if row[f"s{i}"] is not None and abs(row[f"s{i}"]) > thr]
+                lambdas = fit_yeo_johnson(x, skewed) if skewed else {}
+            finally:
+                if x.is_cached:
+                    x.unpersist()
         m = SkewCorrectorModel()
         m._set(cols=skewed, stateJson=json.dumps(lambdas))
         return m

@@ -84,6 +84,10 @@ def solve_enet(st: dict, alpha: float, l1_ratio: float, tol: float = 1e-9,
     diag = np.diag(C) + l2
     sd = np.sqrt(np.clip(np.diag(C), 0, None))
     grad = C @ w  # maintained: C w
+    # the sweep reads scalars as Python floats and columns as contiguous rows
+    cols = np.ascontiguousarray(C.T)
+    c_l, cjj_l, diag_l, sd_l = c.tolist(), np.diag(C).tolist(), diag.tolist(), sd.tolist()
+    active = [j for j in range(p) if diag_l[j] > 0]
 
     def objective():
         return 0.5 * w @ grad - c @ w + l1 * np.abs(w).sum() + 0.5 * l2 * w @ w
@@ -91,16 +95,15 @@ def solve_enet(st: dict, alpha: float, l1_ratio: float, tol: float = 1e-9,
     prev_obj = objective()
     for _ in range(max_sweeps):
         delta = 0.0
-        for j in range(p):
-            if diag[j] <= 0:
-                continue
-            rho = c[j] - grad[j] + C[j, j] * w[j]
-            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / diag[j]
-            d = new - w[j]
+        for j in active:
+            wj = float(w[j])
+            rho = c_l[j] - float(grad[j]) + cjj_l[j] * wj
+            new = math.copysign(max(abs(rho) - l1, 0.0), rho) / diag_l[j] if rho != 0.0 else 0.0
+            d = new - wj
             if d != 0.0:
-                grad += C[:, j] * d
+                grad += cols[j] * d
                 w[j] = new
-                delta = max(delta, abs(d) * sd[j])
+                delta = max(delta, abs(d) * sd_l[j])
         obj = objective()
         if delta < tol or prev_obj - obj <= 1e-13 * max(1.0, abs(obj)):
             break

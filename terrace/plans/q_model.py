@@ -123,7 +123,8 @@ def _blend_state(spark, sf):
     names = list(BASE)
     G = B.gram_matrix(B.gram(oof, "SalePrice", names), len(names))
     w = B.simplex_weights(G)
-    val = _fit_predict(tr, va).cache()
+    # cache only the columns the blend reads, not the whole validation split
+    val = _fit_predict(tr, va).select("Id", "SalePrice", *names).cache()
     return tr, oof, val, G, w, names
 
 
@@ -149,7 +150,8 @@ def _final_frame(spark, sf):
     """Fit on train (outliers removed) + val, predict the test rows once."""
     tr, va, te = _frames(spark, sf)
     tv = tr.drop("fold").unionByName(va)
-    return _fit_predict(tv, te).cache(), tv
+    # the shared cache holds the key, the label and the predictions only
+    return _fit_predict(tv, te).select("Id", "SalePrice", *BASE).cache(), tv
 
 
 # ============================================================== DuckDB side

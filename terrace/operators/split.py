@@ -81,28 +81,56 @@ def stratified_split(df: DataFrame, id_col: str, target: str, seed: int = 42,
     return d.withColumn("split", split).withColumn("stratum2", stratum2.cast("int")).drop("_stage1")
 
 
+def _cut_points(narrow: DataFrame, id_col: str, salt: str, stratum: str, frac: float) -> dict:
+    """Per stratum, the (hash, id) of the row ranked ``round(n*frac)`` by
+    (hash, id): rows at or below it are the exact allocation.  Ranking runs on
+    the narrow (id, stratum) projection; the result has one row per stratum."""
+    n = narrow.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
+    r = hash_rank(narrow, id_col, salt, [stratum], "_r").join(n, stratum)
+    cut = r.filter(F.col("_r") == _take_count(F.col("_n"), frac)) \
+        .select(stratum, hash_u32(salt, id_col).alias("_u"), col(id_col).alias("_id"))
+    return {row[stratum]: (row["_u"], row["_id"]) for row in cut.collect()}
+
+
+def _at_or_below(cuts: dict, stratum: str, id_col: str, salt: str) -> Column:
+    """True when the row's (hash, id) is at or below its stratum's cut point."""
+    u, i = hash_u32(salt, id_col), col(id_col)
+    out = F.lit(False)
+    for s, (cu, ci) in sorted(cuts.items(), key=lambda kv: (kv[0] is None, kv[0])):
+        out = F.when(col(stratum) == F.lit(s),
+                     (u < F.lit(cu)) | ((u == F.lit(cu)) & (i <= F.lit(ci)))).otherwise(out)
+    return F.coalesce(out, F.lit(False))
+
+
 def stratified_split_exact(df: DataFrame, id_col: str, target: str, seed: int = 42,
                            train_frac: float = 0.7, test_frac_of_rest: float = 0.5,
                            q1: int = 10, q2: int = 5) -> DataFrame:
     """Exact-size stratified split: in every target-decile stratum the
     ``round(n*(1-train_frac))`` rows with the smallest hash leave training;
     those are split again by quintiles of their own target, the
-    ``round(m*test_frac)`` smallest (second hash) per stratum becoming test."""
+    ``round(m*test_frac)`` smallest (second hash) per stratum becoming test.
+
+    All ranking runs on the narrow (id, target, stratum) projection and ends
+    in one cut point per stratum (at most ``q1 + q2`` literals); the wide rows
+    are only projected against those, so nothing wide is cached, joined or
+    shuffled."""
     d = with_quantile_bin(df, target, q1, "stratum")
-    n1 = d.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n"))
-    d = hash_rank(d, id_col, f"{seed}:x1", ["stratum"], "_r1").join(n1, "stratum")
-    d = d.withColumn("_rest", F.col("_r1") <= _take_count(F.col("_n"), 1.0 - train_frac)) \
-         .drop("_r1", "_n").cache()
-    rest = d.filter("_rest")
-    rest = with_quantile_bin(rest, target, q2, "stratum2")
-    n2 = rest.groupBy("stratum2").agg(F.count(F.lit(1)).alias("_n"))
-    rest = hash_rank(rest, id_col, f"{seed}:x2", ["stratum2"], "_r2").join(n2, "stratum2")
-    rest = rest.withColumn("split", F.when(
-        F.col("_r2") <= _take_count(F.col("_n"), test_frac_of_rest), F.lit("test"))
-        .otherwise(F.lit("val"))).drop("_r2", "_n", "_rest")
-    train = d.filter(~F.col("_rest")).drop("_rest").withColumn("split", F.lit("train")) \
-        .withColumn("stratum2", F.lit(None).cast("int"))
-    return train.unionByName(rest)
+    cut1 = _cut_points(d.select(id_col, "stratum"), id_col, f"{seed}:x1", "stratum",
+                       1.0 - train_frac)
+    rest = _at_or_below(cut1, "stratum", id_col, f"{seed}:x1")
+    rest_rows = d.select(id_col, target, "stratum").filter(rest)
+    edges2 = quantile_edges(rest_rows, target, q2)
+    arr2 = F.array(*[F.lit(e) for e in edges2]) if edges2 else F.array().cast("array<double>")
+    s2 = quantile_bin(col(target).cast("double"), arr2).cast("int")
+    cut2 = _cut_points(rest_rows.select(id_col, s2.alias("stratum2")), id_col, f"{seed}:x2",
+                       "stratum2", test_frac_of_rest)
+    d = d.withColumn("_rest", rest).withColumn("stratum2", F.when(F.col("_rest"), s2))
+    test = _at_or_below(cut2, "stratum2", id_col, f"{seed}:x2")
+    split = F.when(~F.col("_rest"), F.lit("train")).when(test, F.lit("test")).otherwise(F.lit("val"))
+    out = d.withColumn("split", split).drop("_rest")
+    cols = ["stratum"] + [c for c in out.columns if c not in ("stratum", "split", "stratum2")] \
+        + ["split", "stratum2"]
+    return out.select(*cols)
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, salt: str = "fold",

@@ -176,3 +176,31 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hashes = mix((total[ends] - total[starts]) * down[starts])
     texts = np.searchsorted(offs, starts, "right") - 1
     return hashes, texts
+
+
+def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, hash and text number of every word (A-Z in lower case)."""
+    n = len(data)
+    solid = ~_SPACE[data]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    edge = offs[1:-1][(offs[1:-1] < n) & (offs[1:-1] > 0)]
+    first[edge] = solid[edge]
+    last[edge - 1] = solid[edge - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, span_hashes(_LOWER[data], starts, ends), np.searchsorted(offs, starts, "right") - 1
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose (id, text hash) is in ``kept``, each such pair
+    once, with the columns of ``docs``."""
+    marked = docs.withColumn("_keep_id", F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))).withColumn(
+        "_keep_hash", F.coalesce(F.xxhash64(text), F.lit(0)))
+    wanted = kept.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_keep_id"), F.coalesce("text_hash", F.lit(0)).alias("_keep_hash")).distinct()
+    return marked.join(wanted, ["_keep_id", "_keep_hash"], "left_semi").dropDuplicates(["_keep_id", "_keep_hash"]).select(*docs.columns)

@@ -113,11 +113,12 @@ def prototypes(docs: DataFrame, train: Column, size: int, seed: int, text: str =
 
 
 def predict(docs: DataFrame, protos: dict[str, np.ndarray], size: int, seed: int, text: str = "text",
-            keep: list[str] | None = None) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to the columns ``keep`` (all by default)."""
+            keep: list[str] | None = None, names_as: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds label and score, named as ``names_as`` says, to the columns ``keep``
+    (all by default); a kept column with such a name gives way."""
     names = sorted(n for n, v in protos.items() if np.any(v))
     matrix = np.stack([protos[n] / np.linalg.norm(protos[n]) for n in names]) if names else np.zeros((0, size))
-    columns = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
+    columns = [c for c in (keep or docs.columns) if c not in names_as]
     source = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)], F.col(text).alias("_text"))
 
     def run(batches):
@@ -142,10 +143,10 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], size: int, seed: int
 
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     schema = ", ".join(f"_{i} {kinds[c].simpleString()}" for i, c in enumerate(columns)) + ", lang_pred string, score double"
-    return source.mapInArrow(run, schema).toDF(*columns, "lang_pred", "score")
+    return source.mapInArrow(run, schema).toDF(*columns, *names_as)
 
 
 def identify(docs: DataFrame, train: Column, size: int = 1024, seed: int = 9, text: str = "text", lang: str = "lang",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, names_as: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Learns prototypes from the rows where ``train`` holds, predicts all rows."""
-    return predict(docs, prototypes(docs, train, size, seed, text, lang), size, seed, text, keep)
+    return predict(docs, prototypes(docs, train, size, seed, text, lang), size, seed, text, keep, names_as)

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import chunk_dedup, hilbert_shard, ipf_mix, lang_hdc, packing, secret_scan, topk_nra
+from terrace.llm import (chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, packing, secret_scan,
+                         suffix_dedup, topk_nra)
 from terrace.llm.common import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +68,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
 
 
+@query("op2_context_trees")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(documents(spark, sf_dir), remainder("doc_id", 5) == 1)
+
+
 @query("op3_ipf_mixture")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ipf_mix.mix_weights(documents(spark, sf_dir), MIX, mix_dims())
@@ -84,6 +90,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(documents(spark, sf_dir)).drop("text_hash")
 
 
+@query("op5_dart_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_classes(documents(spark, sf_dir)).drop("text_hash")
+
+
 @query("op6_mixture_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), WORD_BPE).drop("ids")
@@ -95,6 +106,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
+@query("op8_suffix_repeats")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 @query("op9_language_profiles")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))

@@ -295,8 +295,9 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int = 5, text: str = "
                 node, at = np.unique((below.key >> np.uint64(16)) << np.uint64(8) | (below.key & np.uint64(255)), return_inverse=True)
                 sums = [np.bincount(at, x, len(node)) for x in (below.zeros, below.ones, below.prob)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.append(node.astype(np.int64), -1)), pa.array(np.append(sums[0], times.sum())),
-                    pa.array(np.append(sums[1], len(times))), pa.array(np.append(sums[2], 0.0))], ["node", "zeros", "ones", "below"])
+                    pa.array(np.append(node.astype(np.int64), -1)), pa.array(np.append(sums[0], times.sum()).astype(float)),
+                    pa.array(np.append(sums[1], len(times)).astype(float)), pa.array(np.append(sums[2], 0.0).astype(float))],
+                    ["node", "zeros", "ones", "below"])
 
     table = save(source.mapInArrow(gather, "bucket int, chunk long, grams binary, counts binary, words binary, times binary"), "ctw-grams")
     chunks = table.agg(F.count_distinct("chunk")).first()[0]

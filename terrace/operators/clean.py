@@ -84,11 +84,11 @@ DropColumns = ColumnDropper
 def column_stats(df: DataFrame, exact: bool = True) -> tuple[dict, dict]:
     """Median of every numeric column and mode of every other column.
 
-    Medians come from :func:`column_quantiles` (all columns in one unpivoted
-    pass, bounded per-task state); modes from one ``mode`` aggregate per
-    string column (ties -> smallest value, NULLs skipped).  An all-NULL
-    column has no entry.
+    Medians come from :func:`column_quantiles`, modes from the (column, value)
+    counts of :func:`level_counts`, so no task holds all levels of a column
+    (ties -> smallest value, NULLs skipped).  An all-NULL column has no entry.
     """
+    from terrace.operators.profile import level_counts
     from terrace.operators.quantile import column_quantiles
     num = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
     other = [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
@@ -102,8 +102,9 @@ def column_stats(df: DataFrame, exact: bool = True) -> tuple[dict, dict]:
                            for i, c in enumerate(num)]).first()
             medians = {c: float(row[f"m{i}"]) for i, c in enumerate(num) if row[f"m{i}"] is not None}
     if other:
-        row = df.agg(*[F.mode(col(c), True).alias(f"s{i}") for i, c in enumerate(other)]).first()
-        modes = {c: row[f"s{i}"] for i, c in enumerate(other) if row[f"s{i}"] is not None}
+        best = level_counts(df, other, drop_null=True).groupBy("column").agg(
+            F.min(F.struct((-F.col("n")).alias("neg_n"), "value")).alias("b"))
+        modes = {r["column"]: r["b"]["value"] for r in best.collect()}  # one row per column
     return medians, modes
 
 

@@ -9,6 +9,7 @@ transform is a single projection of native Column expressions.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -251,26 +252,59 @@ def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], lambdas: dict[str, li
                     .alias("loglik"))
 
 
-def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi: float = 2.0,
-                    steps: Sequence[float] = (0.1, 0.01, 0.001)) -> dict[str, float]:
-    """Max-likelihood lambda per column: coarse grid then two refinements."""
-    centre = {c: (lo + hi) / 2.0 for c in cols}
-    span = {c: (hi - lo) / 2.0 for c in cols}
-    best: dict[str, float] = {}
-    for step in steps:
-        grid = {}
-        for c in cols:
-            a, b = max(lo, centre[c] - span[c]), min(hi, centre[c] + span[c])
-            n = int(round((b - a) / step))
-            grid[c] = [round(a + i * step, 10) for i in range(n + 1)]
-        res = yeo_johnson_loglik(df, cols, grid).collect()  # (#cols x #grid) rows
-        for c in cols:
-            rows = [r for r in res if r["column"] == c and r["loglik"] is not None]
-            if rows:
-                r = max(rows, key=lambda r: (r["loglik"], -abs(r["lambda"] - 1.0)))
-                best[c] = float(r["lambda"])
-                centre[c], span[c] = best[c], step
-    return best
+def _vertex(points: list[tuple[float, float]]) -> float:
+    """Abscissa of the top of the parabola through three (x, y) points."""
+    (x0, y0), (x1, y1), (x2, y2) = points
+    a, b = (x1 - x0) * (y1 - y2), (x1 - x2) * (y1 - y0)
+    return x1 if a == b else x1 - 0.5 * ((x1 - x0) * a - (x1 - x2) * b) / (a - b)
+
+
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], start: float = 2.0, limit: float = 128.0) -> dict[str, float]:
+    """Max-likelihood lambda per column, to about 1e-6.
+
+    The search starts on [-start, start]; a column whose best point lies at an
+    end is searched on beyond it, each time twice as far, until the best point
+    is interior (a column of two values has no maximum and stops at ``limit``,
+    where the likelihood is flat in doubles).  Then two finer grids around the
+    best point, each closed by the parabola through its top: four passes for a
+    usual column, one more for every doubling.
+    """
+    known: dict[str, dict[float, float]] = {c: {} for c in cols}
+
+    def ask(grid: dict[str, list[float]]) -> None:
+        grid = {c: sorted(set(g)) for c, g in grid.items() if g}
+        if grid:
+            for r in yeo_johnson_loglik(df, list(grid), grid).collect():  # (#cols x #grid) rows
+                if r["loglik"] is not None and math.isfinite(r["loglik"]):
+                    known[r["column"]][r["lambda"]] = r["loglik"]
+
+    def top(c: str) -> float:
+        return max(known[c], key=lambda x: (known[c][x], -abs(x - 1.0)))
+
+    def around(c: str, step: float, many: int) -> list[float]:
+        return [round(top(c) + i * step, 10) for i in range(-many, many + 1)]
+
+    def peak(c: str) -> float:
+        xs = sorted(known[c])
+        i = xs.index(top(c))
+        return _vertex([(x, known[c][x]) for x in xs[i - 1:i + 2]]) if 0 < i < len(xs) - 1 else xs[i]
+
+    ask({c: [i * start / 8 for i in range(-8, 9)] for c in cols})
+    reach = start
+    while reach < limit:
+        edge = {c: 1.0 if top(c) >= reach else -1.0 for c in cols if known[c] and abs(top(c)) >= reach}
+        if not edge:
+            break
+        ask({c: [sign * reach * (1 + i / 8) for i in range(1, 9)] for c, sign in edge.items()})
+        reach *= 2
+    live = [c for c in cols if known[c]]
+    width = {c: max(start, abs(top(c))) / 8 for c in live}  # a coarse step there
+    ask({c: around(c, width[c] / 20, 20) for c in live})
+    for share in (1e-2, 1e-4):
+        centre = {c: peak(c) for c in live}
+        known = {c: {} for c in cols}
+        ask({c: [centre[c] + i * width[c] * share / 20 for i in range(-20, 21)] for c in live})
+    return {c: float(peak(c)) for c in live}
 
 
 class SkewCorrector(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):

@@ -1,172 +1,115 @@
-"""Exact, interpolated quantiles with bounded per-task state.
-
-Spark's exact ``percentile`` aggregate merges a value -> count map per group
-in ONE task: memory grows with the number of distinct values of the group.
-That is fine for discrete or modest columns and wrong for a continuous column
-of a hot group (or any *global* median, which is one group by definition).
-
-:func:`grouped_quantiles` therefore checks the bound first (one pass:
-count, min, max and ``approx_count_distinct`` per group):
-
-* every group below ``max_distinct`` distinct values -> ``percentile``
-  (single pass, the map is proven small);
-* otherwise -> histogram refinement: for each target order statistic the
-  value range is cut into ``buckets`` equal-width bins, ONE aggregation counts
-  rows per (group, target, bin) and keeps each bin's min / max, the bin
-  holding the target rank becomes the next range.  Per-task state is
-  (#groups x #targets x buckets) counters regardless of row count; each round
-  narrows the range by ~``buckets``x, and once a bin holds at most
-  ``collect_limit`` rows (or one distinct value) its values are gathered and
-  the order statistic is read off.  Rows are only re-read while they still
-  fall inside a live range.
-
-Both paths give the same exact value: linear interpolation between the
-order statistics at floor/ceil of (n-1)*p, with Spark's formula.
+"""Exact, interpolated quantiles by selecting order statistics in ranges.
+
+A quantile is one or two order statistics of its group.  They are found in
+three declarative rounds, the same at every size and for every distribution:
+
+1. *Coarse ranges.*  ``sign(v) * log(1 + |v|)`` on a fixed grid is a monotone
+   bucket number.  One map-side combined aggregation counts the rows of each
+   (group, bucket) and keeps the bucket's smallest and largest value; running
+   counts over a group's buckets name those that hold a wanted rank.  A bucket
+   of one value has answered already.
+2. *Fine ranges.*  Rows of the remaining buckets are counted again on an even
+   grid between the bucket's smallest and largest value.
+3. *Values.*  The distinct values of the fine ranges that hold a wanted rank
+   are counted and the running count gives the value.
+
+No task sees more of a group than its bucket counts (round 1), one bucket's
+counts (round 2) or the distinct doubles of one fine range, a relative width
+of about 1e-9 (round 3); a hot group or one global median is spread like any
+other.  Nothing is collected.  NULL and NaN values take no part.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.exprs import col
 
-MAX_DISTINCT = 1_000_000
-BUCKETS = 4096
-COLLECT_LIMIT = 100_000
+#: Coarse buckets per unit of log(1 + |v|), and fine ranges per bucket.
+COARSE = 1024
+FINE = 65536
 
 
-def _interp(pos: float, lo_v: float, hi_v: float) -> float:
-    lower, higher = math.floor(pos), math.ceil(pos)
-    if higher == lower or hi_v == lo_v:
-        return lo_v
-    return (higher - pos) * lo_v + (pos - lower) * hi_v
+def _ranks(n: Column, probs: Sequence[float]) -> Column:
+    """The 0-based ranks that the quantiles of ``n`` rows need."""
+    at = [(n - 1) * F.lit(float(p)) for p in probs]
+    return F.array_distinct(F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)]))
+
+
+def _holding(counts: DataFrame, within: str, order: str, before: Column) -> DataFrame:
+    """Keeps the ranges that hold wanted ranks, with the rows before them."""
+    cum = F.expr(f"coalesce(sum(_c) over (partition by {within} order by {order} "
+                 "rows between unbounded preceding and 1 preceding), 0L)")
+    out = counts.withColumn("_before", before + cum)
+    return out.withColumn("_wanted", F.filter(
+        "_ranks", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))).where(F.size("_wanted") > 0)
 
 
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str,
-                      probs: Sequence[float], max_distinct: int = MAX_DISTINCT,
-                      buckets: int = BUCKETS, collect_limit: int = COLLECT_LIMIT) -> DataFrame:
-    """(group..., q array<double>) exact quantiles of ``value`` per group."""
-    spark = df.sparkSession
-    groups = list(group_cols)
-    gcols = [col(g) for g in groups]
+                      probs: Sequence[float]) -> DataFrame:
+    """(group..., q array<double>) exact quantiles of ``value`` per group, linearly
+    interpolated between the order statistics at floor and ceil of (n-1)*p."""
+    names = [f"_g{i}" for i in range(len(group_cols))]
     v = col(value).cast("double")
-    base = df.select(*gcols, v.alias("_v")).filter(F.col("_v").isNotNull())
-    stats = base.groupBy(*[col(g) for g in groups]).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        F.approx_count_distinct("_v").alias("_nd")).cache()
-    worst = stats.agg(F.max("_nd")).first()[0] or 0
-    if worst <= max_distinct:
-        stats.unpersist()
-        return base.groupBy(*[col(g) for g in groups]).agg(
-            F.percentile("_v", list(probs)).alias("q"))
-    return _refine(spark, base, stats, groups, list(probs), buckets, collect_limit)
-
-
-def _refine(spark, base, stats, groups, probs, buckets, collect_limit):
-    st = stats.collect()  # one row per group: fitted-state sized (#groups)
-    stats.unpersist()
-    # targets: (group key, rank) for floor/ceil of (n-1)p
-    targets = {}
-    for r in st:
-        key = tuple(r[g] for g in groups)
-        n = r["_n"]
-        for p in probs:
-            pos = (n - 1) * p
-            for rank in {math.floor(pos), math.ceil(pos)}:
-                targets[(key, rank)] = {"lo": r["_lo"], "hi": r["_hi"], "below": 0, "n": n,
-                                        "value": None}
-    schema_g = ", ".join(f"g{i} {base.schema[g].dataType.simpleString()}"
-                         for i, g in enumerate(groups))
-    rounds = 0
-    while True:
-        rounds += 1
-        live = {k: t for k, t in targets.items() if t["value"] is None}
-        if not live:
-            break
-        rows = []
-        for tid, ((key, rank), t) in enumerate(live.items()):
-            rows.append((*key, tid, float(t["lo"]), float(t["hi"])))
-        tdf = spark.createDataFrame(rows, f"{schema_g}, tid int, a double, b double")
-        cond = None
-        for i, g in enumerate(groups):
-            c = col(g).eqNullSafe(F.col(f"g{i}"))
-            cond = c if cond is None else cond & c
-        cond = (cond & (F.col("_v") >= F.col("a")) & (F.col("_v") <= F.col("b"))) \
-            if cond is not None else ((F.col("_v") >= F.col("a")) & (F.col("_v") <= F.col("b")))
-        # the target table has (#groups x #targets) rows; AQE decides the join by its size
-        j = base.join(tdf, cond)
-        width = F.col("b") - F.col("a")
-        bucket = F.when(width <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("_v") - F.col("a")) / width * buckets), F.lit(buckets - 1)))
-        hist = j.groupBy("tid", bucket.cast("int").alias("k")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"), F.max("_v").alias("mx")
-        ).collect()  # <= #targets x buckets rows
-        by_t: dict[int, list] = {}
-        for h in hist:
-            by_t.setdefault(h["tid"], []).append(h)
-        small = []
-        keys = list(live)
-        for tid, k in enumerate(keys):
-            t = live[k]
-            need = k[1] - t["below"]  # 0-based rank inside [a, b]
-            cum = 0
-            for h in sorted(by_t.get(tid, []), key=lambda h: h["k"]):
-                if cum + h["c"] > need:
-                    if h["mn"] == h["mx"]:
-                        t["value"] = h["mn"]
-                    else:
-                        # rows of one bucket are exactly the rows in [mn, mx]
-                        t.update(lo=h["mn"], hi=h["mx"], below=t["below"] + cum)
-                        if h["c"] <= collect_limit or rounds >= 48:
-                            small.append(k)
-                    break
-                cum += h["c"]
-        if small:
-            _finish_small(spark, base, groups, schema_g, {k: targets[k] for k in small})
-    out = {}
-    for r in st:
-        key = tuple(r[g] for g in groups)
-        n = r["_n"]
-        qs = []
-        for p in probs:
-            pos = (n - 1) * p
-            lo_v = targets[(key, math.floor(pos))]["value"]
-            hi_v = targets[(key, math.ceil(pos))]["value"]
-            qs.append(_interp(pos, lo_v, hi_v))
-        out[key] = qs
-    rows = [(*k, q) for k, q in out.items()]
-    return spark.createDataFrame(rows, f"{schema_g}, q array<double>").toDF(*groups, "q")
-
-
-def _finish_small(spark, base, groups, schema_g, targets):
-    """Read the exact order statistic from a range holding few rows."""
-    rows = [(*key, tid, float(t["lo"]), float(t["hi"]))
-            for tid, ((key, rank), t) in enumerate(targets.items())]
-    tdf = spark.createDataFrame(rows, f"{schema_g}, tid int, a double, b double")
-    cond = (F.col("_v") >= F.col("a")) & (F.col("_v") <= F.col("b"))
-    for i, g in enumerate(groups):
-        cond = cond & col(g).eqNullSafe(F.col(f"g{i}"))
-    vals = base.join(tdf, cond).groupBy("tid").agg(
-        F.sort_array(F.collect_list("_v")).alias("vs")).collect()  # <= collect_limit each
-    got = {r["tid"]: r["vs"] for r in vals}
-    for tid, ((key, rank), t) in enumerate(targets.items()):
-        t["value"] = got[tid][rank - t["below"]]
-
-
-def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                     **kw) -> dict[str, list[float] | None]:
-    """Exact quantiles of several columns: unpivot to (column, value) and
-    treat the column name as the group -- one pass for all columns."""
+    base = df.select(*[col(g).alias(n) for g, n in zip(group_cols, names)], v.alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if not names:  # one group
+        names = ["_g0"]
+        base = base.withColumn("_g0", F.lit(0))
+    group = ", ".join(names)
+    base = base.withColumn("_b", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE))
+
+    parts = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    coarse = base.groupBy(*names, "_b").agg(*parts)
+    coarse = coarse.withColumn("_n", F.expr(f"sum(_c) over (partition by {group})"))
+    coarse = _holding(coarse.withColumn("_ranks", _ranks(F.col("_n"), probs)), group, "_b", F.lit(0))
+    open1 = coarse.where("_lo < _hi").select(
+        *[F.col(n).alias(f"{n}_") for n in names], F.col("_b").alias("_b_"), F.col("_lo").alias("_from"), F.col("_hi").alias("_to"),
+        F.col("_before").alias("_base"), "_n", F.col("_wanted").alias("_ranks"))
+
+    def same(extra: Column) -> Column:
+        for n in names:
+            extra = F.col(n).eqNullSafe(F.col(f"{n}_")) & extra
+        return extra
+
+    step = F.floor((F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * FINE)
+    rows = base.join(open1, same(F.col("_b") == F.col("_b_"))).withColumn("_f", F.least(step, F.lit(FINE - 1)))
+    fine = rows.groupBy(*names, "_b", "_f", "_base", "_n", "_ranks").agg(*parts)
+    fine = _holding(fine, f"{group}, _b", "_f", F.col("_base"))
+    open2 = fine.where("_lo < _hi").select(
+        *[F.col(n).alias(f"{n}_") for n in names], F.col("_b").alias("_b_"), F.col("_lo").alias("_from"), F.col("_hi").alias("_to"),
+        F.col("_before").alias("_base"), "_n", F.col("_wanted").alias("_ranks"))
+    rows = base.join(open2, same((F.col("_b") == F.col("_b_")) & F.col("_v").between(F.col("_from"), F.col("_to"))))
+    last = rows.groupBy(*names, "_b", "_v", "_base", "_n", "_ranks").agg(F.count(F.lit(1)).alias("_c"))
+    last = _holding(last, f"{group}, _b, _base", "_v", F.col("_base"))
+
+    found = [x.select(*names, "_n", F.explode("_wanted").alias("_r"), F.col(y).alias("_x"))
+             for x, y in ((coarse.where("_lo = _hi"), "_lo"), (fine.where("_lo = _hi"), "_lo"), (last, "_v"))]
+    stats = found[0].unionByName(found[1]).unionByName(found[2]).groupBy(*names, "_n").agg(
+        F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))  # 2 * len(probs) entries at most
+
+    def quantile(p: float) -> Column:
+        at = (F.col("_n") - 1) * F.lit(float(p))
+        low, high = F.floor(at), F.ceil(at)
+        a, b = F.col("_at")[low.cast("long")], F.col("_at")[high.cast("long")]
+        return F.when((low == high) | (a == b), a).otherwise((high - at) * a + (at - low) * b)
+
+    return stats.select(*[F.col(n).alias(g) for n, g in zip(names, group_cols)],
+                        F.array(*[quantile(p) for p in probs]).alias("q"))
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str],
+                     probs: Sequence[float]) -> dict[str, list[float] | None]:
+    """Exact quantiles of several columns: unpivoted to (column, value), the
+    column name is the group.  The driver gets one row per column."""
     cols = list(cols)
     if not cols:
         return {}
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_column"), col(c).cast("double").alias("_x")) for c in cols
     ])).alias("s")).select("s._column", "s._x")
-    res = {r["_column"]: r["q"] for r in
-           grouped_quantiles(long, ["_column"], "_x", probs, **kw).collect()}
+    res = {r["_column"]: r["q"] for r in grouped_quantiles(long, ["_column"], "_x", probs).collect()}
     return {c: res.get(c) for c in cols}

@@ -9,6 +9,7 @@ from terrace.config import DROP_AFTER, DROP_COLS
 from terrace.functions.exprs import col, round_doubles
 from terrace.operators import clean as C
 from terrace.operators.features import FeatureEngineer
+from terrace.operators.quantile import column_quantiles
 from terrace.plans.fixtures import houses
 from terrace.plans.registry import register
 from terrace.plans.sqlgen import (FEATURE_SQL, H, HOUSE_COLS, HOUSE_DOUBLE, HOUSE_NUM, HOUSE_STR,
@@ -112,8 +113,8 @@ def fit_group_median(spark, sf):
     h = houses(spark, sf)
     g = C.group_medians(h, "Neighborhood", "LotFrontage").select(
         F.col("group").alias("group_key"), "median")
-    glob = h.agg(F.lit("__global__").alias("group_key"),
-                 F.coalesce(F.median("LotFrontage"), F.lit(0.0)).alias("median"))
+    median = column_quantiles(h, ["LotFrontage"], [0.5])["LotFrontage"]
+    glob = spark.createDataFrame([("__global__", median[0] if median else 0.0)], "group_key string, median double")
     return R(g.unionByName(glob))
 
 

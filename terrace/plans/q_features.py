@@ -200,7 +200,18 @@ def yeo_johnson_loglik(spark, sf):
     return R(E.yeo_johnson_loglik(events(spark, sf), ["value"], {"value": _GRID}))
 
 
-@register("yeo_johnson_fit")
+# the fitted lambda lies nearest to the best point of SQL's grid of step 0.01, and no point of it is more likely
+@register("yeo_johnson_fit", f"""
+with grid as (select i / 100.0 as lam from range(-600, 601) r(i)),
+t as (select lam, value as x, {_yj_sql('value', 'lam')} as y from events, grid where value is not null),
+l as (select lam, -count(*) / 2.0 * ln(var_pop(y)) + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) as ll
+      from t group by lam)
+select 'value' as "column", arg_max(lam, ll)::double as lambda_2dp, true as is_maximum from l where isfinite(ll)""")
 def yeo_johnson_fit(spark, sf):
-    lam = E.fit_yeo_johnson(events(spark, sf), ["value"])
-    return spark.createDataFrame([(c, v) for c, v in lam.items()], "column string, lambda double")
+    ev = events(spark, sf)
+    lam = E.fit_yeo_johnson(ev, ["value"])
+    grid = [round(-6 + i / 10, 10) for i in range(121)]
+    ll = E.yeo_johnson_loglik(ev, ["value"], {"value": [*grid, lam["value"]]})
+    best = ll.groupBy("column").agg(F.max(F.when(F.isnan("loglik"), None).otherwise(F.col("loglik"))).alias("best"),
+                                    F.max(F.when(F.col("lambda") == lam["value"], F.col("loglik"))).alias("own"))
+    return best.select("column", F.lit(round(lam["value"], 2)).alias("lambda_2dp"), (F.col("own") >= F.col("best")).alias("is_maximum"))

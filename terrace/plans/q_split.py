@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terrace.functions.exprs import col, round_doubles
 from terrace.operators import clean as C
 from terrace.operators import split as S
+from terrace.operators.quantile import grouped_quantiles
 from terrace.plans.fixtures import houses
 from terrace.plans.registry import register
 from terrace.plans.sqlgen import H
@@ -95,10 +96,11 @@ def split_summary(spark, sf):
     sp = _exact(spark, sf)
     cond = F.coalesce(C.outlier_condition(area_max=AREA_MAX, price_min=PRICE_MIN), F.lit(False))
     drop = (F.col("split") == "train") & cond
-    return R(sp.groupBy("split").agg(
-        F.count_if(~drop).cast("bigint").alias("n_rows"),
-        F.median(F.when(~drop, F.col("SalePrice"))).alias("median_price"),
-        F.count_if(drop).cast("bigint").alias("n_removed")))
+    counts = sp.groupBy("split").agg(F.count_if(~drop).cast("bigint").alias("n_rows"),
+                                     F.count_if(drop).cast("bigint").alias("n_removed"))
+    medians = grouped_quantiles(sp.filter(~drop), ["split"], "SalePrice", [0.5])
+    return R(counts.join(medians, "split", "left").select(
+        "split", "n_rows", F.col("q")[0].alias("median_price"), "n_removed"))
 
 
 @register("removed_ids", _EXACT + f"\nselect Id from sp where split = 'train' and {OUTLIER}")

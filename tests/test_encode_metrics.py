@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from terrace.functions.exprs import adjusted_skew
@@ -58,20 +59,40 @@ def _np_yj(x, lam):
     return out
 
 
+def _best_lambda(x):
+    """Golden-section search of the log-likelihood far beyond [-2, 2]."""
+    def ll(lam):
+        t = _np_yj(x, lam)
+        return -len(x) / 2 * np.log(t.var()) + (lam - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
+
+    grid = np.linspace(-60, 60, 1201)
+    c = grid[int(np.nanargmax([ll(g) for g in grid]))]
+    a, b, r = c - 0.2, c + 0.2, (math.sqrt(5) - 1) / 2
+    while b - a > 1e-8:
+        p, q = b - r * (b - a), a + r * (b - a)
+        a, b = (a, q) if ll(p) > ll(q) else (p, b)
+    return (a + b) / 2
+
+
 def test_yeo_johnson_fit_matches_bruteforce(spark):
     rng = np.random.default_rng(0)
-    x = np.concatenate([rng.lognormal(0, 1, 300), -rng.lognormal(0, 0.3, 20)])
-    df = spark.createDataFrame([(float(v),) for v in x], "v double")
-    lam = E.fit_yeo_johnson(df, ["v"])["v"]
-    grid = np.round(np.arange(-2, 2.0005, 0.001), 6)
-
-    def ll(l):
-        t = _np_yj(x, l)
-        return -len(x) / 2 * math.log(t.var()) + (l - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
-    best = grid[int(np.argmax([ll(g) for g in grid]))]
-    assert abs(lam - best) <= 0.0011
+    mixed = np.concatenate([rng.lognormal(0, 1, 300), -rng.lognormal(0, 0.3, 20)])
+    inflated = np.where(rng.random(320) < 0.04, rng.lognormal(1.0, 0.7, 320), 0.0)  # mostly zero
+    left = 30 - rng.lognormal(1.5, 0.9, 320).clip(0, 29)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(mixed, inflated, left)], "v double, z double, w double")
+    lam = E.fit_yeo_johnson(df, ["v", "z", "w"])
+    want = {"v": _best_lambda(mixed), "z": _best_lambda(inflated), "w": _best_lambda(left)}
+    assert want["z"] < -2 and want["w"] > 2  # outside the first bracket
+    for c in want:
+        assert lam[c] == pytest.approx(want[c], abs=2e-5)
     out = E.SkewCorrector(cols=["v"], threshold=0.75).fit(df).transform(df).toPandas()["v"]
-    assert np.allclose(out.to_numpy(), _np_yj(x, lam), atol=1e-9)
+    assert np.allclose(out.to_numpy(), _np_yj(mixed, lam["v"]), atol=1e-9)
+
+
+def test_yeo_johnson_without_a_maximum(spark):
+    df = spark.createDataFrame([(0.0, None)] * 30 + [(1.0, None)] * 2, "two double, none double")
+    lam = E.fit_yeo_johnson(df, ["two", "none"])
+    assert set(lam) == {"two"} and math.isfinite(lam["two"])
 
 
 def test_metrics_against_numpy(spark):

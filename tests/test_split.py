@@ -1,5 +1,6 @@
 """Splits and folds: exact sizes, no overlap, repartition invariance, ranks."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from terrace.operators import split as S
@@ -43,19 +44,23 @@ def test_kfold_exact_balanced(spark):
     assert rep.count() == 3009 and rep.select("repeat").distinct().count() == 3
 
 
-def test_exact_quantiles_refinement_matches_percentile(spark):
+def test_exact_quantiles_match_percentile(spark):
     from terrace.operators.quantile import column_quantiles, grouped_quantiles
-    df = spark.range(0, 5000).selectExpr(
-        "cast(id % 3 as int) as g",
-        "case when id % 7 = 0 then 5.0 else exp(cast(id as double) / 700.0) * 1.37 end as v",
-        "cast(id as double) * 1.0 as w")
-    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    ref = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
-    got = {r["g"]: r["q"] for r in
-           grouped_quantiles(df, ["g"], "v", probs, max_distinct=0, buckets=16,
-                             collect_limit=20).collect()}
-    for g in ref:
-        assert got[g] == ref[g]
-    cq = column_quantiles(df, ["v", "w"], [0.5], max_distinct=0, buckets=8, collect_limit=5)
-    assert cq["w"] == [2499.5]
-    assert cq["v"] == df.agg(F.percentile("v", [0.5])).first()[0]
+    rng = np.random.default_rng(0)
+    values = {"even": rng.random(400), "tail": np.exp(rng.normal(0, 12, 300)), "ties": rng.integers(-3, 4, 500).astype(float),
+              "narrow": 1.0 + rng.random(300) * 1e-12, "far": np.append(rng.normal(0, 1, 50), [1e308, -1e308, 1e18]),
+              "one": np.array([7.5]), "negative": -np.exp(rng.normal(3, 4, 201))}
+    rows = [(None if g == "ties" else g, float(x)) for g, xs in values.items() for x in xs]
+    rows += [("even", None), ("even", float("nan")), ("nothing", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.975, 1.0]
+    got = {r["g"]: r["q"] for r in grouped_quantiles(df, ["g"], "v", probs).collect()}
+    clean = df.filter("v is not null and not isnan(v)")
+    want = {r["g"]: r["q"] for r in clean.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    assert got == want and len(got) == len(values)
+    whole = grouped_quantiles(df, [], "v", [0.5]).collect()
+    assert len(whole) == 1 and whole[0]["q"] == [clean.agg(F.median("v")).first()[0]]
+    two = df.withColumn("w", F.lit(None).cast("double"))
+    assert column_quantiles(two, ["v", "w"], [0.5]) == {"v": whole[0]["q"], "w": None}
+    assert column_quantiles(two, [], [0.5]) == {}
+

@@ -7,8 +7,8 @@ search.
   small thread pool (the ``CrossValidator(parallelism=...)`` pattern), so
   the cluster works on several fits at once.
 * For the group-median baseline the per-fold state of ALL folds comes from
-  one job: each row is exploded to the folds where it is training data and a
-  single ``groupBy(fold, group)`` computes every fold's medians.
+  one job over (group, fold) counts: a fold's training medians are those of
+  the other folds' counts added up, no row is repeated per fold.
 """
 
 from __future__ import annotations
@@ -28,17 +28,38 @@ from terrace.operators.metrics import rmse_log
 
 
 # ---------------------------------------------------------------- baseline, one job for all folds
+def fold_group_medians(df: DataFrame, fold_col: str, k: int, group: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """(_f, _g, _gm) and (_f, _glob): medians over the rows outside fold ``_f``,
+    per group and overall."""
+    from terrace.operators.quantile import grouped_quantiles
+    gm = grouped_quantiles(df.filter(col(group).isNotNull()), [group], label, [0.5], (fold_col, k)).select(
+        F.col("held_out").alias("_f"), col(group).alias("_g"), F.col("q")[0].alias("_gm"))
+    glob = grouped_quantiles(df, [], label, [0.5], (fold_col, k)).select(
+        F.col("held_out").alias("_f"), F.col("q")[0].alias("_glob"))
+    return gm, glob
+
+
+def fold_train_scores(df: DataFrame, fold_col: str, k: int, group: str, label: str) -> DataFrame:
+    """(fold, train_rmse_log) of the group-median model of every fold on its own
+    training rows, from one sum table per (group, fold): no row is repeated."""
+    gm, glob = fold_group_medians(df, fold_col, k, group, label)
+    ly = F.log1p(F.greatest(col(label).cast("double"), F.lit(0.0)))
+    sums = df.groupBy(col(group).alias("_g"), col(fold_col).cast("int").alias("_fold")).agg(
+        F.count(ly).alias("_n"), F.sum(ly).alias("_s"), F.sum(ly * ly).alias("_q"))
+    every = F.sequence(F.lit(0), F.lit(k - 1))
+    sums = sums.withColumn("_f", F.explode(F.filter(every, lambda f: f != F.col("_fold")))).groupBy("_f", "_g").agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_s", "_q")])
+    lp = F.log1p(F.greatest(F.coalesce("_gm", "_glob"), F.lit(0.0)))
+    error = F.col("_q") - 2 * lp * F.col("_s") + F.col("_n") * lp * lp
+    return sums.join(gm, ["_f", "_g"], "left").join(glob, "_f").groupBy(F.col("_f").alias("fold")).agg(
+        F.sqrt(F.sum(error) / F.sum("_n")).alias("train_rmse_log"))
+
+
 def fold_group_median_predictions(df: DataFrame, fold_col: str, k: int, group: str, label: str,
                                   name: str = "prediction") -> DataFrame:
     """Out-of-fold group-median predictions for every row (unseen group ->
     that fold's global median), computed for all folds at once."""
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != col(fold_col))
-    train = df.select(col(group).alias("_g"), col(label).cast("double").alias("_y"),
-                      F.explode(others).alias("_f"))
-    from terrace.operators.quantile import grouped_quantiles
-    gm = grouped_quantiles(train.filter(F.col("_g").isNotNull()), ["_f", "_g"], "_y", [0.5]) \
-        .select("_f", "_g", F.col("q")[0].alias("_gm"))
-    glob = grouped_quantiles(train, ["_f"], "_y", [0.5]).select("_f", F.col("q")[0].alias("_glob"))
+    gm, glob = fold_group_medians(df, fold_col, k, group, label)
     # (#folds x #groups) and #folds rows of fitted state; AQE broadcasts by measured size
     out = (df.join(gm, (col(fold_col) == F.col("_f")) & (col(group) == F.col("_g")), "left")
            .drop("_f", "_g")

@@ -75,14 +75,15 @@ class PenalisedLinear(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     labelCol = Param(Params._dummy(), "labelCol", "", typeConverter=TypeConverters.toString)
     predictionCol = Param(Params._dummy(), "predictionCol", "", typeConverter=TypeConverters.toString)
     maxIter = Param(Params._dummy(), "maxIter", "", typeConverter=TypeConverters.toInt)
+    solver = Param(Params._dummy(), "solver", "normal|l-bfgs", typeConverter=TypeConverters.toString)
 
     @keyword_only
     def __init__(self, kind: str = "ridge", alpha: float = 1.0, l1Ratio: float = 0.5,
                  featuresCol: str = "features", labelCol: str = "label",
-                 predictionCol: str = "log_prediction", maxIter: int = 200):
+                 predictionCol: str = "log_prediction", maxIter: int = 50_000, solver: str = "normal"):
         super().__init__()
         self._setDefault(kind="ridge", alpha=1.0, l1Ratio=0.5, featuresCol="features",
-                         labelCol="label", predictionCol="log_prediction", maxIter=200)
+                         labelCol="label", predictionCol="log_prediction", maxIter=50_000, solver="normal")
         self._set(**self._input_kwargs)
 
     def spark_params(self, n: float, s: float) -> tuple[float, float]:
@@ -96,12 +97,10 @@ class PenalisedLinear(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, df: DataFrame):
         label = self.getOrDefault(self.labelCol)
         feats = self.getOrDefault(self.featuresCol)
-        n_feat = len(df.schema[feats].metadata.get("ml_attr", {}).get("attrs", {}).get("numeric", [])
-                     ) or 0
-        # normal equations: ONE distributed pass builds X'X (p x p), the solve is
-        # local (Cholesky, or quasi-Newton when L1 is present); beyond 4096
-        # features Spark's limit, fall back to distributed L-BFGS.
-        solver = "normal" if n_feat <= 4096 else "l-bfgs"
+        # "normal": ONE distributed pass builds X'X (p x p), the solve is local
+        # (Cholesky, or quasi-Newton when L1 is present); Spark allows it up to
+        # 4,096 features and says so beyond: then ask for "l-bfgs".
+        solver = self.getOrDefault(self.solver)
         std = F.stddev_pop if solver == "normal" else F.stddev_samp
         st = df.agg(F.count(col(label)).alias("n"), std(col(label)).alias("s")).first()
         n, s = float(st["n"] or 1), float(st["s"] or 0.0)

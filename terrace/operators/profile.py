@@ -120,10 +120,12 @@ def missing_totals(profile: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- PROF-5
 def skew_table(df: DataFrame, cols: Sequence[str] | None = None,
                threshold: float | None = 0.75) -> DataFrame:
-    """Adjusted skewness per numeric column from one scan; |skew| > threshold."""
+    """Adjusted skewness per numeric column from one scan in long form (map-side
+    combined moments per column); |skew| > threshold."""
     cols = list(cols or numeric_columns(df))
-    one = df.agg(*[adjusted_skew(col(c)).alias(f"skew__{i}") for i, c in enumerate(cols)])
-    out = _long(one, cols, ["skew"]).filter(F.col("skew").isNotNull())
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("x")) for c in cols])).alias("s")).select("s.*")
+    out = long.groupBy("column").agg(adjusted_skew(F.col("x")).alias("skew")).filter(F.col("skew").isNotNull())
     if threshold is not None:
         out = out.filter(F.abs("skew") > threshold)
     return out.select("column", "skew").orderBy(F.abs("skew").desc())
@@ -345,13 +347,18 @@ def feature_target_corr(df: DataFrame, features: Sequence[str], target: str) ->
 
 # ---------------------------------------------------------------- PROF-20
 def histogram(df: DataFrame, value: Column, bins: int = 40, label: str = "raw") -> DataFrame:
-    """Equal-width histogram: one scan for the range, one for the counts."""
+    """Equal-width histogram with all its bins, empty ones too: one scan for the
+    range, one for the counts.  No rows when there is no value."""
     r = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    if r["lo"] is None:
+        return df.sparkSession.createDataFrame([], "scale string, bin int, bin_lo double, bin_hi double, count bigint")
     lo, hi = float(r["lo"]), float(r["hi"])
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((value - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     g = df.filter(value.isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).cast("bigint").alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    g = every.join(g, "bin", "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
     return g.select(F.lit(label).alias("scale"), "bin",
                     (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"), "count")
@@ -379,9 +386,4 @@ def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
                                    "whisker_hi", "n_outliers").orderBy("median", group)
 
 
-def bands_label_col(value: str, bands=PRICE_BANDS) -> Column:
-    return band_label(col(value), bands)
-
-
 __all__ = [n for n in dir() if not n.startswith("_")]
-_ = Thresholds

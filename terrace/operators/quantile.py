@@ -48,22 +48,37 @@ def _holding(counts: DataFrame, within: str, order: str, before: Column) -> Data
         "_ranks", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))).where(F.size("_wanted") > 0)
 
 
-def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str,
-                      probs: Sequence[float]) -> DataFrame:
+def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, probs: Sequence[float],
+                      folds: tuple[str, int] | None = None) -> DataFrame:
     """(group..., q array<double>) exact quantiles of ``value`` per group, linearly
-    interpolated between the order statistics at floor and ceil of (n-1)*p."""
+    interpolated between the order statistics at floor and ceil of (n-1)*p.
+
+    With ``folds`` (a fold column and the number of folds) there is a row per
+    group and ``held_out`` fold, over the rows of all other folds: the bucket
+    counts of the folds are added up, rows are repeated in no pass but inside
+    the few ranges that still hold a wanted rank."""
     names = [f"_g{i}" for i in range(len(group_cols))]
     v = col(value).cast("double")
-    base = df.select(*[col(g).alias(n) for g, n in zip(group_cols, names)], v.alias("_v")).where(
+    own = [col(folds[0]).cast("int").alias("_fold")] if folds else []
+    base = df.select(*[col(g).alias(n) for g, n in zip(group_cols, names)], *own, v.alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     if not names:  # one group
         names = ["_g0"]
         base = base.withColumn("_g0", F.lit(0))
+    keys = names
+    if folds:
+        names = [*keys, "_held"]
     group = ", ".join(names)
     base = base.withColumn("_b", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE))
 
     parts = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
-    coarse = base.groupBy(*names, "_b").agg(*parts)
+    if folds:
+        every = F.sequence(F.lit(0), F.lit(folds[1] - 1))
+        coarse = base.groupBy(*keys, "_fold", "_b").agg(*parts)
+        coarse = coarse.withColumn("_held", F.explode(F.filter(every, lambda f: f != F.col("_fold")))).groupBy(*names, "_b").agg(
+            F.sum("_c").alias("_c"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    else:
+        coarse = base.groupBy(*names, "_b").agg(*parts)
     coarse = coarse.withColumn("_n", F.expr(f"sum(_c) over (partition by {group})"))
     coarse = _holding(coarse.withColumn("_ranks", _ranks(F.col("_n"), probs)), group, "_b", F.lit(0))
     open1 = coarse.where("_lo < _hi").select(
@@ -71,18 +86,21 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str,
         F.col("_before").alias("_base"), "_n", F.col("_wanted").alias("_ranks"))
 
     def same(extra: Column) -> Column:
-        for n in names:
+        for n in keys:
             extra = F.col(n).eqNullSafe(F.col(f"{n}_")) & extra
-        return extra
+        return extra & (F.col("_fold") != F.col("_held_")) if folds else extra
+
+    def held(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_held", F.col("_held_")) if folds else rows
 
     step = F.floor((F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * FINE)
-    rows = base.join(open1, same(F.col("_b") == F.col("_b_"))).withColumn("_f", F.least(step, F.lit(FINE - 1)))
+    rows = held(base.join(open1, same(F.col("_b") == F.col("_b_")))).withColumn("_f", F.least(step, F.lit(FINE - 1)))
     fine = rows.groupBy(*names, "_b", "_f", "_base", "_n", "_ranks").agg(*parts)
     fine = _holding(fine, f"{group}, _b", "_f", F.col("_base"))
     open2 = fine.where("_lo < _hi").select(
         *[F.col(n).alias(f"{n}_") for n in names], F.col("_b").alias("_b_"), F.col("_lo").alias("_from"), F.col("_hi").alias("_to"),
         F.col("_before").alias("_base"), "_n", F.col("_wanted").alias("_ranks"))
-    rows = base.join(open2, same((F.col("_b") == F.col("_b_")) & F.col("_v").between(F.col("_from"), F.col("_to"))))
+    rows = held(base.join(open2, same((F.col("_b") == F.col("_b_")) & F.col("_v").between(F.col("_from"), F.col("_to")))))
     last = rows.groupBy(*names, "_b", "_v", "_base", "_n", "_ranks").agg(F.count(F.lit(1)).alias("_c"))
     last = _holding(last, f"{group}, _b, _base", "_v", F.col("_base"))
 
@@ -97,7 +115,8 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str,
         a, b = F.col("_at")[low.cast("long")], F.col("_at")[high.cast("long")]
         return F.when((low == high) | (a == b), a).otherwise((high - at) * a + (at - low) * b)
 
-    return stats.select(*[F.col(n).alias(g) for n, g in zip(names, group_cols)],
+    return stats.select(*[F.col(n).alias(g) for n, g in zip(keys, group_cols)],
+                        *([F.col("_held").alias("held_out")] if folds else []),
                         F.array(*[quantile(p) for p in probs]).alias("q"))
 
 

@@ -62,10 +62,10 @@ def _take_count(n: Column, frac: float) -> Column:
     return F.floor(n * F.lit(float(frac)) + F.lit(0.5)).cast("bigint")
 
 
-def stratified_split(df: DataFrame, id_col: str, target: str, seed: int = 42,
-                     train_frac: float = 0.7, test_frac_of_rest: float = 0.5,
-                     q1: int = 10, q2: int = 5) -> DataFrame:
-    """Fast hash-Bernoulli 70/15/15 split; strata (target deciles, then
+def bernoulli_split(df: DataFrame, id_col: str, target: str, seed: int = 42,
+                    train_frac: float = 0.7, test_frac_of_rest: float = 0.5,
+                    q1: int = 10, q2: int = 5) -> DataFrame:
+    """Fast hash-Bernoulli 70/15/15 split, not stratified; strata (target deciles, then
     quintiles of the remainder) are attached so per-stratum balance can be
     checked.  Expected (not exact) proportions per stratum."""
     d = with_quantile_bin(df, target, q1, "stratum")
@@ -83,13 +83,20 @@ def stratified_split(df: DataFrame, id_col: str, target: str, seed: int = 42,
 
 def _cut_points(narrow: DataFrame, id_col: str, salt: str, stratum: str, frac: float) -> dict:
     """Per stratum, the (hash, id) of the row ranked ``round(n*frac)`` by
-    (hash, id): rows at or below it are the exact allocation.  Ranking runs on
-    the narrow (id, stratum) projection; the result has one row per stratum."""
-    n = narrow.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
-    r = hash_rank(narrow, id_col, salt, [stratum], "_r").join(n, stratum)
-    cut = r.filter(F.col("_r") == _take_count(F.col("_n"), frac)) \
-        .select(stratum, hash_u32(salt, id_col).alias("_u"), col(id_col).alias("_id"))
-    return {row[stratum]: (row["_u"], row["_id"]) for row in cut.collect()}
+    (hash, id): rows at or below it are the exact allocation.  Counts per
+    (stratum, leading 16 hash bits) name the bucket that holds the cut; only
+    the rows of that bucket are ranked.  The result has one row per stratum."""
+    keyed = narrow.select(col(stratum).alias("_s"), hash_u32(salt, id_col).alias("_u"), col(id_col).alias("_id")) \
+        .withColumn("_b", F.shiftright("_u", 16))
+    counts = keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_n", F.expr("sum(_c) over (partition by _s)")).withColumn("_before", F.expr(
+        "coalesce(sum(_c) over (partition by _s order by _b rows between unbounded preceding and 1 preceding), 0)"))
+    take = _take_count(F.col("_n"), frac)
+    held = counts.filter((F.col("_before") < take) & (take <= F.col("_before") + F.col("_c"))).select(
+        F.col("_s").alias("_s2"), F.col("_b").alias("_b2"), (take - F.col("_before")).alias("_need"))  # one row per stratum
+    rows = keyed.join(F.broadcast(held), F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_b") == F.col("_b2")))
+    rows = rows.withColumn("_r", F.expr("row_number() over (partition by _s order by _u, _id)"))
+    return {r["_s"]: (r["_u"], r["_id"]) for r in rows.filter("_r = _need").collect()}
 
 
 def _at_or_below(cuts: dict, stratum: str, id_col: str, salt: str) -> Column:
@@ -102,7 +109,7 @@ def _at_or_below(cuts: dict, stratum: str, id_col: str, salt: str) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def stratified_split_exact(df: DataFrame, id_col: str, target: str, seed: int = 42,
+def stratified_split(df: DataFrame, id_col: str, target: str, seed: int = 42,
                            train_frac: float = 0.7, test_frac_of_rest: float = 0.5,
                            q1: int = 10, q2: int = 5) -> DataFrame:
     """Exact-size stratified split: in every target-decile stratum the
@@ -133,6 +140,9 @@ def stratified_split_exact(df: DataFrame, id_col: str, target: str, seed: int =
     return out.select(*cols)
 
 
+stratified_split_exact = stratified_split
+
+
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, salt: str = "fold",
           name: str = "fold") -> DataFrame:
     """Fold = hash(seed, id) mod k: balanced in expectation, stable, no shuffle."""
@@ -157,9 +167,9 @@ def repeated_kfold(df: DataFrame, id_col: str, k: int = 5, repeats: int = 3,
 
 def overlap_check(df: DataFrame, id_col: str, split_col: str = "split") -> DataFrame:
     """Ids present in more than one split (must be 0), in one aggregation."""
-    g = df.groupBy(col(id_col)).agg(F.count_distinct(col(split_col)).alias("_k"))
+    g = df.groupBy(col(id_col)).agg(F.min(col(split_col)).alias("_a"), F.max(col(split_col)).alias("_b"))
     return g.agg(F.count(F.lit(1)).cast("bigint").alias("n_ids"),
-                 F.count_if(F.col("_k") > 1).cast("bigint").alias("n_overlap"))
+                 F.count_if(F.col("_a") != F.col("_b")).cast("bigint").alias("n_overlap"))
 
 
 def ordered_cut(df: DataFrame, order_col: str, head_frac: float) -> DataFrame:

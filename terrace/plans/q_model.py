@@ -80,18 +80,7 @@ def _oof(tr: DataFrame) -> DataFrame:
 
 def _train_scores(tr: DataFrame, name: str, group: str) -> DataFrame:
     """RMSE(log) of each fold's model on its own training rows (one job)."""
-    others = F.filter(F.sequence(F.lit(0), F.lit(K - 1)), lambda f: f != F.col("fold"))
-    ex = tr.select(col(group).alias("_g"), F.col("SalePrice").cast("double").alias("_y"),
-                   F.explode(others).alias("_f")).cache()
-    from terrace.operators.quantile import grouped_quantiles
-    gm = grouped_quantiles(ex.filter(F.col("_g").isNotNull()), ["_f", "_g"], "_y", [0.5]) \
-        .select("_f", "_g", F.col("q")[0].alias("_gm"))
-    gl = grouped_quantiles(ex, ["_f"], "_y", [0.5]).select("_f", F.col("q")[0].alias("_gl"))
-    p = ex.join(gm, ["_f", "_g"], "left").join(gl, "_f", "left") \
-        .withColumn("_p", F.coalesce("_gm", "_gl"))
-    return p.groupBy(F.col("_f").alias("fold")).agg(
-        MET.rmse_log(F.col("_y"), F.col("_p")).alias("train_rmse_log")).withColumn(
-        "model", F.lit(name))
+    return CV.fold_train_scores(tr, "fold", K, group, "SalePrice").withColumn("model", F.lit(name))
 
 
 def _cv_scores(spark, sf):

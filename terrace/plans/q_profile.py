@@ -261,11 +261,13 @@ def group_median_ratio(spark, sf):
 
 # ---------------------------------------------------------------- PROF-20
 def _hist_sql(expr: str, label: str) -> str:
-    return f"""select '{label}' as scale, bin, round(lo + bin * w, 4) as bin_lo,
-  round(lo + (bin + 1) * w, 4) as bin_hi, count(*)::bigint as count from (
-  select least(floor(({expr} - lo) / w), 39)::int as bin, lo, w from houses,
-    (select min({expr}) as lo, (max({expr}) - min({expr})) / 40 as w from houses) s
-  where {expr} is not null) x group by bin, lo, w"""
+    return f"""select '{label}' as scale, b.bin::int as bin, round(lo + b.bin * w, 4) as bin_lo,
+  round(lo + (b.bin + 1) * w, 4) as bin_hi, count(x.bin)::bigint as count
+  from (select min({expr}) as lo, (max({expr}) - min({expr})) / 40 as w from houses) s
+  cross join range(40) b(bin)
+  left join (select least(floor(({expr} - lo) / w), 39)::int as bin from houses,
+    (select min({expr}) as lo, (max({expr}) - min({expr})) / 40 as w from houses) where {expr} is not null) x on x.bin = b.bin
+  group by b.bin, lo, w"""
 
 
 @register("histogram_bins", f"""{H}

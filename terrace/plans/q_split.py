@@ -48,21 +48,22 @@ sp as (select Id, stratum,
       from d, e2)"""
 
 
-@register("stratified_split", _BERNOULLI + "\nselect Id, stratum, split, stratum2 from sp")
-def stratified_split(spark, sf):
-    return S.stratified_split(houses(spark, sf), "Id", "SalePrice", SEED).select(
+@register("bernoulli_split", _BERNOULLI + "\nselect Id, stratum, split, stratum2 from sp")
+def bernoulli_split(spark, sf):
+    return S.bernoulli_split(houses(spark, sf), "Id", "SalePrice", SEED).select(
         "Id", "stratum", "split", "stratum2")
 
 
-_EXACT = f"""{H},
+def _exact_sql(seed: int) -> str:
+    return f"""{H},
 e1 as (select quantile_cont(SalePrice::double, {probs(10)}) as e from houses),
 d as (select Id, SalePrice, GrLivArea, {qbin('SalePrice', 'e1.e')}::int as stratum from houses, e1),
-r1 as (select *, row_number() over (partition by stratum order by {h32(f'{SEED}:x1')}, Id) as rk,
+r1 as (select *, row_number() over (partition by stratum order by {h32(f'{seed}:x1')}, Id) as rk,
          count(*) over (partition by stratum) as n from d),
 rest as (select * from r1 where rk <= floor(n * {lit(1.0 - 0.7)} + 0.5e0)),
 e2 as (select quantile_cont(SalePrice::double, {probs(5)}) as e from rest),
 r2 as (select Id, SalePrice, GrLivArea, stratum, {qbin('SalePrice', 'e2.e')}::int as stratum2 from rest, e2),
-r3 as (select *, row_number() over (partition by stratum2 order by {h32(f'{SEED}:x2')}, Id) as rk2,
+r3 as (select *, row_number() over (partition by stratum2 order by {h32(f'{seed}:x2')}, Id) as rk2,
          count(*) over (partition by stratum2) as n2 from r2),
 sp as (select Id, SalePrice, GrLivArea, stratum, 'train' as split, null::int as stratum2
          from r1 where rk > floor(n * {lit(1.0 - 0.7)} + 0.5e0)
@@ -71,6 +72,15 @@ sp as (select Id, SalePrice, GrLivArea, stratum, 'train' as split, null::int as
          case when rk2 <= floor(n2 * {lit(0.5)} + 0.5e0) then 'test' else 'val' end, stratum2 from r3)"""
 
 
+_EXACT = _exact_sql(SEED)
+
+
+@register("stratified_split", _exact_sql(7) + "\nselect Id, stratum, split, stratum2 from sp")
+def stratified_split(spark, sf):
+    return S.stratified_split(houses(spark, sf), "Id", "SalePrice", 7).select(
+        "Id", "stratum", "split", "stratum2")
+
+
 def _exact(spark, sf):
     return S.stratified_split_exact(houses(spark, sf), "Id", "SalePrice", SEED)
 

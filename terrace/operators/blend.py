@@ -14,6 +14,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,7 +106,7 @@ def decision(blend_oof: Column, best_oof: Column, blend_val: Column, best_val: C
 
 
 # ---------------------------------------------------------------- ensemble estimator (EXT-2)
-class LogBlendRegressor:
+class LogBlendRegressor(Estimator):
     """Fit K pipelines on the same rows and blend them on the log scale.
 
     ``fit`` returns a :class:`LogBlendModel`.  Scoring runs the K fitted
@@ -115,20 +116,24 @@ class LogBlendRegressor:
     """
 
     def __init__(self, estimators: list[tuple[str, object]], weights: Sequence[float] | None = None):
+        super().__init__()
         self.estimators = estimators
         self.weights = weights
 
-    def fit(self, df: DataFrame) -> "LogBlendModel":
+    def _fit(self, df: DataFrame) -> "LogBlendModel":
         names = [n for n, _ in self.estimators]
         w = normalise(self.weights, len(names))
         return LogBlendModel([(n, est.fit(df)) for n, est in self.estimators], w)
 
 
-class LogBlendModel:
-    def __init__(self, models: list[tuple[str, object]], weights: list[float]):
-        self.models, self.weights = models, weights
+class LogBlendModel(Model):
+    """Fitted members and weights; a stage like any other model."""
 
-    def transform(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
+    def __init__(self, models: list[tuple[str, object]], weights: list[float], prediction_col: str = "prediction"):
+        super().__init__()
+        self.models, self.weights, self.prediction_col = models, weights, prediction_col
+
+    def _transform(self, df: DataFrame) -> DataFrame:
         cols = df.columns
         cur = df.select(F.struct(*[col(c) for c in cols]).alias("_raw"))
         preds = []
@@ -139,7 +144,7 @@ class LogBlendModel:
             preds.append(pc)
         blended = blend_expr(preds, self.weights)
         return cur.select("_raw.*", *[F.col(p).alias(p[3:]) for p in preds],
-                          blended.alias(prediction_col))
+                          blended.alias(self.prediction_col))
 
     def save(self, path: str) -> None:
         import json

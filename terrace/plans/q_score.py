@@ -27,10 +27,14 @@ _REQ_RAW = ("OverallQual", "GrLivArea", "Neighborhood", "OverallCond", "YearBuil
 
 
 def _sqltype(c: str) -> str:
-    return "varchar" if c in HOUSE_STR else ("double" if c in HOUSE_DOUBLE else "integer")
+    return "varchar" if c in HOUSE_STR else "double"
+
+
 _REQ = f"{H}, requests as ({requests_sql('duckdb')})"
 _NORM = _REQ + """,
-norm as (select * exclude (first_flr_sf, second_flr_sf, "1stFlrSF", "2ndFlrSF"),
+norm as (select * exclude (first_flr_sf, second_flr_sf, "1stFlrSF", "2ndFlrSF", GarageCars),
+  try_cast(GarageCars as integer) as GarageCars,
+  GarageCars is not null and try_cast(GarageCars as integer) is null as wrong_GarageCars,
   coalesce(first_flr_sf, "1stFlrSF") as "1stFlrSF", coalesce(second_flr_sf, "2ndFlrSF") as "2ndFlrSF"
   from requests)"""
 
@@ -48,6 +52,12 @@ def _defaults(spark, sf):
     return d, types
 
 
+def _records(spark, sf):
+    """Requests with canonical names and declared types."""
+    types = {f.name: f.dataType for f in houses(spark, sf).schema.fields}
+    return SC.coerce_types(SC.normalise(requests(spark, sf)), types)
+
+
 # ---------------------------------------------------------------- PRJ-8 / SRV-2
 @register("request_normalise", _NORM + """
 select request_id, "1stFlrSF", "2ndFlrSF" from norm""")
@@ -72,6 +82,7 @@ def _err_sql() -> str:
         vals = ", ".join("'" + v + "'" for v in allowed)
         parts.append(f"case when {dq(f)} is not null and {dq(f)} not in ({vals}) then "
                      f"'{f}: not an allowed value' end")
+    parts.append("case when wrong_GarageCars then 'GarageCars: wrong type' end")
     return f"list_filter([{', '.join(parts)}], lambda x: x is not null)"
 
 
@@ -83,7 +94,7 @@ val as (select *, {_err_sql()} as errs from norm)"""
 select request_id, len(errs)::int as n_errors, array_to_string(errs, '; ') as errors,
   len(errs) = 0 as is_valid from val""")
 def validate_records(spark, sf):
-    v = SC.validate(SC.normalise(requests(spark, sf)))
+    v = SC.validate(_records(spark, sf))
     return v.select("request_id", F.size("errors").alias("n_errors"),
                     F.array_join("errors", "; ").alias("errors"), "is_valid")
 
@@ -92,10 +103,7 @@ def validate_records(spark, sf):
 def _default_sql(c: str) -> str:
     if c in HOUSE_STR:
         return mode_sql("train", c)
-    m = f"(select median({dq(c)}::double) from train)"
-    if c in HOUSE_DOUBLE:
-        return m
-    return f"cast(trunc({m}) as integer)"
+    return f"(select median({dq(c)}::double) from train)"
 
 
 _FILL = _VALID + f""",
@@ -110,7 +118,7 @@ filled as (select request_id, endpoint, errs,
 
 def _filled(spark, sf):
     d, types = _defaults(spark, sf)
-    v = SC.validate(SC.normalise(requests(spark, sf)))
+    v = SC.validate(_records(spark, sf))
     return SC.fill_defaults(v, d, RAW, types)
 
 
@@ -118,7 +126,7 @@ _FILL_OUT = ["request_id", "fields_defaulted"] + RAW
 
 
 @register("request_fill_defaults", _FILL + "\nselect "
-          + ", ".join(f"round({dq(c)}, 4) as {dq(c)}" if c in HOUSE_DOUBLE else dq(c)
+          + ", ".join(f"round({dq(c)}, 4) as {dq(c)}" if c in RAW and c not in HOUSE_STR else dq(c)
                       for c in _FILL_OUT) + " from filled")
 def request_fill_defaults(spark, sf):
     return R(_filled(spark, sf).select(*[col(c) for c in _FILL_OUT]))
@@ -151,19 +159,22 @@ scored as (select f.request_id, f.endpoint, f.fields_defaulted,
 
 def _write_log(spark, sf) -> str:
     """Score the valid records with the group-median model and append one log
-    row per record, one append per endpoint (two writes to the same log)."""
+    row per record, one append per endpoint (two writes to the same log).  The
+    latency is the time of the scoring write per record."""
     filled = _filled(spark, sf).filter(F.col("is_valid"))
     model = M.GroupMedianRegressor(groupCol="Neighborhood", labelCol="SalePrice",
                                    predictionCol="_p").fit(_train(spark, sf))
     scored = model.transform(filled).withColumn("predicted_price", F.round("_p", 2)) \
-        .withColumn("warnings", SC.record_warnings(filled)).cache()
+        .withColumn("warnings", SC.record_warnings(filled)).drop("_p", "errors")
     path = scratch_path(spark, "request-log")
     for ep in ("/predict", "/predict/batch"):
+        out = scratch_path(spark, "scored")
         t0 = time.time()
-        part = scored.filter(F.col("endpoint") == ep)
-        rows = SC.log_rows(part, ep, ["fields_defaulted"] + RAW)
-        rows.withColumn("latency_ms", F.lit((time.time() - t0) * 1000.0)) \
-            .write.mode("append").json(path)
+        scored.filter(F.col("endpoint") == ep).write.parquet(out)
+        took = (time.time() - t0) * 1000.0
+        done = spark.read.schema(scored.schema).parquet(out)
+        rows = SC.log_rows(done, ep, ["fields_defaulted"] + RAW, took / max(done.count(), 1))
+        rows.write.mode("append").json(path)
     return path
 
 
@@ -182,39 +193,37 @@ def request_log_append(spark, sf):
 
 @register("request_log_stats", _LOGGED + """
 select endpoint, count(*)::bigint as n_requests, round(avg(predicted_price), 4) as mean_prediction,
-  round(avg(case when len(warns) > 0 then 1.0 else 0.0 end), 4) as warning_rate from scored
-group by endpoint""")
+  round(avg(case when len(warns) > 0 then 1.0 else 0.0 end), 4) as warning_rate,
+  count(*)::bigint as n_timed from scored group by endpoint""")
 def request_log_stats(spark, sf):
     log = spark.read.schema(_LOG_SCHEMA).json(_write_log(spark, sf))
     return R(log.groupBy("endpoint").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_requests"),
         F.avg("prediction").alias("mean_prediction"),
-        F.avg(F.when(F.size("warnings") > 0, 1.0).otherwise(0.0)).alias("warning_rate")))
+        F.avg(F.when(F.size("warnings") > 0, 1.0).otherwise(0.0)).alias("warning_rate"),
+        F.count_if(F.col("latency_ms") > 0).cast("bigint").alias("n_timed")))
 
 
 # ---------------------------------------------------------------- SRV-5/6 / PRJ-7 (fitted model)
-def _fitted(spark, sf):
-    t = _train(spark, sf)
-    return M.full_model(M.ridge(10.0), t.schema, "tree").fit(t)
-
-
 @register("score_batch")
 def score_batch(spark, sf):
-    model = _fitted(spark, sf)
+    from terrace.plans.q_model import served_model
+    served = served_model(spark, sf)
     good = _filled(spark, sf).filter(F.col("is_valid"))
     raw = good.select("request_id", "fields_defaulted", *[col(c) for c in RAW])  # trained order
     raw = raw.withColumn("warnings", SC.record_warnings(raw))
-    scored = model.transform(raw.withColumn("Id", F.col("request_id")))
-    p, lo, hi = SC.price_interval(F.col("prediction"), 0.0828)
+    scored = served["model"].transform(raw.withColumn("Id", F.col("request_id")))
+    p, lo, hi = SC.price_interval(F.col("prediction"), served["mape"])
     return scored.select("request_id", p.alias("predicted_price"), lo.alias("price_range_low"),
-                         hi.alias("price_range_high"), F.lit("single").alias("model_type"),
-                         "fields_defaulted",
+                         hi.alias("price_range_high"), F.lit(served["type"]).alias("model_type"),
+                         F.lit(served["version"]).alias("model_version"), "fields_defaulted",
                          F.array_join("warnings", " | ").alias("warnings"))
 
 
 @register("score_stream")
 def score_stream(spark, sf):
+    from terrace.plans.q_model import served_model
     from terrace.streaming.score_stream import run_score_stream
-    model = _fitted(spark, sf)
+    served = served_model(spark, sf)
     d, types = _defaults(spark, sf)
-    return run_score_stream(spark, requests(spark, sf), model, d, RAW, types)
+    return run_score_stream(spark, requests(spark, sf), served["model"], d, RAW, types, served["mape"])

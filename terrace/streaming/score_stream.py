@@ -1,7 +1,8 @@
 """Streaming form of record scoring.
 
 Records land as JSON files in a shared folder; a Structured Streaming query
-reads them with a declared schema (extra keys are ignored), applies the same
+reads their fields as text (extra keys are ignored), reads declared types from
+that so that a wrongly typed value is reported, not lost, applies the same
 column operators as the batch path -- normalise, validate, fill defaults,
 warn, predict with a fitted ``PipelineModel`` -- and in ``foreachBatch``
 writes scored rows, quarantined rows (with their error messages) and one log
@@ -14,60 +15,68 @@ duplicating rows.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terrace.functions.exprs import col
 from terrace.operators import score as SC
 from terrace.session import scratch_path
 
 
-def write_records(records: DataFrame, path: str, files: int = 4) -> None:
+def write_records(records: DataFrame, path: str) -> None:
     """Land records as JSON files (the stream's source folder)."""
-    records.repartition(files).write.mode("overwrite").json(path)
+    records.write.mode("overwrite").json(path)
 
 
 def scoring_batch(batch: DataFrame, model, defaults: dict, raw: list[str], types: dict,
-                  mape: float = 0.0828) -> tuple[DataFrame, DataFrame]:
-    v = SC.validate(SC.normalise(batch))
+                  mape: float) -> tuple[DataFrame, DataFrame]:
+    v = SC.validate(SC.coerce_types(SC.normalise(batch), types))
     bad = v.filter(~F.col("is_valid")).select(
-        "request_id", F.array_join("errors", "; ").alias("errors"))
+        F.col("request_id").cast("bigint").alias("request_id"), F.array_join("errors", "; ").alias("errors"))
     good = SC.fill_defaults(v.filter(F.col("is_valid")), defaults, raw, types)
-    good = good.withColumn("warnings", SC.record_warnings(good))
+    good = good.withColumn("warnings", SC.record_warnings(good)).withColumn("request_id", F.col("request_id").cast("bigint"))
     scored = model.transform(good.withColumn("Id", F.col("request_id")))
     p, lo, hi = SC.price_interval(F.col("prediction"), mape)
     out = scored.select("request_id", "endpoint", p.alias("predicted_price"),
                         lo.alias("price_range_low"), hi.alias("price_range_high"),
                         "fields_defaulted", "warnings")
-    return out, bad
+    inputs = good.select("request_id", F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw])).alias("inputs"))
+    return out.join(inputs, "request_id"), bad
 
 
 def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: dict,
-                     raw: list[str], types: dict) -> DataFrame:
+                     raw: list[str], types: dict, mape: float, max_files: int | None = None) -> DataFrame:
+    """Scores the landed records as a stream; one row per record, ``scored`` or
+    ``quarantined``.  ``max_files`` limits the files of one micro-batch."""
     base = scratch_path(spark, "stream")
     src, sink = os.path.join(base, "in"), os.path.join(base, "out")
     write_records(records, src)
-    schema = records.schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in records.schema.fields])
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        scored, bad = scoring_batch(batch, model, defaults, raw, types)
-        scored = scored.cache()
-        # idempotent per batch id: a replayed batch overwrites its own folder
-        scored.write.mode("overwrite").parquet(os.path.join(sink, "scored", f"batch={batch_id}"))
+        """Idempotent per batch id: a replayed batch overwrites its own folders."""
+        scored, bad = scoring_batch(batch, model, defaults, raw, types, mape)
+        path = os.path.join(sink, "scored", f"batch={batch_id}")
+        t0 = time.time()
+        scored.write.mode("overwrite").parquet(path)
+        took = (time.time() - t0) * 1000.0
         bad.write.mode("overwrite").parquet(os.path.join(sink, "quarantine", f"batch={batch_id}"))
-        SC.log_rows(scored, "stream", ["fields_defaulted"]).write.mode("overwrite").json(
+        done = batch.sparkSession.read.schema(scored.schema).parquet(path)
+        SC.log_rows(done, "stream", ["fields_defaulted", "inputs"], took / max(done.count(), 1)).write.mode("overwrite").json(
             os.path.join(sink, "log", f"batch={batch_id}"))
-        scored.unpersist()
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(src)
-         .writeStream.foreachBatch(per_batch)
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    q = (reader.json(src).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(sink, "scored")).select(
-        "request_id", "predicted_price", "price_range_low", "price_range_high",
-        "fields_defaulted", F.array_join("warnings", " | ").alias("warnings"))
-
-
-_ = col
+    scored = spark.read.parquet(os.path.join(sink, "scored")).select(
+        "request_id", F.lit("scored").alias("status"), "predicted_price", "price_range_low", "price_range_high",
+        "fields_defaulted", F.array_join("warnings", " | ").alias("warnings"), F.lit(None).cast("string").alias("errors"))
+    bad = spark.read.parquet(os.path.join(sink, "quarantine")).select(
+        "request_id", F.lit("quarantined").alias("status"), "errors")
+    return scored.unionByName(bad, allowMissingColumns=True)

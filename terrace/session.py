@@ -3,8 +3,12 @@ taken from the cluster's own ``spark.checkpoint.dir`` setting."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,11 +34,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's ``spark.checkpoint.dir``; only
-    when that is unset (tests) a scratch folder is created and registered."""
+    """Shared checkpoint folder: the session's ``spark.checkpoint.dir``.  Only a
+    session whose executors run inside the driver (``local[...]``) may do
+    without: it gets a scratch folder, which goes when the process ends.  On a
+    cluster a machine-local folder would lose data, so it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="terrace-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
@@ -44,5 +53,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
-    import uuid
     return os.path.join(base, f"terrace-{name}-{uuid.uuid4().hex[:12]}")

@@ -59,22 +59,42 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).json(path)
 
 
-def row_hash(cols: Sequence[str]) -> Column:
-    """32-bit md5 prefix of the '|'-joined row (NULL fields skipped)."""
-    s = F.concat_ws("|", *[col(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
-
-
-def table_fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Order-free content fingerprint: (rows, sum and xor-free sum of row hashes)
-    in one aggregation -- independent of partitioning and file layout."""
-    h = row_hash(cols)
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                  F.sum(h).cast("bigint").alias("fingerprint"))
+def _render(name: str, kind: T.DataType) -> Column:
+    c = col(name)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.format_string("%.6f", c.cast("double"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(c.cast("timestamp")).cast("string")
+    return c.cast("string")
+
+
+def row_text(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    """One string per row that tells all rows apart: every field with its length
+    before it, NULL as ``~`` (doubles to six decimals, timestamps in
+    microseconds, so that any engine can write the same)."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for c in cols or df.columns:
+        s = _render(c, kinds[c])
+        parts.append(F.when(col(c).isNotNull(), F.concat(F.length(s).cast("string"), F.lit("="), s)).otherwise(F.lit("~")))
+    return F.concat_ws("|", *parts)
+
+
+def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Order-free content fingerprint of all columns in one aggregation: the
+    rows, and the sums of two 60-bit parts of the rows' md5 (decimals, so no
+    row count overflows them) -- independent of partitioning and file layout."""
+    h = df.select(F.md5(row_text(df, cols)).alias("h"))
+    part = [F.sum(F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")) for at in (1, 17)]
+    return h.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                 F.concat_ws("-", *[F.coalesce(p, F.lit(0)).cast("decimal(38,0)").cast("string") for p in part]).alias("fingerprint"))
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """md5 of every file's bytes under ``path`` (binaryFile source)."""
+    """md5 of every file's bytes under ``path`` (binaryFile source; Spark reads a
+    file as one value, so files must stay under 2 GB)."""
     return spark.read.format("binaryFile").load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "length",
         F.md5("content").alias("md5"))

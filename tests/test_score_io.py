@@ -52,9 +52,50 @@ def test_read_csv_token_set(spark, tmp_path):
 
 def test_fingerprint_partition_invariant(spark):
     df = spark.range(0, 500).selectExpr("id", "cast(id % 7 as string) as s")
-    a = IO.table_fingerprint(df.repartition(1), ["id", "s"]).first()
-    b = IO.table_fingerprint(df.repartition(9), ["id", "s"]).first()
-    assert a == b
+    a = IO.table_fingerprint(df.repartition(1)).first()
+    b = IO.table_fingerprint(df.repartition(9)).first()
+    assert a == b and a["n_rows"] == 500
+
+
+def test_fingerprint_sees_every_change(spark):
+    rows = [("a", None, 1.5), (None, "a", 1.5), ("a|1=", "", 1.5), ("a", "|1=", 1.5), ("a", None, 1.6), ("", None, 1.5)]
+    prints = {IO.table_fingerprint(spark.createDataFrame([r], "x string, y string, z double")).first()["fingerprint"] for r in rows}
+    assert len(prints) == len(rows)
+    empty = IO.table_fingerprint(spark.createDataFrame([], "x string")).first()
+    assert (empty["n_rows"], empty["fingerprint"]) == (0, "0-0")
+
+
+def test_wrong_types_are_reported(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([("big", "7", "NAmes", "1500"), ("1.5", "7.0", "NAmes", "1500"), (None, "x", "NAmes", None)],
+                               "LotArea string, OverallQual string, Neighborhood string, GrLivArea string")
+    types = {"LotArea": T.IntegerType(), "OverallQual": T.IntegerType(), "GrLivArea": T.DoubleType(), "Neighborhood": T.StringType()}
+    out = SC.validate(SC.coerce_types(df, types)).collect()
+    assert out[0]["errors"] == ["LotArea: wrong type"] and out[0]["LotArea"] is None
+    assert out[1]["errors"] == ["LotArea: wrong type"] and out[1]["OverallQual"] == 7
+    assert out[2]["errors"] == ["GrLivArea: field required", "OverallQual: wrong type"]
+
+
+def test_stream_scores_and_quarantines(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.sql import types as T
+
+    from terrace.operators.models import GroupMedianRegressor
+    from terrace.streaming.score_stream import run_score_stream, scoring_batch
+    types = {"LotArea": T.IntegerType(), "OverallQual": T.IntegerType(), "GrLivArea": T.DoubleType(), "Neighborhood": T.StringType(),
+             "YearBuilt": T.IntegerType(), "YearRemodAdd": T.IntegerType(), "YrSold": T.IntegerType()}
+    train = spark.createDataFrame([("NAmes", 100.0), ("NAmes", 120.0), ("Gilbert", 300.0)], "Neighborhood string, SalePrice double")
+    model = Pipeline(stages=[GroupMedianRegressor(groupCol="Neighborhood", labelCol="SalePrice")]).fit(train)
+    rows = [(1, "/p", "9000", 7, 1500.0, "NAmes"), (2, "/p", "big", 7, 1500.0, "NAmes"), (3, "/p", None, 7, 1500.0, "Gilbert"),
+            (4, "/p", "9000", None, 1500.0, "NAmes")]
+    records = spark.createDataFrame(rows, "request_id long, endpoint string, LotArea string, OverallQual int, GrLivArea double, Neighborhood string")
+    defaults = {"LotArea": 9000.5, "YearBuilt": 1990.0, "YearRemodAdd": 1990.0, "YrSold": 2008.0}
+    out = {r["request_id"]: r for r in run_score_stream(spark, records, model, defaults, list(types), types, 0.1, max_files=1).collect()}
+    assert {i: r["status"] for i, r in out.items()} == {1: "scored", 2: "quarantined", 3: "scored", 4: "quarantined"}
+    assert out[1]["predicted_price"] == 110.0 and out[1]["price_range_high"] == 121.0 and out[3]["fields_defaulted"] == 4
+    assert out[2]["errors"] == "LotArea: wrong type" and out[4]["errors"] == "OverallQual: field required"
+    again, bad = scoring_batch(records, model, defaults, list(types), types, 0.1)  # a replay gives the same rows
+    assert {r["request_id"]: r["predicted_price"] for r in again.collect()} == {1: 110.0, 3: 300.0} and bad.count() == 2
 
 
 def test_run_log_widen(spark, tmp_path):

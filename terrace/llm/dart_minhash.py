@@ -10,12 +10,14 @@ is doubled.  Two texts agree in a coordinate with the probability of their
 weighted Jaccard similarity.
 
 Signatures are joined by bands.  Texts with the same word sequence are one
-class from the start.  In a bucket, pairs of texts not yet connected whose
-signatures agree enough are verified by their whole shingle sets (32-bit
-hashes of the cells); connected components of the verified links are the
-classes.  Each round verifies the best partners of each text that its bucket
-still holds apart, and the rounds end when no untested pair is left, so there
-is no cap on partners; large buckets are cut into tiles of bounded size.
+class from the start.  Connected components of the links that hold for the
+whole shingle sets (32-bit hashes of the cells) are the classes; two passes
+find them.  The first verifies each text against the one before it in its
+bucket that agrees best, which connects nearly all.  The second takes the buckets that still
+hold texts of several components, ships their sets once, and verifies in place
+every pair across components whose signatures agree enough; so there is no cap
+on partners, and only links leave a bucket.  Large buckets are cut into tiles
+of bounded rows and bytes.
 
 A text of fewer than five words is one shingle.  A null text or one without
 words is a class of its own.  Repeated rows are in one class, and one row
@@ -144,75 +146,99 @@ def _signed(docs: DataFrame, bands: int, rows: int, text: str, key: str) -> Data
     return source.mapInArrow(run, "row long, doc_id long, text_hash long, words binary, bands array<long>, sketch binary, cells binary")
 
 
-def _agreeing(sketch: np.ndarray, label: np.ndarray, side: np.ndarray, least: int, partners: int):
-    """Row pairs of one tile that agree in ``least`` coordinates, of different
-    labels and, where the tile has two sides, of different sides; at most
-    ``partners`` best ones for each row (the rest waits for a later round)."""
+def _linked(left: list[bytes], right: list[bytes], similarity: float) -> np.ndarray:
+    """Whether the weighted Jaccard similarity of each pair of cell sets (sorted
+    32-bit hashes) reaches ``similarity``."""
+    out = np.zeros(len(left), bool)
+    for s in range(0, len(left), 512):
+        raw = [left[s:s + 512], right[s:s + 512]]
+        size = np.array([[len(x) // 4 for x in r] for r in raw])
+        n = size.shape[1]
+        number = np.repeat(np.tile(np.arange(n), 2), size.ravel()).astype(np.uint64) << np.uint64(32)
+        both = np.sort(number | np.frombuffer(b"".join(raw[0] + raw[1]), np.uint32).astype(np.uint64))
+        same = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
+        inter = np.bincount(same.astype(np.int64), minlength=n)
+        out[s:s + n] = inter >= similarity * (size.sum(axis=0) - inter) - 1e-9
+    return out
+
+
+def _agreeing(sketch: np.ndarray, label: np.ndarray, side: np.ndarray, least: int, best: bool):
+    """Row pairs (later, earlier) of one tile that agree in ``least``
+    coordinates, of different labels and, where the tile has two sides, of
+    different sides: all of them, or the ``best`` one of each later row."""
     n, two = len(sketch), bool(side.min() != side.max())
     for s in range(0, n, 128):
         rows = np.arange(s, min(s + 128, n))
         agree = np.empty((len(rows), n), np.int16)
         for c in range(0, n, 512):
             agree[:, c:c + 512] = (sketch[rows, None, :] == sketch[None, c:c + 512, :]).sum(axis=2, dtype=np.int16)
-        ok = (agree >= least) & (label[rows, None] != label[None, :])
+        ok = (agree >= least) & (label[rows, None] != label[None, :]) & (rows[:, None] > np.arange(n)[None, :])
         if two:
             ok &= side[rows, None] != side[None, :]
-        agree[~ok] = -1
-        if n > partners:
-            best = np.argpartition(-agree, partners - 1, axis=1)[:, :partners]
-            i, j = np.repeat(np.arange(len(rows)), partners), best.ravel()
+        if best:
+            agree[~ok] = -1
+            j = agree.argmax(axis=1)
+            i = np.flatnonzero(agree[np.arange(len(rows)), j] >= 0)
+            yield rows[i], j[i]
         else:
             i, j = np.nonzero(ok)
-        good = agree[i, j] >= 0
-        yield rows[i[good]], j[good]
+            yield rows[i], j
 
 
-def _candidates(members: DataFrame, least: int, partners: int, tile: int) -> DataFrame:
-    """(a, b), a < b, to verify, from rows (band, n, rep, label, sketch)."""
-    blocks = F.ceil(F.col("n") / tile).cast("int")
+def _pairs(members: DataFrame, least: int, tile: int, similarity: float | None) -> DataFrame:
+    """(a, b), a < b, from rows (band, n, bytes, rep, label, sketch, cells) of
+    buckets: the best one of each row, to be verified, or with ``similarity``
+    all pairs that reach it."""
+    blocks = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / (tile << 12))).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    tiled = members.select("band", blocks.alias("nb"), own.alias("own"), "rep", "label", "sketch").select(
-        "band", "own", "rep", "label", "sketch", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")).select(
-        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "label", "sketch")
+    tiled = members.select("band", blocks.alias("nb"), own.alias("own"), "rep", "label", "sketch", "cells").select(
+        "band", "own", "rep", "label", "sketch", "cells", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")).select(
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "label", "sketch", "cells")
     dealt = tiled.repartition(partitions(members.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
 
-    def pairs(t: pa.Table) -> pa.RecordBatch:
+    def found(t: pa.Table) -> pa.RecordBatch:
         band, i, j, own, rep, label = (t.column(c).to_numpy() for c in range(6))
         k = len(t.column(6)[0].as_py())
         sketch = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint8).reshape(-1, k)
+        cells = t.column(7).to_pylist() if similarity is not None else None
         new = np.ones(len(band), bool)
         new[1:] = (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(band)))
-        a, b = [], []
-        for n in np.unique(size[(size > 1) & (size <= 8)]).tolist():  # small tiles: all of one size at once
-            p, q = np.triu_indices(n, 1)
-            at = start[size == n]
-            for c in range(0, len(at), 4096):
-                x, y = (at[c:c + 4096, None] + p).ravel(), (at[c:c + 4096, None] + q).ravel()
-                ok = label[x] != label[y]
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def take(x, y):
+            if cells is not None and len(x):
+                ok = _linked([cells[c] for c in x.tolist()], [cells[c] for c in y.tolist()], similarity)
                 x, y = x[ok], y[ok]
-                ok = (sketch[x] == sketch[y]).sum(axis=1) >= least
-                ok &= (i[x] == j[x]) | (own[x] != own[y])
-                a.append(x[ok])
-                b.append(y[ok])
+            a.append(x)
+            b.append(y)
+
+        for n in np.unique(size[(size > 1) & (size <= 8)]).tolist():  # small tiles: all of one size at once
+            for c in range(0, int((size == n).sum()), 4096):
+                at = start[size == n][c:c + 4096]
+                for q in range(1, n):
+                    y = at[:, None] + np.arange(q)
+                    x = np.broadcast_to(at[:, None] + q, y.shape)
+                    agree = (sketch[x] == sketch[y]).sum(axis=2)
+                    ok = (agree >= least) & (label[x] != label[y]) & ((i[x] == j[x]) | (own[x] != own[y]))
+                    if similarity is None:
+                        first = np.where(ok, agree, -1).argmax(axis=1)[:, None] == np.arange(q)
+                        ok &= first
+                    take(x[ok], y[ok])
         for s, n in zip(start[size > 8].tolist(), size[size > 8].tolist()):
             part = slice(s, s + n)
             side = own[part] if i[s] != j[s] else np.zeros(n, np.int64)
-            if i[s] != j[s] and side.min() == side.max():
-                continue
-            if label[part].min() == label[part].max():
+            if (i[s] != j[s] and side.min() == side.max()) or label[part].min() == label[part].max():
                 continue
-            for x, y in _agreeing(sketch[part], label[part], side, least, partners):
-                a.append(s + x)
-                b.append(s + y)
-        x = rep[np.concatenate(a)] if a else np.zeros(0, np.int64)
-        y = rep[np.concatenate(b)] if b else np.zeros(0, np.int64)
-        found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            for x, y in _agreeing(sketch[part], label[part], side, least, similarity is None):
+                take(s + x, s + y)
+        x, y = rep[np.concatenate(a)], rep[np.concatenate(b)]
+        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def run(batches):
-        kept = None
+        kept = None  # the rows of the last tile, which the next batch may go on with
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([kept, t]) if kept is not None else t
@@ -220,35 +246,38 @@ def _candidates(members: DataFrame, least: int, partners: int, tile: int) -> Dat
                 continue
             t = t.combine_chunks()
             band, i, j = (t.column(c).to_numpy() for c in range(3))
-            last = len(band) - int(np.argmax(((band != band[-1]) | (i != i[-1]) | (j != j[-1]))[::-1])) \
-                if band[0] != band[-1] or i[0] != i[-1] or j[0] != j[-1] else 0
+            other = np.flatnonzero((band != band[-1]) | (i != i[-1]) | (j != j[-1]))
+            last = int(other[-1]) + 1 if len(other) else 0
             if last:
-                yield pairs(t.slice(0, last).combine_chunks())
+                yield found(t.slice(0, last).combine_chunks())
             kept = t.slice(last)
         if kept is not None and kept.num_rows:
-            yield pairs(kept.combine_chunks())
+            yield found(kept.combine_chunks())
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs with ``linked``: weighted Jaccard of the whole cell sets."""
+    """The pairs whose whole cell sets reach the similarity."""
     def run(batches):
-        for batch in batches:
-            for s in range(0, batch.num_rows, 512):
-                b = batch.slice(s, 512)
-                raw = [b.column(c).to_pylist() for c in (2, 3)]
-                size = np.array([[len(x) // 4 for x in r] for r in raw])
-                number = np.repeat(np.tile(np.arange(b.num_rows), 2), size.ravel()).astype(np.uint64) << np.uint64(32)
-                both = np.sort(number | np.frombuffer(b"".join(raw[0] + raw[1]), np.uint32).astype(np.uint64))
-                same = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
-                inter = np.bincount(same.astype(np.int64), minlength=b.num_rows)
-                linked = inter >= similarity * (size.sum(axis=0) - inter) - 1e-9
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(linked)], ["a", "b", "linked"])
+        for b in batches:
+            ok = pa.array(_linked(b.column(2).to_pylist(), b.column(3).to_pylist(), similarity))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["a", "b"])
 
     left = sets.select(F.col("row").alias("a"), F.col("cells").alias("x"))
     right = sets.select(F.col("row").alias("b"), F.col("cells").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after ``links`` too: components of the links between old labels."""
+    old = labels.select(F.col("node").alias("n_"), F.col("label").alias("l_"))
+    ends = links.join(old, F.col("a") == F.col("n_"), "left").withColumn("a", F.coalesce("l_", "a")).drop("n_", "l_")
+    ends = ends.join(old, F.col("b") == F.col("n_"), "left").withColumn("b", F.coalesce("l_", "b")).drop("n_", "l_")
+    merged = components(ends).toDF("n_", "l_")
+    named = labels.join(merged, F.col("label") == F.col("n_"), "left").select("node", F.coalesce("l_", "label").alias("label"))
+    return save(named.unionByName(merged.join(labels.select(F.col("node").alias("x")), F.col("n_") == F.col("x"), "left_anti")
+                                  .select(F.col("n_").alias("node"), F.col("l_").alias("label"))), "darts-labels")
 
 
 def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = 24, rows: int = 5, margin: float = 0.15,
@@ -263,34 +292,22 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = 24, rows
     active = members.select(F.col("rep").alias("row")).distinct()
     sets = save(table.select("row", "sketch", "cells").join(active, "row"), "darts-active")
     least = int(bands * rows * (similarity - margin))
-    tested = labels = None
-    partners = 4
-    while True:
-        named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left") if labels is not None else members.withColumn("label", F.lit(None).cast("long"))
-        named = named.withColumn("label", F.coalesce("label", "rep"))
-        w = Window.partitionBy("band")
-        apart = named.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).where("lo <> hi").drop("lo", "hi")
-        apart = apart.join(sets.select(F.col("row").alias("rep"), "sketch"), "rep")
-        fresh = _candidates(apart, least, partners, tile)
-        if tested is not None:
-            fresh = fresh.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        result = save(_verified(fresh, sets, similarity), "darts-verified")
-        n = result.count()
-        if n == 0 and partners >= 1 << 20:
-            break
-        tested = result if tested is None else save(tested.unionByName(result), "darts-tested")
-        if n:
-            labels = components(tested.where("linked"))
-            partners *= 8
-        else:  # all best partners are tested: ask for all
-            partners = 1 << 20
+    sketches = sets.select(F.col("row").alias("rep"), "sketch", "cells", F.octet_length("cells").cast("long").alias("size"))
+    light = members.join(sketches.drop("cells", "size"), "rep").select(
+        "band", "n", F.lit(0).alias("bytes"), "rep", F.col("rep").alias("label"), "sketch", F.lit(None).cast("binary").alias("cells"))
+    links = save(_verified(_pairs(light, least, tile, None), sets, similarity), "darts-links")
+    labels = components(links)
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    w = Window.partitionBy("band")
+    apart = named.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).where("lo <> hi")
+    full = apart.join(sketches, "rep").withColumn("bytes", F.sum("size").over(w))
+    more = save(_pairs(full, least, tile, similarity), "darts-links")
+    if not more.isEmpty():
+        labels = _relabel(labels, more)
     rows_ = table.select("row", "doc_id", "text_hash", "words")
     total = rows_.count()
     named = attach(rows_, same.select("words", "copies", "rep"), "words", "copies", total)
-    if labels is not None:
-        named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    else:
-        named = named.withColumn("label", F.col("rep"))
+    named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = save(named.select("row", "doc_id", "text_hash", "label"), "darts-named")
     classes = save(named.groupBy("label").agg(F.count("*").alias("class_size"), F.min(F.struct("doc_id", "row")).alias("best")), "darts-classes")
     out = attach(named, classes, "label", "class_size", total)

@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.exprs import col
@@ -144,25 +144,82 @@ def oof_predictions(df: DataFrame, pipelines: dict[str, Pipeline], id_col: str,
         .withColumnRenamed("_id", id_col)
 
 
+# ---------------------------------------------------------------- prepared folds
+def prepared_folds(train: DataFrame, holdout: DataFrame | None, prep: Pipeline, fold_col: str, label: str,
+                   parallelism: int = 4) -> dict[object, tuple[list[str], DataFrame, DataFrame]]:
+    """Feature names, training rows and test rows of every fold, with ``prep``
+    fitted on the fold's training rows once for all models and variants that
+    use it; under ``None`` the whole of ``train`` against ``holdout``.  The
+    prepared rows (label, features, target) are written to the shared folder."""
+    from terrace.session import scratch_path
+    spark = train.sparkSession
+    folds: list = sorted(r[0] for r in train.select(col(fold_col)).distinct().collect())
+
+    def one(f):
+        tr = train.drop(fold_col) if f is None else train.filter(col(fold_col) != f).drop(fold_col)
+        te = holdout if f is None else train.filter(col(fold_col) == f).drop(fold_col)
+        model = prep.fit(tr)
+        frames = []
+        for part in (tr, te):
+            path = scratch_path(spark, "fold")
+            model.transform(part).select("label", "features", col(label)).write.parquet(path)
+            frames.append(spark.read.parquet(path))
+        return f, (model.stages[-1].getInputCols(), *frames)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        return dict(ex.map(one, [*folds, *([None] if holdout is not None else [])]))
+
+
 # ---------------------------------------------------------------- ablation (MOD-11..13)
-def ablation_table(scores: DataFrame, full_variant: str = "full") -> DataFrame:
-    """Delta CV of every variant against the full feature set, per model."""
-    s = scores.groupBy("variant", "model").agg(F.avg("test_rmse_log").alias("cv_rmse_log"))
-    full = s.filter(F.col("variant") == full_variant).select(
-        "model", F.col("cv_rmse_log").alias("full_rmse_log"))
-    return s.join(full, "model").withColumn("delta", F.col("cv_rmse_log") - F.col("full_rmse_log"))
+def ablate_features(prepared: dict[str, dict], models: dict[str, tuple], variants: dict[str, list[str]], label: str,
+                    parallelism: int = 4) -> DataFrame:
+    """One row per (model, variant): CV mean and standard deviation, validation
+    error, and the change of the mean against the ``full`` variant.
+
+    ``prepared`` holds :func:`prepared_folds` per kind of preprocessing and
+    ``models`` maps names to (regressor, kind).  Preprocessing treats every
+    column alone, so a variant only leaves out its columns' vector slots."""
+    from pyspark.ml.feature import VectorSlicer
+    some = next(iter(next(iter(prepared.values())).values()))[1]
+    spark = some.sparkSession
+
+    def one(task):
+        name, variant, fold = task
+        regressor, kind = models[name]
+        names, tr, te = prepared[kind][fold]
+        keep = [i for i, n in enumerate(names) if n not in variants[variant]]
+        cut = VectorSlicer(inputCol="features", outputCol="kept", indices=keep)
+        model = regressor.copy({regressor.featuresCol: "kept"}).fit(cut.transform(tr))
+        scored = model.transform(cut.transform(te)).withColumn("prediction", F.expm1("log_prediction"))
+        return name, variant, fold, _score(scored, label)
+
+    tasks = [(m, v, f) for m, (_, kind) in models.items() for v in variants for f in prepared[kind]]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        got = list(ex.map(one, tasks))
+    rows = []
+    for m in models:
+        mean = {}
+        for v in variants:
+            cv = [s for a, b, f, s in got if (a, b) == (m, v) and f is not None]
+            mean[v] = sum(cv) / len(cv)
+            std = math.sqrt(sum((x - mean[v]) ** 2 for x in cv) / len(cv))
+            val = next((s for a, b, f, s in got if (a, b, f) == (m, v, None)), None)
+            rows.append((m, v, mean[v], std, val, mean[v] - mean["full"]))
+    return spark.createDataFrame(rows, "model string, variant string, cv_rmse_log_mean double, cv_rmse_log_std double, "
+                                       "val_rmse_log double, delta_vs_full double")
 
 
-def ablation_decision(table: DataFrame, keep_margin: float = 0.001) -> DataFrame:
-    """KEEP a feature group when dropping it hurts some model by > margin."""
-    return table.filter(F.col("variant") != "full").groupBy("variant").agg(
-        F.max("delta").alias("max_delta")).withColumn(
-        "decision", F.when(F.col("max_delta") > keep_margin, F.lit("KEEP")).otherwise(F.lit("DROP")))
+def weak_feature_decision(table: DataFrame, features: Sequence[str], keep_margin: float = 0.001) -> DataFrame:
+    """KEEP a weak feature when leaving it out hurts some model by more than the margin."""
+    names = {f"minus_{f}": f for f in features}
+    worst = table.filter(F.col("variant").isin(list(names))).groupBy("variant").agg(F.max("delta_vs_full").alias("max_delta"))
+    return worst.select(F.expr("substring(variant, 7)").alias("feature"), "max_delta",
+                        F.when(F.col("max_delta") > keep_margin, "KEEP").otherwise("DROP").alias("decision"))
 
 
-def ablation_gain(table: DataFrame, variant: str = "no_engineered") -> DataFrame:
-    return table.filter(F.col("variant") == variant).select(
-        "model", F.col("delta").alias("engineered_gain"))
+def engineered_gain(table: DataFrame, variant: str = "no_engineered") -> DataFrame:
+    """How much worse each model is without the engineered features."""
+    return table.filter(F.col("variant") == variant).select("model", F.col("delta_vs_full").alias("engineered_gain"))
 
 
 # ---------------------------------------------------------------- search (MOD-14..16)
@@ -179,39 +236,46 @@ def sample_space(space: dict[str, tuple], rng: random.Random) -> dict:
     return out
 
 
-def random_search(spark: SparkSession, df: DataFrame, build: Callable[[dict], Pipeline],
-                  space: dict[str, tuple], trials: int, seed: int = 42, fold_col: str = "fold",
-                  label: str = "SalePrice", parallelism: int = 4,
-                  time_limit_s: float | None = None) -> DataFrame:
-    """Seeded random search; every trial is a cross-validation.  Returns the
-    trial table (trial, params json, cv_rmse_log)."""
+def linear_search(prepared: dict, build: Callable[[dict], object], space: dict[str, tuple], trials: int, label: str,
+                  seed: int = 42, parallelism: int = 8) -> DataFrame:
+    """Seeded random search over a linear model's parameters: (trial, params,
+    cv_rmse_log).  ``prepared`` are :func:`prepared_folds`; every trial is one
+    fit of Spark's linear regression per fold (one pass over the fold's cached
+    rows, many of them at a time), and one pass per fold scores all trials."""
     import json
-
     rng = random.Random(seed)
     params = [sample_space(space, rng) for _ in range(trials)]
-    t_start = time.time()
-    rows = []
-    for t, p in enumerate(params):
-        if time_limit_s is not None and time.time() - t_start > time_limit_s:
-            break
-        sc = cross_validate(df, {"m": build(p)}, fold_col, label, parallelism=parallelism,
-                            with_train=False)
-        cv = sc.agg(F.avg("test_rmse_log")).first()[0]
-        rows.append((t, json.dumps(p, sort_keys=True), float(cv)))
+    folds = [f for f in prepared if f is not None]
+    spark = prepared[folds[0]][1].sparkSession
+    total = [0.0] * trials
+    for f in folds:
+        _, tr, te = prepared[f]
+        tr = tr.select("label", "features").persist()
+        try:
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+                models = list(ex.map(lambda p: build(p).fit(tr), params))
+        finally:
+            tr.unpersist()
+        scored = te
+        for t, m in enumerate(models):
+            scored = m.setPredictionCol(f"_p{t}").transform(scored)
+        row = scored.agg(*[rmse_log(col(label), F.expm1(F.col(f"_p{t}"))).alias(f"e{t}") for t in range(trials)]).first()
+        total = [a + row[f"e{t}"] for t, a in enumerate(total)]
+    rows = [(t, json.dumps(p, sort_keys=True), total[t] / len(folds)) for t, p in enumerate(params)]
     return spark.createDataFrame(rows, "trial int, params string, cv_rmse_log double")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
-    return trials.agg(F.min_by("trial", F.struct("cv_rmse_log", "trial")).alias("best_trial"),
-                      F.min("cv_rmse_log").alias("best_cv_rmse_log"),
-                      F.min_by("params", F.struct("cv_rmse_log", "trial")).alias("best_params"))
+    """The best trial of every model (ties: the earlier one)."""
+    at = F.struct("cv_rmse_log", "trial")
+    return trials.groupBy("model").agg(F.min_by("trial", at).alias("best_trial"), F.min("cv_rmse_log").alias("best_cv_rmse_log"),
+                                       F.min_by("params", at).alias("best_params"))
 
 
 def trial_history(trials: DataFrame) -> DataFrame:
-    """Running best over trial number (optimisation history)."""
+    """Running best over the trial number of every model (optimisation history)."""
     from pyspark.sql.window import Window
-    # the trial table has one row per trial (tens to hundreds): a small frame
-    w = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("model").orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
     return trials.withColumn("best_so_far", F.min("cv_rmse_log").over(w))
 
 
@@ -220,5 +284,3 @@ def tuning_before_after(tuned: DataFrame, baseline: DataFrame) -> DataFrame:
     return tuned.join(baseline, "model", "left").withColumn(
         "improvement", F.col("baseline_cv_rmse_log") - F.col("tuned_cv_rmse_log"))
 
-
-_ = Sequence

@@ -552,62 +552,62 @@ def feature_importance(spark, sf):
         F.col("importance").desc())
 
 
-_VARIANTS = {"full": [], "no_engineered": NEW_FEATURES, "no_lot_ratio": ["LotRatio"],
-             "no_is_remodeled": ["IsRemodeled"], "no_ages": ["HouseAge", "RemodAge"]}
-
-
-def _ablation_scores(spark, sf):
-    tr, _, _ = _frames(spark, sf)
-    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
-    schema = tr.drop("fold").schema
-    parts = []
-    for variant, dropped in _VARIANTS.items():
-        after = sorted(set(DROP_AFTER) - set(dropped)) if variant != "full" else list(DROP_AFTER)
-        after = sorted(set(after) | set(dropped))
-        pipes = {m: M.full_model(reg, schema, kind, drop_after=after)
-                 for m, (reg, kind) in _CV_MODELS.items()}
-        parts.append(CV.cross_validate(tr, pipes, "fold", "SalePrice", parallelism=4,
-                                       with_train=False).withColumn("variant", F.lit(variant)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+_WEAK = ["LotRatio", "IsRemodeled"]
+_VARIANTS = {"full": [], "minus_LotRatio": ["LotRatio"], "minus_IsRemodeled": ["IsRemodeled"],
+             "minus_both_weak": _WEAK, "no_engineered": NEW_FEATURES}
 
 
 def _ablation(spark, sf):
-    return _memo(spark, sf, "ablation", lambda: _ablation_scores(spark, sf).cache())
+    """The ablation table over five folds and the validation rows, with all
+    engineered features in the full set (the two weak ones too)."""
+    def build():
+        tr, va, _ = _frames(spark, sf)
+        after = [c for c in DROP_AFTER if c not in _WEAK]
+        prepared = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind, drop_after=after),
+                                            "fold", "SalePrice") for kind in ("linear", "tree")}
+        models = {"lasso": (M.lasso(0.0005), "linear"), "lightgbm": (M.gbt("lightgbm"), "tree")}
+        return CV.ablate_features(prepared, models, _VARIANTS, "SalePrice")
+    return _memo(spark, sf, "ablation", build)
 
 
 @register("ablation_table")
 def ablation_table(spark, sf):
-    return CV.ablation_table(_ablation(spark, sf))
+    return _ablation(spark, sf)
 
 
 @register("ablation_decision")
 def ablation_decision(spark, sf):
-    return CV.ablation_decision(CV.ablation_table(_ablation(spark, sf)))
+    return CV.weak_feature_decision(_ablation(spark, sf), _WEAK)
 
 
 @register("ablation_gain")
 def ablation_gain(spark, sf):
-    return CV.ablation_gain(CV.ablation_table(_ablation(spark, sf)))
+    return CV.engineered_gain(_ablation(spark, sf))
 
 
-_SPACE = {"alpha": ("log", 1e-5, 1e-2)}
+_PENALTY = ("log", 1e-5, 1e-2)
+_SEARCHES = {  # space, trials, model of a parameter set, untuned model
+    "lasso": ({"alpha": _PENALTY}, 60, lambda p: M.lasso(p["alpha"]), M.lasso(0.0005)),
+    "elasticnet": ({"alpha": _PENALTY, "l1_ratio": ("uniform", 0.05, 0.95)}, 60,
+                   lambda p: M.elasticnet(p["alpha"], p["l1_ratio"]), M.elasticnet(0.0005, 0.5))}
 
 
-def _trials(spark, sf, trials: int = 20):
-    return _memo(spark, sf, f"trials{trials}", lambda: _search(spark, sf, trials))
+def _linear_folds(spark, sf):
+    """Five folds with the linear preprocessing, prepared once per session."""
+    def build():
+        tr, va, _ = _frames(spark, sf)
+        return CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, "linear"), "fold", "SalePrice")
+    return _memo(spark, sf, "linear_folds", build)
 
 
-def _search(spark, sf, trials):
-    """Lasso penalty search: per fold one preprocessing fit and one Gram pass,
-    every trial an exact p x p solve, one scoring pass for all trials."""
-    from terrace.operators.linear_search import gram_search
-    tr, _, _ = _frames(spark, sf)
-    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED)
-    prep = M.prep_pipeline(tr.drop("fold").schema, "linear")
-    return gram_search(spark, tr, prep, _SPACE, trials, "fold", "SalePrice", SEED).cache()
+def _trials(spark, sf):
+    def build():
+        folds, out = _linear_folds(spark, sf), None
+        for name, (space, trials, make, _) in _SEARCHES.items():
+            t = CV.linear_search(folds, make, space, trials, "SalePrice", SEED).withColumn("model", F.lit(name))
+            out = t if out is None else out.unionByName(t)
+        return out
+    return _memo(spark, sf, "trials", build)
 
 
 @register("tune_search")
@@ -627,16 +627,11 @@ def tune_history(spark, sf):
 
 @register("tuning_before_after")
 def tuning_before_after(spark, sf):
-    tr, _, _ = _frames(spark, sf)
-    tr = S.kfold(tr.drop("fold"), "Id", 3, SEED).cache()
-    schema = tr.drop("fold").schema
-    base = CV.cross_validate(tr, {"lasso": M.full_model(M.lasso(0.0005), schema, "linear")},
-                             "fold", "SalePrice", with_train=False)
-    base = base.groupBy("model").agg(F.avg("test_rmse_log").alias("baseline_cv_rmse_log"))
-    best = CV.best_trial(_trials(spark, sf)).select(
-        F.lit("lasso").alias("model"), F.col("best_cv_rmse_log").alias("tuned_cv_rmse_log"),
-        "best_params")
-    return CV.tuning_before_after(best, base)
+    models = {name: (base, "linear") for name, (_, _, _, base) in _SEARCHES.items()}
+    before = CV.ablate_features({"linear": _linear_folds(spark, sf)}, models, {"full": []}, "SalePrice").select(
+        "model", F.col("cv_rmse_log_mean").alias("baseline_cv_rmse_log"))
+    best = CV.best_trial(_trials(spark, sf)).select("model", F.col("best_cv_rmse_log").alias("tuned_cv_rmse_log"), "best_params")
+    return CV.tuning_before_after(best, before)
 
 
 def served_model(spark, sf) -> dict:

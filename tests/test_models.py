@@ -105,22 +105,25 @@ def test_log_blend_model(spark, tmp_path):
     assert again.weights == [1.0, 0.0]
 
 
-def test_gram_solver_matches_spark(spark):
-    from terrace.operators.linear_search import gram_stats, solve_enet
-    df, X, y = _data(spark)
-    st = gram_stats(df)
-    for est, alpha, rho in ((M.lasso(0.05), 0.05, 1.0), (M.elasticnet(0.05, 0.5), 0.05, 0.5),
-                            (M.elasticnet(0.2, 0.0), 0.2, 0.0)):
-        w, b = solve_enet(st, alpha, rho)
-        assert np.allclose(w, _cd_enet(X, y, alpha, rho), atol=1e-6)
-    m = M.lasso(0.05).fit(df)
-    w, b = solve_enet(st, 0.05, 1.0)
-    assert np.allclose(m.coefficients.toArray(), w, atol=2e-4) and abs(m.intercept - b) < 2e-4
-
-
-def test_gram_search_trial_table(spark):
-    from terrace.operators.linear_search import gram_search
-    df = S.kfold(synthetic_sales(spark, 600), "Id", 3).cache()
-    prep = M.prep_pipeline(df.drop("fold").schema, "tree")
-    t = gram_search(spark, df, prep, {"alpha": ("log", 1e-4, 1e-2)}, 5).collect()
-    assert len(t) == 5 and all(0 < r["cv_rmse_log"] < 0.3 for r in t)
+def test_linear_search_trial_table(spark):
+    import json
+
+    from terrace.operators import cv as CV
+    df = S.kfold(synthetic_sales(spark, 600), "Id", 3)
+    folds = CV.prepared_folds(df, None, M.prep_pipeline(df.drop("fold").schema, "linear"), "fold", "SalePrice")
+    space = {"alpha": ("log", 1e-4, 1e-2)}
+    trials = CV.linear_search(folds, lambda p: M.lasso(p["alpha"]), space, 5, "SalePrice")
+    rows = trials.collect()
+    assert len(rows) == 5 and all(0 < r["cv_rmse_log"] < 0.3 for r in rows)
+    assert [json.loads(r["params"]) for r in rows] == [json.loads(r["params"]) for r in CV.linear_search(
+        folds, lambda p: M.lasso(p["alpha"]), space, 5, "SalePrice").collect()]
+    alone = CV.ablate_features({"linear": folds}, {"lasso": (M.lasso(json.loads(rows[2]["params"])["alpha"]), "linear")}, {"full": []},
+                               "SalePrice").first()
+    assert abs(alone["cv_rmse_log_mean"] - rows[2]["cv_rmse_log"]) < 1e-9
+    named = trials.withColumn("model", F.lit("lasso"))
+    best = CV.best_trial(named).first()
+    assert best["best_cv_rmse_log"] == min(r["cv_rmse_log"] for r in rows)
+    history = [r["best_so_far"] for r in CV.trial_history(named).orderBy("trial").collect()]
+    assert history == list(np.minimum.accumulate([r["cv_rmse_log"] for r in rows]))
+
+

@@ -97,7 +97,7 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Column], n_shards: int, bits
     narrow = docs.select(
         F.col(key).alias("doc_id"), *[e.cast("string").alias(n) for n, e in zip(names, dims.values())],
         (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(F.encode(raw, "UTF-8")).alias("text_crc32"),
-        F.xxhash64(raw).alias("_same"))
+        F.md5(raw).alias("_same"))
     narrow = save(narrow, "hilbert-rows")
     edges = bin_edges(narrow, names, bits)
 
@@ -108,7 +108,6 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Column], n_shards: int, bits
     placed = narrow.withColumn("hilbert", curve(*[_bin(F.col(n), edges[n]) for n in names]))
     ranked, total = positions(placed, ["hilbert", "_same", "doc_id"], "hilbert-order")
     if law == "rows":
-        shard = F.floor(F.col("_rank") * n_shards / max(total, 1)) if total * n_shards < 1 << 52 else F.expr(f"_rank * {n_shards} div {total}")
         shard = F.expr(f"cast(_rank * {n_shards} div {max(total, 1)} as int)")
         start = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
         out = ranked.withColumn("shard", shard).withColumn("slot", F.col("_rank") - start)

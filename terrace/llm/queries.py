@@ -60,7 +60,60 @@ def mix_dims() -> dict[str, Column]:
     return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(F.col("text"))}
 
 
-@query("op1_hilbert_shards")
+def _hilbert_sql(bits: int, dims: int) -> str:
+    """CTEs c0, c1, ... that turn bins x0, x1, ... of ``bins`` into an index."""
+    names = [f"x{i}" for i in range(dims)]
+    steps, last = [], "bins"
+
+    def step(**new: str) -> None:
+        nonlocal last
+        fields = ", ".join(f"{new.get(n, n)} as {n}" for n in [*names, "flip"])
+        steps.append(f"c{len(steps)} as (select * exclude ({', '.join(names)}, flip), {fields} from {last})")
+        last = f"c{len(steps) - 1}"
+
+    for b in range(bits - 1, 0, -1):
+        q, low = 1 << b, (1 << b) - 1
+        step(x0=f"case when x0 & {q} <> 0 then xor(x0, {low}) else x0 end")
+        for n in names[1:]:
+            step(x0=f"case when {n} & {q} <> 0 then xor(x0, {low}) else xor(x0, xor(x0, {n}) & {low}) end",
+                 **{n: f"case when {n} & {q} <> 0 then {n} else xor({n}, xor(x0, {n}) & {low}) end"})
+    for a, n in zip(names, names[1:]):
+        step(**{n: f"xor({n}, {a})"})
+    for b in range(bits - 1, 0, -1):
+        step(flip=f"case when {names[-1]} & {1 << b} <> 0 then xor(flip, {(1 << b) - 1}) else flip end")
+    index = " + ".join(f"(((xor({n}, flip) >> {b}) & 1) << {b * dims + dims - 1 - i})" for b in range(bits) for i, n in enumerate(names))
+    return ",\n".join(steps) + f",\ncurve as (select *, {index} as hilbert from {last})"
+
+
+def _crc_step(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)  # the polynomial of CRC-32
+    return byte
+
+
+def _bins_sql(i: int, value: str) -> str:
+    return f"""v{i} as (select {value} as v, count(*) as n from documents where {value} is not null group by 1),
+b{i} as (select v, floor((coalesce(sum(n) over (order by v rows between unbounded preceding and 1 preceding), 0) + n * 0.5e0)
+         / (sum(n) over ()) * 64e0)::bigint as bin from v{i})"""
+
+
+_CHARS = "lpad(length(coalesce(text, ''))::varchar, 12, '0')"
+_HILBERT_ORACLE = f"""
+with crc as (select {[_crc_step(i) for i in range(256)]}::bigint[] as t),
+{_bins_sql(0, 'lang')}, {_bins_sql(1, 'source')}, {_bins_sql(2, _CHARS)},
+d as (select *, {_CHARS} as chars, coalesce(text, '') as raw from documents),
+bins as (select d.doc_id, d.raw, coalesce(b0.bin, 0) as x0, coalesce(b1.bin, 0) as x1, coalesce(b2.bin, 0) as x2, 0::bigint as flip
+         from d left join b0 on b0.v = d.lang left join b1 on b1.v = d.source left join b2 on b2.v = d.chars),
+{_hilbert_sql(6, 3)},
+r as (select *, row_number() over (order by hilbert, md5(raw), doc_id) - 1 as k, count(*) over () as total from curve),
+s as (select *, (k * 40 // total)::integer as shard from r)
+select doc_id, octet_length(encode(raw)) + 16 as size,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(raw)), '..'), lambda x: ('0x' || x)::bigint),
+    lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) as text_crc32,
+  'rows' as law, shard, k - (shard * total + 39) // 40 as slot, null::integer as grown_shard, hilbert from s, crc"""
+
+
+@query("op1_hilbert_shards", _HILBERT_ORACLE)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = {"lang": F.col("lang"), "source": F.col("source"),
             "chars": F.lpad(F.length(F.coalesce(F.col("text"), F.lit(""))).cast("string"), 12, "0")}

@@ -1,12 +1,8 @@
-"""Column roles, thresholds and fixed domain values.
-
-Every stage takes its column names from a :class:`Roles` instance so the
-library is table-agnostic; the defaults describe the housing-sales layout.
-"""
+"""Fixed domain values: column groups, level orders, rules and message sets of
+the housing-sales layout."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- these must equal the original pipeline's values for results
@@ -105,39 +101,3 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 # MAPE denominator floor (float64 machine epsilon).
 MAPE_EPS = 2.220446049250313e-16
-
-
-@dataclass
-class Thresholds:
-    """Every numeric rule of the pipeline, in one place."""
-
-    area_max: float = 4000.0           # outlier: area above ...
-    price_min: float = 300000.0        # ... and price below
-    skew_threshold: float = 0.75
-    min_frequency: float = 0.01        # one-hot rare-level share
-    near_constant_pct: float = 95.0
-    rare_count: int = 10
-    collinear_r: float = 0.85
-    top_k_corr: int = 15
-    blend_margin: float = 0.002
-    ablation_keep: float = 0.001
-    seed: int = 42
-    n_folds: int = 5
-    n_repeats: int = 3
-    train_frac: float = 0.70
-    test_frac_of_rest: float = 0.50
-
-
-@dataclass
-class Roles:
-    """Names of the semantic columns of a table."""
-
-    id: str = "Id"
-    target: str = "SalePrice"
-    group: str = "Neighborhood"
-    area: str = "GrLivArea"
-    year: str = "YrSold"
-    condition: str = "SaleCondition"
-    frontage: str = "LotFrontage"
-    drop_cols: list[str] = field(default_factory=lambda: list(DROP_COLS))
-    drop_after: list[str] = field(default_factory=lambda: list(DROP_AFTER))

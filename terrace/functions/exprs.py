@@ -86,9 +86,12 @@ def to_number(c: Column) -> Column:
 
 
 def code_string(c: Column) -> Column:
-    """Integral code -> string without a trailing ``.0`` (train/serve stable)."""
-    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
-        c.cast("double").cast("bigint").cast("string"))
+    """Code -> string; a whole number is written without a trailing ``.0``
+    (train/serve stable), anything else as it is; never raises."""
+    s = c.cast("string")
+    number = s.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+    return F.coalesce(s.try_cast("bigint").cast("string"), F.when(whole, number.try_cast("bigint").cast("string")), s)
 
 
 # ---------------------------------------------------------------------------

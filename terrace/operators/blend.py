@@ -68,13 +68,6 @@ def simplex_weights(G: np.ndarray) -> np.ndarray:
     return best_w
 
 
-def pair_weight_expr(g11: Column, g22: Column, g12: Column) -> Column:
-    """Closed form for two models: w1 = clamp((G22-G12)/(G11+G22-2G12), 0, 1)."""
-    den = g11 + g22 - 2.0 * g12
-    w = F.when(den == 0, F.lit(0.5)).otherwise((g22 - g12) / den)
-    return F.greatest(F.least(w, F.lit(1.0)), F.lit(0.0))
-
-
 def normalise(weights: Sequence[float] | None, k: int) -> list[float]:
     """Normalise to sum 1; none or zero-sum -> equal weights."""
     if weights is None:

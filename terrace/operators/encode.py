@@ -97,16 +97,18 @@ class RareOneHotEncoder(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWr
 
     def _fit(self, df: DataFrame) -> "RareOneHotModel":
         cols = [c for c in self.getOrDefault(self.cols) if c in df.columns]
-        vocab: dict[str, dict] = {c: {"frequent": [], "infrequent": []} for c in cols}
+        vocab: dict[str, dict] = {c: {"frequent": [], "rare": False} for c in cols}
         if cols:
-            # (#columns x #levels) rows of fitted state
-            for r in onehot_vocabulary(df, cols, self.getOrDefault(self.minFrequency)).collect():
+            # per column its frequent levels (1 / minFrequency at most) and one flag
+            levels = onehot_vocabulary(df, cols, self.getOrDefault(self.minFrequency)).filter(F.col("level").isNotNull())
+            for r in levels.groupBy("column", F.when(~F.col("infrequent"), F.col("level")).alias("level")).agg(
+                    F.count(F.lit(1))).collect():
                 if r["level"] is None:
-                    continue
-                vocab[r["column"]]["infrequent" if r["infrequent"] else "frequent"].append(r["level"])
+                    vocab[r["column"]]["rare"] = True
+                else:
+                    vocab[r["column"]]["frequent"].append(r["level"])
         for v in vocab.values():
             v["frequent"].sort()
-            v["infrequent"].sort()
         m = RareOneHotModel()
         m._set(cols=cols, stateJson=json.dumps(vocab))
         return m
@@ -124,7 +126,7 @@ class RareOneHotModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritable
         out = []
         for c, v in self.vocabulary().items():
             out += [f"{c}_{lv}" for lv in v["frequent"]]
-            if v["infrequent"]:
+            if v["rare"]:
                 out.append(f"{c}_infrequent_sklearn")
         return out
 
@@ -136,7 +138,7 @@ class RareOneHotModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritable
             for lv in v["frequent"]:
                 new.append(F.coalesce((x == F.lit(lv)).cast("double"), F.lit(0.0))
                            .alias(f"{c}_{lv}"))
-            if v["infrequent"]:
+            if v["rare"]:
                 known = F.array(*[F.lit(lv) for lv in v["frequent"]]) if v["frequent"] else \
                     F.array().cast("array<string>")
                 new.append(F.when(x.isNotNull() & ~F.array_contains(known, x), F.lit(1.0))

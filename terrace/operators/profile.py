@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.config import ABSENT_PATTERNS, PRICE_BANDS, Thresholds
+from terrace.config import ABSENT_PATTERNS, PRICE_BANDS
 from terrace.functions.exprs import (adjusted_skew, band_label, band_order, col,
                                      count_null, numeric_columns, string_columns)
 
@@ -338,9 +338,15 @@ def group_median_ratio(df: DataFrame, group: str, value: str) -> DataFrame:
 
 # ---------------------------------------------------------------- PROF-19
 def feature_target_corr(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """Correlation of each feature with the log target; NULL for a constant."""
     ly = F.log1p(col(target).cast("double"))
     present = [c for c in features if c in df.columns]
-    one = df.agg(*[F.corr(col(c).cast("double"), ly).alias(f"r__{i}") for i, c in enumerate(present)])
+
+    def corr(x: Column) -> Column:
+        a, b = F.when(ly.isNotNull(), x), F.when(x.isNotNull(), ly)
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+    one = df.agg(*[corr(col(c).cast("double")).alias(f"r__{i}") for i, c in enumerate(present)])
     return _long(one, present, ["r"], name_col="feature").select("feature", "r") \
         .orderBy(F.abs("r").desc_nulls_last())
 

@@ -300,7 +300,7 @@ def _ftc_sql() -> str:
     from terrace.operators.features import NEW_FEATURES
     from terrace.plans.q_clean import _CLEAN_SQL
     feats = [f for f in NEW_FEATURES if f not in DROP_AFTER]
-    u = " union all ".join(f"select '{f}' as feature, corr({dq(f)}, ln(1 + SalePrice)) as r "
+    u = " union all ".join(f"select '{f}' as feature, case when stddev_pop({dq(f)}) > 0 then corr({dq(f)}, ln(1 + SalePrice)) end as r "
                            "from cleaned" for f in feats)
     return _CLEAN_SQL + f"\nselect feature, round(r, 4) as r from ({u}) x"
 

@@ -166,5 +166,3 @@ select Id, case when Id <= (select quantile_cont(Id::double, 0.8e0) from houses)
 def ordered_cut(spark, sf):
     return S.ordered_cut(houses(spark, sf).select("Id"), "Id", 0.8)
 
-
-_ = col

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from terrace.session import checkpoint_dir, local_session
-    s = local_session(cores=2, shuffle_partitions=8)
+    s = local_session(cores=4, shuffle_partitions=4)
     checkpoint_dir(s)  # tests: a scratch folder only when the session names none
     yield s
 

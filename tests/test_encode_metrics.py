@@ -62,11 +62,14 @@ def _np_yj(x, lam):
 def _best_lambda(x):
     """Golden-section search of the log-likelihood far beyond [-2, 2]."""
     def ll(lam):
-        t = _np_yj(x, lam)
-        return -len(x) / 2 * np.log(t.var()) + (lam - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
+        with np.errstate(over="ignore", invalid="ignore"):
+            var = _np_yj(x, lam).var()
+        if not (math.isfinite(var) and var > 0):  # beyond what doubles hold
+            return -math.inf
+        return -len(x) / 2 * math.log(var) + (lam - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
 
     grid = np.linspace(-60, 60, 1201)
-    c = grid[int(np.nanargmax([ll(g) for g in grid]))]
+    c = grid[int(np.argmax([ll(g) for g in grid]))]
     a, b, r = c - 0.2, c + 0.2, (math.sqrt(5) - 1) / 2
     while b - a > 1e-8:
         p, q = b - r * (b - a), a + r * (b - a)

@@ -18,9 +18,16 @@ from terrace.session import scratch_path
 HOT_ONE_IN = 1000
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers, about: texts may
+#: be long, and a batch lies in memory several times.
+BATCH = 4 << 20
+
+
 def on_workers(spark: SparkSession) -> None:
     """Python workers of this session look for the package where the driver has
-    it (a cluster without that path gets it by ``--py-files``)."""
+    it (a cluster without that path gets it by ``--py-files``), and get batches
+    bounded in bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -28,21 +28,26 @@ from terrace.operators.metrics import rmse_log
 
 
 # ---------------------------------------------------------------- baseline, one job for all folds
-def fold_group_medians(df: DataFrame, fold_col: str, k: int, group: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """(_f, _g, _gm) and (_f, _glob): medians over the rows outside fold ``_f``,
-    per group and overall."""
+def fold_group_medians(df: DataFrame, fold_col: str, k: int, group: str, label: str) -> DataFrame:
+    """(_f, _g, _gm): medians per group over the rows outside fold ``_f``."""
     from terrace.operators.quantile import grouped_quantiles
-    gm = grouped_quantiles(df.filter(col(group).isNotNull()), [group], label, [0.5], (fold_col, k)).select(
+    return grouped_quantiles(df.filter(col(group).isNotNull()), [group], label, [0.5], (fold_col, k)).select(
         F.col("held_out").alias("_f"), col(group).alias("_g"), F.col("q")[0].alias("_gm"))
-    glob = grouped_quantiles(df, [], label, [0.5], (fold_col, k)).select(
+
+
+def fold_medians(df: DataFrame, fold_col: str, k: int, label: str) -> DataFrame:
+    """(_f, _glob): medians over all rows outside fold ``_f``."""
+    from terrace.operators.quantile import grouped_quantiles
+    return grouped_quantiles(df, [], label, [0.5], (fold_col, k)).select(
         F.col("held_out").alias("_f"), F.col("q")[0].alias("_glob"))
-    return gm, glob
 
 
-def fold_train_scores(df: DataFrame, fold_col: str, k: int, group: str, label: str) -> DataFrame:
+def fold_train_scores(df: DataFrame, fold_col: str, k: int, group: str, label: str,
+                      medians: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(fold, train_rmse_log) of the group-median model of every fold on its own
-    training rows, from one sum table per (group, fold): no row is repeated."""
-    gm, glob = fold_group_medians(df, fold_col, k, group, label)
+    training rows, from one sum table per (group, fold): no row is repeated.
+    ``medians`` are those of the two functions above, if already there."""
+    gm, glob = medians or (fold_group_medians(df, fold_col, k, group, label), fold_medians(df, fold_col, k, label))
     ly = F.log1p(F.greatest(col(label).cast("double"), F.lit(0.0)))
     sums = df.groupBy(col(group).alias("_g"), col(fold_col).cast("int").alias("_fold")).agg(
         F.count(ly).alias("_n"), F.sum(ly).alias("_s"), F.sum(ly * ly).alias("_q"))
@@ -56,10 +61,11 @@ def fold_train_scores(df: DataFrame, fold_col: str, k: int, group: str, label: s
 
 
 def fold_group_median_predictions(df: DataFrame, fold_col: str, k: int, group: str, label: str,
-                                  name: str = "prediction") -> DataFrame:
+                                  name: str = "prediction",
+                                  medians: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Out-of-fold group-median predictions for every row (unseen group ->
     that fold's global median), computed for all folds at once."""
-    gm, glob = fold_group_medians(df, fold_col, k, group, label)
+    gm, glob = medians or (fold_group_medians(df, fold_col, k, group, label), fold_medians(df, fold_col, k, label))
     # (#folds x #groups) and #folds rows of fitted state; AQE broadcasts by measured size
     out = (df.join(gm, (col(fold_col) == F.col("_f")) & (col(group) == F.col("_g")), "left")
            .drop("_f", "_g")

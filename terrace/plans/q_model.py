@@ -72,26 +72,41 @@ def _frames(spark, sf):
     return tr, va, te
 
 
-def _oof(tr: DataFrame) -> DataFrame:
-    out = tr
+def _fold_medians(spark, sf, tr: DataFrame) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Fitted state of every fold's baseline models (a row per fold and group),
+    written once per session: scores and predictions of all keys read it."""
+    def build():
+        paths = {}
+        for name, frame in [("", CV.fold_medians(tr, "fold", K, "SalePrice")),
+                            *[(n, CV.fold_group_medians(tr, "fold", K, g, "SalePrice")) for n, g in BASE.items()]]:
+            paths[name] = scratch_path(spark, "fold-medians")
+            frame.write.parquet(paths[name])
+        return paths
+    paths = _memo(spark, sf, "fold_medians", build)
+    return {n: (spark.read.parquet(paths[n]), spark.read.parquet(paths[""])) for n in BASE}
+
+
+def _oof(spark, sf, tr: DataFrame) -> DataFrame:
+    medians, out = _fold_medians(spark, sf, tr), tr
     for name, g in BASE.items():
-        out = CV.fold_group_median_predictions(out, "fold", K, g, "SalePrice", name)
+        out = CV.fold_group_median_predictions(out, "fold", K, g, "SalePrice", name, medians[name])
     return out.select("Id", "SalePrice", "fold", *BASE)
 
 
-def _train_scores(tr: DataFrame, name: str, group: str) -> DataFrame:
+def _train_scores(spark, sf, tr: DataFrame, name: str, group: str) -> DataFrame:
     """RMSE(log) of each fold's model on its own training rows (one job)."""
-    return CV.fold_train_scores(tr, "fold", K, group, "SalePrice").withColumn("model", F.lit(name))
+    medians = _fold_medians(spark, sf, tr)[name]
+    return CV.fold_train_scores(tr, "fold", K, group, "SalePrice", medians).withColumn("model", F.lit(name))
 
 
 def _cv_scores(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    oof = _oof(tr).cache()
+    oof = _oof(spark, sf, tr).cache()
     parts = []
     for name, g in BASE.items():
         test = CV.fold_scores_from_predictions(oof, "fold", "SalePrice", name) \
             .withColumn("model", F.lit(name))
-        parts.append(test.join(_train_scores(tr, name, g), ["model", "fold"]))
+        parts.append(test.join(_train_scores(spark, sf, tr, name, g), ["model", "fold"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -109,7 +124,7 @@ def _fit_predict(train: DataFrame, apply: DataFrame) -> DataFrame:
 
 def _blend_state(spark, sf):
     tr, va, _ = _frames(spark, sf)
-    oof = _oof(tr).cache()
+    oof = _oof(spark, sf, tr).cache()
     names = list(BASE)
     G = B.gram_matrix(B.gram(oof, "SalePrice", names), len(names))
     w = B.simplex_weights(G)
@@ -237,7 +252,7 @@ select Id, SalePrice, round(nbhd_median, 4) as nbhd_median, round(zoning_median,
 from oof""")
 def oof_predictions(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    return R(_oof(tr).drop("fold"))
+    return R(_oof(spark, sf, tr).drop("fold"))
 
 
 @register("blend_gram", _TR + _GRAM + """
@@ -246,7 +261,7 @@ union all select 0, 1, 'nbhd_median', 'zoning_median', round(g12, 4) from g
 union all select 1, 1, 'zoning_median', 'zoning_median', round(g22, 4) from g""")
 def blend_gram(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    return R(B.gram(_oof(tr), "SalePrice", list(BASE)))
+    return R(B.gram(_oof(spark, sf, tr), "SalePrice", list(BASE)))
 
 
 @register("blend_weights", _TR + _GRAM + """
@@ -272,7 +287,7 @@ select round(sqrt(greatest({SAVED_WEIGHTS[0]} * {SAVED_WEIGHTS[0]} * g11
   + 2 * {SAVED_WEIGHTS[0]} * {SAVED_WEIGHTS[1]} * g12, 0)), 4) as saved_oof_rmse_log from g""")
 def blend_eval_saved(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    G = B.gram_matrix(B.gram(_oof(tr), "SalePrice", list(BASE)), len(BASE))
+    G = B.gram_matrix(B.gram(_oof(spark, sf, tr), "SalePrice", list(BASE)), len(BASE))
     w = B.normalise(SAVED_WEIGHTS, len(BASE))
     return R(spark.createDataFrame([(B.rmse_from_gram(G, w),)], "saved_oof_rmse_log double"))
 

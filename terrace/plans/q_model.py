@@ -579,9 +579,9 @@ def _ablation(spark, sf):
         tr, va, _ = _frames(spark, sf)
         after = [c for c in DROP_AFTER if c not in _WEAK]
         prepared = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind, drop_after=after),
-                                            "fold", "SalePrice") for kind in ("linear", "tree")}
+                                            "fold", "SalePrice", 6) for kind in ("linear", "tree")}
         models = {"lasso": (M.lasso(0.0005), "linear"), "lightgbm": (M.gbt("lightgbm"), "tree")}
-        return CV.ablate_features(prepared, models, _VARIANTS, "SalePrice")
+        return CV.ablate_features(prepared, models, _VARIANTS, "SalePrice", 8)
     return _memo(spark, sf, "ablation", build)
 
 

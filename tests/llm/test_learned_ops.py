@@ -351,3 +351,51 @@ def test_pipeline_of_nothing(empty):
     for _, stage in cp.STAGES:
         docs = stage(empty.sparkSession, docs, "")
     assert docs.count() == 0
+
+
+def test_short_texts_have_a_language(llm):
+    import corpus_pipeline as cp
+    long = queries.documents(llm, "/root/testdata/sf0.001").where("length(text) > 200").select("text", "lang").collect()
+    rows = [(i, r.text, r.lang) for i, r in enumerate(long)]
+    short = ["Avec.", "A.", "A.\nAll rights reserved.", "Onhaha sh.", "Yes", "Hello", "Bonjour", "Hallo Welt", "x", "é 1", "漢字", "12 34 !!", "...", " ", "", None]
+    rows += [(10_000 + i, t, None) for i, t in enumerate(short)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = cp.language(llm, docs, "")
+    assert out.columns == docs.columns
+    want = [r for r in rows if any(c.isalpha() for c in (r[1] or ""))]
+    assert len(want) == len(rows) - 5 and collections.Counter(map(tuple, out.collect())) == collections.Counter(want)
+
+
+def test_mixture_stage_against_brute_raking(corpus):
+    import corpus_pipeline as cp
+    df, rows = corpus
+
+    def form(t):
+        return next((name for mark, name in (("|", "table"), ("=", "code"), ("@", "contact")) if mark in t), "prose")
+
+    def cell(r):
+        at = (r[3], r[2], form(r[1] or ""))
+        return tuple(v if v in queries.MIX[d] else "other" for d, v in zip(queries.MIX, at))
+
+    have = collections.Counter()
+    for r in rows:
+        have[cell(r)] += len((r[1] or "").encode().split())
+    total = sum(have.values())
+    wanted = []
+    for axis, weights in enumerate(queries.MIX.values()):
+        share = collections.Counter()
+        for c, n in have.items():
+            share[c[axis]] += n / total
+        there = {v: w for v, w in weights.items() if share[v] > 0}
+        wanted.append({v: w / sum(there.values()) * (1 - share["other"]) for v, w in there.items()} | {"other": share["other"]})
+    fit = {c: n / 2 for c, n in have.items()}
+    for _ in range(1000):
+        for axis, target in enumerate(wanted):
+            sums = collections.Counter()
+            for c, n in fit.items():
+                sums[c[axis]] += n
+            fit = {c: min(n * target.get(c[axis], 0) * total / 2 / sums[c[axis]], have[c]) if sums[c[axis]] else n for c, n in fit.items()}
+    draw = {r.doc_id: r.u for r in df.select("doc_id", (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 53)) / float(1 << 53)).alias("u")).collect()}
+    want = collections.Counter((r[0], r[1]) for r in rows if draw[r[0]] < (fit[cell(r)] / have[cell(r)] if have[cell(r)] else 0.5))
+    got = collections.Counter((r.doc_id, r.text) for r in cp.mixture(df.sparkSession, df, "").collect())
+    assert got == want and 0 < len(got) < len(set((r[0], r[1]) for r in rows))

@@ -176,6 +176,74 @@ def prepared_folds(train: DataFrame, holdout: DataFrame | None, prep: Pipeline,
         return dict(ex.map(one, [*folds, *([None] if holdout is not None else [])]))
 
 
+def prepared_repeats(train: DataFrame, holdout: DataFrame | None, prep: Pipeline, id_col: str, k: int, repeats: int,
+                     label: str, seed: int = 42, parallelism: int = 4) -> dict:
+    """:func:`prepared_folds` of every repeat under (repeat, fold), and of the
+    whole of ``train`` against ``holdout`` under ``None``."""
+    from terrace.operators.split import repeated_kfold
+    rows, out = repeated_kfold(train, id_col, k, repeats, seed), {}
+    for r in range(repeats):
+        got = prepared_folds(rows.filter(F.col("repeat") == r).drop("repeat"), holdout if r == 0 else None, prep,
+                             "fold", label, parallelism)
+        out |= {None if f is None else (r, f): v for f, v in got.items()}
+    return out
+
+
+def _fit_prepared(regressor, tr: DataFrame, te: DataFrame) -> tuple[float, list[DataFrame]]:
+    """Seconds of the fit, and both frames with ``prediction``."""
+    t0 = time.time()
+    model = regressor.fit(tr)
+    seconds = time.time() - t0
+    return seconds, [model.transform(x).withColumn("prediction", F.expm1("log_prediction")) for x in (tr, te)]
+
+
+def cross_validate_prepared(prepared: dict[str, dict], models: dict[str, tuple], label: str, parallelism: int = 4) -> DataFrame:
+    """:func:`cross_validate` of (regressor, kind) on :func:`prepared_repeats`
+    of each kind; the seconds are those of the regressor's fit."""
+    def one(task):
+        name, (r, f) = task
+        regressor, kind = models[name]
+        seconds, (tr, te) = _fit_prepared(regressor, *prepared[kind][r, f][1:])
+        return name, r, int(f), _score(te, label), _score(tr, label), seconds
+
+    tasks = [(m, key) for m, (_, kind) in models.items() for key in prepared[kind] if key is not None]
+    spark = next(iter(next(iter(prepared.values())).values()))[1].sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        rows = list(ex.map(one, tasks))
+    return spark.createDataFrame(rows, "model string, repeat int, fold int, test_rmse_log double, "
+                                       "train_rmse_log double, fit_seconds double")
+
+
+def validate_prepared(prepared: dict[str, dict], models: dict[str, tuple], label: str, parallelism: int = 4) -> DataFrame:
+    """(model, kind, val_rmse_log, val_mae, val_r2, val_mape) of each model
+    fitted on all training rows; R^2 on the log scale, MAPE as a fraction."""
+    from terrace.operators.metrics import regression_metrics
+
+    def one(name):
+        regressor, kind = models[name]
+        _, (_, te) = _fit_prepared(regressor, *prepared[kind][None][1:])
+        m = regression_metrics(te, label, "prediction").first()
+        return name, kind, m["rmse_log"], m["mae"], m["r2_log"], m["mape"]
+
+    spark = next(iter(next(iter(prepared.values())).values()))[1].sparkSession
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        rows = list(ex.map(one, models))
+    return spark.createDataFrame(rows, "model string, kind string, val_rmse_log double, val_mae double, "
+                                       "val_r2 double, val_mape double")
+
+
+def comparison_table(scores: DataFrame, validation: DataFrame) -> DataFrame:
+    """The published comparison: CV, overfit, validation and fit time per model."""
+    cv = scores.groupBy("model").agg(
+        F.avg("test_rmse_log").alias("cv_rmse_log_mean"), F.stddev_pop("test_rmse_log").alias("cv_rmse_log_std"),
+        F.avg("train_rmse_log").alias("train_rmse_log_mean"),
+        (F.avg("test_rmse_log") - F.avg("train_rmse_log")).alias("overfit_gap"),
+        F.avg("fit_seconds").alias("fit_time_mean"))
+    return validation.join(cv, "model").select(
+        "model", "kind", "cv_rmse_log_mean", "cv_rmse_log_std", "train_rmse_log_mean", "overfit_gap",
+        "val_rmse_log", "val_mae", "val_r2", "val_mape", "fit_time_mean").orderBy("cv_rmse_log_mean")
+
+
 # ---------------------------------------------------------------- ablation (MOD-11..13)
 def ablate_features(prepared: dict[str, dict], models: dict[str, tuple], variants: dict[str, list[str]], label: str,
                     parallelism: int = 4) -> DataFrame:
@@ -244,10 +312,10 @@ def sample_space(space: dict[str, tuple], rng: random.Random) -> dict:
 
 def linear_search(prepared: dict, build: Callable[[dict], object], space: dict[str, tuple], trials: int, label: str,
                   seed: int = 42, parallelism: int = 8) -> DataFrame:
-    """Seeded random search over a linear model's parameters: (trial, params,
+    """Seeded random search over a regressor's parameters: (trial, params,
     cv_rmse_log).  ``prepared`` are :func:`prepared_folds`; every trial is one
-    fit of Spark's linear regression per fold (one pass over the fold's cached
-    rows, many of them at a time), and one pass per fold scores all trials."""
+    fit per fold over the fold's cached rows (one pass for a linear model), many
+    of them at a time, and one pass per fold scores all trials."""
     import json
     rng = random.Random(seed)
     params = [sample_space(space, rng) for _ in range(trials)]

@@ -490,9 +490,32 @@ def fit_elasticnet(spark, sf):
     return _val_predictions(spark, sf, M.elasticnet(0.0005, 0.5), "linear")
 
 
+#: Spark's deepest tree, where the original's trees have no bound.
+DEEPEST = 30
+#: Rates, depths and sampling of the compared boosting models (15 leaves: depth 4).
+_BOOSTED = {
+    "xgboost": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=1),
+    "lightgbm": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=20),
+    "catboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1)}
+ROUNDS, TREES, REPEATS = 1000, 300, 3
+
+
+def _boosted(preset: str):
+    return M.gbt(preset, ROUNDS, **_BOOSTED[preset])
+
+
+#: How to make each compared model (Spark's estimators need a session), and its kind.
+_CV_MODELS = {
+    "Ridge": (lambda: M.ridge(10.0), "linear"), "Lasso": (lambda: M.lasso(0.0005), "linear"),
+    "ElasticNet": (lambda: M.elasticnet(0.0005, 0.5), "linear"),
+    "RandomForest": (lambda: M.random_forest(TREES, DEEPEST), "tree"),
+    "XGBoost": (lambda: _boosted("xgboost"), "tree"), "LightGBM": (lambda: _boosted("lightgbm"), "tree"),
+    "CatBoost": (lambda: _boosted("catboost"), "tree")}
+
+
 @register("fit_random_forest")
 def fit_random_forest(spark, sf):
-    return _val_predictions(spark, sf, M.random_forest(30, 8), "tree")
+    return _val_predictions(spark, sf, M.random_forest(TREES, DEEPEST), "tree")
 
 
 @register("fit_gbt")
@@ -502,7 +525,7 @@ def fit_gbt(spark, sf):
     tr, va, _ = _frames(spark, sf)
     train = tr.drop("fold").cache()
 
-    pipes = {p: M.full_model(M.gbt(p, 10), train.schema, "tree") for p in M.GBT_PRESETS}
+    pipes = {p: M.full_model(_boosted(p), train.schema, "tree") for p in M.GBT_PRESETS}
 
     def one(preset):
         model = pipes[preset].fit(train)
@@ -516,32 +539,56 @@ def fit_gbt(spark, sf):
     return out
 
 
-def _model_cv(spark, sf, models: dict, folds: int = 3):
-    tr, _, _ = _frames(spark, sf)
-    tr = S.kfold(tr.drop("fold"), "Id", folds, SEED)
-    schema = tr.drop("fold").schema
-    pipes = {name: M.full_model(reg, schema, kind) for name, (reg, kind) in models.items()}
-    return CV.cross_validate(tr, pipes, "fold", "SalePrice", parallelism=4)
+def _repeats(spark, sf, kind: str):
+    """Five folds, three times, with the preprocessing of ``kind``; and all
+    training rows against the validation rows."""
+    def build():
+        tr, va, _ = _frames(spark, sf)
+        train = tr.drop("fold")
+        return CV.prepared_repeats(train, va, M.prep_pipeline(train.schema, kind), "Id", K, REPEATS, "SalePrice", SEED)
+    return _memo(spark, sf, f"repeats_{kind}", build)
 
 
-_CV_MODELS = {"ridge": (M.ridge(10.0), "linear"), "lasso": (M.lasso(0.0005), "linear")}
+def _model_scores(spark, sf, name: str):
+    """5 x 3 scores of one compared model, shared by the keys that read them."""
+    make, kind = _CV_MODELS[name]
+    return _memo(spark, sf, f"cv_{name}", lambda: CV.cross_validate_prepared(
+        {kind: _repeats(spark, sf, kind)}, {name: (make(), kind)}, "SalePrice").cache())
 
 
-def _cv_models(spark, sf):
-    return _memo(spark, sf, "cv_models", lambda: _model_cv(spark, sf, _CV_MODELS).cache())
+def _one_model(name: str):
+    @register(f"cv_scores_{name.lower()}")
+    def scores(spark, sf):
+        return _model_scores(spark, sf, name)
+
+
+for _name in _CV_MODELS:
+    _one_model(_name)
 
 
 @register("cv_scores_models")
 def cv_scores_models(spark, sf):
-    return _cv_models(spark, sf)
+    return _union([_model_scores(spark, sf, name) for name in _CV_MODELS])
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _comparison(spark, sf, names):
+    def validated(name):
+        make, kind = _CV_MODELS[name]
+        return _memo(spark, sf, f"val_{name}", lambda: CV.validate_prepared(
+            {kind: _repeats(spark, sf, kind)}, {name: (make(), kind)}, "SalePrice").cache())
+    return CV.comparison_table(_union([_model_scores(spark, sf, n) for n in names]), _union([validated(n) for n in names]))
 
 
 @register("model_comparison")
 def model_comparison(spark, sf):
-    scores = _cv_models(spark, sf)
-    summ = CV.cv_summary(scores).join(
-        scores.groupBy("model").agg(F.avg("fit_seconds").alias("fit_seconds")), "model")
-    return summ.orderBy("cv_rmse_log")
+    return _comparison(spark, sf, list(_CV_MODELS))
 
 
 @register("lasso_selected_features")
@@ -559,7 +606,7 @@ def lasso_selected_features(spark, sf):
 @register("feature_importance")
 def feature_importance(spark, sf):
     tr, _, _ = _frames(spark, sf)
-    model = M.full_model(M.gbt("lightgbm", 10), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
+    model = M.full_model(_boosted("lightgbm"), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
     gbm, assembled = model.stages[-2], model.stages[-3]
     rows = [(n, float(v)) for n, v in zip(assembled.getInputCols(),
                                           gbm.featureImportances.toArray())]
@@ -580,7 +627,7 @@ def _ablation(spark, sf):
         after = [c for c in DROP_AFTER if c not in _WEAK]
         prepared = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind, drop_after=after),
                                             "fold", "SalePrice", 6) for kind in ("linear", "tree")}
-        models = {"lasso": (M.lasso(0.0005), "linear"), "lightgbm": (M.gbt("lightgbm"), "tree")}
+        models = {"lasso": (M.lasso(0.0005), "linear"), "lightgbm": (_boosted("lightgbm"), "tree")}
         return CV.ablate_features(prepared, models, _VARIANTS, "SalePrice", 8)
     return _memo(spark, sf, "ablation", build)
 
@@ -600,28 +647,44 @@ def ablation_gain(spark, sf):
     return CV.engineered_gain(_ablation(spark, sf))
 
 
-_PENALTY = ("log", 1e-5, 1e-2)
-_SEARCHES = {  # space, trials, model of a parameter set, untuned model
-    "lasso": ({"alpha": _PENALTY}, 60, lambda p: M.lasso(p["alpha"]), M.lasso(0.0005)),
-    "elasticnet": ({"alpha": _PENALTY, "l1_ratio": ("uniform", 0.05, 0.95)}, 60,
-                   lambda p: M.elasticnet(p["alpha"], p["l1_ratio"]), M.elasticnet(0.0005, 0.5))}
+def _tuned_xgboost(p):
+    return M.gbt("xgboost", p["n_estimators"], stepSize=p["learning_rate"], maxDepth=p["max_depth"],
+                 minInstancesPerNode=p["min_child_weight"], subsamplingRate=p["subsample"],
+                 featureSubsetStrategy=str(p["colsample_bytree"]))
+
 
+def _tuned_catboost(p):
+    return M.gbt("catboost", p["iterations"], stepSize=p["learning_rate"], maxDepth=p["depth"])
 
-def _linear_folds(spark, sf):
-    """Five folds with the linear preprocessing, prepared once per session."""
+
+_PENALTY = ("log", 1e-5, 1e-2)
+#: Space, trials, model of a parameter set, kind.  Spark's boosting has no
+#: counterpart of the L1, L2, random-strength and bagging-temperature values.
+_SEARCHES = {
+    "Lasso": ({"alpha": _PENALTY}, 60, lambda p: M.lasso(p["alpha"]), "linear"),
+    "ElasticNet": ({"alpha": _PENALTY, "l1_ratio": ("uniform", 0.05, 0.95)}, 60,
+                   lambda p: M.elasticnet(p["alpha"], p["l1_ratio"]), "linear"),
+    "XGBoost": ({"n_estimators": ("int", 400, 2000), "learning_rate": ("log", 0.01, 0.1), "max_depth": ("int", 2, 6),
+                 "min_child_weight": ("int", 1, 10), "subsample": ("uniform", 0.5, 1.0),
+                 "colsample_bytree": ("uniform", 0.3, 1.0), "reg_lambda": ("log", 1e-3, 10.0),
+                 "reg_alpha": ("log", 1e-4, 1.0)}, 40, _tuned_xgboost, "tree"),
+    "CatBoost": ({"iterations": ("int", 500, 2000), "learning_rate": ("log", 0.01, 0.1), "depth": ("int", 4, 8),
+                  "l2_leaf_reg": ("log", 1.0, 10.0), "random_strength": ("uniform", 0.0, 2.0),
+                  "bagging_temperature": ("uniform", 0.0, 1.0)}, 25, _tuned_catboost, "tree")}
+
+
+def _search_folds(spark, sf, kind):
+    """Five folds with the preprocessing of ``kind``, prepared once per session."""
     def build():
         tr, va, _ = _frames(spark, sf)
-        return CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, "linear"), "fold", "SalePrice")
-    return _memo(spark, sf, "linear_folds", build)
+        return CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind), "fold", "SalePrice")
+    return _memo(spark, sf, f"search_folds_{kind}", build)
 
 
 def _trials(spark, sf):
     def build():
-        folds, out = _linear_folds(spark, sf), None
-        for name, (space, trials, make, _) in _SEARCHES.items():
-            t = CV.linear_search(folds, make, space, trials, "SalePrice", SEED).withColumn("model", F.lit(name))
-            out = t if out is None else out.unionByName(t)
-        return out
+        return _union([CV.linear_search(_search_folds(spark, sf, kind), make, space, trials, "SalePrice", SEED)
+                       .withColumn("model", F.lit(name)) for name, (space, trials, make, kind) in _SEARCHES.items()])
     return _memo(spark, sf, "trials", build)
 
 
@@ -642,11 +705,19 @@ def tune_history(spark, sf):
 
 @register("tuning_before_after")
 def tuning_before_after(spark, sf):
-    models = {name: (base, "linear") for name, (_, _, _, base) in _SEARCHES.items()}
-    before = CV.ablate_features({"linear": _linear_folds(spark, sf)}, models, {"full": []}, "SalePrice").select(
-        "model", F.col("cv_rmse_log_mean").alias("baseline_cv_rmse_log"))
-    best = CV.best_trial(_trials(spark, sf)).select("model", F.col("best_cv_rmse_log").alias("tuned_cv_rmse_log"), "best_params")
-    return CV.tuning_before_after(best, before)
+    """The best trials scored again on 5 x 3 folds and the validation rows,
+    against the untuned models of the comparison."""
+    best = {r["model"]: json.loads(r["best_params"]) for r in CV.best_trial(_trials(spark, sf)).collect()}  # a row a model
+    models = {n: (make(best[n]), kind) for n, (_, _, make, kind) in _SEARCHES.items()}
+    folds = {kind: _repeats(spark, sf, kind) for kind in ("linear", "tree")}
+    tuned = CV.comparison_table(CV.cross_validate_prepared(folds, models, "SalePrice"),
+                                CV.validate_prepared(folds, models, "SalePrice"))
+    base = _comparison(spark, sf, list(_SEARCHES)).select("model", F.col("cv_rmse_log_mean").alias("baseline_cv_rmse"),
+                                                          F.col("val_rmse_log").alias("baseline_val_rmse"))
+    return tuned.join(base, "model").select(
+        "model", "kind", "baseline_cv_rmse", F.col("cv_rmse_log_mean").alias("tuned_cv_rmse"),
+        F.col("cv_rmse_log_std").alias("tuned_cv_std"), "baseline_val_rmse", F.col("val_rmse_log").alias("tuned_val_rmse"),
+        "val_mae", "val_mape", "val_r2")
 
 
 def served_model(spark, sf) -> dict:
@@ -752,19 +823,23 @@ def full_model_predict(spark, sf):
     return model.transform(te.drop("SalePrice")).select("Id", "prediction")
 
 
+#: The published best parameters, which the original's blend stage reads.
+_TUNED = {
+    "Lasso": {"alpha": 0.0006119854691593898},
+    "ElasticNet": {"alpha": 0.0006358358856676254, "l1_ratio": 0.6872653200164409},
+    "XGBoost": {"n_estimators": 1476, "learning_rate": 0.03262249393408143, "max_depth": 3, "min_child_weight": 4,
+                "subsample": 0.8535059794504334, "colsample_bytree": 0.32760317883921475},
+    "CatBoost": {"iterations": 1882, "learning_rate": 0.01871879330520506, "depth": 4}}
 
 
 @register("blend_models_predict")
 def blend_models_predict(spark, sf):
-    """Two fitted pipelines blended on the log scale with weights from their
-    out-of-fold Gram matrix (3 folds), applied to the test rows."""
+    """Four tuned pipelines blended on the log scale with weights from their
+    out-of-fold Gram matrix (five folds), applied to the test rows."""
     tr, va, te = _frames(spark, sf)
     train = tr.drop("fold")
-    schema = train.schema
-    pipes = {"ridge_tree": M.full_model(M.ridge(10.0), schema, "tree"),
-             "lasso_linear": M.full_model(M.lasso(0.0005), schema, "linear")}
-    folds = S.kfold(train, "Id", 3, SEED)
-    oof = CV.oof_predictions(folds, pipes, "Id", "fold", "SalePrice", parallelism=3).cache()
+    pipes = {n: M.full_model(make(_TUNED[n]), train.schema, kind) for n, (_, _, make, kind) in _SEARCHES.items()}
+    oof = CV.oof_predictions(tr, pipes, "Id", "fold", "SalePrice", parallelism=4).cache()
     G = B.gram_matrix(B.gram(oof, "SalePrice", list(pipes)), len(pipes))
     w = B.simplex_weights(G)
     model = B.LogBlendRegressor(list(pipes.items()), list(w)).fit(train)

@@ -127,3 +127,39 @@ def test_linear_search_trial_table(spark):
     assert history == list(np.minimum.accumulate([r["cv_rmse_log"] for r in rows]))
 
 
+
+
+def test_prepared_repeats_equal_full_refits(spark):
+    from pyspark.ml import Pipeline
+    df = _data(spark, 200)[0].select("a", "b", F.col("label"), F.expm1("label").alias("SalePrice"), F.monotonically_increasing_id().alias("Id"))
+    df = spark.createDataFrame(df.collect(), df.schema).coalesce(1)
+    train, val = df.filter("Id % 5 <> 0"), df.filter("Id % 5 = 0")
+    prep = VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    prepared = {"linear": CV.prepared_repeats(train, val, Pipeline(stages=[prep]), "Id", 3, 2, "SalePrice")}
+    models = {"ridge": (M.ridge(10.0), "linear")}
+    scores = CV.cross_validate_prepared(prepared, models, "SalePrice")
+    pipe = Pipeline(stages=[prep, M.ridge(10.0), M.ExpPrediction(inputCol="log_prediction", outputCol="prediction")])
+    again = CV.cross_validate(S.repeated_kfold(train, "Id", 3, 2), {"ridge": pipe}, "fold", "SalePrice", "repeat")
+    key = ["model", "repeat", "fold", "test_rmse_log", "train_rmse_log"]
+    got, want = (sorted(tuple(r) for r in x.select(key).collect()) for x in (scores, again))
+    assert [r[:3] for r in got] == [("ridge", r, f) for r in range(2) for f in range(3)] and np.allclose(
+        [r[3:] for r in got], [r[3:] for r in want])
+    table = CV.comparison_table(scores, CV.validate_prepared(prepared, models, "SalePrice")).first().asDict()
+    m = regression_metrics(pipe.fit(train).transform(val), "SalePrice", "prediction").first()
+    assert len(table) == 11 and np.allclose([table[c] for c in ("val_rmse_log", "val_mae", "val_r2", "val_mape")],
+                                            [m[c] for c in ("rmse_log", "mae", "r2_log", "mape")])
+    assert np.isclose(table["overfit_gap"], np.mean([r[3] - r[4] for r in want]))
+
+
+def test_registered_models_do_the_published_job(spark):
+    from terrace.plans import q_model as q
+    from terrace.plans.registry import QUERIES
+    assert list(q._CV_MODELS) == ["Ridge", "Lasso", "ElasticNet", "RandomForest", "XGBoost", "LightGBM", "CatBoost"]
+    forest = q._CV_MODELS["RandomForest"][0]()
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (300, 30) and (q.K, q.REPEATS) == (5, 3)
+    for name, rate, depth in (("XGBoost", 0.03, 4), ("LightGBM", 0.03, 4), ("CatBoost", 0.05, 6)):
+        m = q._CV_MODELS[name][0]()
+        assert (m.getMaxIter(), m.getStepSize(), m.getMaxDepth()) == (1000, rate, depth)
+    assert {n: s[1] for n, s in q._SEARCHES.items()} == {"Lasso": 60, "ElasticNet": 60, "XGBoost": 40, "CatBoost": 25}
+    assert list(q._TUNED) == list(q._SEARCHES) and q._tuned_xgboost(q._TUNED["XGBoost"]).getMaxIter() == 1476
+    assert {f"cv_scores_{n.lower()}" for n in q._CV_MODELS} <= set(QUERIES)

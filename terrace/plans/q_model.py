@@ -340,6 +340,17 @@ def final_choice(spark, sf):
         .alias("final_model_name"))
 
 
+def _decided(spark, sf) -> dict:
+    """Type and name of the decided model, and the weights of its members."""
+    def build():
+        row = final_choice(spark, sf).first()
+        kind, name = row["final_model_type"], row["final_model_name"]
+        weights = {name: 1.0} if kind == "single" else {
+            r["model"]: r["weight"] for r in _ensemble_rows(spark, sf).filter(F.col("model") != "blend").collect()}
+        return {"type": kind, "name": name, "weights": weights}
+    return _memo(spark, sf, "decided", build)
+
+
 # ============================================================== MET-*, PROF-22, EXP-22 (S)
 _TE = _EXACT + f""",
 tv as (select h.* from houses h join sp on h.Id = sp.Id where (sp.split = 'train'
@@ -437,7 +448,7 @@ def _write_doc(spark, sf) -> str:
     n_train = tv.count()
     # the document is a handful of scalars: built on the driver, written once
     doc = spark.createDataFrame([(m["rmse_log"], m["mae"], m["rmse"], m["mape_pct"], m["r2_log"],
-                                  m["r2_dollar"], bands, "single", n_train, m["n"])], _DOC_SCHEMA)
+                                  m["r2_dollar"], bands, _decided(spark, sf)["type"], n_train, m["n"])], _DOC_SCHEMA)
     path = scratch_path(spark, "metrics-doc")
     doc.coalesce(1).write.mode("overwrite").json(path)
     return path
@@ -721,28 +732,63 @@ def tuning_before_after(spark, sf):
 
 
 def served_model(spark, sf) -> dict:
-    """The served pipeline, fitted on train + val, with its version and the
-    MAPE that it has on the test rows (the half width of its intervals)."""
+    """The decided model (one regressor, or the blend of all), fitted on train
+    + val, with its version and the MAPE that it has on the test rows (the half
+    width of its intervals)."""
     def build():
         tr, va, te = _frames(spark, sf)
-        tv = tr.drop("fold").unionByName(va)
-        model = M.full_model(M.ridge(10.0), tv.schema, "linear").fit(tv)
+        choice = _decided(spark, sf)
+        members = [(n, M.GroupMedianRegressor(groupCol=BASE[n], labelCol="SalePrice", predictionCol="prediction"))
+                   for n in choice["weights"]]
+        model = B.LogBlendRegressor(members, list(choice["weights"].values())).fit(tr.drop("fold").unionByName(va))
         scored = model.transform(te)
         mape = scored.agg(MET.mape(F.col("SalePrice"), F.col("prediction"))).first()[0]
-        tag = hashlib.md5(json.dumps(["ridge", 10.0, data_version(spark, sf)]).encode()).hexdigest()[:12]
-        return {"model": model, "mape": mape, "type": "ridge", "version": f"ridge-{tag}"}
+        tag = hashlib.md5(json.dumps([choice, data_version(spark, sf)]).encode()).hexdigest()[:12]
+        return {"model": model, "mape": mape, "type": choice["type"], "version": f"{choice['name']}-{tag}"}
     return _memo(spark, sf, "served", build)
 
 
 def _final_models(spark, sf):
-    """Test rows with the served model's and the reference lasso's predictions,
-    both pipelines applied to one frame (no join on the key)."""
+    """Test rows with the decided model's and the reference lasso's predictions,
+    all members applied to one frame (no join on the key)."""
     tr, va, te = _frames(spark, sf)
     tv = tr.drop("fold").unionByName(va)
     final = served_model(spark, sf)["model"]
     ref = M.full_model(M.lasso(0.0005), tv.schema, "linear").fit(tv)
-    both = B.LogBlendModel([("final_pred", final), ("reference_pred", ref)], [1.0, 0.0]).transform(te)
-    return both.select("Id", "SalePrice", "final_pred", "reference_pred"), final
+    both = B.LogBlendModel([*final.models, ("reference_pred", ref)], [*final.weights, 0.0]).transform(te)
+    return both.select("Id", "SalePrice", F.col("prediction").alias("final_pred"), "reference_pred"), final
+
+
+def _commit() -> str:
+    import os
+    import subprocess
+    try:
+        return subprocess.run(["git", "-C", os.path.dirname(os.path.abspath(__file__)), "rev-parse", "--short", "HEAD"],
+                              capture_output=True, text=True, check=True).stdout.strip()
+    except (OSError, subprocess.CalledProcessError):
+        return "unknown"
+
+
+@register("final_metrics_document")
+def final_metrics_document(spark, sf):
+    """All 15 keys of the metrics document, of the decided and fitted model."""
+    from datetime import datetime
+    both, _ = _final_models(spark, sf)
+    both = both.cache()
+    tr, va, _ = _frames(spark, sf)
+    m = MET.regression_metrics(both, "SalePrice", "final_pred").first()
+    ref = MET.regression_metrics(both, "SalePrice", "reference_pred").first()
+    bands = [(r["band"], r["count"], r["mae"], r["mape"]) for r in
+             MET.metrics_by_band(both, "SalePrice", "final_pred").orderBy("band_order").collect()]  # four rows
+    choice = _decided(spark, sf)
+    schema = _DOC_SCHEMA.replace("final_model_type string", "reference_lasso struct<label:string,rmse_log:double,mae:double,"
+                                 "mape:double>, final_model_type string, final_model_weights map<string,double>")
+    return spark.createDataFrame([(
+        *[m[c] for c in ("rmse_log", "mae", "rmse", "mape_pct", "r2_log", "r2_dollar")], bands,
+        ("reference, not used for selection", ref["rmse_log"], ref["mae"], ref["mape_pct"]), choice["type"],
+        choice["weights"] if choice["type"] == "blend" else None, tr.count() + va.count(), m["n"], _commit(),
+        str(data_version(spark, sf)), datetime.now().isoformat())],
+        schema + ", git_commit string, data_md5 string, timestamp string")
 
 
 @register("final_evaluation")

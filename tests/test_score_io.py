@@ -104,3 +104,25 @@ def test_run_log_widen(spark, tmp_path):
                                       {"data": "abc"}), path)
     w = IO.widen_run_log(spark.read.parquet(path)).first()
     assert w["metrics"]["rmse"] == "0.12" and w["tags"]["data"] == "abc"
+
+
+def test_the_decided_model_is_fitted(spark, monkeypatch):
+    from terrace.plans import q_model as q
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(q, "_MEMO", {})
+    rows = [("nbhd_median", 0.3, 0.3, 0.25), ("zoning_median", 0.3, 0.3, 0.75), ("blend", 0.1, 0.1, 1.0)]
+    ens = spark.createDataFrame(rows, "model string, oof_rmse_log double, val_rmse_log double, weight double")
+    monkeypatch.setattr(q, "_ensemble_rows", lambda *_: ens)
+    served = q.served_model(spark, sf)
+    assert served["type"] == "blend" and served["model"].weights == [0.25, 0.75]
+    assert [n for n, _ in served["model"].models] == ["nbhd_median", "zoning_median"]
+    assert q.metrics_json_doc(spark, sf).first()["final_model_type"] == "blend"
+    assert q.model_info(spark, sf).first()["model_type"] == "blend"
+    doc = q.final_metrics_document(spark, sf)
+    got = doc.first()
+    assert len(doc.columns) == 15 and got["final_model_weights"] == {"nbhd_median": 0.25, "zoning_median": 0.75}
+    tr, va, te = q._frames(spark, sf)
+    frame, _ = q._final_frame(spark, sf)
+    blend = frame.withColumn("p", q.B.blend_expr(["nbhd_median", "zoning_median"], [0.25, 0.75]))
+    want = q.MET.regression_metrics(blend, "SalePrice", "p").first()
+    assert abs(got["rmse_log"] - want["rmse_log"]) < 1e-9 and got["n_test"] == want["n"]

@@ -2,9 +2,10 @@
 
 Besides fixed patterns, a string is suspicious when a tokenizer's vocabulary
 knows it badly: few characters per token mean that no part of it is a usual
-word.  Candidates are runs of key characters with both letters and digits;
-hexadecimal digests of known lengths, UUIDs and identifiers made of words are
-excluded first.
+word.  Candidates are runs of key characters with letters; hexadecimal digests
+of known lengths, UUIDs and identifiers made of words are excluded first.  Words
+are known by the vocabulary too: cut at separators, digits and changes of case,
+an identifier's parts have clearly more characters per token than a key's.
 
 Nulls count as empty texts.  Repeated rows are scanned each.  An empty table
 gives no rows.  Other input columns are not read.
@@ -38,6 +39,11 @@ _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 #: Words of letters with separators and at most short numbers between them.
 _IDENTIFIER = re.compile(r"[/=+-]*[A-Za-z]+(?:[_/=+-]+(?:[A-Za-z]+|[0-9]{1,4}))*[0-9]{0,4}[_/=+-]*")
 
+#: Parts of identifiers: a word in one case, or with a first capital.
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Characters per token that the parts of an identifier exceed.
+WORD_RATIO = 2.5
+
 
 def encoding(path: str):
     import public_tokenizers
@@ -70,10 +76,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def known(s: str) -> bool:
+def known(s: str, enc) -> bool:
     """Digests, UUIDs and identifiers made of words."""
     return (len(s) in DIGESTS and _HEX_ONLY.fullmatch(s) is not None) or _UUID.fullmatch(s) is not None \
-        or _IDENTIFIER.fullmatch(s) is not None
+        or (_IDENTIFIER.fullmatch(s) is not None and of_words(s, enc))
+
+
+def of_words(s: str, enc) -> bool:
+    """The vocabulary knows the parts of ``s``, each alone."""
+    parts = _PART.findall(s)
+    return sum(map(len, parts)) > WORD_RATIO * sum(len(enc.encode_ordinary(p)) for p in parts)
 
 
 def random_spans(text: str, enc, least: int, ratio: float) -> list[tuple[int, int, str]]:
@@ -81,9 +93,9 @@ def random_spans(text: str, enc, least: int, ratio: float) -> list[tuple[int, in
     for m in re.finditer(_CANDIDATE % least, text):
         s = m.group()
         core = s.strip("=-_/+")
-        if len(core) < least or not (any(c.isdigit() for c in core) and any(c.isalpha() for c in core)) or known(core):
+        if len(core) < least or not any(c.isalpha() for c in core):
             continue
-        if len(s) <= ratio * len(enc.encode_ordinary(s)):
+        if len(s) <= ratio * len(enc.encode_ordinary(s)) and not known(core, enc):
             out.append((m.start(), 3, m.end()))
     return out
 

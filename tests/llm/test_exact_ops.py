@@ -213,6 +213,23 @@ def test_random_strings_are_found_and_known_ones_are_not():
         assert found(f"see {s} here") == []
 
 
+def test_keys_of_letters_are_found_and_long_words_are_not():
+    enc = secret_scan.encoding(queries.BYTE_BPE)
+
+    def found(t):
+        return [t[s:e] for s, _, e in secret_scan.random_spans(t, enc, 20, 2.0)]
+
+    rnd = random.Random(8)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet, tail, least in ((low + low.upper(), "", 100), (low.upper(), "", 100), (low, "", 98), (low + low.upper(), "0123", 100)):
+        keys = ["".join(rnd.choice(alphabet) for _ in range(32 - len(tail))) + tail for _ in range(100)]
+        assert sum(found(f"key {k} end") == [k] for k in keys) >= least
+    for s in ("Donaudampfschifffahrtsgesellschaft", "Rindfleischetikettierungsgesetz", "anticonstitutionnellement", "electroencefalografista",
+              "Geschwindigkeitsbegrenzung", "getUserAccountNameFromTable", "SomeAbstractFactoryBean2", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST",
+              "state-of-the-art/well-known", "pneumonoultramicroscopicsilicovolcanoconiosis"):
+        assert found(f"see {s} here") == []
+
+
 def test_scan(corpus, empty):
     df, rows = corpus
     out = secret_scan.scan(with_clashes(df, "spans"), queries.BYTE_BPE).collect()

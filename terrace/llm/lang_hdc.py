@@ -25,6 +25,8 @@ from terrace.llm.common import slices
 UNKNOWN = "und"
 #: More labels than this are not language labels; prototypes go to all tasks.
 MAX_LANGUAGES = 512
+#: Distinct trigrams whose vectors are in memory at a time.
+BLOCK = 2048
 _LETTERS: dict[tuple[int, int, int], np.ndarray] = {}
 
 
@@ -81,6 +83,23 @@ def bind(parts: np.ndarray, size: int, seed: int) -> np.ndarray:
     return np.roll(plain, 2, axis=1)[where[:, 0]] * np.roll(plain, 1, axis=1)[where[:, 1]] * plain[where[:, 2]]
 
 
+def bundled(parts: np.ndarray, row: np.ndarray, tri: np.ndarray, rows: int, size: int, seed: int) -> np.ndarray:
+    """Exact sums (rows, size) of the vectors of each row's trigrams, over
+    blocks of distinct trigrams of bounded size."""
+    out = np.zeros((rows, size))
+    step = max(64, min(BLOCK, (1 << 22) // max(rows, 1)))
+    if len(parts) > step:
+        order = np.argsort(tri, kind="stable")
+        row, tri = row[order], tri[order]
+    for first in range(0, len(parts), step):
+        n = min(step, len(parts) - first)
+        lo, hi = (0, len(tri)) if n == len(parts) else np.searchsorted(tri, [first, first + n])
+        counts = np.bincount(row[lo:hi] * n + (tri[lo:hi] - first), minlength=rows * n).reshape(rows, n)
+        kind = np.float32 if counts.sum(axis=1).max(initial=0) < 1 << 24 else np.float64  # whole numbers stay exact
+        out += counts.astype(kind) @ bind(parts[first:first + n], size, seed).astype(kind)
+    return out
+
+
 def prototypes(docs: DataFrame, train: Column, size: int, seed: int, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Bundled vector of each label over all rows where ``train`` holds."""
     def run(batches):
@@ -91,8 +110,7 @@ def prototypes(docs: DataFrame, train: Column, size: int, seed: int, text: str =
             parts, of, tri = trigrams(b.column(0).to_pylist())
             if len(parts) == 0:
                 continue
-            counts = np.bincount(which[of] * len(parts) + tri, minlength=len(names) * len(parts)).reshape(len(names), len(parts))
-            vectors = counts.astype(np.float64) @ bind(parts, size, seed).astype(np.float64)
+            vectors = bundled(parts, which[of], tri, len(names), size, seed)
             for name, v in zip(names.tolist(), vectors):
                 sums[name] = sums.get(name, 0) + v.astype(np.int64)
         for name, v in sums.items():
@@ -127,14 +145,10 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], size: int, seed: int
             parts, of, tri = trigrams(texts)
             best, score = np.full(len(texts), -1), np.zeros(len(texts))
             if len(parts) and names:
-                t = len(parts)
-                counts = np.bincount(of * t + tri, minlength=len(texts) * t).reshape(len(texts), t)
-                vectors = bind(parts, size, seed).astype(np.float32)
-                exact = counts.max() * counts.sum(axis=1).max() < 1 << 24
-                docs_v = counts.astype(np.float32) @ vectors if exact else counts.astype(np.float64) @ vectors.astype(np.float64)
-                norm = np.sqrt(np.einsum("ij,ij->i", docs_v, docs_v, dtype=np.float64))
-                cos = docs_v.astype(np.float64) @ matrix.T / np.maximum(norm, 1e-12)[:, None]
-                some = counts.any(axis=1)
+                docs_v = bundled(parts, of, tri, len(texts), size, seed)
+                norm = np.sqrt(np.einsum("ij,ij->i", docs_v, docs_v))
+                cos = docs_v @ matrix.T / np.maximum(norm, 1e-12)[:, None]
+                some = np.bincount(of, minlength=len(texts)) > 0
                 best[some] = np.argmax(cos[some], axis=1)
                 score[some] = np.clip(cos[some].max(axis=1), 0, 1)
             labels = [names[i] if i >= 0 else UNKNOWN for i in best.tolist()]

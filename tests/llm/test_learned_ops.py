@@ -301,6 +301,17 @@ def test_prototypes_are_exact_sums(corpus):
     assert set(got) == set(want) and all((got[k] == want[k]).all() for k in want)
 
 
+def test_many_distinct_trigrams_are_bound_in_blocks(monkeypatch):
+    rnd, sizes, bind = random.Random(6), [], lang_hdc.bind
+    texts = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(n)) for n in (9000, 40, 3)] + ["aaa bbb aaa", None]
+    parts, of, tri = lang_hdc.trigrams(texts)
+    want = np.zeros((5, 32))
+    np.add.at(want, of, bind(parts, 32, 9)[tri].astype(float))
+    monkeypatch.setattr(lang_hdc, "bind", lambda p, *a: sizes.append(len(p)) or bind(p, *a))
+    assert (lang_hdc.bundled(parts, of, tri, 5, 32, 9) == want).all()
+    assert sum(sizes) == len(parts) > 8000 and max(sizes) <= lang_hdc.BLOCK
+
+
 # --- pipeline ------------------------------------------------------------------
 
 def test_stages_one_by_one(corpus):

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import (chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, packing, secret_scan,
-                         suffix_dedup, topk_nra)
+from terrace.llm import (chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, line_clean, packing,
+                         secret_scan, suffix_dedup, topk_nra)
 from terrace.llm.common import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,43 @@ select query_id, rank, vec_id, score from r where rank <= 10""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk_nra.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_SYMBOLS, _LINE_SYMBOLS, _SEPARATORS, _NAVIGATION, _BOILERPLATE, _CLOSING = map(_quoted, (
+    line_clean.SYMBOLS, line_clean.LINE_SYMBOLS, line_clean.SEPARATORS, line_clean.NAVIGATION, line_clean.BOILERPLATE,
+    line_clean.CLOSING))
+_TERMINAL = ", ".join(map(_quoted, line_clean.TERMINAL))
+_LINES_ORACLE = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as raw from documents),
+w as (select r, regexp_extract_all(raw, '[^\x20\x09-\x0D]+') as w from d),
+g as (select r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+      from (select r, w, unnest(range(1, len(w) - 1)) as i from w where len(w) > 2)),
+h as (select r, i from (select r, i, count(*) over (partition by r, g) as n from g) where n > 1),
+rep as (select r, count(*) as n_repeat_words from (select distinct r, unnest([i, i + 1, i + 2]) from h) group by r),
+l as (select r, line, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) as t
+      from (select r, unnest(string_split(raw, chr(10))) as line from d)),
+m as (select r, line, t, length(t) - length(replace(t, ' ', '')) + 1 as n, length(replace(t, ' ', '')) as chars,
+        length(t) - length(regexp_replace(t, {_SEPARATORS}, '', 'g')) as seps,
+        length(t) - length(regexp_replace(t, {_LINE_SYMBOLS}, '', 'g')) as signs from l where t <> ''),
+j as (select *, case when regexp_matches(t, {_NAVIGATION}) or (seps >= 2 and n <= 4 * (seps + 1)) then 'navigation'
+        when n <= 25 and regexp_matches(t, {_BOILERPLATE}) then 'boilerplate'
+        when right(rtrim(t, {_CLOSING}), 1) not in ({_TERMINAL}) or 10 * signs > chars then 'punctuation' end as rule from m),
+k as (select r, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines,
+        {', '.join(f"count(*) filter (rule = '{x}') as n_{x}" for x in line_clean.RULES)},
+        coalesce(sum(chars) filter (rule is not null), 0)::bigint as lost_chars from j group by r),
+a as (select doc_id, len(w.w)::bigint as n_words, length(array_to_string(w.w, ''))::bigint as word_chars,
+        (length(raw) - length(regexp_replace(raw, {_SYMBOLS}, '', 'g')))::bigint as n_symbols,
+        coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines,
+        {', '.join(f"coalesce(n_{x}, 0) as n_{x}" for x in line_clean.RULES)}, coalesce(lost_chars, 0) as lost_chars
+      from d join w using (r) left join rep using (r) left join k using (r)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from a)
+select *, not base_failed and 100 * lost_chars <= 30 * word_chars as kept from b"""
+
+
+@query("op11_line_rules", _LINES_ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_clean.clean_lines(documents(spark, sf_dir)).drop("cleaned")

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import (chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, line_clean, packing,
-                         secret_scan, suffix_dedup, topk_nra)
+from terrace.llm import (chat_repair, chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, line_clean,
+                         packing, secret_scan, suffix_dedup, topk_nra)
 from terrace.llm.common import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,60 @@ select *, not base_failed and 100 * lost_chars <= 30 * word_chars as kept from b
 @query("op11_line_rules", _LINES_ORACLE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_clean.clean_lines(documents(spark, sf_dir)).drop("cleaned")
+
+
+def _edit(label: str, cost: str, letter: str, line: str | None = None) -> str:
+    """A label of the repair's recursion after one more edit."""
+    text = f"list_append({label}.t, {line})" if line else f"{label}.t"
+    return f"(case when {label} is not null then {{'c': {label}.c + {cost}, 'a': {label}.a || '{letter}', 't': {text}}} end)"
+
+
+def _least(*labels: str) -> str:
+    return f"list_min([{', '.join(labels)}])"
+
+
+def _inserted(source: str) -> str:
+    """Labels of all states after insertions before a row (or at the end)."""
+    user = _least("s2", *(_edit(s, "3", "I", "'user:'") for s in ("s0", "s1", "s3")))
+    return f"(select * exclude (s2, s3), u as s2, {_least('s3', _edit('u', '3', 'I', chr(39) + 'assistant:' + chr(39)))} as s3 from (select *, {user} as u from {source}))"
+
+
+def _read(initial: str, state: str, role: str) -> str:
+    return f"case when k = '{initial}' then {_edit(state, 'm', 'K', 'line')} else {_edit(state, '(3 + m)', 'R', chr(39) + role + ':' + chr(39) + ' || text')} end"
+
+
+_REPAIR_ORACLE = f"""
+with recursive crc as (select {[_crc_step(i) for i in range(256)]}::bigint[] as t),
+c as (select *, coalesce(conv_id::varchar, ' ') as conv, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+h as (select c.* exclude (k), xor(list_reduce(list_transform(regexp_extract_all(hex(encode(k)), '..'), lambda x: ('0x' || x)::bigint),
+        lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) % 20 as hit from c, crc),
+d as (select conv, turn, case when hit = 4 then 'user' else coalesce(role, ' ') end as role,
+        case hit when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+        unnest(range(case when hit = 3 then 2 else 1 end)) from h where hit <> 0),
+o as (select *, row_number() over (partition by conv order by turn nulls first, role, text) as i from d),
+f as (select conv, turn, role, text, i, left(role, 1) as k, role || ':' || text as line,
+        regexp_replace(text, '[\x20\x09-\x0D]+$', '') as bare, row_number() over (partition by conv, role, text order by i) > 1 as again,
+        lag(left(role, 1)) over (partition by conv order by i) || left(role, 1) not in ('su', 'ua', 'au') as wrong from o),
+e as (select *, case when bare = '' then 'blank' when again then 'duplicate' when right(bare, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+        case when bare <> '' and not again and right(bare, 1) not in ('.', '!', '?') then 3 else 0 end as m from f),
+p as (select conv, 0::bigint as i, {{'c': 0::bigint, 'a': '', 't': []::varchar[]}} as s0, null::struct(c bigint, a varchar, t varchar[]) as s1,
+        null::struct(c bigint, a varchar, t varchar[]) as s2, null::struct(c bigint, a varchar, t varchar[]) as s3 from (select distinct conv from e)
+      union all
+      select q.conv, e.i, {_edit('s0', '4', 'D')},
+        {_least(_edit('s1', '4', 'D'), f"case when ok and k = 's' then {_edit('s0', 'm', 'K', 'line')} end")},
+        {_least(_edit('s2', '4', 'D'), *(f"case when ok then {_read('u', s, 'user')} end" for s in ('s0', 's1', 's3')))},
+        {_least(_edit('s3', '4', 'D'), f"case when ok then {_read('a', 's2', 'assistant')} end")}
+      from {_inserted('p')} q join (select *, fault is null or fault = 'truncated' as ok from e) e on e.conv = q.conv and e.i = q.i + 1),
+z as (select conv, {_least('s0', 's3')} as s from {_inserted('(select *, max(i) over (partition by conv) as top from p)')} where i = top),
+r as (select conv, case when count(turn) = 0 then 0 else max(turn) - min(turn) + 1 - count(distinct turn) end as gaps,
+        count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+        count(*) filter (fault = 'truncated') as truncated, count(*) filter (wrong) as illegal from e group by conv)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(s.c, 0) as cost, coalesce(s.a, '') as audit,
+  sha256(coalesce(array_to_string(s.t, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id, conv from c) left join r using (conv) left join z using (conv)"""
+
+
+@query("op12_chat_repair", _REPAIR_ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import (chat_repair, chunk_dedup, ctw, dart_minhash, hilbert_shard, ipf_mix, lang_hdc, line_clean,
-                         packing, secret_scan, suffix_dedup, topk_nra)
+                         packing, secret_scan, suffix_dedup, topk_nra, zone_negatives)
 from terrace.llm.common import on_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,3 +280,24 @@ from (select distinct conv_id, conv from c) left join r using (conv) left join z
 @query("op12_chat_repair", _REPAIR_ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+_NEGATIVES_ORACLE = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+             list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+           where embedding is not null and vec_id is not null and label is not null
+             and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label = v.label as same, v.vec_id as id, list_inner_product(a.v, v.v)::bigint as score
+      from (select * from v where vec_id % 100 = 0) a join v on a.vec_id <> v.vec_id and len(a.v) = len(v.v)),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (select p.*, s.id as negative_id, s.score as negative_score,
+        row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.id)::integer as rank
+      from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * positive_score <= 100 * s.score and s.score <= positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
+
+@query("op13_zone_negatives", _NEGATIVES_ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return zone_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)

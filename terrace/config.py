@@ -101,3 +101,29 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 # MAPE denominator floor (float64 machine epsilon).
 MAPE_EPS = 2.220446049250313e-16
+
+# FIXED VALUES of the compared, searched and tuned models: rates, depths and
+# sampling of the boosting models (15 leaves: depth 4), the search spaces
+# (log / uniform / int ranges) with their trials, the published best parameters.
+BOOSTING_ROUNDS, FOREST_TREES, CV_REPEATS = 1000, 300, 3
+BOOSTING = {
+    "xgboost": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=1),
+    "lightgbm": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=20),
+    "catboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1)}
+PENALTY = ("log", 1e-5, 1e-2)
+SEARCH_SPACES = {
+    "Lasso": {"alpha": PENALTY},
+    "ElasticNet": {"alpha": PENALTY, "l1_ratio": ("uniform", 0.05, 0.95)},
+    "XGBoost": {"n_estimators": ("int", 400, 2000), "learning_rate": ("log", 0.01, 0.1), "max_depth": ("int", 2, 6),
+                "min_child_weight": ("int", 1, 10), "subsample": ("uniform", 0.5, 1.0), "colsample_bytree": ("uniform", 0.3, 1.0),
+                "reg_lambda": ("log", 1e-3, 10.0), "reg_alpha": ("log", 1e-4, 1.0)},
+    "CatBoost": {"iterations": ("int", 500, 2000), "learning_rate": ("log", 0.01, 0.1), "depth": ("int", 4, 8),
+                 "l2_leaf_reg": ("log", 1.0, 10.0), "random_strength": ("uniform", 0.0, 2.0),
+                 "bagging_temperature": ("uniform", 0.0, 1.0)}}
+SEARCH_TRIALS = {"Lasso": 60, "ElasticNet": 60, "XGBoost": 40, "CatBoost": 25}
+PUBLISHED_BEST = {
+    "Lasso": {"alpha": 0.0006119854691593898},
+    "ElasticNet": {"alpha": 0.0006358358856676254, "l1_ratio": 0.6872653200164409},
+    "XGBoost": {"n_estimators": 1476, "learning_rate": 0.03262249393408143, "max_depth": 3, "min_child_weight": 4,
+                "subsample": 0.8535059794504334, "colsample_bytree": 0.32760317883921475},
+    "CatBoost": {"iterations": 1882, "learning_rate": 0.01871879330520506, "depth": 4}}

@@ -172,46 +172,80 @@ class DomainImputerModel(Model, _ImputerParams, DefaultParamsReadable, DefaultPa
         return json.loads(self.getOrDefault(self.stateJson))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        st = self.state
-        medians, modes = st.get("medians", {}), st.get("modes", {})
-        gmed, global_med = st.get("group_medians", {}), st.get("global_median", 0.0)
-        g, lf = self.getOrDefault(self.group), self.getOrDefault(self.frontage)
-        types = {f.name: f.dataType for f in df.schema.fields}
-        expr: dict[str, Column] = {c: col(c) for c in df.columns}
+        return apply_rules(df, self.getOrDefault(self.group), self.getOrDefault(self.frontage), LearntFills(self.state))
+
+
+class LearntFills:
+    """What the rules read from one fitted state, as column expressions."""
+
+    def __init__(self, state: dict):
+        self.medians, self.modes = state.get("medians", {}), state.get("modes", {})
+        self.groups, self.overall = state.get("group_medians", {}), state.get("global_median", 0.0)
+
+    def median(self, c: str) -> Column | None:
+        return F.lit(self.medians[c]) if c in self.medians else None
+
+    def mode(self, c: str) -> Column | None:
+        return F.lit(self.modes[c]) if c in self.modes else None
 
-        # a) basement present but exposure / finish type missing -> learnt mode
-        if "TotalBsmtSF" in expr:
+    def frontage(self, group: Column | None) -> Column:
+        fill = F.lit(float(self.overall))
+        return fill if group is None else F.coalesce(lookup(group, self.groups), fill)
+
+
+def _in_basement(df: DataFrame) -> list[str]:
+    return [c for c in ("BsmtExposure", "BsmtFinType2") if c in df.columns] if "TotalBsmtSF" in df.columns else []
+
+
+def apply_rules(df: DataFrame, group: str, frontage: str, learnt) -> DataFrame:
+    """The imputation rules a-f with the fills of ``learnt``."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    expr: dict[str, Column] = {c: col(c) for c in df.columns}
+
+    # a) basement present but exposure / finish type missing -> learnt mode
+    for c in _in_basement(df):
+        mode = learnt.mode(c)
+        if mode is not None:
             has_b = F.coalesce(col("TotalBsmtSF") > 0, F.lit(False))
-            for c in ("BsmtExposure", "BsmtFinType2"):
-                if c in expr and c in modes:
-                    expr[c] = F.when(has_b & expr[c].isNull(), F.lit(modes[c])).otherwise(expr[c])
-        # b) structural absence -> "None" / 0
-        for c in NONE_COLS:
-            if c in expr:
-                expr[c] = F.coalesce(expr[c], F.lit("None"))
-        for c in ZERO_COLS:
-            if c in expr:
-                expr[c] = F.coalesce(expr[c], F.lit(0).cast(types[c]))
-        # c) garage year <- year built of the same row
-        if "GarageYrBlt" in expr and "YearBuilt" in expr:
-            expr["GarageYrBlt"] = F.coalesce(expr["GarageYrBlt"],
-                                             col("YearBuilt").cast(types["GarageYrBlt"]))
-        # d) frontage <- group median, else global median
-        if lf in expr:
-            fill = F.lit(float(global_med))
-            if g in expr:
-                fill = F.coalesce(lookup(col(g), gmed), fill)
-            expr[lf] = F.coalesce(expr[lf], fill.cast(types[lf]))
-        # e) functional -> typical
-        if "Functional" in expr:
-            expr["Functional"] = F.coalesce(expr["Functional"], F.lit("Typ"))
-        # f) everything left -> learnt median / mode (unseen columns stay NULL)
-        for c in df.columns:
-            if is_numeric(types[c]) and c in medians:
-                expr[c] = F.coalesce(expr[c], F.lit(medians[c]).cast(types[c]))
-            elif not is_numeric(types[c]) and c in modes:
-                expr[c] = F.coalesce(expr[c], F.lit(modes[c]))
-        return df.select(*[expr[c].alias(c) for c in df.columns])
+            expr[c] = F.when(has_b & expr[c].isNull(), mode).otherwise(expr[c])
+    # b) structural absence -> "None" / 0
+    for c in NONE_COLS:
+        if c in expr:
+            expr[c] = F.coalesce(expr[c], F.lit("None"))
+    for c in ZERO_COLS:
+        if c in expr:
+            expr[c] = F.coalesce(expr[c], F.lit(0).cast(types[c]))
+    # c) garage year <- year built of the same row
+    if "GarageYrBlt" in expr and "YearBuilt" in expr:
+        expr["GarageYrBlt"] = F.coalesce(expr["GarageYrBlt"],
+                                         col("YearBuilt").cast(types["GarageYrBlt"]))
+    # d) frontage <- group median, else global median
+    if frontage in expr:
+        fill = learnt.frontage(col(group) if group in expr else None)
+        expr[frontage] = F.coalesce(expr[frontage], fill.cast(types[frontage]))
+    # e) functional -> typical
+    if "Functional" in expr:
+        expr["Functional"] = F.coalesce(expr["Functional"], F.lit("Typ"))
+    # f) everything left -> learnt median / mode (unseen columns stay NULL)
+    for c in df.columns:
+        fill = learnt.median(c) if is_numeric(types[c]) else learnt.mode(c)
+        if fill is not None:
+            expr[c] = F.coalesce(expr[c], fill.cast(types[c]) if is_numeric(types[c]) else fill)
+    return df.select(*[expr[c].alias(c) for c in df.columns])
+
+
+def reads_learnt(df: DataFrame, frontage: str, skip: Sequence[str] = ()) -> Column:
+    """Whether a row gets any learnt fill from :func:`apply_rules`."""
+    given = {*NONE_COLS, *ZERO_COLS, "Functional", *skip}
+    hit = F.lit(False)
+    for c in _in_basement(df):
+        hit = hit | (col(c).isNull() & F.coalesce(col("TotalBsmtSF") > 0, F.lit(False)))
+    for c in df.columns:
+        if c == "GarageYrBlt" and "YearBuilt" in df.columns:
+            hit = hit | (col(c).isNull() & col("YearBuilt").isNull())
+        elif c not in given or c == frontage:
+            hit = hit | col(c).isNull()
+    return hit
 
 
 class MedianImputer(Estimator, _HasCols, DefaultParamsReadable, DefaultParamsWritable):

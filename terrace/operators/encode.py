@@ -261,54 +261,63 @@ def _vertex(points: list[tuple[float, float]]) -> float:
     return x1 if a == b else x1 - 0.5 * ((x1 - x0) * a - (x1 - x2) * b) / (a - b)
 
 
-def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], start: float = 2.0, limit: float = 128.0) -> dict[str, float]:
-    """Max-likelihood lambda per column, to about 1e-6.
+def search_lambdas(keys: Sequence, loglik, start: float = 2.0, limit: float = 128.0) -> dict:
+    """Max-likelihood lambda per key, to about 1e-6; ``loglik`` gives the (key,
+    lambda, log-likelihood) rows of a grid (key -> lambdas) in one pass.
 
-    The search starts on [-start, start]; a column whose best point lies at an
+    The search starts on [-start, start]; a key whose best point lies at an
     end is searched on beyond it, each time twice as far, until the best point
     is interior (a column of two values has no maximum and stops at ``limit``,
     where the likelihood is flat in doubles).  Then two finer grids around the
     best point, each closed by the parabola through its top: four passes for a
     usual column, one more for every doubling.
     """
-    known: dict[str, dict[float, float]] = {c: {} for c in cols}
+    known: dict = {c: {} for c in keys}
 
-    def ask(grid: dict[str, list[float]]) -> None:
+    def ask(grid: dict) -> None:
         grid = {c: sorted(set(g)) for c, g in grid.items() if g}
         if grid:
-            for r in yeo_johnson_loglik(df, list(grid), grid).collect():  # (#cols x #grid) rows
-                if r["loglik"] is not None and math.isfinite(r["loglik"]):
-                    known[r["column"]][r["lambda"]] = r["loglik"]
+            for key, lam, value in loglik(grid):
+                if value is not None and math.isfinite(value):
+                    known[key][lam] = value
 
-    def top(c: str) -> float:
+    def top(c) -> float:
         return max(known[c], key=lambda x: (known[c][x], -abs(x - 1.0)))
 
-    def around(c: str, step: float, many: int) -> list[float]:
+    def around(c, step: float, many: int) -> list[float]:
         return [round(top(c) + i * step, 10) for i in range(-many, many + 1)]
 
-    def peak(c: str) -> float:
+    def peak(c) -> float:
         xs = sorted(known[c])
         i = xs.index(top(c))
         return _vertex([(x, known[c][x]) for x in xs[i - 1:i + 2]]) if 0 < i < len(xs) - 1 else xs[i]
 
-    ask({c: [i * start / 8 for i in range(-8, 9)] for c in cols})
+    ask({c: [i * start / 8 for i in range(-8, 9)] for c in keys})
     reach = start
     while reach < limit:
-        edge = {c: 1.0 if top(c) >= reach else -1.0 for c in cols if known[c] and abs(top(c)) >= reach}
+        edge = {c: 1.0 if top(c) >= reach else -1.0 for c in keys if known[c] and abs(top(c)) >= reach}
         if not edge:
             break
         ask({c: [sign * reach * (1 + i / 8) for i in range(1, 9)] for c, sign in edge.items()})
         reach *= 2
-    live = [c for c in cols if known[c]]
+    live = [c for c in keys if known[c]]
     width = {c: max(start, abs(top(c))) / 8 for c in live}  # a coarse step there
     ask({c: around(c, width[c] / 20, 20) for c in live})
     for share in (1e-2, 1e-4):
         centre = {c: peak(c) for c in live}
-        known = {c: {} for c in cols}
+        known = {c: {} for c in keys}
         ask({c: [centre[c] + i * width[c] * share / 20 for i in range(-20, 21)] for c in live})
     return {c: float(peak(c)) for c in live}
 
 
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], start: float = 2.0, limit: float = 128.0) -> dict[str, float]:
+    """Max-likelihood lambda per column (see :func:`search_lambdas`)."""
+    def loglik(grid):  # (#cols x #grid) rows
+        return [(r["column"], r["lambda"], r["loglik"]) for r in yeo_johnson_loglik(df, list(grid), grid).collect()]
+
+    return search_lambdas(cols, loglik, start, limit)
+
+
 class SkewCorrector(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
     """Yeo-Johnson (no standardising) on numeric columns with |G1| > threshold."""
 

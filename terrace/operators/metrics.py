@@ -61,8 +61,7 @@ def metrics_by_band(df: DataFrame, label: str, pred: str, bands=PRICE_BANDS) ->
               (mape(F.col("y"), F.col("p")) * 100.0).alias("mape")))
     dim = df.sparkSession.createDataFrame([(i, b[0]) for i, b in enumerate(bands)],
                                           "band_order int, band string")
-    # the band dimension has len(bands) rows: a fixed-size broadcast
-    return F.broadcast(dim).join(g, "band_order", "left").select(
+    return dim.join(g, "band_order", "left").select(
         "band_order", "band", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
         F.coalesce("mae", F.lit(0.0)).alias("mae"), F.coalesce("mape", F.lit(0.0)).alias("mape")
     ).orderBy("band_order")

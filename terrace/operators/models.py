@@ -127,7 +127,7 @@ def elasticnet(alpha: float = 0.0005, l1_ratio: float = 0.5) -> PenalisedLinear:
 def random_forest(trees: int = 50, depth: int = 8, seed: int = 42) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol="features", labelCol="label",
                                  predictionCol="log_prediction", numTrees=trees, maxDepth=depth,
-                                 seed=seed, featureSubsetStrategy="onethird")
+                                 seed=seed, featureSubsetStrategy="all")
 
 
 GBT_PRESETS = {

@@ -276,8 +276,7 @@ def band_counts(df: DataFrame, value: str, bands=PRICE_BANDS) -> DataFrame:
     v = col(value)
     g = (df.select(band_order(v, bands).alias("band_order"))
          .groupBy("band_order").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
-    # the band dimension has len(bands) rows: a fixed-size broadcast
-    out = F.broadcast(dim).join(g, "band_order", "left").select(
+    out = dim.join(g, "band_order", "left").select(
         "band_order", "band", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
     out = out.cache()  # len(bands) rows
     total = out.agg(F.sum("count")).first()[0] or 0

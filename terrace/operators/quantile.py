@@ -49,7 +49,7 @@ def _holding(counts: DataFrame, within: str, order: str, before: Column) -> Data
 
 
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, probs: Sequence[float],
-                      folds: tuple[str, int] | None = None) -> DataFrame:
+                      folds: tuple[str, int] | None = None, weight: str | None = None, pairs: bool = False) -> DataFrame:
     """(group..., q array<double>) exact quantiles of ``value`` per group, linearly
     interpolated between the order statistics at floor and ceil of (n-1)*p.
 
@@ -60,7 +60,8 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, prob
     names = [f"_g{i}" for i in range(len(group_cols))]
     v = col(value).cast("double")
     own = [col(folds[0]).cast("int").alias("_fold")] if folds else []
-    base = df.select(*[col(g).alias(n) for g, n in zip(group_cols, names)], *own, v.alias("_v")).where(
+    mass = (col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")).alias("_w")
+    base = df.select(*[col(g).alias(n) for g, n in zip(group_cols, names)], *own, v.alias("_v"), mass).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     if not names:  # one group
         names = ["_g0"]
@@ -71,7 +72,7 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, prob
     group = ", ".join(names)
     base = base.withColumn("_b", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE))
 
-    parts = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    parts = [F.sum("_w").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     if folds:
         every = F.sequence(F.lit(0), F.lit(folds[1] - 1))
         coarse = base.groupBy(*keys, "_fold", "_b").agg(*parts)
@@ -101,7 +102,7 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, prob
         *[F.col(n).alias(f"{n}_") for n in names], F.col("_b").alias("_b_"), F.col("_lo").alias("_from"), F.col("_hi").alias("_to"),
         F.col("_before").alias("_base"), "_n", F.col("_wanted").alias("_ranks"))
     rows = held(base.join(open2, same((F.col("_b") == F.col("_b_")) & F.col("_v").between(F.col("_from"), F.col("_to")))))
-    last = rows.groupBy(*names, "_b", "_v", "_base", "_n", "_ranks").agg(F.count(F.lit(1)).alias("_c"))
+    last = rows.groupBy(*names, "_b", "_v", "_base", "_n", "_ranks").agg(F.sum("_w").alias("_c"))
     last = _holding(last, f"{group}, _b, _base", "_v", F.col("_base"))
 
     found = [x.select(*names, "_n", F.explode("_wanted").alias("_r"), F.col(y).alias("_x"))
@@ -113,6 +114,8 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, prob
         at = (F.col("_n") - 1) * F.lit(float(p))
         low, high = F.floor(at), F.ceil(at)
         a, b = F.col("_at")[low.cast("long")], F.col("_at")[high.cast("long")]
+        if pairs:
+            return F.struct(a.alias("low"), b.alias("high"), (at - low).alias("share"))
         return F.when((low == high) | (a == b), a).otherwise((high - at) * a + (at - low) * b)
 
     return stats.select(*[F.col(n).alias(g) for n, g in zip(keys, group_cols)],

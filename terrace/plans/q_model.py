@@ -11,22 +11,26 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
+import time
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.config import DROP_AFTER
+from terrace.config import BOOSTING, BOOSTING_ROUNDS, CV_REPEATS, DROP_AFTER, FOREST_TREES, SEARCH_SPACES, SEARCH_TRIALS
 from terrace.functions.exprs import col, round_doubles
 from terrace.operators import blend as B
 from terrace.operators import clean as C
 from terrace.operators import cv as CV
+from terrace.operators import folds as FO
 from terrace.operators import metrics as MET
 from terrace.operators import models as M
 from terrace.operators import split as S
 from terrace.operators.features import NEW_FEATURES
 from terrace.plans.fixtures import data_version, houses
 from terrace.plans.q_split import _EXACT, h32
-from terrace.plans.registry import register
+from terrace.plans.registry import full_size, register
 from terrace.session import scratch_path
 
 R = round_doubles
@@ -479,75 +483,305 @@ def model_info(spark, sf):
                       F.round("rmse_log", 4).alias("rmse_log"))
 
 
-# ============================================================== fitted ML models (rows-only)
-def _val_predictions(spark, sf, regressor, kind):
-    tr, va, _ = _frames(spark, sf)
-    model = M.full_model(regressor, tr.drop("fold").schema, kind).fit(tr.drop("fold"))
-    return model.transform(va).select("Id", "SalePrice", "prediction")
+# ============================================================== fitted linear models (rows-only)
+_WEAK = ["LotRatio", "IsRemodeled"]
+_ENGINEERED_ALL = [c for c in DROP_AFTER if c not in _WEAK]
+_LINEAR = {"Ridge": lambda: M.ridge(10.0), "Lasso": lambda: M.lasso(0.0005), "ElasticNet": lambda: M.elasticnet(0.0005, 0.5)}
+
+
+def _whole(spark, sf):
+    """Linear preprocessing and moments of all training rows, once per session."""
+    def build():
+        tr, _, _ = _frames(spark, sf)
+        train = tr.drop("fold")
+        prep = FO.fit_complements(train, FO.Folds((), K))
+        return prep, FO.CompressedFolds(prep, train)
+    return _memo(spark, sf, "whole", build)
+
+
+def _whole_predictions(spark, sf, name: str, regressor):
+    prep, compressed = _whole(spark, sf)
+    _, va, _ = _frames(spark, sf)
+    weights = compressed.fit(prep.folds.whole, regressor)
+    return FO.FoldLinearModel(prep, "fold", {name: {prep.folds.whole: weights}}).transform(va).select(
+        "Id", "SalePrice", F.col(name).alias("prediction"))
 
 
 @register("fit_ridge")
 def fit_ridge(spark, sf):
-    return _val_predictions(spark, sf, M.ridge(10.0), "linear")
+    return _whole_predictions(spark, sf, "ridge", _LINEAR["Ridge"]())
 
 
 @register("fit_lasso")
 def fit_lasso(spark, sf):
-    return _val_predictions(spark, sf, M.lasso(0.0005), "linear")
+    return _whole_predictions(spark, sf, "lasso", _LINEAR["Lasso"]())
 
 
 @register("fit_elasticnet")
 def fit_elasticnet(spark, sf):
-    return _val_predictions(spark, sf, M.elasticnet(0.0005, 0.5), "linear")
+    return _whole_predictions(spark, sf, "elasticnet", _LINEAR["ElasticNet"]())
+
+
+@register("lasso_selected_features")
+def lasso_selected_features(spark, sf):
+    prep, compressed = _whole(spark, sf)
+    weights = compressed.fit(prep.folds.whole, _LINEAR["Lasso"]())
+    df = spark.createDataFrame([(n, float(c)) for n, c in zip(compressed.names, weights)], "feature string, coefficient double")
+    return df.withColumn("selected", F.col("coefficient") != 0).orderBy(F.abs("coefficient").desc(), "feature")
+
+
+# ---------------------------------------------------------------- 5 x 3 folds, ablation, search: one state for all
+#: The fold of the searches and the blend, then those of the three repeats.
+_FOLDS = FO.Folds(("_f0", *(f"_f{r + 1}" for r in range(CV_REPEATS))), K)
+
+
+def _with_folds(spark, sf):
+    tr, va, te = _frames(spark, sf)
+    train = tr.withColumnRenamed("fold", "_f0")
+    for r in range(CV_REPEATS):
+        train = S.kfold(train, "Id", K, SEED, f"r{r}", f"_f{r + 1}")
+    return train, va, te
+
+
+def _complements(spark, sf):
+    """Preprocessing (all engineered features) and moments of the complements of
+    all 4 x 5 folds and of all rows, once per session."""
+    def build():
+        train, _, _ = _with_folds(spark, sf)
+        prep = FO.fit_complements(train, _FOLDS, drop_after=_ENGINEERED_ALL)
+        return prep, FO.CompressedFolds(prep, train)
+    return _memo(spark, sf, "complements", build)
+
+
+def _fitted(spark, sf, jobs: dict) -> dict:
+    """{name: {complement: weights}} of jobs name -> (regressor, complements, features left out)."""
+    _, compressed = _complements(spark, sf)
+    tasks = [(name, j) for name, (_, js, _) in jobs.items() for j in js]
+    fits = compressed.fit_all([(j, jobs[name][0], jobs[name][2]) for name, j in tasks])
+    out: dict = {}
+    for (name, j), w in zip(tasks, fits):
+        out.setdefault(name, {})[j] = w
+    return out
+
+
+def _errors(spark, sf, fitted: dict, rows: DataFrame, held: bool = True) -> dict:
+    """{(name, complement, on its own rows): RMSE(log)}, all models in one pass."""
+    prep, _ = _complements(spark, sf)
+    numbers = sorted({j for by in fitted.values() for j in by})
+    names = {j: [n for n in fitted if j in fitted[n]] for j in numbers}
+    got = FO.fold_errors(prep, rows, {j: np.stack([fitted[n][j] for n in names[j]]) for j in numbers}, held)
+    return {(n, j, side): v for (j, side), values in got.items() for n, v in zip(names[j], values)}
+
+
+_REPEATED = [(r, f, _FOLDS.number(r + 1, f)) for r in range(CV_REPEATS) for f in range(K)]
+
+
+def _scored(spark, sf, regressors: dict) -> tuple[DataFrame, DataFrame]:
+    """Scores of every model on 5 x 3 folds, and its validation metrics."""
+    jobs = {n: (r, [*(j for _, _, j in _REPEATED), _FOLDS.whole], _WEAK) for n, r in regressors.items()}
+    train, va, _ = _with_folds(spark, sf)
+    _, compressed = _complements(spark, sf)
+    _fitted(spark, sf, {n: (r, [_FOLDS.whole], _WEAK) for n, r in regressors.items()})  # compressed rows are there
+    fitted, seconds = {}, {}
+    for n, job in jobs.items():
+        t0 = time.time()
+        fitted |= _fitted(spark, sf, {n: job})
+        seconds[n] = (time.time() - t0) / len(job[1])
+    errors = _errors(spark, sf, {n: {j: w for j, w in by.items() if j != _FOLDS.whole} for n, by in fitted.items()}, train)
+    rows = [(n, r, f, errors[n, j, False], errors[n, j, True], seconds[n]) for n in regressors for r, f, j in _REPEATED]
+    scores = spark.createDataFrame(rows, "model string, repeat int, fold int, test_rmse_log double, train_rmse_log double, "
+                                         "fit_seconds double")
+    prep, _ = _complements(spark, sf)
+    val = FO.FoldLinearModel(prep, "_f0", fitted).transform(va).select("SalePrice", *regressors).cache()
+    out = []
+    for n in regressors:  # one row of metrics a model
+        m = MET.regression_metrics(val, "SalePrice", n).first()
+        out.append((n, "linear", m["rmse_log"], m["mae"], m["r2_log"], m["mape"]))
+    val.unpersist()
+    return scores, spark.createDataFrame(out, "model string, kind string, val_rmse_log double, val_mae double, val_r2 double, "
+                                              "val_mape double")
+
+
+def _linear_scores(spark, sf):
+    return _memo(spark, sf, "linear_scores", lambda: _scored(spark, sf, {n: make() for n, make in _LINEAR.items()}))
+
+
+def _one_model(name: str):
+    @register(f"cv_scores_{name.lower()}")
+    def scores(spark, sf):
+        return _linear_scores(spark, sf)[0].where(F.col("model") == name)
+
+
+for _name in _LINEAR:
+    _one_model(_name)
+
+
+@register("cv_scores_linear")
+def cv_scores_linear(spark, sf):
+    return _linear_scores(spark, sf)[0]
+
+
+@register("model_comparison_linear")
+def model_comparison_linear(spark, sf):
+    """The 11 columns of the comparison for the three linear models."""
+    return CV.comparison_table(*_linear_scores(spark, sf))
+
+
+_VARIANTS = {"full": [], "minus_LotRatio": ["LotRatio"], "minus_IsRemodeled": ["IsRemodeled"],
+             "minus_both_weak": _WEAK, "no_engineered": NEW_FEATURES}
+_SEARCH_FOLDS = [_FOLDS.number(0, f) for f in range(K)]
+
+
+def _ablation_linear(spark, sf):
+    """The published variants of the lasso over five folds and the validation rows."""
+    def build():
+        train, va, _ = _with_folds(spark, sf)
+        fitted = _fitted(spark, sf, {v: (M.lasso(0.0005), [*_SEARCH_FOLDS, _FOLDS.whole], out) for v, out in _VARIANTS.items()})
+        cv = _errors(spark, sf, {v: {j: w for j, w in by.items() if j != _FOLDS.whole} for v, by in fitted.items()}, train)
+        val = _errors(spark, sf, {v: {_FOLDS.whole: by[_FOLDS.whole]} for v, by in fitted.items()}, va, held=False)
+        scores = {v: [cv[v, j, False] for j in _SEARCH_FOLDS] for v in _VARIANTS}
+        mean = {v: float(np.mean(s)) for v, s in scores.items()}
+        return spark.createDataFrame(
+            [("lasso", v, mean[v], float(np.std(scores[v])), val[v, _FOLDS.whole, False], mean[v] - mean["full"]) for v in _VARIANTS],
+            "model string, variant string, cv_rmse_log_mean double, cv_rmse_log_std double, val_rmse_log double, delta_vs_full double")
+    return _memo(spark, sf, "ablation_linear", build)
+
+
+@register("ablation_linear_table")
+def ablation_linear_table(spark, sf):
+    return _ablation_linear(spark, sf)
+
+
+@register("ablation_linear_decision")
+def ablation_linear_decision(spark, sf):
+    return CV.weak_feature_decision(_ablation_linear(spark, sf), _WEAK)
+
+
+@register("ablation_linear_gain")
+def ablation_linear_gain(spark, sf):
+    return CV.engineered_gain(_ablation_linear(spark, sf))
+
+
+_MAKE_LINEAR = {"Lasso": lambda p: M.lasso(p["alpha"]), "ElasticNet": lambda p: M.elasticnet(p["alpha"], p["l1_ratio"])}
+
+
+def _linear_trials(spark, sf):
+    """60 trials of either penalised model on five folds: 600 fits on compressed
+    rows, one pass over the data to score them all."""
+    def build():
+        train, _, _ = _with_folds(spark, sf)
+        params = {}
+        for n in _MAKE_LINEAR:
+            rng = random.Random(SEED)
+            params[n] = [CV.sample_space(SEARCH_SPACES[n], rng) for _ in range(SEARCH_TRIALS[n])]
+        fitted = _fitted(spark, sf, {(n, t): (_MAKE_LINEAR[n](p), _SEARCH_FOLDS, _WEAK) for n in params for t, p in enumerate(params[n])})
+        errors = _errors(spark, sf, fitted, train)
+        return spark.createDataFrame(
+            [(t, json.dumps(p, sort_keys=True), float(np.mean([errors[(n, t), j, False] for j in _SEARCH_FOLDS])), n)
+             for n in params for t, p in enumerate(params[n])], "trial int, params string, cv_rmse_log double, model string")
+    return _memo(spark, sf, "linear_trials", build)
+
+
+@register("tune_linear_search")
+def tune_linear_search(spark, sf):
+    return _linear_trials(spark, sf)
+
+
+@register("tune_linear_best_trial")
+def tune_linear_best_trial(spark, sf):
+    return CV.best_trial(_linear_trials(spark, sf))
+
+
+@register("tune_linear_history")
+def tune_linear_history(spark, sf):
+    return CV.trial_history(_linear_trials(spark, sf))
+
+
+def _linear_best(spark, sf) -> dict:
+    return {r["model"]: json.loads(r["best_params"]) for r in CV.best_trial(_linear_trials(spark, sf)).collect()}  # a row a model
+
+
+@register("tuning_linear_before_after")
+def tuning_linear_before_after(spark, sf):
+    """The best trials scored again on 5 x 3 folds and the validation rows,
+    against the untuned models of the comparison."""
+    best = _linear_best(spark, sf)
+    tuned = CV.comparison_table(*_scored(spark, sf, {n: make(best[n]) for n, make in _MAKE_LINEAR.items()}))
+    return _before_after(tuned, CV.comparison_table(*_linear_scores(spark, sf)))
+
+
+def _before_after(tuned: DataFrame, base: DataFrame) -> DataFrame:
+    base = base.select("model", F.col("cv_rmse_log_mean").alias("baseline_cv_rmse"), F.col("val_rmse_log").alias("baseline_val_rmse"))
+    return tuned.join(base, "model").select(
+        "model", "kind", "baseline_cv_rmse", F.col("cv_rmse_log_mean").alias("tuned_cv_rmse"),
+        F.col("cv_rmse_log_std").alias("tuned_cv_std"), "baseline_val_rmse", F.col("val_rmse_log").alias("tuned_val_rmse"),
+        "val_mae", "val_mape", "val_r2")
+
+
+def _tuned_linear(spark, sf) -> dict:
+    """The tuned models fitted on every search fold's complement and on all rows."""
+    best = _linear_best(spark, sf)
+    return _fitted(spark, sf, {n: (make(best[n]), [*_SEARCH_FOLDS, _FOLDS.whole], _WEAK) for n, make in _MAKE_LINEAR.items()})
+
 
+def _linear_oof(spark, sf) -> DataFrame:
+    train, _, _ = _with_folds(spark, sf)
+    prep, _ = _complements(spark, sf)
+    return FO.FoldLinearModel(prep, "_f0", _tuned_linear(spark, sf)).transform(train).select(
+        "Id", "SalePrice", F.col("_f0").alias("fold"), *_MAKE_LINEAR)
 
+
+@register("oof_linear_predictions")
+def oof_linear_predictions(spark, sf):
+    """Out-of-fold predictions of the tuned linear models: one scan."""
+    return _linear_oof(spark, sf)
+
+
+@register("blend_linear_predict")
+def blend_linear_predict(spark, sf):
+    """The tuned linear models blended on the log scale with weights from their
+    out-of-fold Gram matrix, applied to the test rows."""
+    names = list(_MAKE_LINEAR)
+    G = B.gram_matrix(B.gram(_linear_oof(spark, sf), "SalePrice", names), len(names))
+    w = B.simplex_weights(G)
+    prep, _ = _complements(spark, sf)
+    _, _, te = _with_folds(spark, sf)
+    out = FO.FoldLinearModel(prep, "_f0", _tuned_linear(spark, sf)).transform(te)
+    return out.select("Id", *names, B.blend_expr(names, list(w)).alias("prediction"))
+
+
+# ============================================================== the published size: hours on one machine
 #: Spark's deepest tree, where the original's trees have no bound.
 DEEPEST = 30
-#: Rates, depths and sampling of the compared boosting models (15 leaves: depth 4).
-_BOOSTED = {
-    "xgboost": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=1),
-    "lightgbm": dict(stepSize=0.03, maxDepth=4, subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=20),
-    "catboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1)}
-ROUNDS, TREES, REPEATS = 1000, 300, 3
 
 
 def _boosted(preset: str):
-    return M.gbt(preset, ROUNDS, **_BOOSTED[preset])
+    return M.gbt(preset, BOOSTING_ROUNDS, **BOOSTING[preset])
 
 
 #: How to make each compared model (Spark's estimators need a session), and its kind.
 _CV_MODELS = {
-    "Ridge": (lambda: M.ridge(10.0), "linear"), "Lasso": (lambda: M.lasso(0.0005), "linear"),
-    "ElasticNet": (lambda: M.elasticnet(0.0005, 0.5), "linear"),
-    "RandomForest": (lambda: M.random_forest(TREES, DEEPEST), "tree"),
+    **{n: (make, "linear") for n, make in _LINEAR.items()},
+    "RandomForest": (lambda: M.random_forest(FOREST_TREES, DEEPEST), "tree"),
     "XGBoost": (lambda: _boosted("xgboost"), "tree"), "LightGBM": (lambda: _boosted("lightgbm"), "tree"),
     "CatBoost": (lambda: _boosted("catboost"), "tree")}
 
 
-@register("fit_random_forest")
-def fit_random_forest(spark, sf):
-    return _val_predictions(spark, sf, M.random_forest(TREES, DEEPEST), "tree")
-
-
-@register("fit_gbt")
-def fit_gbt(spark, sf):
-    """The three boosting presets, fitted as concurrent Spark jobs."""
-    from concurrent.futures import ThreadPoolExecutor
+def _val_predictions(spark, sf, regressor, kind):
     tr, va, _ = _frames(spark, sf)
-    train = tr.drop("fold").cache()
+    model = M.full_model(regressor, tr.drop("fold").schema, kind).fit(tr.drop("fold"))
+    return model.transform(va).select("Id", "SalePrice", "prediction")
 
-    pipes = {p: M.full_model(_boosted(p), train.schema, "tree") for p in M.GBT_PRESETS}
 
-    def one(preset):
-        model = pipes[preset].fit(train)
-        return model.transform(va).select("Id", F.lit(preset).alias("preset"), "prediction")
+@full_size("fit_random_forest")
+def fit_random_forest(spark, sf):
+    return _val_predictions(spark, sf, M.random_forest(FOREST_TREES, DEEPEST), "tree")
 
-    with ThreadPoolExecutor(max_workers=len(M.GBT_PRESETS)) as ex:
-        parts = list(ex.map(one, list(M.GBT_PRESETS)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+@full_size("fit_gbt")
+def fit_gbt(spark, sf):
+    """The three boosting presets, one after another."""
+    return _union([_val_predictions(spark, sf, _boosted(p), "tree").withColumn("preset", F.lit(p)) for p in M.GBT_PRESETS])
 
 
 def _repeats(spark, sf, kind: str):
@@ -556,7 +790,7 @@ def _repeats(spark, sf, kind: str):
     def build():
         tr, va, _ = _frames(spark, sf)
         train = tr.drop("fold")
-        return CV.prepared_repeats(train, va, M.prep_pipeline(train.schema, kind), "Id", K, REPEATS, "SalePrice", SEED)
+        return CV.prepared_repeats(train, va, M.prep_pipeline(train.schema, kind), "Id", K, CV_REPEATS, "SalePrice", SEED)
     return _memo(spark, sf, f"repeats_{kind}", build)
 
 
@@ -567,21 +801,6 @@ def _model_scores(spark, sf, name: str):
         {kind: _repeats(spark, sf, kind)}, {name: (make(), kind)}, "SalePrice").cache())
 
 
-def _one_model(name: str):
-    @register(f"cv_scores_{name.lower()}")
-    def scores(spark, sf):
-        return _model_scores(spark, sf, name)
-
-
-for _name in _CV_MODELS:
-    _one_model(_name)
-
-
-@register("cv_scores_models")
-def cv_scores_models(spark, sf):
-    return _union([_model_scores(spark, sf, name) for name in _CV_MODELS])
-
-
 def _union(parts):
     out = parts[0]
     for p in parts[1:]:
@@ -589,6 +808,11 @@ def _union(parts):
     return out
 
 
+@full_size("cv_scores_models")
+def cv_scores_models(spark, sf):
+    return _union([_model_scores(spark, sf, name) for name in _CV_MODELS])
+
+
 def _comparison(spark, sf, names):
     def validated(name):
         make, kind = _CV_MODELS[name]
@@ -597,24 +821,12 @@ def _comparison(spark, sf, names):
     return CV.comparison_table(_union([_model_scores(spark, sf, n) for n in names]), _union([validated(n) for n in names]))
 
 
-@register("model_comparison")
+@full_size("model_comparison")
 def model_comparison(spark, sf):
     return _comparison(spark, sf, list(_CV_MODELS))
 
 
-@register("lasso_selected_features")
-def lasso_selected_features(spark, sf):
-    tr, _, _ = _frames(spark, sf)
-    model = M.full_model(M.lasso(0.0005), tr.drop("fold").schema, "linear").fit(tr.drop("fold"))
-    lr, assembled = model.stages[-2], model.stages[-3]
-    names = assembled.getInputCols()
-    rows = [(n, float(c)) for n, c in zip(names, lr.coefficients.toArray())]
-    df = spark.createDataFrame(rows, "feature string, coefficient double")
-    return df.withColumn("selected", F.col("coefficient") != 0).orderBy(
-        F.abs("coefficient").desc())
-
-
-@register("feature_importance")
+@full_size("feature_importance")
 def feature_importance(spark, sf):
     tr, _, _ = _frames(spark, sf)
     model = M.full_model(_boosted("lightgbm"), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
@@ -622,42 +834,22 @@ def feature_importance(spark, sf):
     rows = [(n, float(v)) for n, v in zip(assembled.getInputCols(),
                                           gbm.featureImportances.toArray())]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.col("importance").desc())
-
-
-_WEAK = ["LotRatio", "IsRemodeled"]
-_VARIANTS = {"full": [], "minus_LotRatio": ["LotRatio"], "minus_IsRemodeled": ["IsRemodeled"],
-             "minus_both_weak": _WEAK, "no_engineered": NEW_FEATURES}
+        F.col("importance").desc(), "feature")
 
 
-def _ablation(spark, sf):
+@full_size("ablation_table")
+def ablation_table(spark, sf):
     """The ablation table over five folds and the validation rows, with all
     engineered features in the full set (the two weak ones too)."""
     def build():
         tr, va, _ = _frames(spark, sf)
-        after = [c for c in DROP_AFTER if c not in _WEAK]
-        prepared = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind, drop_after=after),
+        prepared = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind, drop_after=_ENGINEERED_ALL),
                                             "fold", "SalePrice", 6) for kind in ("linear", "tree")}
         models = {"lasso": (M.lasso(0.0005), "linear"), "lightgbm": (_boosted("lightgbm"), "tree")}
         return CV.ablate_features(prepared, models, _VARIANTS, "SalePrice", 8)
     return _memo(spark, sf, "ablation", build)
 
 
-@register("ablation_table")
-def ablation_table(spark, sf):
-    return _ablation(spark, sf)
-
-
-@register("ablation_decision")
-def ablation_decision(spark, sf):
-    return CV.weak_feature_decision(_ablation(spark, sf), _WEAK)
-
-
-@register("ablation_gain")
-def ablation_gain(spark, sf):
-    return CV.engineered_gain(_ablation(spark, sf))
-
-
 def _tuned_xgboost(p):
     return M.gbt("xgboost", p["n_estimators"], stepSize=p["learning_rate"], maxDepth=p["max_depth"],
                  minInstancesPerNode=p["min_child_weight"], subsamplingRate=p["subsample"],
@@ -668,67 +860,46 @@ def _tuned_catboost(p):
     return M.gbt("catboost", p["iterations"], stepSize=p["learning_rate"], maxDepth=p["depth"])
 
 
-_PENALTY = ("log", 1e-5, 1e-2)
-#: Space, trials, model of a parameter set, kind.  Spark's boosting has no
-#: counterpart of the L1, L2, random-strength and bagging-temperature values.
-_SEARCHES = {
-    "Lasso": ({"alpha": _PENALTY}, 60, lambda p: M.lasso(p["alpha"]), "linear"),
-    "ElasticNet": ({"alpha": _PENALTY, "l1_ratio": ("uniform", 0.05, 0.95)}, 60,
-                   lambda p: M.elasticnet(p["alpha"], p["l1_ratio"]), "linear"),
-    "XGBoost": ({"n_estimators": ("int", 400, 2000), "learning_rate": ("log", 0.01, 0.1), "max_depth": ("int", 2, 6),
-                 "min_child_weight": ("int", 1, 10), "subsample": ("uniform", 0.5, 1.0),
-                 "colsample_bytree": ("uniform", 0.3, 1.0), "reg_lambda": ("log", 1e-3, 10.0),
-                 "reg_alpha": ("log", 1e-4, 1.0)}, 40, _tuned_xgboost, "tree"),
-    "CatBoost": ({"iterations": ("int", 500, 2000), "learning_rate": ("log", 0.01, 0.1), "depth": ("int", 4, 8),
-                  "l2_leaf_reg": ("log", 1.0, 10.0), "random_strength": ("uniform", 0.0, 2.0),
-                  "bagging_temperature": ("uniform", 0.0, 1.0)}, 25, _tuned_catboost, "tree")}
-
-
-def _search_folds(spark, sf, kind):
-    """Five folds with the preprocessing of ``kind``, prepared once per session."""
-    def build():
-        tr, va, _ = _frames(spark, sf)
-        return CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind), "fold", "SalePrice")
-    return _memo(spark, sf, f"search_folds_{kind}", build)
+#: Model of a parameter set, kind.  Spark's boosting has no counterpart of the
+#: L1, L2, random-strength and bagging-temperature values of the spaces.
+_SEARCHES = {**{n: (make, "linear") for n, make in _MAKE_LINEAR.items()}, "XGBoost": (_tuned_xgboost, "tree"),
+             "CatBoost": (_tuned_catboost, "tree")}
 
 
-def _trials(spark, sf):
+@full_size("tune_search")
+def tune_search(spark, sf):
     def build():
-        return _union([CV.linear_search(_search_folds(spark, sf, kind), make, space, trials, "SalePrice", SEED)
-                       .withColumn("model", F.lit(name)) for name, (space, trials, make, kind) in _SEARCHES.items()])
+        tr, va, _ = _frames(spark, sf)
+        folds = {kind: CV.prepared_folds(tr, va, M.prep_pipeline(tr.drop("fold").schema, kind), "fold", "SalePrice")
+                 for kind in ("linear", "tree")}
+        return _union([CV.linear_search(folds[kind], make, SEARCH_SPACES[name], SEARCH_TRIALS[name], "SalePrice", SEED)
+                       .withColumn("model", F.lit(name)) for name, (make, kind) in _SEARCHES.items()])
     return _memo(spark, sf, "trials", build)
 
 
-@register("tune_search")
-def tune_search(spark, sf):
-    return _trials(spark, sf)
-
-
-@register("tune_best_trial")
-def tune_best_trial(spark, sf):
-    return CV.best_trial(_trials(spark, sf))
-
-
-@register("tune_history")
-def tune_history(spark, sf):
-    return CV.trial_history(_trials(spark, sf))
-
-
-@register("tuning_before_after")
+@full_size("tuning_before_after")
 def tuning_before_after(spark, sf):
-    """The best trials scored again on 5 x 3 folds and the validation rows,
-    against the untuned models of the comparison."""
-    best = {r["model"]: json.loads(r["best_params"]) for r in CV.best_trial(_trials(spark, sf)).collect()}  # a row a model
-    models = {n: (make(best[n]), kind) for n, (_, _, make, kind) in _SEARCHES.items()}
+    best = {r["model"]: json.loads(r["best_params"]) for r in CV.best_trial(tune_search(spark, sf)).collect()}  # a row a model
+    models = {n: (make(best[n]), kind) for n, (make, kind) in _SEARCHES.items()}
     folds = {kind: _repeats(spark, sf, kind) for kind in ("linear", "tree")}
     tuned = CV.comparison_table(CV.cross_validate_prepared(folds, models, "SalePrice"),
                                 CV.validate_prepared(folds, models, "SalePrice"))
-    base = _comparison(spark, sf, list(_SEARCHES)).select("model", F.col("cv_rmse_log_mean").alias("baseline_cv_rmse"),
-                                                          F.col("val_rmse_log").alias("baseline_val_rmse"))
-    return tuned.join(base, "model").select(
-        "model", "kind", "baseline_cv_rmse", F.col("cv_rmse_log_mean").alias("tuned_cv_rmse"),
-        F.col("cv_rmse_log_std").alias("tuned_cv_std"), "baseline_val_rmse", F.col("val_rmse_log").alias("tuned_val_rmse"),
-        "val_mae", "val_mape", "val_r2")
+    return _before_after(tuned, _comparison(spark, sf, list(_SEARCHES)))
+
+
+@full_size("blend_models_predict")
+def blend_models_predict(spark, sf):
+    """Four tuned pipelines blended on the log scale with weights from their
+    out-of-fold Gram matrix (five folds), applied to the test rows."""
+    tr, va, te = _frames(spark, sf)
+    train = tr.drop("fold")
+    best = {r["model"]: json.loads(r["best_params"]) for r in CV.best_trial(tune_search(spark, sf)).collect()}  # a row a model
+    pipes = {n: M.full_model(make(best[n]), train.schema, kind) for n, (make, kind) in _SEARCHES.items()}
+    oof = CV.oof_predictions(tr, pipes, "Id", "fold", "SalePrice", parallelism=4).cache()
+    G = B.gram_matrix(B.gram(oof, "SalePrice", list(pipes)), len(pipes))
+    w = B.simplex_weights(G)
+    model = B.LogBlendRegressor(list(pipes.items()), list(w)).fit(train)
+    return model.transform(te.drop("SalePrice")).select("Id", *pipes, "prediction")
 
 
 def served_model(spark, sf) -> dict:
@@ -759,20 +930,10 @@ def _final_models(spark, sf):
     return both.select("Id", "SalePrice", F.col("prediction").alias("final_pred"), "reference_pred"), final
 
 
-def _commit() -> str:
-    import os
-    import subprocess
-    try:
-        return subprocess.run(["git", "-C", os.path.dirname(os.path.abspath(__file__)), "rev-parse", "--short", "HEAD"],
-                              capture_output=True, text=True, check=True).stdout.strip()
-    except (OSError, subprocess.CalledProcessError):
-        return "unknown"
-
-
 @register("final_metrics_document")
-def final_metrics_document(spark, sf):
-    """All 15 keys of the metrics document, of the decided and fitted model."""
-    from datetime import datetime
+def final_metrics_document(spark, sf, commit: str | None = None, timestamp: str | None = None):
+    """All 15 keys of the metrics document, of the decided and fitted model;
+    the writer of the document knows the commit and the time."""
     both, _ = _final_models(spark, sf)
     both = both.cache()
     tr, va, _ = _frames(spark, sf)
@@ -786,8 +947,8 @@ def final_metrics_document(spark, sf):
     return spark.createDataFrame([(
         *[m[c] for c in ("rmse_log", "mae", "rmse", "mape_pct", "r2_log", "r2_dollar")], bands,
         ("reference, not used for selection", ref["rmse_log"], ref["mae"], ref["mape_pct"]), choice["type"],
-        choice["weights"] if choice["type"] == "blend" else None, tr.count() + va.count(), m["n"], _commit(),
-        str(data_version(spark, sf)), datetime.now().isoformat())],
+        choice["weights"] if choice["type"] == "blend" else None, tr.count() + va.count(), m["n"], commit,
+        str(data_version(spark, sf)), timestamp)],
         schema + ", git_commit string, data_md5 string, timestamp string")
 
 
@@ -867,26 +1028,3 @@ def full_model_predict(spark, sf):
     tr, va, te = _frames(spark, sf)
     model = M.full_model(M.ridge(10.0), tr.drop("fold").schema, "tree").fit(tr.drop("fold"))
     return model.transform(te.drop("SalePrice")).select("Id", "prediction")
-
-
-#: The published best parameters, which the original's blend stage reads.
-_TUNED = {
-    "Lasso": {"alpha": 0.0006119854691593898},
-    "ElasticNet": {"alpha": 0.0006358358856676254, "l1_ratio": 0.6872653200164409},
-    "XGBoost": {"n_estimators": 1476, "learning_rate": 0.03262249393408143, "max_depth": 3, "min_child_weight": 4,
-                "subsample": 0.8535059794504334, "colsample_bytree": 0.32760317883921475},
-    "CatBoost": {"iterations": 1882, "learning_rate": 0.01871879330520506, "depth": 4}}
-
-
-@register("blend_models_predict")
-def blend_models_predict(spark, sf):
-    """Four tuned pipelines blended on the log scale with weights from their
-    out-of-fold Gram matrix (five folds), applied to the test rows."""
-    tr, va, te = _frames(spark, sf)
-    train = tr.drop("fold")
-    pipes = {n: M.full_model(make(_TUNED[n]), train.schema, kind) for n, (_, _, make, kind) in _SEARCHES.items()}
-    oof = CV.oof_predictions(tr, pipes, "Id", "fold", "SalePrice", parallelism=4).cache()
-    G = B.gram_matrix(B.gram(oof, "SalePrice", list(pipes)), len(pipes))
-    w = B.simplex_weights(G)
-    model = B.LogBlendRegressor(list(pipes.items()), list(w)).fit(train)
-    return model.transform(te.drop("SalePrice")).select("Id", *pipes, "prediction")

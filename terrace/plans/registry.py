@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Jobs of the published size that take hours on one machine: callable by name
+#: like a query, but not part of the registered set (see the README).
+FULL_SIZE: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def full_size(key: str):
+    def deco(fn):
+        FULL_SIZE[key] = fn
+        return fn
+    return deco
 
 
 def register(key: str, oracle: str | None = None):

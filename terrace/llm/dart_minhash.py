@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import attach, mix, partitions, save, slices, utf8, words
+from terrace.llm.common import attach, mix, partitions, save, save_bucketed, slices, utf8, words
 from terrace.llm.components import components
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
@@ -284,24 +284,31 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = 24, rows
                  tile: int = 2048, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, class_id (smallest id of the class),
     class_size, kept (one row of each class), text_hash."""
-    table = save(_signed(docs, bands, rows, text, key), "darts")
+    # wide rows stay where they were written: they are bucketed by the task that
+    # wrote them, which every row number holds, and the narrow side comes to them
+    part = F.shiftright("row", 40).alias("part")
+    table = save_bucketed(_signed(docs, bands, rows, text, key).select("*", part), "darts", "part")
     same = save(table.groupBy("words").agg(F.count("*").alias("copies"), F.min(F.struct("row", "bands")).alias("m"))
                 .select("words", "copies", F.col("m.row").alias("rep"), F.col("m.bands").alias("bands")), "darts-same")
-    band = same.select(F.explode("bands").alias("band"), "rep")
-    members = save(band.withColumn("n", F.count("*").over(Window.partitionBy("band"))).where("n > 1"), "darts-buckets")
-    active = members.select(F.col("rep").alias("row")).distinct()
-    sets = save(table.select("row", "sketch", "cells").join(active, "row"), "darts-active")
+    band = save(same.select(F.explode("bands").alias("band"), "rep"), "darts-bands")
+    counts = band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = save(attach(band, save(counts, "darts-counts"), "band", "n", band.count()).where("n is not null"), "darts-buckets")
+    active = members.select(F.shiftright("rep", 40).alias("part"), F.col("rep").alias("row")).distinct()
+    sets = save(table.select("part", "row", "sketch", "cells").join(active, ["part", "row"]).drop("part"), "darts-active")
     least = int(bands * rows * (similarity - margin))
-    sketches = sets.select(F.col("row").alias("rep"), "sketch", "cells", F.octet_length("cells").cast("long").alias("size"))
-    light = members.join(sketches.drop("cells", "size"), "rep").select(
+    sketches = sets.select(F.col("row").alias("rep"), "sketch", "cells")
+    light = members.join(sketches.drop("cells"), "rep").select(
         "band", "n", F.lit(0).alias("bytes"), "rep", F.col("rep").alias("label"), "sketch", F.lit(None).cast("binary").alias("cells"))
     links = save(_verified(_pairs(light, least, tile, None), sets, similarity), "darts-links")
     labels = components(links)
+    sizes = sets.select(F.col("row").alias("rep"), F.octet_length("cells").cast("long").alias("size"))
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    w = Window.partitionBy("band")
-    apart = named.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).where("lo <> hi")
-    full = apart.join(sketches, "rep").withColumn("bytes", F.sum("size").over(w))
-    more = save(_pairs(full, least, tile, similarity), "darts-links")
+    named = save(named.join(sizes, "rep"), "darts-members")
+    # buckets that hold texts of several components, from narrow rows
+    apart = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("size").alias("bytes"),
+                                      F.max("n").alias("many")).where("lo <> hi").select("band", "bytes", "many")
+    apart = attach(named.select("band", "n", "rep", "label"), save(apart, "darts-apart"), "band", "many", named.count()).where("many is not null")
+    more = save(_pairs(apart.join(sketches, "rep"), least, tile, similarity), "darts-links")
     if not more.isEmpty():
         labels = _relabel(labels, more)
     rows_ = table.select("row", "doc_id", "text_hash", "words")

@@ -161,7 +161,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_suffix_repeats")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir), kept_bytes=True)
+    # a removed byte run may end inside a character
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 @query("op9_language_profiles")

@@ -153,13 +153,16 @@ def test_prepared_repeats_equal_full_refits(spark):
 
 def test_registered_models_do_the_published_job(spark):
     from terrace.plans import q_model as q
-    from terrace.plans.registry import QUERIES
+    from terrace.config import CV_REPEATS, PUBLISHED_BEST, SEARCH_TRIALS
+    from terrace.plans.registry import FULL_SIZE, QUERIES
     assert list(q._CV_MODELS) == ["Ridge", "Lasso", "ElasticNet", "RandomForest", "XGBoost", "LightGBM", "CatBoost"]
     forest = q._CV_MODELS["RandomForest"][0]()
-    assert (forest.getNumTrees(), forest.getMaxDepth()) == (300, 30) and (q.K, q.REPEATS) == (5, 3)
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (300, 30, "all")
+    assert (q.K, CV_REPEATS) == (5, 3)
     for name, rate, depth in (("XGBoost", 0.03, 4), ("LightGBM", 0.03, 4), ("CatBoost", 0.05, 6)):
         m = q._CV_MODELS[name][0]()
         assert (m.getMaxIter(), m.getStepSize(), m.getMaxDepth()) == (1000, rate, depth)
-    assert {n: s[1] for n, s in q._SEARCHES.items()} == {"Lasso": 60, "ElasticNet": 60, "XGBoost": 40, "CatBoost": 25}
-    assert list(q._TUNED) == list(q._SEARCHES) and q._tuned_xgboost(q._TUNED["XGBoost"]).getMaxIter() == 1476
-    assert {f"cv_scores_{n.lower()}" for n in q._CV_MODELS} <= set(QUERIES)
+    assert SEARCH_TRIALS == {"Lasso": 60, "ElasticNet": 60, "XGBoost": 40, "CatBoost": 25}
+    assert list(PUBLISHED_BEST) == list(q._SEARCHES) and q._tuned_xgboost(PUBLISHED_BEST["XGBoost"]).getMaxIter() == 1476
+    assert {"cv_scores_ridge", "cv_scores_lasso", "cv_scores_elasticnet", "cv_scores_linear", "tune_linear_search"} <= set(QUERIES)
+    assert {"fit_gbt", "cv_scores_models", "tune_search", "blend_models_predict"} <= set(FULL_SIZE) and not set(FULL_SIZE) & set(QUERIES)

@@ -58,6 +58,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where ``df`` has them already (case aside)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def token_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+`` of a text; null counts as empty."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
@@ -215,9 +226,14 @@ def lower(data: np.ndarray) -> np.ndarray:
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose (id, text hash) is in ``kept``, each such pair
-    once, with the columns of ``docs``."""
-    marked = docs.withColumn("_keep_id", F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))).withColumn(
-        "_keep_hash", F.coalesce(F.xxhash64(text), F.lit(0)))
-    wanted = kept.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_keep_id"), F.coalesce("text_hash", F.lit(0)).alias("_keep_hash")).distinct()
-    return marked.join(wanted, ["_keep_id", "_keep_hash"], "left_semi").dropDuplicates(["_keep_id", "_keep_hash"]).select(*docs.columns)
+    """The rows of ``docs`` whose (id, text hash) is in ``kept``, with the columns
+    of ``docs``, whatever their names.  Of rows with one id and one text the one
+    with the least hash of all its columns stays."""
+    i, h, order = unused(docs, "_keep_id", "_keep_hash", "_keep_order")
+    none = F.lit(-(1 << 63))
+    rows = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.select("*", F.coalesce(F.col(key).cast("long"), none).alias(i), F.coalesce(F.xxhash64(text), F.lit(0)).alias(h))
+    wanted = kept.select(F.coalesce("doc_id", none).alias(i), F.coalesce("text_hash", F.lit(0)).alias(h)).distinct()
+    left = marked.join(wanted, [i, h], "left_semi")
+    one = left.groupBy(i, h).agg(F.min_by(F.struct(*rows), F.xxhash64(*rows)).alias(order))
+    return one.select(f"{order}.*")

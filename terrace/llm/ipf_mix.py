@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import token_count
+from terrace.llm.common import token_count, unused
 
 OTHER = "other"
 
@@ -45,12 +45,39 @@ def rake(tokens: np.ndarray, targets: list[np.ndarray], budget: float, rounds: i
     return x
 
 
+def gap(x: np.ndarray, targets: list[np.ndarray]) -> float:
+    """The largest distance of a marginal's share from its target."""
+    return max(float(np.abs(x.sum(axis=tuple(a for a in range(x.ndim) if a != axis)) / max(x.sum(), 1e-300) - target).max())
+               for axis, target in enumerate(targets))
+
+
+def feasible(tokens: np.ndarray, targets: list[np.ndarray], share: float, near: float = 1e-4) -> tuple[np.ndarray, float, float]:
+    """Fitted token counts, the share of all tokens they are, and their
+    :func:`gap`: the largest share up to ``share`` (to a thousandth of it) at which
+    every marginal meets its target.  Where no share does, the compromise at
+    ``share``; its gap tells."""
+    total = tokens.sum()
+    whole = rake(tokens, targets, share * total)
+    if total == 0 or gap(whole, targets) <= near:
+        return whole, share, gap(whole, targets) if total else 0.0
+    low, high, best = 0.0, share, None
+    for _ in range(10):
+        middle = (low + high) / 2
+        x = rake(tokens, targets, middle * total)
+        if gap(x, targets) <= near:
+            low, best = middle, x
+        else:
+            high = middle
+    return (whole, share, gap(whole, targets)) if best is None else (best, low, gap(best, targets))
+
+
 def mix_weights(docs: DataFrame, targets: dict[str, dict[str, float]], dims: dict[str, Column], share: float = 0.5,
                 seed: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, the classes, factor, probability and kept of each row.
+    """doc_id, n_tokens, the classes, factor, probability and kept of each row,
+    and the share and gap of :func:`feasible`.
 
-    ``share`` is the part of all tokens to draw, ``targets`` gives weights of
-    the values of each dimension in ``dims``.
+    ``share`` is the part of all tokens to draw at most, ``targets`` gives weights
+    of the values of each dimension in ``dims``.
     """
     rows = docs.select(F.col(key).alias("doc_id"), token_count(F.col(text)).alias("n_tokens"),
                        *[_class(e, list(targets[d])).alias(d) for d, e in dims.items()])
@@ -66,13 +93,14 @@ def mix_weights(docs: DataFrame, targets: dict[str, dict[str, float]], dims: dic
         w = np.array([targets[d].get(x, 0) for x in v[:-1]], float) * (have[:-1] > 0)
         w = w / w.sum() * (1 - have[-1]) if w.sum() else have[:-1]
         wanted.append(np.append(w, have[-1]))
-    fitted = rake(t, wanted, share * t.sum())
+    fitted, share, apart = feasible(t, wanted, share)
     probability = np.divide(fitted, t, out=np.full(t.shape, float(share)), where=t > 0)
     table = [(*[v[i] for v, i in zip(values, at)], float(p)) for at, p in np.ndenumerate(probability)]
     schema = ", ".join(f"`{d}` string" for d in names) + ", probability double"
     joined = rows.join(F.broadcast(docs.sparkSession.createDataFrame(table, schema)), names, "left")
     return joined.select("doc_id", *names, "n_tokens", (F.col("probability") / share).alias("factor"),
-                         "probability", (_draw(seed, "doc_id") < F.col("probability")).alias("kept"))
+                         "probability", (_draw(seed, "doc_id") < F.col("probability")).alias("kept"),
+                         F.lit(float(share)).alias("share"), F.lit(apart).alias("gap"))
 
 
 def _class(value: Column, listed: list[str]) -> Column:
@@ -84,10 +112,10 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]], dims: dict[str,
     """The drawn rows of ``docs`` with their columns.  The draw is a function
     of the row and its cell, so the texts need no shuffle."""
     marks = mix_weights(docs, targets, dims, share, seed, text, key)
-    names = [f"_mix_{d}" for d in dims]
-    table = marks.groupBy(*dims).agg(F.first("probability").alias("_mix_p")).toDF(*names, "_mix_p")  # one row a cell
-    marked = docs.withColumns({n: _class(e, list(targets[d])) for n, (d, e) in zip(names, dims.items())})
-    return marked.join(F.broadcast(table), names).where(_draw(seed, key) < F.col("_mix_p")).select(*docs.columns)
+    *names, p = unused(docs, *[f"_mix_{d}" for d in dims], "_mix_p")
+    table = marks.groupBy(*dims).agg(F.first("probability").alias(p)).toDF(*names, p)  # one row a cell
+    marked = docs.select("*", *[_class(e, list(targets[d])).alias(n) for n, (d, e) in zip(names, dims.items())])
+    return marked.join(F.broadcast(table), names).where(_draw(seed, key) < F.col(p)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _draw(seed: int, key: str) -> Column:

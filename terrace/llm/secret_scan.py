@@ -88,14 +88,20 @@ def of_words(s: str, enc) -> bool:
     return sum(map(len, parts)) > WORD_RATIO * sum(len(enc.encode_ordinary(p)) for p in parts)
 
 
+#: Shortest strings looked at, and their ratio: of 16 to 19 characters, words of
+#: natural compounds come nearer to random strings (README), so the bound is lower.
+SHORTEST, SHORT_RATIO = 16, 1.7
+
+
 def random_spans(text: str, enc, least: int, ratio: float) -> list[tuple[int, int, str]]:
     out = []
-    for m in re.finditer(_CANDIDATE % least, text):
+    shortest = min(SHORTEST, least)
+    for m in re.finditer(_CANDIDATE % shortest, text):
         s = m.group()
         core = s.strip("=-_/+")
-        if len(core) < least or not any(c.isalpha() for c in core):
+        if len(core) < shortest or not any(c.isalpha() for c in core):
             continue
-        if len(s) <= ratio * len(enc.encode_ordinary(s)) and not known(core, enc):
+        if len(s) <= (ratio if len(core) >= least else min(ratio, SHORT_RATIO)) * len(enc.encode_ordinary(s)) and not known(core, enc):
             out.append((m.start(), 3, m.end()))
     return out
 

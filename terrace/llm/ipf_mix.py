@@ -72,12 +72,14 @@ def feasible(tokens: np.ndarray, targets: list[np.ndarray], share: float, near:
 
 
 def mix_weights(docs: DataFrame, targets: dict[str, dict[str, float]], dims: dict[str, Column], share: float = 0.5,
-                seed: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
+                seed: int = 3, text: str = "text", key: str = "doc_id", reach: bool = False) -> DataFrame:
     """doc_id, n_tokens, the classes, factor, probability and kept of each row,
-    and the share and gap of :func:`feasible`.
+    the share of all tokens drawn and the :func:`gap` of the fitted marginals.
 
-    ``share`` is the part of all tokens to draw at most, ``targets`` gives weights
-    of the values of each dimension in ``dims``.
+    ``share`` is the part of all tokens to draw, ``targets`` gives weights of the
+    values of each dimension in ``dims``.  Where ``share`` is too much for the
+    targets, the fit is the nearest compromise and its gap tells; with ``reach``
+    the largest share that meets them is taken instead (:func:`feasible`).
     """
     rows = docs.select(F.col(key).alias("doc_id"), token_count(F.col(text)).alias("n_tokens"),
                        *[_class(e, list(targets[d])).alias(d) for d, e in dims.items()])
@@ -93,7 +95,11 @@ def mix_weights(docs: DataFrame, targets: dict[str, dict[str, float]], dims: dic
         w = np.array([targets[d].get(x, 0) for x in v[:-1]], float) * (have[:-1] > 0)
         w = w / w.sum() * (1 - have[-1]) if w.sum() else have[:-1]
         wanted.append(np.append(w, have[-1]))
-    fitted, share, apart = feasible(t, wanted, share)
+    if reach:
+        fitted, share, apart = feasible(t, wanted, share)
+    else:
+        fitted = rake(t, wanted, share * t.sum())
+        apart = gap(fitted, wanted) if t.sum() else 0.0
     probability = np.divide(fitted, t, out=np.full(t.shape, float(share)), where=t > 0)
     table = [(*[v[i] for v, i in zip(values, at)], float(p)) for at, p in np.ndenumerate(probability)]
     schema = ", ".join(f"`{d}` string" for d in names) + ", probability double"

@@ -128,7 +128,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_ipf_mixture")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ipf_mix.mix_weights(documents(spark, sf_dir), MIX, mix_dims())
+    return ipf_mix.mix_weights(documents(spark, sf_dir), MIX, mix_dims(), reach=True)
 
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"

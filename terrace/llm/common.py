@@ -109,6 +109,17 @@ def attach(rows: DataFrame, stats: DataFrame, key: str, size: str, total: int) -
     return first.unionByName(second)
 
 
+def meet(rows: DataFrame, stats: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join of a written ``rows`` table with a written ``stats`` table of
+    one row per (integer) key: rows of hot keys, HOT_ONE_IN at most, by broadcast,
+    so that no task gets all of them; the others by shuffle."""
+    hot = stats.where(F.col(size) * HOT_ONE_IN >= total)
+    names = [r[0] for r in hot.select(key).collect()]  # HOT_ONE_IN keys at most
+    cold = stats.where(F.col(size) * HOT_ONE_IN < total)
+    return rows.where(F.col(key).isin(names)).join(F.broadcast(hot), key).unionByName(
+        rows.where(~F.col(key).isin(names)).join(cold, key))
+
+
 # --- numpy helpers used inside tasks -------------------------------------
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import attach, mix, partitions, save, save_bucketed, slices, utf8, words
+from terrace.llm.common import attach, meet, mix, partitions, save, save_bucketed, slices, utf8, words
 from terrace.llm.components import components
 
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
@@ -292,7 +292,7 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = 24, rows
                 .select("words", "copies", F.col("m.row").alias("rep"), F.col("m.bands").alias("bands")), "darts-same")
     band = save(same.select(F.explode("bands").alias("band"), "rep"), "darts-bands")
     counts = band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = save(attach(band, save(counts, "darts-counts"), "band", "n", band.count()).where("n is not null"), "darts-buckets")
+    members = save(meet(band, save(counts, "darts-counts"), "band", "n", band.count()), "darts-buckets")
     active = members.select(F.shiftright("rep", 40).alias("part"), F.col("rep").alias("row")).distinct()
     sets = save(table.select("part", "row", "sketch", "cells").join(active, ["part", "row"]).drop("part"), "darts-active")
     least = int(bands * rows * (similarity - margin))
@@ -307,7 +307,7 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, bands: int = 24, rows
     # buckets that hold texts of several components, from narrow rows
     apart = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("size").alias("bytes"),
                                       F.max("n").alias("many")).where("lo <> hi").select("band", "bytes", "many")
-    apart = attach(named.select("band", "n", "rep", "label"), save(apart, "darts-apart"), "band", "many", named.count()).where("many is not null")
+    apart = meet(named.select("band", "n", "rep", "label"), save(apart, "darts-apart"), "band", "many", named.count())
     more = save(_pairs(apart.join(sketches, "rep"), least, tile, similarity), "darts-links")
     if not more.isEmpty():
         labels = _relabel(labels, more)

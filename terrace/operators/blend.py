@@ -45,6 +45,8 @@ def gram_matrix(g_long: DataFrame, k: int) -> np.ndarray:
 def simplex_weights(G: np.ndarray) -> np.ndarray:
     """argmin w'Gw subject to w >= 0, sum(w) = 1, exactly (support enumeration)."""
     k = G.shape[0]
+    if k > 16:
+        raise ValueError("at most 16 models: the supports are enumerated")
     best, best_w = math.inf, np.ones(k) / k
     for size in range(1, k + 1):
         for supp in itertools.combinations(range(k), size):

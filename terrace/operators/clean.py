@@ -3,7 +3,9 @@
 Fit = one aggregate job (medians / modes of every column) plus one grouped
 median; the fitted state is a handful of scalars and a per-group map kept as
 ML Params, so it persists with ``DefaultParamsWritable`` and is applied as a
-pure column expression (no join, no shuffle) at transform time.
+pure column expression (no join, no shuffle) at transform time.  With more
+groups than a literal should hold, the group medians are a written table that
+transform joins (``terrace.operators.state``).
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from terrace.config import NONE_COLS, ZERO_COLS
 from terrace.functions.exprs import col, has, is_numeric, not_true
+from terrace.operators.state import attach, free_name, group_state
 
 # ---------------------------------------------------------------- FLT-1/2
 
@@ -146,15 +149,16 @@ class DomainImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultPar
     def _fit(self, df: DataFrame) -> "DomainImputerModel":
         g, lf = self.getOrDefault(self.group), self.getOrDefault(self.frontage)
         medians, modes = column_stats(df, self.getOrDefault(self.exact))
-        gmed: dict = {}
+        gmed: dict = {"values": {}}
         if has(df, lf, g):
-            # one row per group: fitted state, bounded by the group cardinality
-            gmed = {r["group"]: r["median"] for r in group_medians(df, g, lf).collect()
-                    if r["median"] is not None}
+            sizes = df.groupBy(col(g).alias("group")).agg(F.count(F.lit(1)).alias("n"))
+            gmed = group_state(group_medians(df, g, lf).withColumnRenamed("median", "value"), sizes)
         global_med = medians.get(lf, 0.0) if lf in df.columns else 0.0
         m = DomainImputerModel(group=g, frontage=lf)
-        m._set(stateJson=json.dumps({"medians": medians, "modes": modes,
-                                     "group_medians": gmed, "global_median": global_med}))
+        state = {"medians": medians, "modes": modes, "group_medians": gmed.get("values", {}), "global_median": global_med}
+        if "table" in gmed:
+            state["group_table"] = gmed
+        m._set(stateJson=json.dumps(state))
         return m
 
 
@@ -172,13 +176,20 @@ class DomainImputerModel(Model, _ImputerParams, DefaultParamsReadable, DefaultPa
         return json.loads(self.getOrDefault(self.stateJson))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return apply_rules(df, self.getOrDefault(self.group), self.getOrDefault(self.frontage), LearntFills(self.state))
+        state, g, lf = self.state, self.getOrDefault(self.group), self.getOrDefault(self.frontage)
+        if "group_table" not in state or not has(df, g, lf):
+            return apply_rules(df, g, lf, LearntFills(state))
+        name = free_name(df, "_fill")
+        joined = attach(df, g, state["group_table"], name)
+        return apply_rules(joined, g, lf, LearntFills(state, F.col(name))).drop(name)
 
 
 class LearntFills:
-    """What the rules read from one fitted state, as column expressions."""
+    """What the rules read from one fitted state, as column expressions;
+    ``joined`` is the column that holds a table-backed group median."""
 
-    def __init__(self, state: dict):
+    def __init__(self, state: dict, joined: Column | None = None):
+        self.joined = joined
         self.medians, self.modes = state.get("medians", {}), state.get("modes", {})
         self.groups, self.overall = state.get("group_medians", {}), state.get("global_median", 0.0)
 
@@ -190,7 +201,9 @@ class LearntFills:
 
     def frontage(self, group: Column | None) -> Column:
         fill = F.lit(float(self.overall))
-        return fill if group is None else F.coalesce(lookup(group, self.groups), fill)
+        if group is None:
+            return fill
+        return F.coalesce(lookup(group, self.groups) if self.joined is None else self.joined, fill)
 
 
 def _in_basement(df: DataFrame) -> list[str]:

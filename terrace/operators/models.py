@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from terrace.config import DROP_AFTER, DROP_COLS
 from terrace.functions.exprs import col
+from terrace.operators.state import attach, free_name, group_state
 
 
 class _IO(Params):
@@ -167,11 +168,12 @@ class GroupMedianRegressor(Estimator, DefaultParamsReadable, DefaultParamsWritab
         from terrace.operators.quantile import column_quantiles, grouped_quantiles
         gname, yname = self.getOrDefault(self.groupCol), self.getOrDefault(self.labelCol)
         q = grouped_quantiles(df.filter(col(gname).isNotNull()), [gname], yname, [0.5])
-        rows = [(r[gname], r["q"][0]) for r in q.collect()]  # one row per group: fitted state
+        sizes = df.groupBy(col(gname).alias("group")).agg(F.count(F.lit(1)).alias("n"))
+        state = group_state(q.select(col(gname).alias("group"), F.col("q")[0].alias("value")), sizes)
         glob = (column_quantiles(df, [yname], [0.5])[yname] or [None])[0]
         m = GroupMedianModel(groupCol=self.getOrDefault(self.groupCol),
                              predictionCol=self.getOrDefault(self.predictionCol))
-        m._set(stateJson=json.dumps({"groups": dict(rows), "global": glob}))
+        m._set(stateJson=json.dumps({"groups": state, "global": glob}))
         return m
 
 
@@ -187,11 +189,10 @@ class GroupMedianModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        from terrace.operators.clean import lookup
-        st = json.loads(self.getOrDefault(self.stateJson))
-        p = F.coalesce(lookup(col(self.getOrDefault(self.groupCol)), st.get("groups", {})),
-                       F.lit(st.get("global")).cast("double"))
-        return df.withColumn(self.getOrDefault(self.predictionCol), p)
+        st, name = json.loads(self.getOrDefault(self.stateJson)), free_name(df, "_median")
+        joined = attach(df, self.getOrDefault(self.groupCol), st.get("groups", {"values": {}}), name)
+        p = F.coalesce(F.col(name), F.lit(st.get("global")).cast("double"))
+        return joined.withColumn(self.getOrDefault(self.predictionCol), p).drop(name)
 
 
 # ---------------------------------------------------------------- full model (ENC-9)

@@ -18,6 +18,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,17 +56,37 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- PROF-2
-def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, broadcast_rows: int = 1_000_000) -> DataFrame:
     """Rows beyond the first of each identical row (NULLs compare equal).
 
-    ``groupBy`` on all columns partially aggregates map-side, so a heavily
-    duplicated row only ever travels as one (row, count) pair per task.
+    Digests first: 128 bits per row are counted, so the shuffle of the whole
+    table does not depend on its width.  Whole rows move only where a digest
+    occurs twice and are then compared themselves, so a collision changes
+    nothing; they are combined map-side, so a heavily repeated row travels as
+    one (row, count) pair per task.  The repeated digests are written; up to
+    ``broadcast_rows`` of them (24 bytes each) are broadcast, more are joined by
+    their hash.  ``-0.0`` equals ``0.0`` and NaN equals NaN, as in ``groupBy``.
     """
-    cols = list(cols or df.columns)
-    g = df.groupBy(*[col(c) for c in cols]).agg(F.count(F.lit(1)).alias("n"))
-    return g.agg(F.sum("n").cast("bigint").alias("n_rows"),
-                 F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
-                 F.sum(F.col("n") - 1).cast("bigint").alias("n_duplicates"))
+    from terrace.session import scratch_path
+    spark, cols = df.sparkSession, list(cols or df.columns)
+    rows = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    names = rows.columns
+    # NULLs leave a hash as it is, so their places are hashed too
+    places = [F.col(c).isNull() for c in names]
+    hashed = rows.select(*names, F.xxhash64(*names, *places).alias("h1"),
+                         F.xxhash64(F.lit("second"), *names, *places).alias("h2"))
+    counts = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "repeated")
+    counts.filter(F.col("n") > 1).write.parquet(path)
+    repeated = spark.read.parquet(path)
+    size = repeated.agg(F.count(F.lit(1)).alias("digests"), F.sum("n").alias("n")).first()
+    alone = rows.count() - (size["n"] or 0)  # rows whose digest is their own
+    few = repeated.select("h1", "h2")
+    few = F.broadcast(few) if size["digests"] <= broadcast_rows else few
+    whole = hashed.join(few, ["h1", "h2"], "left_semi").groupBy("h1", "h2", *names).agg(F.count(F.lit(1)).alias("n"))
+    return whole.agg((F.coalesce(F.sum("n"), F.lit(0)) + alone).cast("bigint").alias("n_rows"),
+                     (F.count(F.lit(1)) + alone).cast("bigint").alias("n_distinct"),
+                     F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 
 # ---------------------------------------------------------------- PROF-3
@@ -132,55 +153,74 @@ def skew_table(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 # ---------------------------------------------------------------- PROF-6..9
-def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for every unordered pair (i <= j).
-
-    Returns (col_a, col_b, pos_a, pos_b, r).  Each task reduces its Arrow
-    batches to p x p co-moment matrices with NumPy (n, sums, sums of squares
-    and cross products over the rows where both columns are present) and
-    emits p(p+1)/2 rows; a ``groupBy(pos_a, pos_b)`` sums them.  The shuffle
-    is (#tasks x p^2) rows whatever the row count.  Columns are shifted by
-    their global means first (one cheap pass) so the raw-moment formula does
-    not cancel catastrophically.
-    """
+def _comoments(df: DataFrame, left: list[tuple[int, str]], right: list[tuple[int, str]], shift: dict) -> DataFrame:
+    """Co-moments of the pairs (left, right) of one tile, summed over all tasks;
+    a tile of a block with itself gives the pairs i <= j.  It reads the
+    columns of its two blocks only."""
     import numpy as np
     import pandas as pd
 
-    cols = list(cols)
-    p = len(cols)
-    x = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    means = x.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(p)]).first()
-    shift = np.array([means[i] if means[i] is not None else 0.0 for i in range(p)])
-    iu, ju = np.triu_indices(p)
+    same, k = left == right, len(left)
+    used = left if same else left + right
+    x = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in used])
+    means = np.array([shift[i] for i, _ in used])
+    pos = np.array([i for i, _ in used], dtype="int32")
+    width = k if same else len(right)
+    rows, others = np.triu_indices(k) if same else (a.ravel() for a in np.indices((k, width)))
+    first, second = pos[rows], pos[others if same else others + k]
 
     def comoments(batches):
         acc = None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            a = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
+            a = pdf.to_numpy(dtype=float, na_value=np.nan) - means
             m = (~np.isnan(a)).astype(float)
             a0 = np.where(m > 0, a, 0.0)
-            part = (m.T @ m, a0.T @ m, (a0 * a0).T @ m, a0.T @ a0)
+            (ma, mb), (xa, xb) = ((m, m), (a0, a0)) if same else ((m[:, :k], m[:, k:]), (a0[:, :k], a0[:, k:]))
+            part = (ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb)
             acc = part if acc is None else tuple(u + v for u, v in zip(acc, part))
         if acc is None:
             return
-        n, s, ss, sab = acc
-        yield pd.DataFrame({"pos_a": iu.astype("int32"), "pos_b": ju.astype("int32"),
-                            "n": n[iu, ju], "sa": s[iu, ju], "sb": s[ju, iu],
-                            "saa": ss[iu, ju], "sbb": ss[ju, iu], "sab": sab[iu, ju]})
-
-    schema = ("pos_a int, pos_b int, n double, sa double, sb double, saa double, sbb double, "
-              "sab double")
-    m = x.mapInPandas(comoments, schema).groupBy("pos_a", "pos_b").agg(
+        yield pd.DataFrame({"pos_a": first, "pos_b": second, **{
+            c: v[rows, others] for c, v in zip(("n", "sa", "sb", "saa", "sbb", "sab"), acc)}})
+
+    schema = "pos_a int, pos_b int, n double, sa double, sb double, saa double, sbb double, sab double"
+    return x.mapInPandas(comoments, schema)
+
+
+def correlation_long(df: DataFrame, cols: Sequence[str], block: int = 256) -> DataFrame:
+    """Pairwise-complete Pearson r for every unordered pair (i <= j).
+
+    Returns (col_a, col_b, pos_a, pos_b, r).  The columns are cut into blocks;
+    each pair of blocks is a tile with a scan of its own (column-pruned to the
+    two blocks), whose tasks reduce their Arrow batches with NumPy to ``block``
+    x ``block`` co-moments (n, sums, sums of squares and cross products over
+    the rows where both columns are present).  So no task holds p x p values
+    (six matrices of ``block`` squared: 3 MB), and p columns are read
+    p / ``block`` + 1 times; up to ``block`` columns there is one scan.  The
+    shuffle is #tasks x pairs.  Columns are shifted by their global means
+    first (one cheap pass per block) so the raw-moment formula does not cancel
+    catastrophically.
+    """
+    cols = list(cols)
+    places = list(enumerate(cols))
+    blocks = [places[at:at + block] for at in range(0, len(places), block)]
+    shift: dict[int, float] = {}
+    for b in blocks:
+        means = df.agg(*[F.avg(col(c).cast("double")).alias(f"c{i}") for i, c in b]).first()
+        shift.update({i: means[f"c{i}"] if means[f"c{i}"] is not None else 0.0 for i, _ in b})
+    tiles = [_comoments(df, a, b, shift) for i, a in enumerate(blocks) for b in blocks[i:]]
+    m = reduce(DataFrame.unionByName, tiles).groupBy("pos_a", "pos_b").agg(
         *[F.sum(c).alias(c) for c in ["n", "sa", "sb", "saa", "sbb", "sab"]])
     n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
     va = n * F.col("saa") - sa * sa
     vb = n * F.col("sbb") - sb * sb
     r = F.when((n < 2) | (va <= 0) | (vb <= 0), F.lit(None).cast("double")) \
         .otherwise((n * F.col("sab") - sa * sb) / F.sqrt(va * vb))
-    r = F.when(F.col("pos_a") == F.col("pos_b"), F.when(r.isNotNull(), F.lit(1.0))).otherwise(
-        F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    # least and greatest skip NULLs, so an undefined r must stay out of them
+    r = F.when(r.isNotNull(), F.when(F.col("pos_a") == F.col("pos_b"), F.lit(1.0)).otherwise(
+        F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))))
     names = F.array(*[F.lit(c) for c in cols])
     return m.select(names[F.col("pos_a")].alias("col_a"), names[F.col("pos_b")].alias("col_b"),
                     "pos_a", "pos_b", r.alias("r"))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from terrace.config import NA_TOKENS
 from terrace.functions.exprs import col
+from terrace.sources import digests
 
 
 def _as_strings(schema: T.StructType) -> T.StructType:
@@ -92,12 +93,12 @@ def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
                  F.concat_ws("-", *[F.coalesce(p, F.lit(0)).cast("decimal(38,0)").cast("string") for p in part]).alias("fingerprint"))
 
 
-def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """md5 of every file's bytes under ``path`` (binaryFile source; Spark reads a
-    file as one value, so files must stay under 2 GB)."""
-    return spark.read.format("binaryFile").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length",
-        F.md5("content").alias("md5"))
+def file_fingerprint(spark: SparkSession, path: str, block: int = 8 << 20) -> DataFrame:
+    """md5 of every file's bytes under ``path``, files of any size
+    (``terrace.sources.digests``: constant memory per task)."""
+    digests.register(spark)
+    return (spark.read.format("file_digests").option("block", block).load(path)
+            .select("file", "length", "md5"))
 
 
 RUN_LOG_SCHEMA = ("run string, stage string, kind string, key string, value_num double, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from terrace.functions.exprs import round_doubles
 from terrace.operators import cv as CV
 from terrace.plans.fixtures import houses, read_table
-from terrace.plans.q_model import _TR, _cv_scores, _rl
+from terrace.plans.q_model import _GRAM, _TR, _cv_scores, _ensemble_rows, _rl, blend_decision
 from terrace.plans.registry import register
 from terrace.plans.sqlgen import H, HOUSE_COLS, HOUSE_DOUBLE, dq
 from terrace.session import scratch_path
@@ -82,3 +82,35 @@ def run_log_table(spark, sf):
             tags={"data_fingerprint": str(fp)}), path)
     return R(spark.read.schema(IO.RUN_LOG_SCHEMA).parquet(path))
 
+
+
+@register("run_log_stages", _SUMM.replace(_TR, _TR + _GRAM, 1) + """
+select 'compare_' || model as run, 'compare' as stage, 'metric' as kind, 'cv_rmse_log' as key,
+  round(cv, 4) as value_num, null::varchar as value_str from summ
+union all select 'compare_' || model, 'compare', 'metric', 'cv_std', round(sd, 4), null from summ
+union all select 'ensemble', 'ensemble', 'metric', 'oof_rmse_log_' || model, round(oof_rmse_log, 4), null from ens
+union all select 'ensemble', 'ensemble', 'metric', 'val_rmse_log_' || model, round(val_rmse_log, 4), null from ens
+union all select 'ensemble', 'ensemble', 'param', 'weight_' || model, round(weight, 4), null from ens
+union all select 'final', 'evaluate', 'tag', 'decision', null, decision from dec
+union all select 'final', 'evaluate', 'tag', 'final_model_name', null,
+  case when decision = 'USE_BLEND' then 'blend' else best_single end from dec
+union all select 'final', 'evaluate', 'tag', 'data_fingerprint', null, f from fp""")
+def run_log_stages(spark, sf):
+    """Comparison, ensemble and final evaluation in one log.  The comparison is
+    appended twice, as by a stage that runs again: one copy counts."""
+    path = scratch_path(spark, "runs")
+
+    def log(run, stage, **kinds):
+        IO.append_run_log(IO.run_log_rows(spark, run, stage, **kinds), path)
+
+    summ = CV.cv_summary(_cv_scores(spark, sf)).collect()  # one row per model
+    for r in [*summ, *summ]:
+        log(f"compare_{r['model']}", "compare", metrics={"cv_rmse_log": r["cv_rmse_log"], "cv_std": r["cv_std"]})
+    ens = _ensemble_rows(spark, sf).collect()  # one row per model
+    log("ensemble", "ensemble", params={f"weight_{r['model']}": r["weight"] for r in ens},
+        metrics={f"{m}_{r['model']}": r[m] for r in ens for m in ("oof_rmse_log", "val_rmse_log")})
+    d = blend_decision(spark, sf).first()
+    log("final", "evaluate", tags={
+        "decision": d["decision"], "final_model_name": "blend" if d["decision"] == "USE_BLEND" else d["best_single"],
+        "data_fingerprint": IO.table_fingerprint(read_table(spark, sf, "orders")).first()["fingerprint"]})
+    return R(IO.read_run_log(spark, path))

@@ -204,6 +204,22 @@ def request_log_stats(spark, sf):
         F.count_if(F.col("latency_ms") > 0).cast("bigint").alias("n_timed")))
 
 
+@register("request_log_running", _LOGGED + """
+select endpoint, count(*)::bigint as n_requests, round(avg(predicted_price), 4) as mean_prediction,
+  round(avg(case when len(warns) > 0 then 1.0 else 0.0 end), 4) as warning_rate,
+  count(*)::bigint as n_timed, true as latency_in_order from scored group by endpoint""")
+def request_log_running(spark, sf):
+    """The log's statistics from the stream's partials; the latency differs from
+    run to run, so only the order of its quantiles is returned."""
+    from terrace.streaming import log_stats as LS
+    base = scratch_path(spark, "log-stats")
+    LS.run_log_stats(spark, _write_log(spark, sf), base)
+    out = LS.report(LS.last_partials(spark, base))
+    p50, p95, p99 = (F.col(f"latency_p{q}") for q in (50, 95, 99))
+    return R(out.select("endpoint", "n_requests", "mean_prediction", "warning_rate", "n_timed",
+                        ((p50 > 0) & (p50 <= p95) & (p95 <= p99)).alias("latency_in_order")))
+
+
 # ---------------------------------------------------------------- SRV-5/6 / PRJ-7 (fitted model)
 @register("score_batch")
 def score_batch(spark, sf):

@@ -6,6 +6,7 @@ All readers take an explicit schema (no inference pass over the data).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,8 +118,33 @@ def run_log_rows(spark: SparkSession, run: str, stage: str, params: dict | None
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 
-def append_run_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+_ATTEMPT = ", attempt string, attempt_rows bigint, at timestamp"
+
+
+def append_run_log(df: DataFrame, path: str, attempt: str | None = None) -> None:
+    """Appends the rows of one or more (run, stage) as one attempt.
+
+    Writers only add files, so any number may write at a time.  Every row names
+    its attempt and how many rows that has; :func:`read_run_log` resolves retries
+    and passes over attempts that were not written to their end.  A stage that
+    logs no row leaves none."""
+    (df.withColumns({"attempt": F.lit(attempt or uuid.uuid4().hex), "attempt_rows": F.lit(df.count()).cast("bigint"),
+                     "at": F.current_timestamp()}).write.mode("append").parquet(path))
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Of each (run, stage) the rows of its last whole attempt (latest time, then
+    greatest name).  An attempt that was written twice under one name counts once;
+    an attempt with fewer rows than it names is passed over."""
+    log = spark.read.schema(RUN_LOG_SCHEMA + _ATTEMPT).parquet(path)
+    key = ["attempt", "run", "stage", "kind", "key"]
+    rows = log.groupBy(*key).agg(F.max_by(F.struct("value_num", "value_str", "attempt_rows"), "at").alias("v"),
+                                 F.max("at").alias("at")).select(*key, "v.*", "at")
+    whole = rows.groupBy("attempt").agg(F.count(F.lit(1)).alias("n"), F.max("attempt_rows").alias("of"), F.max("at").alias("end"))
+    rows = rows.join(whole.filter(F.col("n") == F.col("of")).select("attempt", "end"), "attempt")
+    last = rows.groupBy("run", "stage").agg(F.max(F.struct("end", "attempt")).alias("m")).select("run", "stage", "m.attempt")
+    return rows.join(last, ["run", "stage", "attempt"], "left_semi").select(
+        "run", "stage", "kind", "key", "value_num", "value_str")
 
 
 def widen_run_log(log: DataFrame) -> DataFrame:

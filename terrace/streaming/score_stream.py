@@ -25,6 +25,10 @@ from terrace.operators import score as SC
 from terrace.session import scratch_path
 
 
+SCORED = ("request_id bigint, endpoint string, predicted_price double, price_range_low double, "
+          "price_range_high double, fields_defaulted int, warnings array<string>")
+
+
 def write_records(records: DataFrame, path: str) -> None:
     """Land records as JSON files (the stream's source folder)."""
     records.write.mode("overwrite").json(path)
@@ -55,6 +59,8 @@ def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: d
     write_records(records, src)
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in records.schema.fields])
 
+    written: list[int] = []
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         """Idempotent per batch id: a replayed batch overwrites its own folders."""
         scored, bad = scoring_batch(batch, model, defaults, raw, types, mape)
@@ -66,6 +72,7 @@ def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: d
         done = batch.sparkSession.read.schema(scored.schema).parquet(path)
         SC.log_rows(done, "stream", ["fields_defaulted", "inputs"], took / max(done.count(), 1)).write.mode("overwrite").json(
             os.path.join(sink, "log", f"batch={batch_id}"))
+        written.append(batch_id)
 
     reader = spark.readStream.schema(schema)
     if max_files is not None:
@@ -74,9 +81,14 @@ def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: d
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    scored = spark.read.parquet(os.path.join(sink, "scored")).select(
+    def sunk(name: str, schema: str) -> DataFrame:
+        """What the batches wrote; no records, no batch, no rows."""
+        folder = os.path.join(sink, name)
+        return spark.read.schema(schema).parquet(folder) if written else spark.createDataFrame([], schema)
+
+    scored = sunk("scored", SCORED).select(
         "request_id", F.lit("scored").alias("status"), "predicted_price", "price_range_low", "price_range_high",
         "fields_defaulted", F.array_join("warnings", " | ").alias("warnings"), F.lit(None).cast("string").alias("errors"))
-    bad = spark.read.parquet(os.path.join(sink, "quarantine")).select(
+    bad = sunk("quarantine", "request_id bigint, errors string").select(
         "request_id", F.lit("quarantined").alias("status"), "errors")
     return scored.unionByName(bad, allowMissingColumns=True)

@@ -8,6 +8,10 @@ windows has a closed form.  When a queue runs dry its share goes to the others
 and a new phase of the schedule begins.  So a window's content is a pure
 function of its number, and tasks cut their documents without seeing others.
 
+More sources than a window can serve directly share queues whose order is a
+schedule of its own with small windows, and so on down a tree: every source
+keeps its proportion.  What a dry source leaves goes to its own group first.
+
 Nulls: a null text is empty and still gets its end id; a null source is a queue
 of its own.  Repeated rows are packed as often as they occur.  An empty table
 gives no rows.  Other input columns are not read.
@@ -15,8 +19,10 @@ gives no rows.  Other input columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +32,11 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import save, slices, span_hashes, utf8
 
-#: Queues of their own at most; the sources with fewer tokens share one more.
-MAX_QUEUES = 60
+#: Sources with a queue at most: a window of that many ids has no room for one id
+#: of more.  Those with fewer tokens share one more queue, in the order of the parts.
+MAX_QUEUES = 4096
+#: Queues of a schedule inside a queue; its windows hold the square of that.
+FAN = 8
 #: Fraction bits of a queue's quantum.
 FRACTION = 16
 
@@ -249,6 +258,79 @@ class Schedule:
             j = j - high + low
 
 
+class Tree:
+    """Schedules within queues, for any number of sources.
+
+    Node 0 is the schedule of the windows; the parent of node ``i`` is
+    ``up[i]``, a (node, queue) with a smaller number.  ``seat[i]`` is the
+    (node, queue) of source ``i``.  A node with more members than queues gives
+    half of its queues to the first members and deals the others to the rest;
+    sources with weight 0 never share a queue with those that have one.
+    """
+
+    def __init__(self, totals: list[int], weights: list[float], window: int):
+        self.nodes: list[Schedule] = []
+        self.up: list[tuple[int, int]] = []
+        self.seat: list[tuple[int, int]] = [(0, 0)] * len(totals)
+        order = sorted(range(len(totals)), key=lambda i: weights[i] <= 0)
+        todo = [(order, window, (-1, -1))]
+        for members, size, up in todo:  # grows while it runs
+            most, node = math.isqrt(size), len(self.up)
+            if len(members) > most and most < 4:
+                raise ValueError("a window must hold 16 ids or the square of the number of queues")
+            groups = [[i] for i in members]
+            if len(members) > most:
+                own, shared = members[:most // 2], most - most // 2
+                some = [i for i in members[len(own):] if weights[i] > 0]
+                none = [i for i in members[len(own):] if weights[i] <= 0]
+                shared -= bool(none)
+                groups = [[i] for i in own] + [some[k::shared] for k in range(min(shared, len(some)))] + [none] * bool(none)
+            for q, group in enumerate(groups):
+                if len(group) == 1:
+                    self.seat[group[0]] = (node, q)
+                else:
+                    todo.append((group, max(16, min(len(group), FAN) ** 2), (node, q)))
+            self.up.append(up)
+            self.nodes.append(Schedule([sum(totals[i] for i in g) for g in groups], [sum(weights[i] for i in g) for g in groups], size))
+
+    def pieces(self, source: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Cuts runs of ``n`` ids that begin at id ``at`` of their source's queue:
+        columns of run, start in it, length, window, offset there."""
+        seats = np.array(self.seat, np.int64).reshape(-1, 2)[source]
+        open_ = defaultdict(list)  # node -> rows of run, start, place in the queue, length, queue
+        for node in np.unique(seats[:, 0]).tolist():
+            rows = np.flatnonzero(seats[:, 0] == node)
+            open_[node].append(np.stack([rows, np.zeros(len(rows), np.int64), at[rows], n[rows], seats[rows, 1]]))
+        while True:
+            node = max(open_)
+            cut = _cut(self.nodes[node], np.concatenate(open_.pop(node), axis=1))
+            if node == 0:
+                return cut
+            run, start, length, w, offset = cut
+            parent, queue = self.up[node]
+            open_[parent].append(np.stack([run, start, w * self.nodes[node].window + offset, length, np.full(len(run), queue)]))
+
+
+def _cut(plan: Schedule, parts: np.ndarray) -> np.ndarray:
+    """Parts (run, start, place in the queue, length, queue) cut at the windows
+    of ``plan``: run, start, length, window, offset there."""
+    out = []
+    for s in np.unique(parts[4]).tolist():
+        run, start, at, n, _ = parts[:, parts[4] == s]
+        lo, hi = plan.window_of(at, s), plan.window_of(at + n - 1, s)
+        many = hi - lo + 1
+        which = np.repeat(np.arange(len(run)), many)
+        w = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(len(which))
+        from_, to = plan.given(w, s), plan.given(w + 1, s)
+        begin, stop = np.maximum(at[which], from_), np.minimum(at[which] + n[which], to)
+        offset = begin - from_
+        for o in range(s):
+            offset += plan.given(w + 1, o) - plan.given(w, o)
+        full = stop > begin
+        out.append(np.stack([run[which], start[which] + begin - at[which], stop - begin, w, offset])[:, full])
+    return np.concatenate(out, axis=1)
+
+
 def _tokenised(docs: DataFrame, path: str, end_id: int, text: str, key: str, source: str) -> DataFrame:
     """Rows with the ids (16 bits each), their number, and the place of the
     document in the part of its source's queue that this task holds."""
@@ -283,10 +365,15 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     sums = parts.groupBy("source").agg(F.sum("n").alias("n"))
     top = sums.orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(MAX_QUEUES).collect()  # MAX_QUEUES rows
     everything = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    totals = [r["n"] for r in top] + [everything - sum(r["n"] for r in top)]
-    target = [float(t) for t in totals] if weights is None else \
-        [float(weights.get(r["source"], 0)) for r in top] + [float(sum(weights.values()) - sum(weights.get(r["source"], 0) for r in top))]
-    plan = Schedule(totals, target, window)
+    left = everything - sum(r["n"] for r in top)
+    totals = [r["n"] for r in top] + [left] * (left > 0)
+    if weights is None:
+        target = [float(t) for t in totals]
+    else:
+        target = [max(float(weights.get(r["source"], 0)), 0.0) for r in top]
+        if left:
+            target.append(max(float(sum(weights.values())) - sum(target), 0.0))
+    plan = Tree(totals, target, window)
     names = docs.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(top)], "s string, q int")
     line = parts.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("s")), "left").select(
         "part", "source", "n", F.coalesce("q", F.lit(len(top))).alias("queue"))
@@ -300,21 +387,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
             if b.num_rows == 0:
                 continue
             queue, at, n = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-            out = []
-            for s in np.unique(queue).tolist():
-                rows = np.flatnonzero(queue == s)
-                lo, hi = plan.window_of(at[rows], s), plan.window_of(at[rows] + n[rows] - 1, s)
-                many = hi - lo + 1
-                which = np.repeat(rows, many)
-                w = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(len(which))
-                from_, to = plan.given(w, s), plan.given(w + 1, s)
-                begin, stop = np.maximum(at[which], from_), np.minimum(at[which] + n[which], to)
-                offset = begin - from_
-                for o in range(s):
-                    offset += plan.given(w + 1, o) - plan.given(w, o)
-                full = stop > begin
-                out.append(np.stack([which, begin - at[which], stop - begin, w, offset])[:, full])
-            which, start, length, w, offset = np.concatenate(out, axis=1)
+            which, start, length, w, offset = plan.pieces(queue.astype(np.int64), at, n)
             ids = [np.frombuffer(x, np.uint16).astype("<u4") for x in b.column(5).to_pylist()]
             pieces = [ids[i][s:s + k] for i, s, k in zip(which.tolist(), start.tolist(), length.tolist())]
             take = pa.array(which)

@@ -136,14 +136,54 @@ def test_weights_hold_in_every_window():
     assert (np.abs(steps - [500, 400, 100]) <= 1).all()
 
 
-@pytest.mark.parametrize("weights", [None, {"src0": 3.0, "src1": 1.0}])
-def test_packing(corpus, weights):
+def _order(tree, totals, window):
+    """Source of every id, in the order of the windows; each place is taken once."""
+    sources = np.flatnonzero(totals)
+    cuts = tree.pieces(sources, np.zeros(len(sources), np.int64), totals[sources])
+    out = np.full(int(totals.sum()), -1)
+    ids = collections.defaultdict(int)
+    for run, start, length, w, offset in cuts[:, np.lexsort((cuts[1], cuts[0]))].T.tolist():
+        assert start == ids[run] and 0 <= offset and offset + length <= window
+        ids[run] += length
+        assert (out[w * window + offset:w * window + offset + length] == -1).all()
+        out[w * window + offset:w * window + offset + length] = sources[run]
+    assert (out >= 0).all()
+    return out
+
+
+def test_tree_takes_every_id_once():
+    rng = np.random.default_rng(6)
+    for trial in range(40):
+        many, window = int(rng.integers(1, 300)), int(rng.choice([16, 64, 100, 4096]))
+        totals = (rng.pareto(1.0, many) * 50).astype(np.int64) * (rng.random(many) < 0.9)
+        weights = totals.astype(float) if trial % 2 else rng.random(many) * (rng.random(many) < 0.7)
+        _order(packing.Tree(totals.tolist(), weights.tolist(), window), totals, window)
+
+
+def test_proportions_of_many_sources_hold_in_every_window():
+    for many in (61, 200, 1000):  # the queue that fills a window takes what others round off
+        totals = np.full(many, 1_600_000 // many, np.int64)
+        order = _order(packing.Tree(totals.tolist(), [1.0] * many, 4096), totals, 4096)
+        full = order[:len(order) // 4096 * 4096].reshape(-1, 4096)
+        counts = np.stack([np.bincount(w, minlength=many) for w in full[:-8]])
+        assert np.abs(counts - 4096 / many).sum(axis=1).max() <= 4096 * (0.65 if many == 1000 else 0.07)
+        assert many == 1000 or counts.min() >= 12
+        means = counts[:len(counts) // 16 * 16].reshape(-1, 16, many).mean(axis=1)
+        assert np.abs(means - 4096 / many).max() <= 2.5
+    # a source without a weight waits until all others are empty
+    totals = np.full(200, 2000, np.int64)
+    order = _order(packing.Tree(totals.tolist(), [float(i % 2) for i in range(200)], 4096), totals, 4096)
+    last = np.flatnonzero(order % 2 == 1).max() // 4096
+    assert (order[:last * 4096] % 2 == 1).all()
+
+
+@pytest.mark.parametrize("weights, window", [(None, 4096), ({"src0": 3.0, "src1": 1.0}, 256), ({"src0": 3.0, "src1": 1.0}, 16)])
+def test_packing(corpus, weights, window):
     from tokenizers import Tokenizer
     df, rows = corpus
     tok = Tokenizer.from_file(queries.WORD_BPE)
     tok.encode_special_tokens = True
-    out = packing.pack(with_clashes(df, "ids", "part", "queue"), queries.WORD_BPE, window=256 if weights else 4096, weights=weights).collect()
-    window = 256 if weights else 4096
+    out = packing.pack(with_clashes(df, "ids", "part", "queue"), queries.WORD_BPE, window=window, weights=weights).collect()
     want = collections.Counter((i, tuple(tok.encode(t or "", add_special_tokens=False).ids) + (2,)) for i, t, *_ in rows)
     pieces, windows = collections.defaultdict(dict), collections.defaultdict(list)
     for r in out:

@@ -15,7 +15,7 @@ import random
 import time
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.config import BOOSTING, BOOSTING_ROUNDS, CV_REPEATS, DROP_AFTER, FOREST_TREES, SEARCH_SPACES, SEARCH_TRIALS
@@ -441,31 +441,48 @@ def prediction_interval(spark, sf):
 # ---------------------------------------------------------------- MET-7 / SRC-5 / SRV-7
 _DOC_SCHEMA = ("rmse_log double, mae double, rmse double, mape double, r2_log double, "
                "r2_dollar double, bands array<struct<band:string,count:bigint,mae:double,"
-               "mape:double>>, final_model_type string, n_train bigint, n_test bigint")
+               "mape:double>>, final_model_type string, n_train bigint, n_test bigint, model_name string, "
+               + ", ".join(f"weight_{c} double" for c in BASE))
+
+
+def decided_price(choice: dict) -> Column:
+    """Price of the decided model: one regressor's, or the blend of all."""
+    if choice["type"] == "single":
+        return F.col(choice["name"])
+    names = list(choice["weights"])
+    return B.blend_expr(names, [choice["weights"][n] for n in names])
 
 
 def _write_doc(spark, sf) -> str:
     pt, tv = _final_frame(spark, sf)
-    m = MET.regression_metrics(pt, "SalePrice", "nbhd_median").first()
+    choice = _decided(spark, sf)
+    pt = pt.select("Id", "SalePrice", decided_price(choice).alias("decided"))
+    m = MET.regression_metrics(pt, "SalePrice", "decided").first()
     bands = [(r["band"], r["count"], r["mae"], r["mape"]) for r in
-             MET.metrics_by_band(pt, "SalePrice", "nbhd_median").orderBy("band_order").collect()]
+             MET.metrics_by_band(pt, "SalePrice", "decided").orderBy("band_order").collect()]
     n_train = tv.count()
     # the document is a handful of scalars: built on the driver, written once
     doc = spark.createDataFrame([(m["rmse_log"], m["mae"], m["rmse"], m["mape_pct"], m["r2_log"],
-                                  m["r2_dollar"], bands, _decided(spark, sf)["type"], n_train, m["n"])], _DOC_SCHEMA)
+                                  m["r2_dollar"], bands, choice["type"], n_train, m["n"], choice["name"],
+                                  *[float(choice["weights"].get(c, 0.0)) for c in BASE])], _DOC_SCHEMA)
     path = scratch_path(spark, "metrics-doc")
     doc.coalesce(1).write.mode("overwrite").json(path)
     return path
 
 
 _DOC_SQL = _TE + f""",
-m as (select {_metrics_sql('nbhd_median')} from pt),
+dc as ({_TR + _GRAM}
+       select w1, decision = 'USE_BLEND' as blended, case when decision = 'USE_BLEND' then 'blend' else best_single end as name from dec, w),
+pd as (select Id, SalePrice, case name when 'nbhd_median' then nbhd_median when 'zoning_median' then zoning_median
+         else exp(w1 * ln(1 + greatest(nbhd_median, 0)) + (1 - w1) * ln(1 + greatest(zoning_median, 0))) - 1 end as decided from pt, dc),
+m as (select {_metrics_sql('decided')} from pd),
 nt as (select count(*)::bigint as n_train from tv)"""
 
 
 @register("metrics_json_doc", _DOC_SQL + """
-select rmse_log, mae, rmse, mape_pct as mape, r2_log, r2_dollar, 'single' as final_model_type,
-  n_train, n as n_test, 4::bigint as n_bands from m, nt""")
+select rmse_log, mae, rmse, mape_pct as mape, r2_log, r2_dollar,
+  case when blended then 'blend' else 'single' end as final_model_type,
+  n_train, n as n_test, 4::bigint as n_bands from m, nt, dc""")
 def metrics_json_doc(spark, sf):
     doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
     return R(doc.select("rmse_log", "mae", "rmse", "mape", "r2_log", "r2_dollar",
@@ -474,11 +491,14 @@ def metrics_json_doc(spark, sf):
 
 
 @register("model_info", _DOC_SQL + """
-select 'single' as model_type, n_train, round(mape_pct / 100.0, 6) as interval_mape,
-  rmse_log from m, nt""")
+select case when blended then 'blend' else 'single' end as model_type, name as model_name,
+  round(case when blended then w1 else (name = 'nbhd_median')::int end, 4) as weight_nbhd_median,
+  round(case when blended then 1 - w1 else (name = 'zoning_median')::int end, 4) as weight_zoning_median,
+  n_train, round(mape_pct / 100.0, 6) as interval_mape, rmse_log from m, nt, dc""")
 def model_info(spark, sf):
     doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
-    return doc.select(F.col("final_model_type").alias("model_type"), "n_train",
+    return doc.select(F.col("final_model_type").alias("model_type"), "model_name",
+                      *[F.round(f"weight_{c}", 4).alias(f"weight_{c}") for c in BASE], "n_train",
                       F.round(F.col("mape") / 100.0, 6).alias("interval_mape"),
                       F.round("rmse_log", 4).alias("rmse_log"))
 

@@ -117,7 +117,8 @@ def test_the_decided_model_is_fitted(spark, monkeypatch):
     assert served["type"] == "blend" and served["model"].weights == [0.25, 0.75]
     assert [n for n, _ in served["model"].models] == ["nbhd_median", "zoning_median"]
     assert q.metrics_json_doc(spark, sf).first()["final_model_type"] == "blend"
-    assert q.model_info(spark, sf).first()["model_type"] == "blend"
+    info = q.model_info(spark, sf).first()
+    assert (info["model_type"], info["model_name"], info["weight_nbhd_median"], info["weight_zoning_median"]) == ("blend", "blend", 0.25, 0.75)
     doc = q.final_metrics_document(spark, sf)
     got = doc.first()
     assert len(doc.columns) == 15 and got["final_model_weights"] == {"nbhd_median": 0.25, "zoning_median": 0.75}
@@ -126,3 +127,4 @@ def test_the_decided_model_is_fitted(spark, monkeypatch):
     blend = frame.withColumn("p", q.B.blend_expr(["nbhd_median", "zoning_median"], [0.25, 0.75]))
     want = q.MET.regression_metrics(blend, "SalePrice", "p").first()
     assert abs(got["rmse_log"] - want["rmse_log"]) < 1e-9 and got["n_test"] == want["n"]
+    assert info["rmse_log"] == round(want["rmse_log"], 4) == q.metrics_json_doc(spark, sf).first()["rmse_log"]

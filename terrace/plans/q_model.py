@@ -441,8 +441,9 @@ def prediction_interval(spark, sf):
 # ---------------------------------------------------------------- MET-7 / SRC-5 / SRV-7
 _DOC_SCHEMA = ("rmse_log double, mae double, rmse double, mape double, r2_log double, "
                "r2_dollar double, bands array<struct<band:string,count:bigint,mae:double,"
-               "mape:double>>, final_model_type string, n_train bigint, n_test bigint, model_name string, "
-               + ", ".join(f"weight_{c} double" for c in BASE))
+               "mape:double>>, final_model_type string, n_train bigint, n_test bigint")
+#: The written document also names the decided model and the weights of its members.
+_WRITTEN_SCHEMA = f"{_DOC_SCHEMA}, model_name string, " + ", ".join(f"weight_{c} double" for c in BASE)
 
 
 def decided_price(choice: dict) -> Column:
@@ -464,7 +465,7 @@ def _write_doc(spark, sf) -> str:
     # the document is a handful of scalars: built on the driver, written once
     doc = spark.createDataFrame([(m["rmse_log"], m["mae"], m["rmse"], m["mape_pct"], m["r2_log"],
                                   m["r2_dollar"], bands, choice["type"], n_train, m["n"], choice["name"],
-                                  *[float(choice["weights"].get(c, 0.0)) for c in BASE])], _DOC_SCHEMA)
+                                  *[float(choice["weights"].get(c, 0.0)) for c in BASE])], _WRITTEN_SCHEMA)
     path = scratch_path(spark, "metrics-doc")
     doc.coalesce(1).write.mode("overwrite").json(path)
     return path
@@ -484,7 +485,7 @@ select rmse_log, mae, rmse, mape_pct as mape, r2_log, r2_dollar,
   case when blended then 'blend' else 'single' end as final_model_type,
   n_train, n as n_test, 4::bigint as n_bands from m, nt, dc""")
 def metrics_json_doc(spark, sf):
-    doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
+    doc = spark.read.schema(_WRITTEN_SCHEMA).json(_write_doc(spark, sf))
     return R(doc.select("rmse_log", "mae", "rmse", "mape", "r2_log", "r2_dollar",
                         "final_model_type", "n_train", "n_test",
                         F.size("bands").cast("bigint").alias("n_bands")))
@@ -496,7 +497,7 @@ select case when blended then 'blend' else 'single' end as model_type, name as m
   round(case when blended then 1 - w1 else (name = 'zoning_median')::int end, 4) as weight_zoning_median,
   n_train, round(mape_pct / 100.0, 6) as interval_mape, rmse_log from m, nt, dc""")
 def model_info(spark, sf):
-    doc = spark.read.schema(_DOC_SCHEMA).json(_write_doc(spark, sf))
+    doc = spark.read.schema(_WRITTEN_SCHEMA).json(_write_doc(spark, sf))
     return doc.select(F.col("final_model_type").alias("model_type"), "model_name",
                       *[F.round(f"weight_{c}", 4).alias(f"weight_{c}") for c in BASE], "n_train",
                       F.round(F.col("mape") / 100.0, 6).alias("interval_mape"),

@@ -65,9 +65,13 @@ class Folds:
     def code(self) -> Column:
         return sum((col(c).cast("int") * self.k ** i for i, c in enumerate(self.cols)), F.lit(0))
 
+    def own(self, code: Column, repeat: int) -> Column:
+        """The fold of a repeat in this combination of folds."""
+        return F.pmod(F.floor(code / self.k ** repeat), F.lit(self.k)).cast("int")
+
     def held_out(self, code: Column, j: Column) -> Column:
         """Whether a row of this combination of folds is outside complement ``j``."""
-        own = F.array(*[F.pmod(F.floor(code / self.k ** i), F.lit(self.k)).cast("int") for i in range(len(self.cols))])
+        own = F.array(*[self.own(code, i) for i in range(len(self.cols))])
         return F.coalesce(F.get(own, F.floor(j / self.k).cast("int")) == F.pmod(j, F.lit(self.k)), F.lit(False))
 
     def complements(self, code: Column) -> Column:
@@ -91,8 +95,13 @@ def _counted(long: DataFrame, folds: Folds, keys: Sequence[str]) -> DataFrame:
     ``_j`` (their complement, or -1: all that their folds belong to)."""
     sig = F.when(F.col("_j") < 0, F.col("_sig")).otherwise(F.lit(-1)).alias("_sig")
     counts = long.groupBy(*keys, sig, "_j").agg(F.count(F.lit(1)).alias("n"))
-    every = F.when(F.col("_j") < 0, folds.complements(F.col("_sig"))).otherwise(F.array(F.col("_j")))
-    return counts.withColumn("_j", F.explode(every)).groupBy(*keys, "_j").agg(F.sum("n").alias("n"))
+    shared, mine = F.col("_j") < 0, lambda j: F.col("_j") == j
+    inside = lambda j: F.lit(True) if j == folds.whole else ~F.coalesce(F.col(f"_own{j // folds.k}") == j % folds.k, F.lit(False))
+    counts = counts.select(*keys, "_j", "n", *[folds.own(F.col("_sig"), i).alias(f"_own{i}") for i in range(len(folds.cols))])
+    # a sum per complement over the few combinations of a value: no row per combination and complement
+    sums = [F.sum(F.when(mine(j) | shared & inside(j), F.col("n"))) for j in folds.numbers]
+    every = counts.groupBy(*keys).agg(F.array(*sums).alias("_all"))
+    return every.select(*keys, F.posexplode("_all").alias("_j", "n")).where("n is not null")
 
 
 def _sql(value, kind: str) -> str:

@@ -134,3 +134,30 @@ def test_weighted_quantiles_equal_repeated_rows(spark):
         all_ = [x for h, x, n in rows if h == g for _ in range(n)]
         assert got[g] == pytest.approx(np.quantile(all_, probs))
         assert [(1 - p["share"]) * p["low"] + p["share"] * p["high"] for p in pairs[g]] == pytest.approx(np.quantile(all_, probs))
+
+
+def test_complements_are_counted_without_a_row_per_combination(spark):
+    rows = [("a", 1.0, 0, 0, -1), ("a", 1.0, 1, 2, -1), ("a", 2.0, 2, 1, -1), ("a", None, 0, 1, -1), ("a", 1.0, 0, 0, 4), ("a", 1.0, None, 1, -1)]
+    long = spark.createDataFrame(rows, "column string, x double, _f0 int, _f1 int, _j int").withColumn("_sig", FOLDS.code()).drop("_f0", "_f1")
+    got = FO._counted(long, FOLDS, ["column", "x"])
+    want: dict = {}
+    for _, x, a, b, j in rows:
+        own = (None, None) if a is None or b is None else (a, b)
+        for i in FOLDS.numbers:
+            if i == j or (j < 0 and (i == FOLDS.whole or own[i // K] != i % K)):
+                want[x, i] = want.get((x, i), 0) + 1
+    assert {(r["x"], r["_j"]): r["n"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # rows multiply after the last sum
+
+
+def test_houses_of_one_file_are_derived_by_all_cores(spark, tmp_path):
+    from terrace.plans import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    for t in ("customer", "nation"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    many = orders.crossJoin(spark.range(40)).withColumn("o_orderkey", F.col("o_orderkey") * 40 + F.col("id")).drop("id")
+    many.select(*orders.columns).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = fx.houses(spark, str(tmp_path))
+    assert len(rows.inputFiles()) > 1 and rows.count() == 40 * orders.count()

@@ -34,9 +34,20 @@ def write_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
 
+def validated_batch(batch: DataFrame, types: dict) -> DataFrame:
+    """Records with canonical names, declared types and their errors."""
+    return SC.validate(SC.coerce_types(SC.normalise(batch), types))
+
+
 def scoring_batch(batch: DataFrame, model, defaults: dict, raw: list[str], types: dict,
                   mape: float) -> tuple[DataFrame, DataFrame]:
-    v = SC.validate(SC.coerce_types(SC.normalise(batch), types))
+    """(scored, quarantined) rows of a batch of records."""
+    return scored_batch(validated_batch(batch, types), model, defaults, raw, types, mape)
+
+
+def scored_batch(v: DataFrame, model, defaults: dict, raw: list[str], types: dict,
+                 mape: float) -> tuple[DataFrame, DataFrame]:
+    """(scored, quarantined) rows of a batch of :func:`validated_batch`."""
     bad = v.filter(~F.col("is_valid")).select(
         F.col("request_id").cast("bigint").alias("request_id"), F.array_join("errors", "; ").alias("errors"))
     good = SC.fill_defaults(v.filter(F.col("is_valid")), defaults, raw, types)
@@ -62,8 +73,15 @@ def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: d
     written: list[int] = []
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        """Idempotent per batch id: a replayed batch overwrites its own folders."""
-        scored, bad = scoring_batch(batch, model, defaults, raw, types, mape)
+        """Idempotent per batch id: a replayed batch overwrites its own folders.
+        Records are parsed and validated once, into a folder that all outputs
+        read: a filter on the verdict would else be pushed down to the JSON scan
+        as one expression and parse every text again for each message."""
+        valid = validated_batch(batch, types)
+        kept = os.path.join(base, "validated", f"batch={batch_id}")
+        valid.write.mode("overwrite").parquet(kept)
+        valid = batch.sparkSession.read.schema(valid.schema).parquet(kept)
+        scored, bad = scored_batch(valid, model, defaults, raw, types, mape)
         path = os.path.join(sink, "scored", f"batch={batch_id}")
         t0 = time.time()
         scored.write.mode("overwrite").parquet(path)

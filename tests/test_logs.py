@@ -75,3 +75,29 @@ def test_stream_without_records(spark):
     model = Pipeline(stages=[GroupMedianRegressor(groupCol="Neighborhood", labelCol="SalePrice")]).fit(train)
     none = spark.createDataFrame([], "request_id long, endpoint string, Neighborhood string")
     assert run_score_stream(spark, none, model, {}, list(types), types, 0.1).count() == 0
+
+
+def test_stream_parses_records_once(spark, monkeypatch):
+    """The outputs of a batch read the validated records, not the landed text."""
+    from pyspark.sql import functions as F
+
+    from terrace.operators import models as M
+    from terrace.streaming import score_stream as SS
+    train = spark.createDataFrame([(i, "NAmes", 7, 100.0 + i) for i in range(9)], "Id bigint, Neighborhood string, OverallQual int, SalePrice double")
+    model = M.GroupMedianRegressor().fit(train)
+    types = {f.name: f.dataType for f in train.schema.fields}
+    raw, defaults, plans, plain = ["Neighborhood", "OverallQual"], {"Neighborhood": "NAmes", "OverallQual": 5}, [], SS.scored_batch
+
+    def spied(v, *rest):
+        plans.append(v._jdf.queryExecution().optimizedPlan().toString())
+        return plain(v, *rest)
+
+    monkeypatch.setattr(SS, "scored_batch", spied)
+    monkeypatch.setattr(SS.SC, "record_warnings", lambda df: F.array().cast("array<string>"))
+    records = spark.createDataFrame([(1, "/predict", "NAmes", "8"), (2, "/predict", "Nowhere", "8"), (3, "/predict", "NAmes", "ten")],
+                                    "request_id bigint, endpoint string, Neighborhood string, OverallQual string")
+    got = {r["request_id"]: r["errors"] for r in SS.run_score_stream(spark, records, model, defaults, raw, types, 0.1).collect()}
+    want = SS.validated_batch(records, types).collect()
+    assert got == {r["request_id"]: "; ".join(r["errors"]) or None for r in want}
+    assert set(got) == {1, 2, 3} and got[3] is not None
+    assert plans and all("json" not in p for p in plans)

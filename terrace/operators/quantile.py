@@ -16,11 +16,13 @@ three declarative rounds, the same at every size and for every distribution:
 No task sees more of a group than its bucket counts (round 1), one bucket's
 counts (round 2) or the distinct doubles of one fine range, a relative width
 of about 1e-9 (round 3); a hot group or one global median is spread like any
-other.  Nothing is collected.  NULL and NaN values take no part.
+other.  :func:`grouped_quantiles` collects nothing; :func:`column_quantiles` collects
+the few ranges of a column.  NULL and NaN values take no part.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -125,13 +127,56 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, prob
 
 def column_quantiles(df: DataFrame, cols: Sequence[str],
                      probs: Sequence[float]) -> dict[str, list[float] | None]:
-    """Exact quantiles of several columns: unpivoted to (column, value), the
-    column name is the group.  The driver gets one row per column."""
+    """Exact quantiles of several columns, in the rounds of :func:`grouped_quantiles`
+    with the column as group.  The ranges that hold a wanted rank are few (two
+    per column and quantile at most) and go to the driver, so the later rounds
+    read only the columns that are still open and compare before they unpivot:
+    no value outside an open range becomes a row or is shuffled."""
     cols = list(cols)
     if not cols:
         return {}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_column"), col(c).cast("double").alias("_x")) for c in cols
-    ])).alias("s")).select("s._column", "s._x")
-    res = {r["_column"]: r["q"] for r in grouped_quantiles(long, ["_column"], "_x", probs).collect()}
-    return {c: res.get(c) for c in cols}
+    spark, xs = df.sparkSession, [col(c).cast("double") for c in cols]
+    parts = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    found: list[dict] = [{} for _ in cols]  # rank -> value
+    total: dict[int, int] = {}
+
+    def settle(rows, at) -> list[tuple]:
+        """Answers from ranges of one value; the others stay open."""
+        left = []
+        for r in rows:
+            if r["_lo"] == r["_hi"]:
+                found[at(r)].update(dict.fromkeys(r["_wanted"], r["_lo"]))
+            else:
+                left.append((at(r), r["_lo"], r["_hi"], r["_before"], r["_wanted"]))
+        return left
+
+    def narrowed(ranges: list[tuple], key) -> list:
+        if not ranges:
+            return []
+        cells = [F.when(xs[i].between(lo, hi), F.struct(F.lit(k).alias("_k"), key(xs[i], lo, hi).alias("_f"), xs[i].alias("_v")))
+                 for k, (i, lo, hi, _, _) in enumerate(ranges)]
+        rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("s")).select("s.*")
+        state = spark.createDataFrame([(k, r[3], r[4]) for k, r in enumerate(ranges)], "_k int, _base bigint, _ranks array<bigint>")
+        counts = rows.groupBy("_k", "_f").agg(*parts).join(F.broadcast(state), "_k")
+        held = _holding(counts, "_k", "_f", F.col("_base"))
+        return held.select("_k", "_lo", "_hi", "_before", "_wanted").collect()
+
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_k"), x.alias("_v")) for i, x in enumerate(xs)])).alias("s")).select("s.*")
+    bucket = F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE).alias("_f")
+    coarse = long.where(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy("_k", bucket).agg(*parts)
+    coarse = coarse.withColumn("_n", F.expr("sum(_c) over (partition by _k)"))
+    coarse = _holding(coarse.withColumn("_ranks", _ranks(F.col("_n"), probs)), "_k", "_f", F.lit(0)).select(
+        "_k", "_n", "_lo", "_hi", "_before", "_wanted").collect()
+    total.update((r["_k"], r["_n"]) for r in coarse)
+    ranges = settle(coarse, lambda r: r["_k"])
+    fine = narrowed(ranges, lambda v, lo, hi: F.least(F.floor((v - lo) / (hi - lo) * FINE), F.lit(FINE - 1)))
+    ranges = settle(fine, lambda r, of=tuple(ranges): of[r["_k"]][0])
+    settle(narrowed(ranges, lambda v, lo, hi: v), lambda r, of=tuple(ranges): of[r["_k"]][0])
+
+    def quantile(i: int, p: float) -> float:
+        at = (total[i] - 1) * float(p)
+        low, high = math.floor(at), math.ceil(at)
+        a, b = found[i][low], found[i][high]
+        return a if low == high or a == b else (high - at) * a + (at - low) * b
+
+    return {c: [quantile(i, p) for p in probs] if i in total else None for i, c in enumerate(cols)}

@@ -147,3 +147,22 @@ def test_file_digests_of_any_size(spark, tmp_path):
     assert [(r["file"], r["md5"]) for r in one] == [("large", hashlib.md5(bodies["large"]).hexdigest())]
     with pytest.raises(Exception):
         IO.file_fingerprint(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_column_quantiles_move_no_value_outside_the_wanted_ranges(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    from terrace.operators.quantile import column_quantiles
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=3000).tolist(), rng.integers(0, 4, 3000).tolist()
+    rows = [(x, y if i % 7 else None, float("nan") if i % 5 == 0 else -x * 1e-9, None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b int, `c.d` double, none double")
+    probs, plans, collect = [0.0, 0.1, 0.5, 1.0], [], Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self))
+    got = column_quantiles(df, df.columns, probs)
+    assert got["a"] == pytest.approx(np.quantile(a, probs).tolist(), rel=1e-12)
+    assert got["b"] == pytest.approx(np.quantile([r[1] for r in rows if r[1] is not None], probs).tolist())
+    assert got["c.d"] == pytest.approx(np.quantile([r[2] for r in rows if r[2] == r[2]], probs).tolist(), rel=1e-12)
+    assert got["none"] is None and column_quantiles(df.limit(0), ["a"], probs) == {"a": None}
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)  # the rows of a column met the ranges by shuffle

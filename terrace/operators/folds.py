@@ -44,6 +44,10 @@ from terrace.operators.quantile import grouped_quantiles
 from terrace.session import scratch_path
 
 
+#: Complements per bigint of a row's set of complements.
+WORD = 62
+
+
 @dataclass(frozen=True)
 class Folds:
     """Fold columns (one per repeat) with ``k`` folds each."""
@@ -62,6 +66,11 @@ class Folds:
     def number(self, repeat: int, fold: int) -> int:
         return repeat * self.k + fold
 
+    @property
+    def words(self) -> list[str]:
+        """Columns whose bits are the complements of a row."""
+        return [f"_in{w}" for w in range(self.whole // WORD + 1)]
+
     def code(self) -> Column:
         return sum((col(c).cast("int") * self.k ** i for i, c in enumerate(self.cols)), F.lit(0))
 
@@ -90,20 +99,83 @@ def _long(rows: DataFrame, cols: Sequence[str], kind: str, *carried: str) -> Dat
     return rows.select(*carried, F.explode(cells).alias("s")).select(*carried, "s.*")
 
 
+def _members(folds: Folds, also=None) -> list[Column]:
+    """The complements that a row (with ``_sig``) belongs to, as bits of the
+    words :attr:`Folds.words`; ``also`` (complement -> condition) restricts them."""
+    own = [folds.own(F.col("_sig"), i) for i in range(len(folds.cols))]
+    words = []
+    for w, name in enumerate(folds.words):
+        bits = F.lit(0).cast("bigint")
+        for j in folds.numbers[w * WORD:(w + 1) * WORD]:
+            here = F.lit(True) if j == folds.whole else ~F.coalesce(own[j // folds.k] == j % folds.k, F.lit(False))
+            here = here if also is None else also(j, here)
+            bits = bits + F.when(here, F.lit(1 << j % WORD).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        words.append(bits.alias(name))
+    return words
+
+
 def _counted(long: DataFrame, folds: Folds, keys: Sequence[str]) -> DataFrame:
-    """(keys, _j, n) from rows with ``_sig`` (their combination of folds) and
-    ``_j`` (their complement, or -1: all that their folds belong to)."""
-    sig = F.when(F.col("_j") < 0, F.col("_sig")).otherwise(F.lit(-1)).alias("_sig")
-    counts = long.groupBy(*keys, sig, "_j").agg(F.count(F.lit(1)).alias("n"))
-    shared, mine = F.col("_j") < 0, lambda j: F.col("_j") == j
-    inside = lambda j: F.lit(True) if j == folds.whole else ~F.coalesce(F.col(f"_own{j // folds.k}") == j % folds.k, F.lit(False))
-    counts = counts.select(*keys, "_j", "n", *[folds.own(F.col("_sig"), i).alias(f"_own{i}") for i in range(len(folds.cols))])
-    # a sum per complement over the few combinations of a value: no row per combination and complement
-    sums = [F.sum(F.when(mine(j) | shared & inside(j), F.col("n"))) for j in folds.numbers]
-    every = counts.groupBy(*keys).agg(F.array(*sums).alias("_all"))
+    """(keys, _j, n) from rows with the words of their complements, or with
+    ``_sig`` (their combination of folds) and ``_j`` (their complement, or -1:
+    all that their folds belong to).  One sum per complement, combined before
+    the shuffle: neither rows nor counts multiply before the last sum."""
+    if folds.words[0] not in long.columns:
+        long = long.select(*keys, *_members(folds, lambda j, here: (F.col("_j") == j) | (F.col("_j") < 0) & here))
+    member = lambda j: F.col(folds.words[j // WORD]).bitwiseAND(F.lit(1 << j % WORD).cast("bigint")) != 0
+    sums = [F.sum(F.when(member(j), F.lit(1).cast("bigint"))) for j in folds.numbers]
+    every = long.groupBy(*keys).agg(F.array(*sums).alias("_all"))
     return every.select(*keys, F.posexplode("_all").alias("_j", "n")).where("n is not null")
 
 
+def _first_equal(values: Sequence) -> list[int]:
+    """Per complement the first one with the same value."""
+    return [list(values).index(v) for v in values]
+
+
+def _parts(folds: Folds, same: Sequence[int]) -> Column:
+    """The classes of equal entries of ``same`` (complement -> first complement
+    alike) as a literal array of (_j, bits of the words)."""
+    rows = []
+    for first in sorted(set(same)):
+        bits = [sum(1 << j % WORD for j in folds.numbers[w * WORD:(w + 1) * WORD] if same[j] == first) for w in range(len(folds.words))]
+        rows.append(f"named_struct('_j', {first}, " + ", ".join(f"'{n}', bigint({b})" for n, b in zip(folds.words, bits)) + ")")
+    return F.expr(f"array({', '.join(rows)})")
+
+
+def _fill_classes(data: DataFrame, folds: Folds, fills: list[dict], group: str, frontage: str, skip: Sequence[str]) -> Column:
+    """Per row the classes of complements that fill it alike: one, where no fill
+    that it reads differs between them; where more than one differs, each
+    complement for itself."""
+    differs = lambda same: any(same)
+    reads: list[Column] = []  # per learnt fill that differs: its classes in rows that read it, else NULL
+    for c in data.columns:
+        if c in skip:
+            continue
+        if c == frontage:
+            overall = [float(s["global_median"]) for s in fills]
+            names = sorted({g for s in fills for g in s["group_medians"]}) if group in data.columns else []
+            by = {g: _first_equal([s["group_medians"].get(g, o) for s, o in zip(fills, overall)]) for g in names}
+            rest = _first_equal(overall)
+            arms = [(col(group) == F.lit(g), same) for g, same in by.items() if differs(same)]
+            if differs(rest):
+                known = F.coalesce(col(group).isin(names), F.lit(False)) if names else F.lit(False)
+                arms.append((~known, rest))
+            picked = None
+            for cond, same in arms:
+                picked = F.when(cond, _parts(folds, same)) if picked is None else picked.when(cond, _parts(folds, same))
+            if picked is not None:
+                reads.append(F.when(col(c).isNull(), picked))
+            continue
+        same = _first_equal([s["medians" if is_numeric(data.schema[c].dataType) else "modes"].get(c) for s in fills])
+        if differs(same):
+            reads.append(F.when(col(c).isNull(), _parts(folds, same)))
+    one = _parts(folds, [0] * len(folds.numbers))
+    if not reads:
+        return one
+    many = sum((r.isNotNull().cast("int") for r in reads), F.lit(0)) > 1
+    return F.when(many, _parts(folds, list(folds.numbers))).otherwise(F.coalesce(*reads, one))
+
+
 def _sql(value, kind: str) -> str:
     if value is None:
         return f"cast(null as {kind})"
@@ -245,21 +317,22 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
     out = FoldPreprocessor(folds, id_col, target, [c for c in drop_cols if c != id_col], list(drop_after), E.select_ordinal(roles),
                            E.select_nominal(roles), E.select_numeric(roles))
     rows = train.withColumn("_sig", folds.code()).drop(*folds.cols)
-    plain = rows.withColumn("_j", F.lit(-1))
+    words = folds.words
+    plain = rows.select(*_members(folds), *[col(c) for c in data.columns])
 
     # the imputer: medians, modes, medians by group
     number = [f.name for f in data.schema.fields if is_numeric(f.dataType)]
     other = [f.name for f in data.schema.fields if not is_numeric(f.dataType)]
-    counts = _save(_counted(_long(plain, number, "double", "_sig", "_j").where("x is not null"), folds, ["column", "x"]), "fold-counts")
+    counts = _save(_counted(_long(plain, number, "double", *words).where("x is not null"), folds, ["column", "x"]), "fold-counts")
     medians = {(r["column"], r["_j"]): r["q"][0] for r in grouped_quantiles(counts, ["column", "_j"], "x", [0.5], weight="n").collect()}
     modes = {}
     if other:
-        levels = _counted(_long(plain, other, "string", "_sig", "_j").where("x is not null"), folds, ["column", "x"])
+        levels = _counted(_long(plain, other, "string", *words).where("x is not null"), folds, ["column", "x"])
         best = levels.groupBy("column", "_j").agg(F.min(F.struct((-F.col("n")).alias("m"), "x")).alias("b"))
         modes = {(r["column"], r["_j"]): r["b"]["x"] for r in best.collect()}
     by_group: dict = {}
     if C.has(data, frontage, group):
-        cells = plain.select("_sig", "_j", col(group).alias("g"), col(frontage).cast("double").alias("x")).where("g is not null and x is not null")
+        cells = plain.select(*words, col(group).alias("g"), col(frontage).cast("double").alias("x")).where("g is not null and x is not null")
         q = grouped_quantiles(_counted(cells, folds, ["g", "x"]), ["g", "_j"], "x", [0.5], weight="n")
         by_group = {(r["g"], r["_j"]): r["q"][0] for r in q.collect()}  # fitted state: a value a group
     for j in folds.numbers:
@@ -268,15 +341,18 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
                           "group_medians": {g: v for (g, i), v in by_group.items() if i == j},
                           "global_median": med.get(frontage, 0.0) if frontage in data.columns else 0.0})
 
-    # the encoded columns: rows with a learnt fill once per complement, the others once
-    own = F.when(C.reads_learnt(data, frontage, [id_col, target]), folds.complements(F.col("_sig"))).otherwise(F.array(F.lit(-1)))
-    shared = rows.withColumn("_j", F.explode(own))
+    # the encoded columns: a row once per distinct fill that its complements learnt
+    classes = _fill_classes(data, folds, out.fills, group, frontage, [id_col, target])
+    shared = plain.withColumn("_class", F.explode(classes))
+    shared = shared.select(F.col("_class._j"), *[F.col(w).bitwiseAND(F.col(f"_class.{w}")).alias(w) for w in words], *[col(c) for c in data.columns])
+    shared = shared.where(" or ".join(f"{w} <> 0" for w in words))
     eng_rows = engineer(C.apply_rules(shared, group, frontage, _Fills(out.fills, F.col("_j"))).drop(*out.drop_cols), out.drop_after)
-    eng_rows = eng_rows.select("_sig", "_j", *[E.ordinal_code(col(c), ORDINAL_LEVELS[c]).alias(c) for c in out.ordinal],
-                               *[col(c) for c in (*out.nominal, *out.numeric)])
+    # written: both counts read it, and their sums stay short enough to be compiled
+    eng_rows = _save(eng_rows.select(*words, *[E.ordinal_code(col(c), ORDINAL_LEVELS[c]).alias(c) for c in out.ordinal],
+                                     *[col(c) for c in (*out.nominal, *out.numeric)]), "fold-rows")
     vocab = [{c: {"frequent": [], "rare": False} for c in out.nominal} for _ in folds.numbers]
     if out.nominal:
-        levels = _counted(_long(eng_rows, out.nominal, "string", "_sig", "_j"), folds, ["column", "x"])
+        levels = _counted(_long(eng_rows, out.nominal, "string", *words), folds, ["column", "x"])
         total = F.expr("sum(n) over (partition by column, _j)")
         level = F.when(F.col("n") >= F.lit(float(min_frequency)) * F.col("total"), F.col("x"))
         seen = levels.withColumn("total", total).where("x is not null").select("column", "_j", level.alias("level")).distinct()
@@ -292,7 +368,7 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
 
     # numbers: medians fill what is still null, then quartiles, skewness, lambdas
     values = [*out.ordinal, *out.numeric]
-    counts = _save(_counted(_long(eng_rows, values, "double", "_sig", "_j"), folds, ["column", "x"]), "fold-counts")
+    counts = _save(_counted(_long(eng_rows, values, "double", *words), folds, ["column", "x"]), "fold-counts")
     q = grouped_quantiles(counts.where(F.col("column").isin(out.numeric)), ["column", "_j"], "x", [0.5], weight="n").collect()
     fill = {(r["column"], r["_j"]): r["q"][0] for r in q}
     out.medians = [{c: fill.get((c, j)) for c in out.numeric} for j in folds.numbers]

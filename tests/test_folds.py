@@ -161,3 +161,21 @@ def test_houses_of_one_file_are_derived_by_all_cores(spark, tmp_path):
     many.select(*orders.columns).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
     rows = fx.houses(spark, str(tmp_path))
     assert len(rows.inputFiles()) > 1 and rows.count() == 40 * orders.count()
+
+
+def test_rows_are_repeated_only_for_fills_that_differ(spark):
+    """A row without a fill, or whose fill all complements agree on, is engineered
+    once: before, every row with a learnt fill came once per complement."""
+    data = spark.createDataFrame([(1, "a", None, "x"), (2, "b", None, "x"), (3, "b", 1.0, "x"), (4, "c", None, "x"), (5, "a", None, None),
+                                  (6, "b", None, None)], "Id int, Neighborhood string, LotFrontage double, Kind string")
+    fills = [{"medians": {}, "modes": {"Kind": "p" if j % 2 else "q"}, "global_median": 1.0,
+              "group_medians": {"a": 3.0, "b": 5.0 if j < 3 else 6.0}} for j in FOLDS.numbers]
+    classes = FO._fill_classes(data, FOLDS, fills, "Neighborhood", "LotFrontage", ["Id"])
+    got = {r["Id"]: r["c"] for r in data.select("Id", classes.alias("c")).collect()}
+    bits = {i: [{j for j in FOLDS.numbers if part[FOLDS.words[0]] >> j & 1} for part in parts] for i, parts in got.items()}
+    everything = set(FOLDS.numbers)
+    assert bits[1] == bits[3] == bits[4] == [everything]
+    assert bits[2] == [{0, 1, 2}, everything - {0, 1, 2}]
+    assert bits[5] == [{j for j in everything if j % 2 == 0}, {j for j in everything if j % 2}]
+    assert bits[6] == [{j} for j in sorted(everything)]
+    assert all(part["_j"] in has for i in got for part, has in zip(got[i], bits[i]))

@@ -21,7 +21,8 @@ def test_entry_runs(spark):
     assert sum(r["count"] for r in rows) > 0 and all(r["mae"] >= 0 for r in rows)
 
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "conversations"]
 
 
 @pytest.fixture(scope="module")

@@ -11,7 +11,9 @@ A *complement* is what a fold's model is trained on: all rows outside fold
   frequencies, skewness and Yeo-Johnson likelihoods of every complement are
   read from these counts: the number of jobs does not depend on the folds.
 * :func:`moments` reduces the rows of every complement to the moments of
-  (features, label); :class:`CompressedFolds` turns them into at most p + 2
+  (features, label).  A row is engineered once per distinct fill and sent to
+  the task once; what a complement learnt of levels, medians, powers and scales
+  is applied to columns of an Arrow batch.  :class:`CompressedFolds` turns them into at most p + 2
   rows with the same moments, on which Spark's own solver is fitted, so
   searches and variants never read the data again.
 * :class:`FoldLinearModel` holds the fitted models of all folds and applies to
@@ -34,7 +36,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.config import DROP_AFTER, DROP_COLS, ORDINAL_LEVELS
+from terrace.config import DROP_AFTER, DROP_COLS, NONE_COLS, ORDINAL_LEVELS, ZERO_COLS
 from terrace.functions.exprs import col, is_numeric, yeo_johnson
 from terrace.operators import clean as C
 from terrace.operators import encode as E
@@ -78,13 +80,6 @@ class Folds:
         """The fold of a repeat in this combination of folds."""
         return F.pmod(F.floor(code / self.k ** repeat), F.lit(self.k)).cast("int")
 
-    def held_out(self, code: Column, j: Column) -> Column:
-        """Whether a row of this combination of folds is outside complement ``j``."""
-        own = F.array(*[self.own(code, i) for i in range(len(self.cols))])
-        return F.coalesce(F.get(own, F.floor(j / self.k).cast("int")) == F.pmod(j, F.lit(self.k)), F.lit(False))
-
-    def complements(self, code: Column) -> Column:
-        return F.filter(F.sequence(F.lit(0), F.lit(self.whole)), lambda j: ~self.held_out(code, j))
 
 
 def _save(df: DataFrame, name: str) -> DataFrame:
@@ -145,8 +140,11 @@ def _parts(folds: Folds, same: Sequence[int]) -> Column:
 def _fill_classes(data: DataFrame, folds: Folds, fills: list[dict], group: str, frontage: str, skip: Sequence[str]) -> Column:
     """Per row the classes of complements that fill it alike: one, where no fill
     that it reads differs between them; where more than one differs, each
-    complement for itself."""
+    complement for itself.  A null that the rules of :func:`terrace.operators.clean.apply_rules`
+    fill without a learnt value reads none."""
     differs = lambda same: any(same)
+    basement = C._in_basement(data)
+    given = {*NONE_COLS, *ZERO_COLS, "Functional"}
     reads: list[Column] = []  # per learnt fill that differs: its classes in rows that read it, else NULL
     for c in data.columns:
         if c in skip:
@@ -166,9 +164,16 @@ def _fill_classes(data: DataFrame, folds: Folds, fills: list[dict], group: str,
             if picked is not None:
                 reads.append(F.when(col(c).isNull(), picked))
             continue
+        missing = col(c).isNull()
+        if c in basement:
+            missing = missing & F.coalesce(col("TotalBsmtSF") > 0, F.lit(False))
+        elif c in given:
+            continue
+        elif c == "GarageYrBlt" and "YearBuilt" in data.columns:
+            missing = missing & col("YearBuilt").isNull()
         same = _first_equal([s["medians" if is_numeric(data.schema[c].dataType) else "modes"].get(c) for s in fills])
         if differs(same):
-            reads.append(F.when(col(c).isNull(), _parts(folds, same)))
+            reads.append(F.when(missing, _parts(folds, same)))
     one = _parts(folds, [0] * len(folds.numbers))
     if not reads:
         return one
@@ -176,6 +181,16 @@ def _fill_classes(data: DataFrame, folds: Folds, fills: list[dict], group: str,
     return F.when(many, _parts(folds, list(folds.numbers))).otherwise(F.coalesce(*reads, one))
 
 
+def _by_fill(rows: DataFrame, folds: Folds, fills: list[dict], group: str, frontage: str, skip: Sequence[str]) -> DataFrame:
+    """A row (with the words of its complements) once per class of complements
+    that fill it alike: the words then hold the class, ``_j`` one complement of it."""
+    words = folds.words
+    rest = [c for c in rows.columns if c not in words]
+    out = rows.withColumn("_class", F.explode(_fill_classes(rows, folds, fills, group, frontage, skip)))
+    out = out.select(F.col("_class._j"), *[F.col(w).bitwiseAND(F.col(f"_class.{w}")).alias(w) for w in words], *[col(c) for c in rest])
+    return out.where(" or ".join(f"{w} <> 0" for w in words))
+
+
 def _sql(value, kind: str) -> str:
     if value is None:
         return f"cast(null as {kind})"
@@ -300,10 +315,104 @@ class FoldPreprocessor:
             cells.append(self._scaled(c, x, j))
         return out.select("_j", *[F.col(n).alias(c) for c, n in kept.items()], "label", F.array(*cells).alias("features"))
 
+    # ------------------------------------------------------------- many complements of a row
+    def cells(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """``label`` and ``cells`` (array over :attr:`all_names`) of each row of
+        ``df``, once per class of its complements (bits of the words) that fill
+        it alike.  Cells hold what :class:`_Completed` finishes for a complement:
+        codes and numbers not filled, powered or scaled, a flag per level that any
+        complement knows, and for a column's rare levels a flag that it has a value."""
+        words = self.folds.words
+        kept = {c: f"_keep{i}" for i, c in enumerate(keep)}
+        df = df.select("*", *[col(c).alias(n) for c, n in kept.items()])
+        df = _by_fill(df, self.folds, self.fills, "Neighborhood", "LotFrontage", [self.id_col, *self.drop_cols])
+        out = C.apply_rules(df, "Neighborhood", "LotFrontage", _Fills(self.fills, F.col("_j")))
+        out = engineer(out.drop(*self.drop_cols), self.drop_after)
+        out = M.LogLabel(inputCol=self.target, outputCol="label").transform(out)
+        cells = [E.ordinal_code(col(c), ORDINAL_LEVELS[c]).cast("double") for c in self.ordinal]
+        for c in self.nominal:
+            cells += [F.coalesce(col(c) == F.lit(lv), F.lit(False)).cast("double") for lv in sorted({lv for s in self.levels for lv in s[c]["frequent"]})]
+            if any(s[c]["rare"] for s in self.levels):
+                cells.append(col(c).isNotNull().cast("double"))
+        cells += [col(c).cast("double") for c in self.numeric]
+        return out.select(*words, *[F.col(n).alias(c) for c, n in kept.items()], "label", F.array(*cells).alias("cells"))
+
     def _scaled(self, c: str, x: Column, j: Column) -> Column:
         return (x - _pick([s[c][0] for s in self.scales], j, "double")) / _pick([s[c][1] for s in self.scales], j, "double")
 
 
+def _powers(x: np.ndarray, lam: float) -> np.ndarray:
+    """Yeo-Johnson of a column."""
+    up = x >= 0
+    log = np.log1p(np.abs(x))
+    with np.errstate(over="ignore", invalid="ignore"):
+        pos = log if abs(lam) < 1e-12 else (np.exp(lam * log) - 1.0) / lam
+        if up.all():
+            return pos
+        neg = -log if abs(lam - 2.0) < 1e-12 else -(np.exp((2.0 - lam) * log) - 1.0) / (2.0 - lam)
+    return np.where(up, pos, neg)
+
+
+class _Completed:
+    """Rows of :meth:`FoldPreprocessor.cells` as a complement treats them: the
+    features of :meth:`FoldPreprocessor.transform`, for columns of an Arrow batch."""
+
+    def __init__(self, prep: FoldPreprocessor, numbers: Sequence[int]):
+        names = prep.all_names
+        self.p, first = len(names), len(names) - len(prep.numeric)
+        groups = []  # per nominal column with rare levels: its flag's position, those of its levels
+        known = len(prep.ordinal)
+        for c in prep.nominal:
+            levels = sorted({lv for s in prep.levels for lv in s[c]["frequent"]})
+            rare = any(s[c]["rare"] for s in prep.levels)
+            groups.append((c, levels, known, known + len(levels) if rare else None))
+            known += len(levels) + rare
+        self.state = {}
+        for j in numbers:
+            on = np.ones(self.p)
+            rest = []
+            for c, levels, at, flag in groups:
+                on[at:at + len(levels)] = [lv in prep.levels[j][c]["frequent"] for lv in levels]
+                if flag is not None:
+                    on[flag] = prep.levels[j][c]["rare"]
+                    rest.append((flag, at, at + len(levels)))
+            centre, width = np.zeros(self.p), np.ones(self.p)
+            for i, c in [*enumerate(prep.ordinal), *enumerate(prep.numeric, first)]:
+                centre[i], width[i] = prep.scales[j][c]
+            fill = {i: np.nan if prep.medians[j][c] is None else prep.medians[j][c] for i, c in enumerate(prep.numeric, first)}
+            power = {i: prep.lambdas[j][c] for i, c in enumerate(prep.numeric, first) if prep.lambdas[j].get(c) is not None}
+            self.state[j] = on, rest, centre, width, fill, power
+
+    def read(self, column) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """The cells of a batch, and per column that has any which of them are null."""
+        flat = column.flatten()
+        x = flat.to_numpy(zero_copy_only=False).reshape(len(column), self.p)
+        if not flat.null_count:
+            return x, {}
+        null = flat.is_null().to_numpy(zero_copy_only=False).reshape(len(column), self.p)
+        return x, {int(i): null[:, i] for i in np.flatnonzero(null.any(axis=0))}
+
+    def features(self, j: int, x: np.ndarray, null: dict[int, np.ndarray], at: np.ndarray) -> np.ndarray:
+        """Features of the rows ``at`` (mask) as complement ``j`` treats them."""
+        on, rest, centre, width, fill, power = self.state[j]
+        out = x[at] * on
+        for flag, low, high in rest:
+            out[:, flag] -= out[:, low:high].sum(axis=1) * on[flag]
+        for i, missing in null.items():
+            if i in fill:
+                out[missing[at], i] = fill[i]
+        for i, lam in power.items():
+            out[:, i] = _powers(out[:, i], lam)
+        out -= centre
+        out /= width
+        return out
+
+
+def _with_bit(batch, words: Sequence[str], j: int) -> np.ndarray:
+    """Which rows of an Arrow batch belong to complement ``j``."""
+    return batch.column(words[j // WORD]).to_numpy() >> (j % WORD) & 1 == 1
+
+
 def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target: str = "SalePrice", min_frequency: float = 0.01,
                     skew_threshold: float = 0.75, drop_cols: Sequence[str] = DROP_COLS,
                     drop_after: Sequence[str] = DROP_AFTER) -> FoldPreprocessor:
@@ -342,10 +451,7 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
                           "global_median": med.get(frontage, 0.0) if frontage in data.columns else 0.0})
 
     # the encoded columns: a row once per distinct fill that its complements learnt
-    classes = _fill_classes(data, folds, out.fills, group, frontage, [id_col, target])
-    shared = plain.withColumn("_class", F.explode(classes))
-    shared = shared.select(F.col("_class._j"), *[F.col(w).bitwiseAND(F.col(f"_class.{w}")).alias(w) for w in words], *[col(c) for c in data.columns])
-    shared = shared.where(" or ".join(f"{w} <> 0" for w in words))
+    shared = _by_fill(plain, folds, out.fills, group, frontage, [id_col, target, *out.drop_cols])
     eng_rows = engineer(C.apply_rules(shared, group, frontage, _Fills(out.fills, F.col("_j"))).drop(*out.drop_cols), out.drop_after)
     # written: both counts read it, and their sums stay short enough to be compiled
     eng_rows = _save(eng_rows.select(*words, *[E.ordinal_code(col(c), ORDINAL_LEVELS[c]).alias(c) for c in out.ordinal],
@@ -494,9 +600,11 @@ def moments(prep: FoldPreprocessor, train: DataFrame) -> dict[int, Moments]:
     batches (partials merged by Chan's formula); partials meet in two rounds, so
     no task merges those of all others.  The driver gets one p x p matrix per
     complement; Spark's normal-equation solver allows 4,096 features."""
-    j = F.explode(prep.folds.complements(prep.folds.code())).alias("_j")
-    rows = prep.transform(train.select("*", j).drop(*prep.folds.cols)).where("label is not null").select("_j", "label", "features")
+    folds = prep.folds
+    rows = train.withColumn("_sig", folds.code()).drop(*folds.cols).select("*", *_members(folds)).drop("_sig")
+    rows = prep.cells(rows).where("label is not null")
     p = len(prep.all_names)
+    completed, words, numbers = _Completed(prep, folds.numbers), folds.words, list(folds.numbers)
     schema = "_j int, part int, n double, mean binary, scatter binary"
 
     def merge(a, b):
@@ -517,11 +625,13 @@ def moments(prep: FoldPreprocessor, train: DataFrame) -> dict[int, Moments]:
         for b in batches:
             if b.num_rows == 0:
                 continue
-            which = b.column(0).to_numpy()
-            x = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, p)
-            z = np.column_stack([x, b.column(1).to_numpy()])
-            for k in np.unique(which).tolist():
-                part = z[which == k]
+            x, null = completed.read(b.column("cells"))
+            y = b.column("label").to_numpy()
+            for k in numbers:
+                at = _with_bit(b, words, k)
+                if not at.any():
+                    continue
+                part = np.column_stack([completed.features(k, x, null, at), y[at]])
                 mean = part.mean(axis=0)
                 part = part - mean
                 got = (float(len(part)), mean, part.T @ part)
@@ -612,14 +722,16 @@ def fold_errors(prep: FoldPreprocessor, rows: DataFrame, models: dict[int, np.nd
     on the rows it leaves out}.  With ``held=False`` every row counts as left
     out (a hold-out table without fold columns).  Prices under 0 count as 0."""
     folds = prep.folds
-    some = F.array(*[F.lit(j) for j in sorted(models)])
+    own = [f"_own{w}" for w in range(len(folds.words))]  # the complements that a row is trained on
     if held:
-        rows = rows.withColumn("_sig", folds.code()).drop(*folds.cols).withColumn("_j", F.explode(some))
-        scored = prep.transform(rows.withColumn("_in", ~folds.held_out(F.col("_sig"), F.col("_j"))), ["_in"])
+        rows = rows.withColumn("_sig", folds.code()).drop(*folds.cols)
+        rows = rows.select("*", *[m.alias(n) for m, n in zip(_members(folds), own)]).drop("_sig")
     else:
-        scored = prep.transform(rows.withColumn("_j", F.explode(some)).withColumn("_in", F.lit(False)), ["_in"])
-    p = len(prep.all_names)
+        rows = rows.select("*", *[F.lit(0).cast("bigint").alias(n) for n in own])
+    some = [sum(1 << j % WORD for j in models if j // WORD == w) for w in range(len(own))]
+    scored = prep.cells(rows.select("*", *[F.lit(bits).cast("bigint").alias(w) for bits, w in zip(some, folds.words)]), own)
     weights = {j: np.atleast_2d(w) for j, w in models.items()}
+    completed, words = _Completed(prep, sorted(weights)), folds.words
 
     def add(batches):
         import pyarrow as pa
@@ -627,15 +739,18 @@ def fold_errors(prep: FoldPreprocessor, rows: DataFrame, models: dict[int, np.nd
         for b in batches:
             if b.num_rows == 0:
                 continue
-            which, inside = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
-            y = b.column(2).to_numpy()
-            x = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, p)
-            for k in np.unique(which).tolist():
+            x, null = completed.read(b.column("cells"))
+            y = b.column("label").to_numpy()
+            for k, w in weights.items():
+                here = _with_bit(b, words, k)
+                if not here.any():
+                    continue
+                log = np.maximum(completed.features(k, x, null, here) @ w[:, :-1].T + w[:, -1], 0.0)
+                square, inside = (log - y[here][:, None]) ** 2, _with_bit(b, own, k)[here]
                 for flag in (False, True):
-                    at = (which == k) & (inside == flag)
+                    at = inside == flag
                     if at.any():
-                        log = np.maximum(x[at] @ weights[k][:, :-1].T + weights[k][:, -1], 0.0)
-                        got = float(at.sum()), ((log - y[at][:, None]) ** 2).sum(axis=0)
+                        got = float(at.sum()), square[at].sum(axis=0)
                         old = acc.get((k, flag))
                         acc[k, flag] = (old[0] + got[0], old[1] + got[1]) if old else got
         rows_ = [(k, flag, i, n, float(e)) for (k, flag), (n, sse) in acc.items() for i, e in enumerate(sse)]
@@ -643,7 +758,7 @@ def fold_errors(prep: FoldPreprocessor, rows: DataFrame, models: dict[int, np.nd
             kinds = [pa.int32(), pa.bool_(), pa.int32(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows_), kinds)], ["j", "inside", "model", "n", "sse"])
 
-    out = scored.where("label is not null").select("_j", "_in", "label", "features").mapInArrow(
+    out = scored.where("label is not null").mapInArrow(
         add, "j int, inside boolean, model int, n double, sse double").groupBy("j", "inside", "model").agg(
         F.sqrt(F.sum("sse") / F.sum("n")).alias("rmse"))
     errors: dict = {}

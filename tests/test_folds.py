@@ -179,3 +179,52 @@ def test_rows_are_repeated_only_for_fills_that_differ(spark):
     assert bits[5] == [{j for j in everything if j % 2 == 0}, {j for j in everything if j % 2}]
     assert bits[6] == [{j} for j in sorted(everything)]
     assert all(part["_j"] in has for i in got for part, has in zip(got[i], bits[i]))
+
+
+def test_nulls_that_a_rule_fills_read_no_learnt_value(spark):
+    """Before, a null pool quality ("None" by rule, in nearly every row) counted
+    as a learnt fill, so rows were engineered once per differing mode."""
+    data = spark.createDataFrame([(1, None, None, 0, None, 1.0), (2, None, None, 5, None, 1.0), (3, None, None, 5, "Av", None),
+                                  (4, None, None, None, None, 1.0)],
+                                 "Id int, PoolQC string, GarageQual string, TotalBsmtSF int, BsmtExposure string, GarageYrBlt double")
+    data = data.withColumn("YearBuilt", F.lit(1990))
+    fills = [{"medians": {"GarageYrBlt": 1980.0 + j, "TotalBsmtSF": 3.0 + j}, "modes": {c: "Gd" if j % 2 else "No" for c in (
+        "PoolQC", "GarageQual", "BsmtExposure")}, "global_median": 1.0, "group_medians": {}} for j in FOLDS.numbers]
+    classes = FO._fill_classes(data, FOLDS, fills, "Neighborhood", "LotFrontage", ["Id"])
+    assert {r["Id"]: len(r["c"]) for r in data.select("Id", classes.alias("c")).collect()} == {1: 1, 2: 2, 3: 1, 4: 1}
+
+
+def _odd(train):
+    """Nulls where a complement's fill matters, in features and label."""
+    gap = lambda c, m: F.when(F.col("Id") % m != 1, F.col(c)).alias(c)
+    odd = {"GrLivArea": 5, "Neighborhood": 7, "LotArea": 4, "YearRemodAdd": 6, "MoSold": 9, "SalePrice": 11, "HalfBath": 3}
+    return train.select(*[gap(c, odd[c]) if c in odd else F.col(f"`{c}`") for c in train.columns])
+
+
+def test_moments_equal_those_of_each_complement_s_rows(train):
+    rows = _odd(train).cache()
+    prep = FO.fit_complements(rows, FOLDS)
+    got = FO.moments(prep, rows)
+    assert set(got) == set(FOLDS.numbers)
+    for j in (1, 4, FOLDS.whole):
+        part = rows if j == FOLDS.whole else rows.filter(F.col(FOLDS.cols[j // K]) != j % K)
+        out = prep.transform(part.drop(*FOLDS.cols).withColumn("_j", F.lit(j))).where("label is not null").collect()
+        z = np.array([[*r["features"], r["label"]] for r in out])
+        centred = z - z.mean(axis=0)
+        assert got[j].n == len(z) and got[j].mean == pytest.approx(z.mean(axis=0), rel=1e-9, abs=1e-9)
+        assert got[j].scatter == pytest.approx(centred.T @ centred, rel=1e-7, abs=1e-7)
+
+
+def test_moments_and_errors_send_a_row_once_per_distinct_fill(train, prep):
+    """Before, each row was sent once per complement (7 here)."""
+    plain = train.select("*", *[F.lit(2 ** len(FOLDS.numbers) - 1).cast("bigint").alias(w) for w in FOLDS.words])
+    cells = prep.cells(plain, ["Id"])
+    assert cells.count() < 3 * train.count()
+    bits = F.bit_count(F.col(FOLDS.words[0]))
+    assert {r["n"] for r in cells.groupBy("Id").agg(F.sum(bits).alias("n")).collect()} == {len(FOLDS.numbers)}
+
+
+def test_powers_of_a_column():
+    x = np.array([-3.0, -0.5, 0.0, 0.5, 40.0])
+    for lam in (-1.5, 0.0, 0.7, 2.0, 3.1):
+        assert FO._powers(x, lam) == pytest.approx([FO._power(v, lam) for v in x], rel=1e-12, abs=1e-12)

@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
@@ -46,6 +48,9 @@ from terrace.operators.quantile import grouped_quantiles
 from terrace.session import scratch_path
 
 
+# the helpers of the tasks travel with them: workers need not find the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Complements per bigint of a row's set of complements.
 WORD = 62
 

@@ -47,7 +47,9 @@ def scoring_batch(batch: DataFrame, model, defaults: dict, raw: list[str], types
 
 def scored_batch(v: DataFrame, model, defaults: dict, raw: list[str], types: dict,
                  mape: float) -> tuple[DataFrame, DataFrame]:
-    """(scored, quarantined) rows of a batch of :func:`validated_batch`."""
+    """(scored, quarantined) rows of a batch of :func:`validated_batch`.  The
+    input texts are joined by a shuffle: a small file can hold many rows, and
+    their texts must not be collected on the driver to be broadcast."""
     bad = v.filter(~F.col("is_valid")).select(
         F.col("request_id").cast("bigint").alias("request_id"), F.array_join("errors", "; ").alias("errors"))
     good = SC.fill_defaults(v.filter(F.col("is_valid")), defaults, raw, types)
@@ -58,7 +60,7 @@ def scored_batch(v: DataFrame, model, defaults: dict, raw: list[str], types: dic
                         lo.alias("price_range_low"), hi.alias("price_range_high"),
                         "fields_defaulted", "warnings")
     inputs = good.select("request_id", F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw])).alias("inputs"))
-    return out.join(inputs, "request_id"), bad
+    return out.join(inputs.hint("merge"), "request_id"), bad
 
 
 def run_score_stream(spark: SparkSession, records: DataFrame, model, defaults: dict,

@@ -98,6 +98,25 @@ def test_stream_scores_and_quarantines(spark, tmp_path):
     assert {r["request_id"]: r["predicted_price"] for r in again.collect()} == {1: 110.0, 3: 300.0} and bad.count() == 2
 
 
+def test_stream_broadcasts_no_input_texts(spark, tmp_path):
+    """A few bytes of a file can be many rows of text: their join is a shuffle at any size."""
+    from pyspark.sql import types as T
+
+    from terrace.operators.models import GroupMedianRegressor
+    from terrace.streaming.score_stream import scored_batch
+    types = {"Neighborhood": T.StringType(), "YearBuilt": T.IntegerType(), "YearRemodAdd": T.IntegerType(), "YrSold": T.IntegerType()}
+    train = spark.createDataFrame([("NAmes", 100.0), ("Gilbert", 300.0)], "Neighborhood string, SalePrice double")
+    path = str(tmp_path / "validated")
+    spark.range(1000).selectExpr("id as request_id", "'/p' as endpoint", "if(id % 2 = 0, 'NAmes', 'Gilbert') as Neighborhood",
+                                 "if(id % 10 = 0, array('wrong'), array()) as errors", "id % 10 <> 0 as is_valid").write.parquet(path)
+    scored, bad = scored_batch(spark.read.parquet(path), GroupMedianRegressor().fit(train), {}, list(types), types, 0.1)
+    assert "Broadcast" not in scored._jdf.queryExecution().executedPlan().toString()
+    rows = scored.collect()
+    assert len(rows) == 900 and bad.count() == 100
+    assert all(r["predicted_price"] == (300.0 if r["request_id"] % 2 else 100.0) for r in rows)
+    assert all(r["inputs"] == '{"Neighborhood":"%s"}' % ("Gilbert" if r["request_id"] % 2 else "NAmes") for r in rows)
+
+
 def test_run_log_widen(spark, tmp_path):
     path = str(tmp_path / "runs")
     IO.append_run_log(IO.run_log_rows(spark, "r1", "compare", {"alpha": 0.1}, {"rmse": 0.12},

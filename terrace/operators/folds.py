@@ -4,8 +4,8 @@ compressed folds, and fitted folds applied in one scan.
 A *complement* is what a fold's model is trained on: all rows outside fold
 ``h`` of repeat ``r`` (number ``r * k + h``), or all rows (the last number).
 
-* :func:`fit_complements` counts (column, value) once per combination of folds;
-  a complement's counts are the sum over the combinations outside its fold.
+* :func:`fit_complements` counts (column, value) once, with a number per
+  complement; only skewed columns get a row per value and complement.
   Values that need a learnt fill differ between complements, so only rows with
   such a fill are counted per complement.  Medians, modes, quartiles, level
   frequencies, skewness and Yeo-Johnson likelihoods of every complement are
@@ -44,7 +44,7 @@ from terrace.operators import clean as C
 from terrace.operators import encode as E
 from terrace.operators import models as M
 from terrace.operators.features import FeatureEngineer, engineer
-from terrace.operators.quantile import grouped_quantiles
+from terrace.operators.quantile import grouped_quantiles, member_quantiles
 from terrace.session import scratch_path
 
 
@@ -114,17 +114,22 @@ def _members(folds: Folds, also=None) -> list[Column]:
     return words
 
 
+def _counted_wide(long: DataFrame, folds: Folds, keys: Sequence[str]) -> DataFrame:
+    """(keys, _all) from rows with the words of their complements: how often each
+    complement has the keys (NULL: never).  One sum per complement, combined
+    before the shuffle: neither rows nor counts multiply."""
+    member = lambda j: F.col(folds.words[j // WORD]).bitwiseAND(F.lit(1 << j % WORD).cast("bigint")) != 0
+    sums = [F.sum(F.when(member(j), F.lit(1).cast("bigint"))) for j in folds.numbers]
+    return long.groupBy(*keys).agg(F.array(*sums).alias("_all"))
+
+
 def _counted(long: DataFrame, folds: Folds, keys: Sequence[str]) -> DataFrame:
     """(keys, _j, n) from rows with the words of their complements, or with
     ``_sig`` (their combination of folds) and ``_j`` (their complement, or -1:
-    all that their folds belong to).  One sum per complement, combined before
-    the shuffle: neither rows nor counts multiply before the last sum."""
+    all that their folds belong to)."""
     if folds.words[0] not in long.columns:
         long = long.select(*keys, *_members(folds, lambda j, here: (F.col("_j") == j) | (F.col("_j") < 0) & here))
-    member = lambda j: F.col(folds.words[j // WORD]).bitwiseAND(F.lit(1 << j % WORD).cast("bigint")) != 0
-    sums = [F.sum(F.when(member(j), F.lit(1).cast("bigint"))) for j in folds.numbers]
-    every = long.groupBy(*keys).agg(F.array(*sums).alias("_all"))
-    return every.select(*keys, F.posexplode("_all").alias("_j", "n")).where("n is not null")
+    return _counted_wide(long, folds, keys).select(*keys, F.posexplode("_all").alias("_j", "n")).where("n is not null")
 
 
 def _first_equal(values: Sequence) -> list[int]:
@@ -437,8 +442,9 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
     # the imputer: medians, modes, medians by group
     number = [f.name for f in data.schema.fields if is_numeric(f.dataType)]
     other = [f.name for f in data.schema.fields if not is_numeric(f.dataType)]
-    counts = _save(_counted(_long(plain, number, "double", *words).where("x is not null"), folds, ["column", "x"]), "fold-counts")
-    medians = {(r["column"], r["_j"]): r["q"][0] for r in grouped_quantiles(counts, ["column", "_j"], "x", [0.5], weight="n").collect()}
+    members = len(folds.numbers)
+    counts = _save(_counted_wide(_long(plain, number, "double", *words).where("x is not null"), folds, ["column", "x"]), "fold-counts")
+    medians = {k: q[0] for k, q in member_quantiles(counts, "column", "x", members, [0.5]).items()}
     modes = {}
     if other:
         levels = _counted(_long(plain, other, "string", *words).where("x is not null"), folds, ["column", "x"])
@@ -447,7 +453,8 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
     by_group: dict = {}
     if C.has(data, frontage, group):
         cells = plain.select(*words, col(group).alias("g"), col(frontage).cast("double").alias("x")).where("g is not null and x is not null")
-        q = grouped_quantiles(_counted(cells, folds, ["g", "x"]), ["g", "_j"], "x", [0.5], weight="n")
+        counts = _save(_counted(cells, folds, ["g", "x"]), "fold-counts")  # written: every round reads it
+        q = grouped_quantiles(counts, ["g", "_j"], "x", [0.5], weight="n")
         by_group = {(r["g"], r["_j"]): r["q"][0] for r in q.collect()}  # fitted state: a value a group
     for j in folds.numbers:
         med = {c: float(medians[c, j]) for c in number if medians.get((c, j)) is not None}
@@ -479,33 +486,40 @@ def fit_complements(train: DataFrame, folds: Folds, id_col: str = "Id", target:
 
     # numbers: medians fill what is still null, then quartiles, skewness, lambdas
     values = [*out.ordinal, *out.numeric]
-    counts = _save(_counted(_long(eng_rows, values, "double", *words), folds, ["column", "x"]), "fold-counts")
-    q = grouped_quantiles(counts.where(F.col("column").isin(out.numeric)), ["column", "_j"], "x", [0.5], weight="n").collect()
-    fill = {(r["column"], r["_j"]): r["q"][0] for r in q}
+    counts = _save(_counted_wide(_long(eng_rows, values, "double", *words), folds, ["column", "x"]), "fold-counts")
+    fill = {k: q[0] for k, q in member_quantiles(counts.where(F.col("column").isin(out.numeric)), "column", "x", members, [0.5]).items()}
     out.medians = [{c: fill.get((c, j)) for c in out.numeric} for j in folds.numbers]
     spark = train.sparkSession
-    table = spark.createDataFrame([(c, j, v) for (c, j), v in fill.items()] or [("", -1, 0.0)], "column string, _j int, fill double")
-    number_of = F.create_map(*[x for i, c in enumerate(values) for x in (F.lit(c), F.lit(i))])
-    counts = counts.join(F.broadcast(table), ["column", "_j"], "left").select(  # a row per column and complement
-        "column", "_j", F.coalesce("x", "fill").alias("x"), "n").where("x is not null")
-    salt = F.pmod(F.xxhash64("x"), F.lit(64))
-    counts = _save(counts.withColumn("key", (number_of[F.col("column")] * len(folds.numbers) + F.col("_j")).cast("int"))
-                   .repartition("key", salt).sortWithinPartitions("key"), "fold-state")
-    order = {(r["column"], r["_j"]): r["q"] for r in grouped_quantiles(
-        counts, ["column", "_j"], "x", [0.25, 0.5, 0.75], weight="n", pairs=True).collect()}
-    n = F.col("n").cast("double")
-    mean = counts.groupBy("key").agg(F.sum(n).alias("m0"), (F.sum(n * F.col("x")) / F.sum(n)).alias("mean"))
-    d = F.col("x") - F.col("mean")
-    central = counts.join(mean, "key").groupBy("key").agg(F.first("m0").alias("m0"), F.sum(n * d * d).alias("m2"), F.sum(n * d * d * d).alias("m3"))
+    filled = []  # the nulls of a column and complement, counted under its median
+    for r in counts.where("x is null").collect():  # a row a column
+        filled += [(r["column"], fill[r["column"], j], [n if i == j else None for i in folds.numbers])
+                   for j, n in enumerate(r["_all"]) if n and (r["column"], j) in fill]
+    counts = counts.where("x is not null").unionByName(spark.createDataFrame(filled, "column string, x double, _all array<bigint>"))
+    order = member_quantiles(counts, "column", "x", members, [0.25, 0.5, 0.75], pairs=True)
+    n = [F.get("_all", F.lit(j)).cast("double") for j in folds.numbers]
+    sums = {r["column"]: r for r in counts.groupBy("column").agg(
+        F.array(*[F.sum(w) for w in n]).alias("m0"), F.array(*[F.sum(w * F.col("x")) for w in n]).alias("m1")).collect()}  # a row a column
+    mean = spark.createDataFrame([(c, [b / a if a else None for a, b in zip(r["m0"], r["m1"])]) for c, r in sums.items()],
+                                 "column string, mean array<double>")
+    d = [F.col("x") - F.get("mean", F.lit(j)) for j in folds.numbers]
+    central = counts.join(F.broadcast(mean), "column").groupBy("column").agg(
+        F.array(*[F.sum(w * x * x) for w, x in zip(n, d)]).alias("m2"), F.array(*[F.sum(w * x * x * x) for w, x in zip(n, d)]).alias("m3"))
     skewed = []
     for r in central.collect():
-        c, j = values[r["key"] // len(folds.numbers)], r["key"] % len(folds.numbers)
-        m0, m2, m3 = r["m0"], r["m2"], r["m3"]
-        if c in out.numeric and m0 >= 3 and m2 > 0:
-            g1 = math.sqrt(m0) * m3 / m2 ** 1.5
-            if abs(g1 * math.sqrt(m0 * (m0 - 1)) / (m0 - 2)) > skew_threshold:
-                skewed.append(r["key"])
-    lam = E.search_lambdas(skewed, lambda grid: _loglik(counts, grid)) if skewed else {}
+        c = r["column"]
+        for j, (m0, m2, m3) in enumerate(zip(sums[c]["m0"], r["m2"], r["m3"])):
+            if c in out.numeric and m0 is not None and m0 >= 3 and m2 > 0:
+                g1 = math.sqrt(m0) * m3 / m2 ** 1.5
+                if abs(g1 * math.sqrt(m0 * (m0 - 1)) / (m0 - 2)) > skew_threshold:
+                    skewed.append(values.index(c) * members + j)
+    lam = {}
+    if skewed:  # only their values become a row per complement
+        some = sorted({values[key // members] for key in skewed})
+        number_of = F.create_map(*[x for c in some for x in (F.lit(c), F.lit(values.index(c)))])
+        state = counts.where(F.col("column").isin(some)).select("column", "x", F.posexplode("_all").alias("_j", "n")).where("n is not null")
+        state = state.select((number_of[F.col("column")] * members + F.col("_j")).cast("int").alias("key"), "x", "n").where(F.col("key").isin(skewed))
+        state = _save(state.repartition("key", F.pmod(F.xxhash64("x"), F.lit(64))).sortWithinPartitions("key"), "fold-state")
+        lam = E.search_lambdas(skewed, lambda grid: _loglik(state, grid))
     out.lambdas = [{} for _ in folds.numbers]
     for key in sorted(lam):
         out.lambdas[key % len(folds.numbers)][values[key // len(folds.numbers)]] = lam[key]

@@ -16,8 +16,8 @@ three declarative rounds, the same at every size and for every distribution:
 No task sees more of a group than its bucket counts (round 1), one bucket's
 counts (round 2) or the distinct doubles of one fine range, a relative width
 of about 1e-9 (round 3); a hot group or one global median is spread like any
-other.  :func:`grouped_quantiles` collects nothing; :func:`column_quantiles` collects
-the few ranges of a column.  NULL and NaN values take no part.
+other.  :func:`grouped_quantiles` collects nothing; :func:`column_quantiles` and
+:func:`member_quantiles` collect the few ranges of a column.  NULL and NaN values take no part.
 """
 
 from __future__ import annotations
@@ -180,3 +180,67 @@ def column_quantiles(df: DataFrame, cols: Sequence[str],
         return a if low == high or a == b else (high - at) * a + (at - low) * b
 
     return {c: [quantile(i, p) for p in probs] if i in total else None for i, c in enumerate(cols)}
+
+
+def member_quantiles(counts: DataFrame, key: str, value: str, members: int, probs: Sequence[float], pairs: bool = False) -> dict:
+    """{(key, member): exact quantiles} of rows (key, value, ``_all``), where
+    ``_all`` holds how often each of the members has the value, in the rounds of
+    :func:`grouped_quantiles` (``pairs`` as there).  A value is one row for all
+    members until its range is counted.  The ranges that hold a wanted rank (two
+    per key, member and quantile at most) go to the driver; no value is shuffled
+    outside of them."""
+    spark = counts.sparkSession
+    base = counts.select(col(key).alias("_k"), col(value).cast("double").alias("_v"), "_all").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    base = base.withColumn("_b", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * COARSE))
+    parts = [F.array(*[F.sum(F.get("_all", F.lit(j))) for j in range(members)]).alias("_all"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    found: dict = {}  # (key, member) -> rank -> value
+    total: dict = {}
+
+    def each(ranges: DataFrame, *keep: str) -> DataFrame:
+        return ranges.select(*keep, "_lo", "_hi", F.posexplode("_all").alias("_j", "_c")).where("_c > 0")
+
+    def settle(rows, of) -> list[tuple]:
+        """Answers from ranges of one value; the others stay open."""
+        left = []
+        for r in rows:
+            k, b = of(r)
+            if r["_lo"] == r["_hi"]:
+                found[k, r["_j"]].update(dict.fromkeys(r["_wanted"], r["_lo"]))
+            else:
+                left.append(((k, b, r["_lo"], r["_hi"]), r["_j"], r["_before"], r["_wanted"]))
+        return left
+
+    def narrowed(open_: list[tuple], at: Column) -> list[tuple]:
+        if not open_:
+            return []
+        ranges = list(dict.fromkeys(x[0] for x in open_))
+        number = {x: i for i, x in enumerate(ranges)}
+        table = spark.createDataFrame([(i, *x) for i, x in enumerate(ranges)], base.select(
+            F.lit(0).alias("_r"), F.col("_k").alias("_k_"), F.col("_b").alias("_b_"), F.col("_v").alias("_from"), F.col("_v").alias("_to")).schema)
+        state = spark.createDataFrame([(number[x], j, before, wanted) for x, j, before, wanted in open_],
+                                      "_r int, _j int, _base bigint, _ranks array<bigint>")
+        rows = base.join(F.broadcast(table), (F.col("_k") == F.col("_k_")) & (F.col("_b") == F.col("_b_"))
+                         & F.col("_v").between(F.col("_from"), F.col("_to")))
+        fine = each(rows.groupBy("_r", at.alias("_f")).agg(*parts), "_r", "_f").join(F.broadcast(state), ["_r", "_j"])
+        held = _holding(fine, "_r, _j", "_f", F.col("_base")).select("_r", "_j", "_lo", "_hi", "_before", "_wanted").collect()
+        return settle(held, lambda r: ranges[r["_r"]][:2])
+
+    coarse = each(base.groupBy("_k", "_b").agg(*parts), "_k", "_b").withColumn("_n", F.expr("sum(_c) over (partition by _k, _j)"))
+    coarse = _holding(coarse.withColumn("_ranks", _ranks(F.col("_n"), probs)), "_k, _j", "_b", F.lit(0)).select(
+        "_k", "_j", "_b", "_n", "_lo", "_hi", "_before", "_wanted").collect()
+    for r in coarse:
+        total[r["_k"], r["_j"]] = r["_n"]
+        found.setdefault((r["_k"], r["_j"]), {})
+    open_ = settle(coarse, lambda r: (r["_k"], r["_b"]))
+    step = F.floor((F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * FINE)
+    narrowed(narrowed(open_, F.least(step, F.lit(FINE - 1))), F.col("_v"))
+
+    def quantile(k, p: float):
+        at = (total[k] - 1) * float(p)
+        low, high = math.floor(at), math.ceil(at)
+        a, b = found[k][low], found[k][high]
+        if pairs:
+            return {"low": a, "high": b, "share": at - low}
+        return a if low == high or a == b else (high - at) * a + (at - low) * b
+
+    return {k: [quantile(k, p) for p in probs] for k in total}

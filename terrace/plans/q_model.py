@@ -726,9 +726,17 @@ def _linear_best(spark, sf) -> dict:
 def tuning_linear_before_after(spark, sf):
     """The best trials scored again on 5 x 3 folds and the validation rows,
     against the untuned models of the comparison."""
-    best = _linear_best(spark, sf)
-    tuned = CV.comparison_table(*_scored(spark, sf, {n: make(best[n]) for n, make in _MAKE_LINEAR.items()}))
-    return _before_after(tuned, CV.comparison_table(*_linear_scores(spark, sf)))
+    best, got = _linear_best(spark, sf), {}
+    tuned = {f"tuned_{n}": make(best[n]) for n, make in _MAKE_LINEAR.items()}
+
+    def both():  # not scored yet: one pass over the rows for tuned and untuned models
+        got["tuned"] = _scored(spark, sf, {n: make() for n, make in _LINEAR.items()} | tuned)
+        return tuple(x.where(F.col("model").isin(list(_LINEAR))) for x in got["tuned"])
+
+    base = _memo(spark, sf, "linear_scores", both)
+    scores = got.get("tuned") or _scored(spark, sf, tuned)
+    scores = [x.where(F.col("model").isin(list(tuned))).withColumn("model", F.expr("substring(model, 7)")) for x in scores]
+    return _before_after(CV.comparison_table(*scores), CV.comparison_table(*base))
 
 
 def _before_after(tuned: DataFrame, base: DataFrame) -> DataFrame:

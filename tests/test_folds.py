@@ -136,6 +136,69 @@ def test_weighted_quantiles_equal_repeated_rows(spark):
         assert [(1 - p["share"]) * p["low"] + p["share"] * p["high"] for p in pairs[g]] == pytest.approx(np.quantile(all_, probs))
 
 
+def test_quantiles_of_members_without_a_row_per_member(spark):
+    from terrace.operators.quantile import member_quantiles
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for c, xs in (("wide", rng.normal(size=300) * 1e5), ("few", rng.integers(-2, 3, 6).astype(float)), ("one", np.array([7.0])), ("flat", 1e9 + rng.random(50) * 1e-3)):
+        for x in xs:
+            n = [int(v) or None for v in rng.integers(0, 4, 3)]
+            rows.append((c, float(x), n))
+            for j, v in enumerate(n):
+                want.setdefault((c, j), []).extend([float(x)] * (v or 0))
+    rows += [("wide", None, [5, 5, 5]), ("wide", float("nan"), [5, 5, 5]), ("few", 9.0, [None, None, None])]
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    df = spark.createDataFrame(rows, "column string, x double, _all array<bigint>")
+    got = member_quantiles(df, "column", "x", 3, probs)
+    assert set(got) == {k for k, v in want.items() if v}
+    for k, q in got.items():
+        assert q == pytest.approx(np.quantile(want[k], probs), rel=1e-12)
+    pairs = member_quantiles(df, "column", "x", 3, [0.5], pairs=True)
+    for k, (p,) in pairs.items():
+        x, at = sorted(want[k]), (len(want[k]) - 1) * 0.5
+        assert (p["low"], p["high"], p["share"]) == (x[int(np.floor(at))], x[int(np.ceil(at))], at - np.floor(at))
+
+
+def test_counted_values_are_one_row_for_all_complements(train, monkeypatch):
+    saved, save = [], FO._save
+
+    def spied(df, name):
+        out = save(df, name)
+        saved.append((name, out))
+        return out
+
+    monkeypatch.setattr(FO, "_save", spied)
+    FO.fit_complements(train, FOLDS)
+    counted = [df for name, df in saved if name == "fold-counts" and "column" in df.columns]
+    assert len(counted) == 2
+    for df in counted:
+        assert df.count() == df.select("column", "x").distinct().count()
+
+
+def test_tuned_and_untuned_models_are_scored_in_one_pass(spark, monkeypatch):
+    from terrace.plans import q_model as q
+    calls = []
+
+    def scored(spark, sf, regressors):
+        calls.append(list(regressors))
+        at = {n: (0.1 if n.startswith("tuned_") else 0.2) + i / 1000 for i, n in enumerate(regressors)}
+        scores = spark.createDataFrame([(n, 0, 0, v, v, 1.0) for n, v in at.items()], "model string, repeat int, fold int, "
+                                       "test_rmse_log double, train_rmse_log double, fit_seconds double")
+        return scores, spark.createDataFrame([(n, "linear", v, 1.0, 1.0, 1.0) for n, v in at.items()], "model string, kind string, "
+                                             "val_rmse_log double, val_mae double, val_r2 double, val_mape double")
+
+    monkeypatch.setattr(q, "_MEMO", {})
+    monkeypatch.setattr(q, "_scored", scored)
+    monkeypatch.setattr(q, "_linear_best", lambda *_: {"Lasso": {"alpha": 0.1}, "ElasticNet": {"alpha": 0.1, "l1_ratio": 0.5}})
+    sf = "/root/testdata/sf0.001"
+    first = {r["model"]: r for r in q.tuning_linear_before_after(spark, sf).collect()}
+    assert len(calls) == 1 and set(first) == {"Lasso", "ElasticNet"}
+    assert all(r["tuned_cv_rmse"] < 0.11 and r["baseline_cv_rmse"] > 0.19 for r in first.values())
+    assert {r["model"] for r in q.cv_scores_linear(spark, sf).collect()} == set(q._LINEAR) and len(calls) == 1
+    again = {r["model"]: r for r in q.tuning_linear_before_after(spark, sf).collect()}  # the untuned scores are there
+    assert calls[1] == ["tuned_Lasso", "tuned_ElasticNet"] and set(again) == set(first)
+
+
 def test_complements_are_counted_without_a_row_per_combination(spark):
     rows = [("a", 1.0, 0, 0, -1), ("a", 1.0, 1, 2, -1), ("a", 2.0, 2, 1, -1), ("a", None, 0, 1, -1), ("a", 1.0, 0, 0, 4), ("a", 1.0, None, 1, -1)]
     long = spark.createDataFrame(rows, "column string, x double, _f0 int, _f1 int, _j int").withColumn("_sig", FOLDS.code()).drop("_f0", "_f1")
